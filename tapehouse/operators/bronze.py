@@ -24,6 +24,17 @@ def _ingest(ingest_time: Column | str | None) -> Column:
     return F.col(ingest_time) if isinstance(ingest_time, str) else ingest_time
 
 
+def _parse_once(raw: DataFrame, *cols: Column) -> DataFrame:
+    """Project ``cols`` through a one-element ``inline`` (a Generate node).
+
+    The optimizer pushes filters on parsed fields below a plain projection
+    and inlines ``from_json`` into every predicate, re-parsing each message
+    once per referenced field. Filters cannot cross a Generate, so here the
+    JSON is parsed exactly once per row whatever follows.
+    """
+    return raw.select(F.inline(F.array(F.struct(*cols))))
+
+
 def parse_orderbook(
     raw: DataFrame,
     value_col: str = "value",
@@ -36,11 +47,12 @@ def parse_orderbook(
     passes source columns through (e.g. a Kafka offset).
     """
     payload = F.col(value_col).cast("string")
-    return raw.select(
+    return _parse_once(
+        raw,
         F.from_json(payload, ENVELOPE_SCHEMA).alias("_env"),
         payload.alias("payload"),
         _ingest(ingest_time).alias("ingest_time"),
-        *keep,
+        *[F.col(k) for k in keep],
     ).select(
         F.col("_env.type").alias("type"),
         F.col("_env.product_id").alias("product_id"),
@@ -65,11 +77,12 @@ def parse_trades(
     TIMESTAMP_NTZ; ``keep`` passes source columns through.
     """
     payload = F.col(value_col).cast("string")
-    return raw.select(
+    return _parse_once(
+        raw,
         F.from_json(payload, TRADE_MESSAGE_SCHEMA).alias("_d"),
         payload.alias("raw_payload"),
         _ingest(ingest_time).alias("ingest_time"),
-        *keep,
+        *[F.col(k) for k in keep],
     ).select(
         F.col("_d.trade_id").alias("trade_id"),
         F.col("_d.sequence").alias("sequence"),

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.functions import iso_utc
+from tapehouse.sources.tables import read_parquet
 
 # Fixed values of the fixture mapping (shared with the oracle SQL text).
 SNAPSHOT_EVERY = 50
@@ -41,7 +42,7 @@ MIXED_TYPE_SQL = (
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
