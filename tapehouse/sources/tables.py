@@ -128,3 +128,51 @@ def filtered_scan(spark: SparkSession, path: str, condition: str, columns: Seque
     """A scan with a row filter (pushed to Parquet by Catalyst) and optional projection."""
     df = spark.read.parquet(path).where(condition)
     return df.select(*columns) if columns else df
+
+
+def upsert_parquet(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    partition_col: str,
+    stage_name: str,
+    newer_by: Sequence[str] | None = None,
+) -> int:
+    """MERGE ``source`` into the partitioned Parquet table at ``path``.
+
+    Only the partitions that ``source`` touches are read (a semi-join on the
+    partition column, pruned at runtime) and rewritten (dynamic partition
+    overwrite). A key must always fall in the same partition (the partition
+    column is derived from key-determined fields, e.g. a trade's day). The
+    merged partitions are staged under the shared checkpoint folder first,
+    because Spark cannot overwrite files the same plan is reading. Returns
+    the number of source rows (0 = nothing written).
+    """
+    from tapehouse.operators.upsert import upsert
+
+    if not path_exists(spark, path):
+        source.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        return spark.read.parquet(path).count()
+    target = spark.read.parquet(path)
+    src = source.select(*target.columns)
+    staged_src = scratch_path(spark, f"stage/{stage_name}-src")
+    src.write.mode("overwrite").parquet(staged_src)
+    src = spark.read.parquet(staged_src)
+    n = src.count()
+    if n == 0:
+        return 0
+    touched = src.select(partition_col).distinct()
+    affected = target.join(touched, on=partition_col, how="left_semi")
+    merged = upsert(affected, src, keys, newer_by=newer_by)
+    stage = scratch_path(spark, f"stage/{stage_name}")
+    merged.write.mode("overwrite").parquet(stage)
+    (
+        spark.read.parquet(stage)
+        .select(*target.columns)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )
+    return n
