@@ -148,6 +148,23 @@ def session_ids(
     )
 
 
+def observe_feed(df: DataFrame, name: str = "feed", type_col: str = "type") -> DataFrame:
+    """Attach running feed metrics (messages, per-route counts) to a batch or stream.
+
+    Spark reports them per batch (``Observation.get`` for batch queries,
+    ``StreamingQueryProgress.observedMetrics`` for streams) without an extra
+    pass over the data.
+    """
+    t = F.col(type_col)
+    return df.observe(
+        name,
+        F.count(F.lit(1)).alias("messages"),
+        F.count(F.when(t.isin("snapshot", "l2update"), 1)).alias("orderbook"),
+        F.count(F.when(t.isin("match", "last_match"), 1)).alias("trades"),
+        F.count(F.when(t.isNull(), 1)).alias("unparsed"),
+    )
+
+
 def message_counts(df: DataFrame, type_col: str = "type") -> DataFrame:
     """Messages per type (null type counted under null)."""
     return df.groupBy(type_col).agg(F.count(F.lit(1)).alias("messages"))

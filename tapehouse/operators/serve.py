@@ -117,11 +117,44 @@ def ticker_24h(bars: DataFrame, asof: Column | str | datetime) -> DataFrame:
     return ticker(bars, asof, timedelta(hours=24))
 
 
+def latest_bucket(trades: DataFrame, interval_seconds: int = 60, time_col: str = "time") -> Column:
+    """Scalar subquery: start of the newest bar, i.e. ``max(bucket)`` of
+    ``ohlcv(trades, interval)``, computed from ``max(time)`` alone (a
+    one-column scan instead of a second bar aggregation). Keeps the
+    timestamp flavour of ``time_col``.
+    """
+    dtype = trades.schema[time_col].dataType
+    step = interval_seconds * 1_000_000
+    micros = F.unix_micros(F.max(time_col).cast("timestamp"))
+    start = F.timestamp_micros(micros - F.pmod(micros, F.lit(step)))
+    return trades.select(start.cast(dtype).alias("asof")).scalar()
+
+
 def bars_lookback(minutes_per_bar: int, bars: int) -> timedelta:
     """Lookback for a chart of ``bars`` bars: 1.2 times the span they cover."""
     return timedelta(minutes=minutes_per_bar * bars * 1.2)
 
 
+def chart_bars(
+    bars: DataFrame,
+    asof: Column | str | datetime,
+    rule: str = "1 hour",
+    minutes_per_bar: int = 60,
+    n: int = 100,
+    product_id: str | None = None,
+) -> DataFrame:
+    """Bars for a price chart: minute bars since ``asof - lookback``, resampled
+    to ``rule``, the newest ``n`` per product, with their direction.
+
+    The lookback is 1.2 times the span of ``n`` bars; the product and time
+    filters are plain predicates, so they reach the scan of a stored table.
+    """
+    src = bars.where(F.col("bucket") >= lookback(_ts(asof), bars_lookback(minutes_per_bar, n)))
+    if product_id is not None:
+        src = src.where(F.col("product_id") == product_id)
+    return with_direction(last_bars(resample(src, rule), n))
+
+
 def recent_trades(
     trades: DataFrame,
     since: Column | str | datetime,

@@ -152,9 +152,14 @@ def silver_levels(
     snapshot_time: str = "ingest",
     watermark_col: str = "event_time",
     inline_bound: bool = False,
+    reset_on_snapshot: bool = False,
 ) -> DataFrame:
     """Silver order-book levels from bronze: incremental, flattened, latest per level.
 
+    ``reset_on_snapshot=True`` drops levels older than the newest snapshot of
+    their product in this batch (see ``drop_stale_levels``); apply the same
+    to the stored table after an upsert to clear stale stored levels.
+
     The incremental bound compares bronze ``ingest_time`` with the target's
     ``max(event_time)`` (the source system's rule); ``watermark_col`` may
     name another target column (e.g. a carried ``ingest_time``).
@@ -162,7 +167,34 @@ def silver_levels(
     src = incremental_since(
         bronze, target, on="ingest_time", target_col=watermark_col, inline=inline_bound
     )
-    return latest_levels(flatten_levels(src, snapshot_time=snapshot_time))
+    out = latest_levels(flatten_levels(src, snapshot_time=snapshot_time))
+    if reset_on_snapshot:
+        out = drop_stale_levels(out, snapshot_times(src))
+    return out
+
+
+def snapshot_times(bronze: DataFrame) -> DataFrame:
+    """Time of the newest snapshot message per product (one row per product)."""
+    return (
+        bronze.where(F.col("type") == "snapshot")
+        .groupBy("product_id")
+        .agg(F.max("ingest_time").alias("_snapshot_time"))
+    )
+
+
+def drop_stale_levels(levels: DataFrame, snapshots: DataFrame) -> DataFrame:
+    """Remove levels older than their product's newest snapshot.
+
+    A reconnect sends a full snapshot; levels it no longer lists are stale.
+    The source system keeps them (so its book can cross after a reconnect);
+    this is the opt-in correction. ``snapshots`` is ``snapshot_times(...)``:
+    one row per product, so the join never multiplies level rows.
+    """
+    return (
+        levels.join(snapshots, on="product_id", how="left")
+        .where(F.col("_snapshot_time").isNull() | (F.col("event_time") >= F.col("_snapshot_time")))
+        .drop("_snapshot_time")
+    )
 
 
 def is_timestamp(df: DataFrame, column: str) -> bool:

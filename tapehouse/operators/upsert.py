@@ -65,10 +65,10 @@ def merge_into_table(
     spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str]
 ) -> None:
     """MERGE into a catalog table that supports row-level operations."""
-    cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    cond = " AND ".join(f"{table}.`{k}` = s.`{k}`" for k in keys)
     (
         source.alias("s")
-        .mergeInto(table, F.expr(cond.replace("t.", f"{table}.")))
+        .mergeInto(table, F.expr(cond))
         .whenMatched()
         .updateAll()
         .whenNotMatched()

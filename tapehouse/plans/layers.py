@@ -66,18 +66,33 @@ def run_silver_trades(spark: SparkSession, lake: Lake) -> int:
 
 
 def run_silver_levels(
-    spark: SparkSession, lake: Lake, snapshot_time: str = "ingest", newer_by: list[str] | None = None
+    spark: SparkSession,
+    lake: Lake,
+    snapshot_time: str = "ingest",
+    newer_by: list[str] | None = None,
+    reset_on_snapshot: bool = False,
 ) -> int:
     """Incremental silver order-book levels; partitioned by product.
 
     ``newer_by=["event_time", "sequence"]`` keeps a stored level when an
-    arriving one is older (the default replaces unconditionally).
+    arriving one is older (the default replaces unconditionally);
+    ``reset_on_snapshot=True`` also drops stored levels older than a newer
+    snapshot of their product.
     """
     bronze = spark.read.parquet(lake.bronze_orderbook)
     target = _read(spark, lake.silver_levels, SILVER_LEVELS_COLUMNS)
-    src = silver.silver_levels(bronze, target, snapshot_time=snapshot_time, inline_bound=True)
+    inc = silver.incremental_since(bronze, target, on="ingest_time", target_col="event_time", inline=True)
+    src = silver.silver_levels(inc, None, snapshot_time=snapshot_time, reset_on_snapshot=reset_on_snapshot)
+    post = None
+    if reset_on_snapshot:
+        snaps = silver.snapshot_times(inc)
+
+        def post(merged: DataFrame) -> DataFrame:
+            return silver.drop_stale_levels(merged, snaps)
+
     return upsert_parquet(
-        spark, lake.silver_levels, src, LEVEL_KEYS, "product_id", "silver_levels", newer_by=newer_by
+        spark, lake.silver_levels, src, LEVEL_KEYS, "product_id", "silver_levels",
+        newer_by=newer_by, post=post,
     )
 
 

@@ -113,6 +113,20 @@ WHERE rn <= 100""",
     "bar_direction": f"""WITH {TRADES}, {_bars('minute')}
 SELECT product_id, bucket, open, close,
        CASE WHEN close >= open THEN 'up' ELSE 'down' END AS direction FROM bars""",
+    "chart_bars": f"""WITH {TRADES}, {_bars('minute')},
+c AS (SELECT max(bucket) - INTERVAL '7200' MINUTE AS since FROM bars),
+h AS (
+  SELECT product_id, time_bucket(INTERVAL 1 HOUR, bucket) AS bucket,
+         arg_min(open, bucket) AS open, max(high) AS high, min(low) AS low,
+         arg_max(close, bucket) AS close, sum(volume) AS volume,
+         CAST(sum(trade_count) AS BIGINT) AS trade_count,
+         round(sum(vwap * volume) / nullif(sum(volume), 0), 10) AS vwap
+  FROM bars, c WHERE bucket >= since
+  GROUP BY product_id, time_bucket(INTERVAL 1 HOUR, bucket))
+SELECT product_id, bucket, open, high, low, close, volume, trade_count, vwap,
+       CASE WHEN close >= open THEN 'up' ELSE 'down' END AS direction
+FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY bucket DESC) AS rn FROM h)
+WHERE rn <= 100""",
     "ticker_24h": f"""WITH {TRADES}, {_bars('minute')},
 a AS (SELECT max(bucket) AS asof_ts FROM bars),
 t AS (

@@ -109,11 +109,18 @@ def q_bar_direction(spark, sf_dir):
     return bars.select("product_id", "bucket", "open", "close", "direction")
 
 
+@query("chart_bars")
+def q_chart_bars(spark, sf_dir):
+    t = trades(spark, sf_dir)
+    bars = gold.ohlcv(t, "1 minute")
+    out = serve.chart_bars(bars, serve.latest_bucket(t, 60), rule="1 hour", minutes_per_bar=60, n=100)
+    return _round_vwap(out)
+
+
 @query("ticker_24h")
 def q_ticker_24h(spark, sf_dir):
-    bars = minute_bars(spark, sf_dir)
-    asof = bars.select(F.max("bucket")).scalar()
-    return serve.ticker_24h(bars, asof)
+    t = trades(spark, sf_dir)
+    return serve.ticker_24h(gold.ohlcv(t, "1 minute"), serve.latest_bucket(t, 60))
 
 
 @query("recent_trades")

@@ -54,3 +54,17 @@ def write_kafka(records: DataFrame, topic: str, bootstrap_servers: str, **option
 def write_feed_files(records: DataFrame, path: str, mode: str = "append") -> None:
     """File twin of the Kafka topic: one JSON message per line (the ``value``)."""
     records.select(F.col("value")).write.mode(mode).text(path)
+
+
+def start_kafka_stream(records: DataFrame, topic: str, bootstrap_servers: str, checkpoint: str, **options: str):
+    """Streaming publish of (key, value) rows to a Kafka topic (needs the Kafka connector)."""
+    w = (
+        records.select("key", "value")
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+    )
+    for k, v in options.items():
+        w = w.option(k, v)
+    return w.start()

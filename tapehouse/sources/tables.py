@@ -7,7 +7,7 @@ connectors are configured; nothing here needs them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +34,13 @@ def read_parquet(spark: SparkSession, path: str, spread_small: bool = True) -> D
     return spread(df) if spread_small else df
 
 
+def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
+    """A layer table by catalog name (``silver.stg_trades``) or by Parquet path."""
+    if "/" in name_or_path:
+        return spark.read.parquet(name_or_path)
+    return spark.table(name_or_path)
+
+
 def create_namespaces(spark: SparkSession, catalog: str | None = None) -> None:
     """CREATE NAMESPACE IF NOT EXISTS for default, bronze, silver, gold."""
     prefix = f"{catalog}." if catalog else ""
@@ -138,6 +145,7 @@ def upsert_parquet(
     partition_col: str,
     stage_name: str,
     newer_by: Sequence[str] | None = None,
+    post: Callable[[DataFrame], DataFrame] | None = None,
 ) -> int:
     """MERGE ``source`` into the partitioned Parquet table at ``path``.
 
@@ -147,7 +155,8 @@ def upsert_parquet(
     column is derived from key-determined fields, e.g. a trade's day). The
     merged partitions are staged under the shared checkpoint folder first,
     because Spark cannot overwrite files the same plan is reading. Returns
-    the number of source rows (0 = nothing written).
+    the number of source rows (0 = nothing written). ``post`` transforms the
+    merged partitions before they are written (e.g. dropping stale levels).
     """
     from tapehouse.operators.upsert import upsert
 
@@ -165,6 +174,8 @@ def upsert_parquet(
     touched = src.select(partition_col).distinct()
     affected = target.join(touched, on=partition_col, how="left_semi")
     merged = upsert(affected, src, keys, newer_by=newer_by)
+    if post is not None:
+        merged = post(merged)
     stage = scratch_path(spark, f"stage/{stage_name}")
     merged.write.mode("overwrite").parquet(stage)
     (
