@@ -9,8 +9,9 @@ to 10 decimals for the cross-engine comparison only.
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,11 @@ from pyspark.sql.types import TimestampNTZType
 from tapehouse.operators import bronze, gold, quality, serve, silver, upsert
 from tapehouse.plans import fixtures as fx
 from tapehouse.functions import lookback
-from tapehouse.sources.publish import JSON_OPTIONS, publish_records
+from tapehouse.session import scratch_path
+from tapehouse.sources.feed import file_stream
+from tapehouse.sources.publish import JSON_OPTIONS, publish_records, write_feed_files
+from tapehouse.sources.tables import full_refresh, write_day_partitioned
+from tapehouse.streaming.bronze import start_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,13 +42,26 @@ TRADE_RECORD_DDL = (
 
 
 def query(name: str) -> Callable[[Query], Query]:
+    """Register a query. Feed times are UTC instants, so the session zone is pinned to UTC."""
+
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
+        return run
 
     return register
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory for one query run."""
+    return scratch_path(spark, f"queries/{name}-{uuid.uuid4().hex}")
+
+
 def _round_vwap(df: DataFrame) -> DataFrame:
     return df.withColumn("vwap", F.round("vwap", 10))
 
@@ -272,3 +290,55 @@ def q_publish_records(spark, sf_dir):
         parsed["side"].alias("side"),
         parsed["time"].alias("time"),
     )
+
+
+# ---- streaming ingest and table round trips (write under the checkpoint dir) ----
+
+def _stream_bronze(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    ev = fx.events(spark, sf_dir)
+    root = _scratch(spark, "stream")
+    write_feed_files(fx.trade_feed(ev), f"{root}/feed/trades")
+    write_feed_files(fx.book_feed(ev), f"{root}/feed/book")
+    book_q, trade_q = start_bronze(
+        file_stream(spark, f"{root}/feed/book"),
+        file_stream(spark, f"{root}/feed/trades"),
+        f"{root}/bronze/orderbook_events",
+        f"{root}/bronze/trades",
+        f"{root}/checkpoints",
+        available_now=True,
+    )
+    book_q.awaitTermination()
+    trade_q.awaitTermination()
+    return f"{root}/bronze/orderbook_events", f"{root}/bronze/trades"
+
+
+@query("stream_bronze_trades")
+def q_stream_bronze_trades(spark, sf_dir):
+    _, trades_path = _stream_bronze(spark, sf_dir)
+    b = spark.read.parquet(trades_path)
+    return b.select(
+        "trade_id", "sequence", "product_id", "price", "size", "side",
+        F.col("time").cast("timestamp_ntz").alias("time"), "time_date",
+    )
+
+
+@query("stream_bronze_orderbook")
+def q_stream_bronze_orderbook(spark, sf_dir):
+    book_path, _ = _stream_bronze(spark, sf_dir)
+    return spark.read.parquet(book_path).select("type", "product_id", "time", "sequence")
+
+
+@query("day_partition_roundtrip")
+def q_day_partition_roundtrip(spark, sf_dir):
+    path = _scratch(spark, "day_partition") + "/trades"
+    write_day_partitioned(trades(spark, sf_dir), path, "time", mode="overwrite")
+    return spark.read.parquet(path)
+
+
+@query("full_refresh_roundtrip")
+def q_full_refresh_roundtrip(spark, sf_dir):
+    path = _scratch(spark, "full_refresh") + "/gold_ohlcv_1min"
+    t = trades(spark, sf_dir)
+    full_refresh(gold.ohlcv(t.where(F.col("time") < _ts(FIRST_RUN_END)), "1 minute"), path=path)
+    full_refresh(gold.ohlcv(t, "1 minute"), path=path)  # the rebuild replaces the first table
+    return _round_vwap(spark.read.parquet(path))
