@@ -204,6 +204,18 @@ s AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_id
   FROM book)
 """ + _gaps("s", ["product_id", "session_id"], ["ingest_time", "msg_offset"]),
+    "feed_sequence_gaps": f"""WITH m AS (
+  SELECT event_id AS msg_offset, ts AS ingest_time, {MIXED_TYPE_SQL} AS type,
+         event_type AS product_any, event_id AS sequence FROM events),
+s AS (
+  SELECT msg_offset, ingest_time, type, sequence,
+         CASE WHEN type <> 'subscriptions' THEN product_any END AS product_id,
+         CAST(sum(CASE WHEN type = 'subscriptions' THEN 1 ELSE 0 END) OVER (
+           ORDER BY ingest_time, msg_offset
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_id
+  FROM m),
+g AS (SELECT * FROM s WHERE type IN ('heartbeat', 'snapshot', 'l2update'))
+""" + _gaps("g", ["product_id", "session_id"], ["ingest_time", "msg_offset"]),
     "feed_routing": f"WITH {MIXED} SELECT msg_offset, type, {ROUTE} AS route FROM mixed",
     "feed_split": f"""WITH {MIXED}
 SELECT msg_offset, {ROUTE} AS route FROM mixed WHERE {ROUTE} IS NOT NULL""",

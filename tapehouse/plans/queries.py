@@ -254,6 +254,20 @@ def q_sequence_gaps_by_session(spark, sf_dir):
     )
 
 
+@query("feed_sequence_gaps")
+def q_feed_sequence_gaps(spark, sf_dir):
+    """The feed bridge's check: heartbeat and book messages, reset on every reconnect
+    (a ``subscriptions`` confirmation starts a new connection for all products)."""
+    feed = fx.mixed_feed(fx.events(spark, sf_dir))
+    env = bronze.parse_orderbook(feed, ingest_time="ingest_time", keep=["msg_offset"]).select(
+        "type", "product_id", "sequence", "ingest_time", "msg_offset"
+    )
+    order = ["ingest_time", "msg_offset"]
+    sess = quality.session_ids(env, F.col("type") == "subscriptions", order=order, key=None)
+    checked = sess.where(F.col("type").isin("heartbeat", "snapshot", "l2update"))
+    return quality.sequence_gaps(checked, key="product_id", seq="sequence", order=order, session="session_id")
+
+
 @query("feed_routing")
 def q_feed_routing(spark, sf_dir):
     feed = fx.mixed_feed(fx.events(spark, sf_dir))

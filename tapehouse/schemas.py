@@ -46,9 +46,14 @@ BOOK_BODY_DDL = (
     "changes:array<array<string>>>"
 )
 
-# Message type routing: which feed types go to which bronze stream.
+# These must equal the source system's for compatibility.
+# Feed message kinds routed to the order-book stream and to the trade stream,
+# the topic names, the key of records without a product, and the namespaces.
 BOOK_TYPES = ("snapshot", "l2update")
 TRADE_TYPES = ("match", "last_match")
+ORDERBOOK_TOPIC = "orderbook_updates"
+TRADES_TOPIC = "trades"
+UNKNOWN_KEY = "unknown"
 
 BRONZE_ORDERBOOK = StructType(
     [
@@ -87,7 +92,7 @@ GOLD_OHLCV_COLUMNS = [
 ]
 GOLD_TOP_OF_BOOK_COLUMNS = ["product_id", "best_bid", "best_ask", "spread"]
 
-# DDL for the layer tables. ``{using}`` is filled by the table helpers
+# DDL for the layer tables (fixed values: names and column contracts). ``{using}`` is filled by the table helpers
 # (parquet here; iceberg/delta where their catalogs are configured).
 TABLE_DDL = {
     "bronze.orderbook_events": (
@@ -121,4 +126,3 @@ DAY_PARTITIONS = {
     "bronze.trades": "time",
 }
 
-NAMESPACES = ("default", "bronze", "silver", "gold")

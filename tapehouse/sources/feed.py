@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ORDERBOOK_TOPIC = "orderbook_updates"
-TRADES_TOPIC = "trades"
+from tapehouse.schemas import ORDERBOOK_TOPIC, TRADES_TOPIC  # noqa: F401  (re-exported)
 
 
 def kafka_stream(

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-UNKNOWN_KEY = "unknown"
+from tapehouse.schemas import UNKNOWN_KEY
+
 # JSON renders timestamps at millisecond precision by default; keep micros.
 JSON_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
