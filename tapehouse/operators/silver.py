@@ -33,7 +33,9 @@ def incremental_since(
 
     ``target=None`` is the first run: everything is selected. The bound is a
     scalar subquery; ``inline=True`` computes it first (one row) and inlines
-    it as a literal so that it also prunes Parquet partitions and row groups.
+    it as a literal so that Parquet row groups are skipped, and, when ``df``
+    carries the day column ``<on>_date`` it is partitioned by, whole days
+    before the bound are pruned as well.
     """
     if target is None:
         return df
@@ -43,7 +45,12 @@ def incremental_since(
         bound = target.select(
             F.coalesce(F.max(col_name), F.lit(EPOCH).cast(dtype)).alias("hwm")
         ).first()["hwm"]
-        return df.where(F.col(on) > F.lit(bound).cast(dtype))
+        lit = F.lit(bound).cast(df.schema[on].dataType)
+        out = df.where(F.col(on) > lit)
+        day = f"{on}_date"
+        if day in df.columns:
+            out = out.where(F.col(day) >= F.to_date(lit))
+        return out
     return df.where(F.col(on) > high_water_mark(target, col_name))
 
 

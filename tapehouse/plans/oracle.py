@@ -221,7 +221,7 @@ g AS (SELECT * FROM s WHERE type IN ('heartbeat', 'snapshot', 'l2update'))
 SELECT msg_offset, {ROUTE} AS route FROM mixed WHERE {ROUTE} IS NOT NULL""",
     "message_counts": f"WITH {MIXED} SELECT type, count(*) AS messages FROM mixed GROUP BY type",
     "stream_bronze_trades": f"""WITH {TRADES}
-SELECT trade_id, sequence, product_id, price, size, side, time, CAST(time AS DATE) AS time_date FROM trades""",
+SELECT trade_id, sequence, product_id, price, size, side, time FROM trades""",
     "stream_bronze_orderbook": f"WITH {BOOK} SELECT type, product_id, time, sequence FROM book",
     "day_partition_roundtrip": f"""WITH {TRADES}
 SELECT *, CAST(time AS DATE) AS time_date FROM trades""",

@@ -332,7 +332,7 @@ def q_stream_bronze_trades(spark, sf_dir):
     b = spark.read.parquet(trades_path)
     return b.select(
         "trade_id", "sequence", "product_id", "price", "size", "side",
-        F.col("time").cast("timestamp_ntz").alias("time"), "time_date",
+        F.col("time").cast("timestamp_ntz").alias("time"),
     )
 
 

@@ -121,9 +121,10 @@ TABLE_DDL = {
     ),
 }
 
-# Day-partitioned bronze tables: table -> timestamp column of the day.
+# Day-partitioned bronze tables: table -> timestamp column of the day. Both
+# use the ingest day, which the incremental silver reads filter on.
 DAY_PARTITIONS = {
     "bronze.orderbook_events": "ingest_time",
-    "bronze.trades": "time",
+    "bronze.trades": "ingest_time",
 }
 

@@ -24,8 +24,13 @@ def bronze_orderbook(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def bronze_trades(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Trade bronze rows, partition column ``time_date`` added."""
-    return with_day_partition(parse_trades(raw, value_col), "time")
+    """Trade bronze rows, partition column ``ingest_time_date`` added.
+
+    Partitioned by ingest day rather than trade day: silver reads bronze
+    incrementally by ingest time, so it then only opens the newest days
+    (a late trade with an old ``time`` still lands in today's partition).
+    """
+    return with_day_partition(parse_trades(raw, value_col), "ingest_time")
 
 
 def start_append(
@@ -84,7 +89,7 @@ def start_bronze(
         bronze_trades(trades_raw),
         checkpoint=f"{root}/bronze_trades",
         path=trades_out,
-        partition_by="time_date",
+        partition_by="ingest_time_date",
         trigger=trigger,
         available_now=available_now,
         name="bronze_trades",

@@ -9,7 +9,8 @@ from tapehouse.sources.tables import with_day_partition
 def _write_bronze(spark, lake, ev, mode="append"):
     t = bronze.parse_trades(trade_feed(ev), ingest_time="ingest_time").withColumn(
         "ingest_time", F.col("ingest_time").cast("timestamp"))
-    with_day_partition(t, "time").write.mode(mode).partitionBy("time_date").parquet(lake.bronze_trades)
+    with_day_partition(t, "ingest_time").write.mode(mode).partitionBy("ingest_time_date").parquet(
+        lake.bronze_trades)
     b = bronze.parse_orderbook(book_feed(ev), ingest_time="ingest_time").withColumn(
         "ingest_time", F.col("ingest_time").cast("timestamp"))
     with_day_partition(b, "ingest_time").write.mode(mode).partitionBy("ingest_time_date").parquet(
@@ -36,3 +37,20 @@ def test_two_runs_and_idempotence(spark, tmp_dir):
     assert levels.groupBy("product_id", "side", "price").count().where("count > 1").count() == 0
     tob = spark.read.parquet(lake.gold_top_of_book)
     assert tob.count() == levels.select("product_id").distinct().count()
+
+
+def test_incremental_bound_prunes_bronze_days(spark, tmp_dir):
+    from tapehouse.operators import silver
+
+    lake = Lake(tmp_dir)
+    ev = events(spark, "/root/testdata/sf0.001")
+    _write_bronze(spark, lake, ev)
+    bronze_t = spark.read.parquet(lake.bronze_trades)
+    target = silver.clean_trades(bronze_t.where(F.col("ingest_time") < "2024-01-20"))
+    inc = silver.incremental_since(bronze_t, target, on="ingest_time", inline=True)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plan = inc._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    part = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "ingest_time_date" in part and ">=" in part
+    assert inc.count() == ev.where(F.col("ts") >= "2024-01-20").count()

@@ -32,7 +32,7 @@ def test_bronze_file_stream_equals_batch_and_resumes(spark, tmp_dir):
     cols = ["trade_id", "sequence", "product_id", "price", "size", "side", "time", "raw_payload"]
     assert sorted(map(tuple, streamed.select(cols).collect())) == sorted(map(tuple, batch.select(cols).collect()))
     assert spark.read.parquet(f"{tmp_dir}/bronze/orderbook_events").count() == ev.count()
-    assert "time_date" in streamed.columns
+    assert "ingest_time_date" in streamed.columns
 
     # restart from the checkpoints with no new files: nothing is added
     book_q, trade_q = start_bronze(

@@ -26,7 +26,7 @@ def test_namespaces_and_ddl(spark, tmp_dir):
     create_table(spark, "bronze.trades", location=f"{tmp_dir}/bt")
     create_table(spark, "bronze.trades", location=f"{tmp_dir}/bt")  # idempotent
     cols = [c.name for c in spark.catalog.listColumns("bronze.trades")]
-    assert cols[:3] == ["trade_id", "sequence", "product_id"] and "time_date" in cols
+    assert cols[:3] == ["trade_id", "sequence", "product_id"] and "ingest_time_date" in cols
     create_table(spark, "gold.gold_top_of_book", location=f"{tmp_dir}/tob")
     assert spark.table("gold.gold_top_of_book").count() == 0
 
