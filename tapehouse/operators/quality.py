@@ -7,7 +7,9 @@ arrival order (e.g. one minute), window within (key, chunk), and carry
 the state across chunk borders through a small per-chunk summary that is
 unioned back as one sentinel row per chunk. The big input is shuffled
 once, by (key, chunk), and no task ever holds more than one chunk of one
-key.
+key. ``chunk_width`` (micros for a time order, units for a numeric one)
+bounds the largest task: pick it so that the busiest key's messages in one
+chunk fit a task comfortably; the summary then has one row per busy chunk.
 """
 
 from __future__ import annotations
@@ -117,9 +119,14 @@ def session_ids(
     Every row gets the number of markers at or before it, per ``key`` when
     given (else over the whole stream). Computed per chunk of the order with
     the chunk offsets carried by sentinel rows, so no task holds a whole key.
+    Without a key a chunk holds every product, so the default chunk is one
+    second instead of one minute; the per-chunk summary (one row per second
+    of feed) is the only part ordered in a single task.
     """
     order = list(order)
     part = [key] if key else []
+    if chunk_width is None and not part and isinstance(df.schema[order[0]].dataType, _TIME_TYPES):
+        chunk_width = 1_000_000
     base = df.withColumn("_flag", F.when(marker, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
     base = base.withColumn("_chunk", _chunk(base, order, chunk_width))
     counts = base.groupBy(*part, "_chunk").agg(F.sum("_flag").alias("_n"))
