@@ -90,7 +90,7 @@ def _level(side: Column, price: Column, size: Column) -> Column:
     return F.struct(side.alias("side"), price.alias("price_str"), size.alias("size_str"))
 
 
-def flatten_levels(bronze: DataFrame, snapshot_time: str = "ingest") -> DataFrame:
+def flatten_levels(bronze: DataFrame, snapshot_time: str = "ingest", keep_ingest: bool = False) -> DataFrame:
     """Order-book messages to one row per price level, in a single pass.
 
     Snapshot bids become ``buy`` levels and asks ``sell`` levels with a null
@@ -99,7 +99,8 @@ def flatten_levels(bronze: DataFrame, snapshot_time: str = "ingest") -> DataFram
     null fields. Event time of an update is its parsed ``time`` or, when
     that fails, its ingest time; of a snapshot its ingest time
     (``snapshot_time="ingest"``, as the source system does) or its own
-    time where present (``"envelope"``).
+    time where present (``"envelope"``). ``keep_ingest`` carries the
+    message's ingest time along (for an ingest-clock watermark).
     """
     ingest_type = bronze.schema["ingest_time"].dataType
     body = F.from_json(F.col("payload"), BOOK_BODY_DDL)
@@ -126,6 +127,7 @@ def flatten_levels(bronze: DataFrame, snapshot_time: str = "ingest") -> DataFram
             "product_id",
             F.when(is_snap, snap_time).otherwise(msg_time).alias("event_time"),
             F.when(is_snap, typed_null("bigint")).otherwise(F.col("sequence")).alias("sequence"),
+            *(["ingest_time"] if keep_ingest else []),
             F.explode(levels).alias("_lvl"),
         )
         .select(
@@ -135,6 +137,7 @@ def flatten_levels(bronze: DataFrame, snapshot_time: str = "ingest") -> DataFram
             to_double("_lvl.size_str").alias("size"),
             "event_time",
             "sequence",
+            *(["ingest_time"] if keep_ingest else []),
         )
     )
 
@@ -149,8 +152,12 @@ def level_order() -> list[Column]:
 
 
 def latest_levels(levels: DataFrame) -> DataFrame:
-    """Latest row per (product_id, side, price) by ``level_order``."""
-    return latest_per_key(levels, LEVEL_KEYS, level_order()).select(*SILVER_LEVELS_COLUMNS)
+    """Latest row per (product_id, side, price) by ``level_order``.
+
+    Keeps a carried ``ingest_time`` column when the input has one.
+    """
+    cols = SILVER_LEVELS_COLUMNS + (["ingest_time"] if "ingest_time" in levels.columns else [])
+    return latest_per_key(levels, LEVEL_KEYS, level_order()).select(*cols)
 
 
 def silver_levels(
@@ -168,13 +175,16 @@ def silver_levels(
     to the stored table after an upsert to clear stale stored levels.
 
     The incremental bound compares bronze ``ingest_time`` with the target's
-    ``max(event_time)`` (the source system's rule); ``watermark_col`` may
-    name another target column (e.g. a carried ``ingest_time``).
+    ``max(event_time)`` (the source system's rule, which mixes the exchange
+    and ingest clocks: an exchange clock running ahead skips rows for good).
+    ``watermark_col="ingest_time"`` compares ingest time with ingest time
+    instead; the output then carries ``ingest_time`` so the next run can.
     """
     src = incremental_since(
         bronze, target, on="ingest_time", target_col=watermark_col, inline=inline_bound
     )
-    out = latest_levels(flatten_levels(src, snapshot_time=snapshot_time))
+    keep = watermark_col == "ingest_time"
+    out = latest_levels(flatten_levels(src, snapshot_time=snapshot_time, keep_ingest=keep))
     if reset_on_snapshot:
         out = drop_stale_levels(out, snapshot_times(src))
     return out

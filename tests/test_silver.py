@@ -118,3 +118,19 @@ def test_empty_input_keeps_schema(spark):
     t = trades(spark, (trade(1), T0)).where("false")
     out = silver.clean_trades(t)
     assert out.count() == 0 and out.columns[:3] == ["trade_id", "sequence", "product_id"]
+
+
+def test_level_watermark_clock_options(spark):
+    # exchange clock one hour ahead of the ingest clock
+    first = [({"type": "l2update", "product_id": "X", "time": "2024-01-01T01:00:00Z", "sequence": 1,
+               "changes": [["buy", "1", "1"]]}, T0)]
+    later = first + [({"type": "l2update", "product_id": "X", "time": "2024-01-01T01:10:00Z", "sequence": 2,
+                       "changes": [["buy", "2", "1"]]}, T0 + dt.timedelta(minutes=10))]
+    # faithful: ingest_time (00:10) is not after max(event_time) (01:00): the new row is skipped
+    tgt = silver.silver_levels(book(spark, *first))
+    assert silver.silver_levels(book(spark, *later), target=tgt).count() == 0
+    # ingest-clock watermark: the new row is read
+    tgt2 = silver.silver_levels(book(spark, *first), watermark_col="ingest_time")
+    assert "ingest_time" in tgt2.columns
+    got = silver.silver_levels(book(spark, *later), target=tgt2, watermark_col="ingest_time")
+    assert [r["price"] for r in got.collect()] == [2.0]
