@@ -23,8 +23,12 @@ def spread(df: DataFrame) -> DataFrame:
     shuffle); a small or unsplittable input (one row group, one gzip file)
     would otherwise run every pre-shuffle step in a single task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): keep the scan as is
+        return df
+    if parts < cores:
         return df.repartition(cores)
     return df
 
