@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from tapehouse.plans.layers import Lake, run_all, run_gold, run_silver_levels, run_silver_trades
+from tapehouse.plans.layers import Lake, run_all, run_gold, run_silver_levels, silver_trades_step
 from tapehouse.schemas import ORDERBOOK_TOPIC, TRADES_TOPIC
 from tapehouse.session import build_session
 from tapehouse.sources.feed import file_stream, kafka_stream
@@ -45,15 +45,14 @@ def _layers(args: argparse.Namespace) -> None:
     spark = build_session("tapehouse-layers")
     lake = Lake(args.lake)
     if args.reset_on_snapshot or args.guard_late_levels:
-        counts = {
-            "silver_levels": run_silver_levels(
-                spark, lake,
-                newer_by=["event_time", "sequence"] if args.guard_late_levels else None,
-                reset_on_snapshot=args.reset_on_snapshot,
-            ),
-            "silver_trades": run_silver_trades(spark, lake),
-        }
-        run_gold(spark, lake)
+        levels_rows = run_silver_levels(
+            spark, lake,
+            newer_by=["event_time", "sequence"] if args.guard_late_levels else None,
+            reset_on_snapshot=args.reset_on_snapshot,
+        )
+        step = silver_trades_step(spark, lake)
+        run_gold(spark, lake, touched_days=step.touched)
+        counts = {"silver_levels": levels_rows, "silver_trades": step.rows}
     else:
         counts = run_all(spark, lake)
     print(json.dumps(counts))

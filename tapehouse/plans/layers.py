@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 from tapehouse.operators import gold, silver
 from tapehouse.schemas import LEVEL_KEYS, SILVER_LEVELS_COLUMNS, SILVER_TRADES_COLUMNS
-from tapehouse.sources.tables import full_refresh, path_exists, upsert_parquet
+from tapehouse.sources.tables import (
+    UpsertResult,
+    full_refresh,
+    overwrite_partitions,
+    path_exists,
+    upsert_parquet,
+)
 
 
 @dataclass(frozen=True)
@@ -56,8 +62,12 @@ def _read(spark: SparkSession, path: str, columns: list[str]) -> DataFrame | Non
     return spark.read.parquet(path).select(*columns)
 
 
-def run_silver_trades(spark: SparkSession, lake: Lake) -> int:
-    """Incremental silver trades; partitioned by trade day (``time_date``)."""
+def silver_trades_step(spark: SparkSession, lake: Lake) -> UpsertResult:
+    """Incremental silver trades; partitioned by trade day (``time_date``).
+
+    Returns the merged row count and the trade days touched (``None`` on the
+    first run, which writes everything).
+    """
     bronze = spark.read.parquet(lake.bronze_trades)
     target = _read(spark, lake.silver_trades, SILVER_TRADES_COLUMNS)
     src = silver.clean_trades(bronze, target, inline_bound=True)
@@ -65,6 +75,10 @@ def run_silver_trades(spark: SparkSession, lake: Lake) -> int:
     return upsert_parquet(spark, lake.silver_trades, src, ["trade_id"], "time_date", "silver_trades")
 
 
+def run_silver_trades(spark: SparkSession, lake: Lake) -> int:
+    return silver_trades_step(spark, lake).rows
+
+
 def run_silver_levels(
     spark: SparkSession,
     lake: Lake,
@@ -93,22 +107,36 @@ def run_silver_levels(
     return upsert_parquet(
         spark, lake.silver_levels, src, LEVEL_KEYS, "product_id", "silver_levels",
         newer_by=newer_by, post=post,
-    )
+    ).rows
 
 
-def run_gold(spark: SparkSession, lake: Lake) -> None:
-    """Rebuild gold bars and top of book from silver."""
+def run_gold(spark: SparkSession, lake: Lake, touched_days: DataFrame | None = None) -> None:
+    """Gold from silver: top of book rebuilt (one row per product); bars rebuilt
+    in full, or, given the trade days a silver run touched, only those days.
+
+    Bars are partitioned by ``bucket_date``. A 1-minute bar depends only on
+    the trades of its own day, so recomputing the touched days (silver day
+    partitions pruned by a semi-join) and overwriting just those gold
+    partitions gives the same table as a full rebuild, at the cost of the
+    new days instead of the whole history.
+    """
     levels = spark.read.parquet(lake.silver_levels).select(*SILVER_LEVELS_COLUMNS)
     full_refresh(gold.top_of_book(levels), path=lake.gold_top_of_book)
-    trades = spark.read.parquet(lake.silver_trades).select(*SILVER_TRADES_COLUMNS)
-    full_refresh(gold.ohlcv(trades, "1 minute"), path=lake.gold_ohlcv)
+    trades = spark.read.parquet(lake.silver_trades)
+    if touched_days is None or not path_exists(spark, lake.gold_ohlcv):
+        bars = gold.ohlcv(trades.select(*SILVER_TRADES_COLUMNS), "1 minute")
+        bars.withColumn("bucket_date", F.to_date("bucket")).write.mode("overwrite").partitionBy(
+            "bucket_date"
+        ).parquet(lake.gold_ohlcv)
+        return
+    src = trades.join(touched_days, on="time_date", how="left_semi").select(*SILVER_TRADES_COLUMNS)
+    bars = gold.ohlcv(src, "1 minute").withColumn("bucket_date", F.to_date("bucket"))
+    overwrite_partitions(spark, bars, lake.gold_ohlcv, "bucket_date", "gold_ohlcv")
 
 
 def run_all(spark: SparkSession, lake: Lake) -> dict[str, int]:
     """Silver (levels, trades) then gold, in dependency order."""
-    counts = {
-        "silver_levels": run_silver_levels(spark, lake),
-        "silver_trades": run_silver_trades(spark, lake),
-    }
-    run_gold(spark, lake)
-    return counts
+    levels_rows = run_silver_levels(spark, lake)
+    step = silver_trades_step(spark, lake)
+    run_gold(spark, lake, touched_days=step.touched)
+    return {"silver_levels": levels_rows, "silver_trades": step.rows}

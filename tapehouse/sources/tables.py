@@ -8,6 +8,7 @@ connectors are configured; nothing here needs them.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,6 +142,14 @@ def filtered_scan(spark: SparkSession, path: str, condition: str, columns: Seque
     return df.select(*columns) if columns else df
 
 
+@dataclass
+class UpsertResult:
+    """Rows merged, and the partition values they touched (a small DataFrame)."""
+
+    rows: int
+    touched: DataFrame | None
+
+
 def upsert_parquet(
     spark: SparkSession,
     path: str,
@@ -150,7 +159,7 @@ def upsert_parquet(
     stage_name: str,
     newer_by: Sequence[str] | None = None,
     post: Callable[[DataFrame], DataFrame] | None = None,
-) -> int:
+) -> UpsertResult:
     """MERGE ``source`` into the partitioned Parquet table at ``path``.
 
     Only the partitions that ``source`` touches are read (a semi-join on the
@@ -159,14 +168,15 @@ def upsert_parquet(
     column is derived from key-determined fields, e.g. a trade's day). The
     merged partitions are staged under the shared checkpoint folder first,
     because Spark cannot overwrite files the same plan is reading. Returns
-    the number of source rows (0 = nothing written). ``post`` transforms the
-    merged partitions before they are written (e.g. dropping stale levels).
+    the number of source rows (0 = nothing written) and the distinct
+    partition values touched. ``post`` transforms the merged partitions
+    before they are written (e.g. dropping stale levels).
     """
     from tapehouse.operators.upsert import upsert
 
     if not path_exists(spark, path):
         source.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return spark.read.parquet(path).count()
+        return UpsertResult(spark.read.parquet(path).count(), None)
     target = spark.read.parquet(path)
     src = source.select(*target.columns)
     staged_src = scratch_path(spark, f"stage/{stage_name}-src")
@@ -174,7 +184,7 @@ def upsert_parquet(
     src = spark.read.parquet(staged_src)
     n = src.count()
     if n == 0:
-        return 0
+        return UpsertResult(0, src.select(partition_col).distinct())
     touched = src.select(partition_col).distinct()
     affected = target.join(touched, on=partition_col, how="left_semi")
     merged = upsert(affected, src, keys, newer_by=newer_by)
@@ -190,4 +200,22 @@ def upsert_parquet(
         .partitionBy(partition_col)
         .parquet(path)
     )
-    return n
+    return UpsertResult(n, touched)
+
+
+def overwrite_partitions(
+    spark: SparkSession, df: DataFrame, path: str, partition_col: str, stage_name: str
+) -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition overwrite).
+
+    Staged first under the checkpoint folder, so ``df`` may read ``path``.
+    """
+    stage = scratch_path(spark, f"stage/{stage_name}")
+    df.write.mode("overwrite").parquet(stage)
+    (
+        spark.read.parquet(stage)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col)
+        .parquet(path)
+    )

@@ -51,11 +51,12 @@ def test_upsert_parquet_rewrites_only_touched_partitions(spark, tmp_dir):
     tgt = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k long, v string, part int")
     upsert_parquet(spark, path, tgt, ["k"], "part", "t1")
     src = spark.createDataFrame([(2, "B", 2), (3, "C", 2)], "k long, v string, part int")
-    assert upsert_parquet(spark, path, src, ["k"], "part", "t2") == 2
+    res = upsert_parquet(spark, path, src, ["k"], "part", "t2")
+    assert res.rows == 2 and [r["part"] for r in res.touched.collect()] == [2]
     got = sorted((r["k"], r["v"], r["part"]) for r in spark.read.parquet(path).collect())
     assert got == [(1, "a", 1), (2, "B", 2), (3, "C", 2)]
     empty = src.where("false")
-    assert upsert_parquet(spark, path, empty, ["k"], "part", "t3") == 0
+    assert upsert_parquet(spark, path, empty, ["k"], "part", "t3").rows == 0
 
 
 def _book(spark, path, items):
