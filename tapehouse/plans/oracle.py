@@ -184,6 +184,23 @@ SELECT product_id, side, price, size, ingest_time AS event_time, sequence FROM b
 {_latest('tgt', "ingest_time < TIMESTAMP '2024-01-16'")},
 {_latest('src', "ingest_time >= TIMESTAMP '2024-01-12'")}
 {_anti_union('tgt', 'src', LEVEL_KEYS)}""",
+    "levels_upsert_guarded": f"""WITH {BOOK}, {LEVELS},
+{_latest('tgt', "ingest_time < TIMESTAMP '2024-01-16'")},
+{_latest('late', "ingest_time >= TIMESTAMP '2024-01-05' AND ingest_time < TIMESTAMP '2024-01-12'")},
+u AS (SELECT *, 0 AS src FROM tgt UNION ALL SELECT *, 1 AS src FROM late)
+SELECT product_id, side, price, size, event_time, sequence FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_id, side, price
+                               ORDER BY event_time DESC NULLS LAST, sequence DESC NULLS LAST, src DESC) AS rn
+  FROM u) WHERE rn = 1""",
+    "levels_upsert_delete_removed": f"""WITH {BOOK}, {LEVELS},
+{_latest('tgt', "ingest_time < TIMESTAMP '2024-01-16'")},
+{_latest('src', "ingest_time >= TIMESTAMP '2024-01-12'")},
+m AS ({_anti_union('tgt', 'src', LEVEL_KEYS)})
+SELECT * FROM m WHERE NOT coalesce(size = 0, FALSE)""",
+    "levels_reset_on_snapshot": f"""WITH {BOOK}, {LEVELS}, {_latest('latest')},
+snap AS (SELECT product_id, max(ingest_time) AS snap_time FROM book WHERE type = 'snapshot' GROUP BY product_id)
+SELECT l.* FROM latest l LEFT JOIN snap s ON l.product_id = s.product_id
+WHERE s.snap_time IS NULL OR l.event_time >= s.snap_time""",
     "top_of_book": f"""WITH {BOOK}, {LEVELS}, {_latest('latest')},
 best AS (
   SELECT product_id, max(CASE WHEN side = 'buy' THEN price END) AS best_bid,

@@ -219,6 +219,36 @@ def q_levels_upsert(spark, sf_dir):
     return upsert.upsert(target, source, ["product_id", "side", "price"])
 
 
+LATE_BATCH_START = "2024-01-05 00:00:00"
+LATE_BATCH_END = "2024-01-12 00:00:00"
+
+
+@query("levels_upsert_guarded")
+def q_levels_upsert_guarded(spark, sf_dir):
+    """A late batch (older messages re-sent) merged with the newer-by guard:
+    stored levels that are newer than the late rows are kept."""
+    b = bronze_book(spark, sf_dir)
+    target = silver.silver_levels(b.where(F.col("ingest_time") < _ts(FIRST_RUN_END)))
+    late = b.where((F.col("ingest_time") >= _ts(LATE_BATCH_START)) & (F.col("ingest_time") < _ts(LATE_BATCH_END)))
+    return upsert.upsert(target, silver.silver_levels(late), ["product_id", "side", "price"],
+                         newer_by=["event_time", "sequence"])
+
+
+@query("levels_upsert_delete_removed")
+def q_levels_upsert_delete_removed(spark, sf_dir):
+    """The upsert with removed levels (size 0) deleted instead of kept."""
+    b = bronze_book(spark, sf_dir)
+    target = silver.silver_levels(b.where(F.col("ingest_time") < _ts(FIRST_RUN_END)))
+    source = silver.silver_levels(b.where(F.col("ingest_time") >= _ts(BOOK_SECOND_START)))
+    return upsert.upsert(target, source, ["product_id", "side", "price"], delete_where=F.col("size") == 0)
+
+
+@query("levels_reset_on_snapshot")
+def q_levels_reset_on_snapshot(spark, sf_dir):
+    """Latest levels without those older than their product's newest snapshot."""
+    return silver.silver_levels(bronze_book(spark, sf_dir), reset_on_snapshot=True)
+
+
 @query("top_of_book")
 def q_top_of_book(spark, sf_dir):
     return gold.top_of_book(book_levels(spark, sf_dir))
