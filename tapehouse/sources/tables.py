@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from tapehouse.schemas import DAY_PARTITIONS, NAMESPACES, TABLE_DDL
 from tapehouse.session import scratch_path
@@ -99,10 +100,30 @@ def write_day_partitioned(df: DataFrame, path: str, column: str, mode: str = "ap
     )
 
 
+_FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")
+
+
 def full_refresh(df: DataFrame, path: str | None = None, table: str | None = None, using: str = "parquet") -> None:
-    """Gold-style rebuild: replace the whole table with ``df``."""
+    """Gold-style rebuild: replace the whole table with ``df``.
+
+    v2 tables (iceberg, delta) use ``CREATE OR REPLACE TABLE AS SELECT``. File
+    tables in the session catalog cannot be replaced that way; they are
+    overwritten, staged through the checkpoint folder when ``df`` reads the
+    table itself.
+    """
     if table is not None:
-        df.writeTo(table).using(using).createOrReplace()
+        if using.lower() not in _FILE_FORMATS:
+            df.writeTo(table).using(using).createOrReplace()
+            return
+        try:
+            df.write.mode("overwrite").format(using).saveAsTable(table)
+        except AnalysisException as e:
+            if "UNSUPPORTED_OVERWRITE" not in str(e):
+                raise
+            spark = df.sparkSession
+            stage = scratch_path(spark, f"stage/refresh-{table.replace('.', '_')}")
+            df.write.mode("overwrite").parquet(stage)
+            spark.read.parquet(stage).write.mode("overwrite").format(using).saveAsTable(table)
     elif path is not None:
         df.write.mode("overwrite").parquet(path)
     else:

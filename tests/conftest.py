@@ -14,7 +14,11 @@ def spark():
     s = build_session(
         app_name="tapehouse-tests",
         master="local[4]",
-        conf={"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4"},
+        conf={
+            "spark.sql.shuffle.partitions": "4",
+            "spark.default.parallelism": "4",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tapehouse-wh-", dir="/tmp"),
+        },
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

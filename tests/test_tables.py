@@ -98,3 +98,14 @@ def test_silver_levels_reset_in_one_batch(spark):
     b = bronze.parse_orderbook(raw, ingest_time="ingest_time")
     assert silver.silver_levels(b).count() == 2
     assert [r["price"] for r in silver.silver_levels(b, reset_on_snapshot=True).collect()] == [1.0]
+
+
+def test_full_refresh_catalog_table(spark, tmp_dir):
+    create_namespaces(spark)
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    full_refresh(df, table="gold.refresh_probe")
+    full_refresh(df.where("k = 2"), table="gold.refresh_probe")
+    assert [r["k"] for r in spark.table("gold.refresh_probe").collect()] == [2]
+    # the table rebuilt from itself
+    full_refresh(spark.table("gold.refresh_probe").withColumn("v", F.lit("c")), table="gold.refresh_probe")
+    assert [tuple(r) for r in spark.table("gold.refresh_probe").collect()] == [(2, "c")]
