@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tapehouse.functions import element, event_time_fallback, to_double, typed_null
 from tapehouse.schemas import BOOK_BODY_DDL, LEVEL_KEYS, SILVER_LEVELS_COLUMNS, SILVER_TRADES_COLUMNS
@@ -213,6 +213,3 @@ def drop_stale_levels(levels: DataFrame, snapshots: DataFrame) -> DataFrame:
         .drop("_snapshot_time")
     )
 
-
-def is_timestamp(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, TimestampType)
