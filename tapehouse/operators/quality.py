@@ -7,9 +7,11 @@ arrival order (e.g. one minute), window within (key, chunk), and carry
 the state across chunk borders through a small per-chunk summary that is
 unioned back as one sentinel row per chunk. The big input is shuffled
 once, by (key, chunk), and no task ever holds more than one chunk of one
-key. ``chunk_width`` (micros for a time order, units for a numeric one)
-bounds the largest task: pick it so that the busiest key's messages in one
-chunk fit a task comfortably; the summary then has one row per busy chunk.
+key. Chunk widths are fitted per key to about ``rows_per_chunk`` rows
+(from one cheap pass of per-key counts and spans), so a hot key gets
+narrow chunks and a sparse key one wide chunk, which also keeps the
+summary small; ``chunk_width`` (micros for a time order, units for a
+numeric one) fixes the width instead.
 """
 
 from __future__ import annotations
@@ -34,14 +36,57 @@ _TIME_TYPES = (TimestampType, TimestampNTZType, DateType)
 _INT_TYPES = (ByteType, ShortType, IntegerType, LongType)
 
 
-def _chunk(df: DataFrame, order: Sequence[str], width: int | None) -> Column:
-    first = order[0]
-    dtype = df.schema[first].dataType
-    if isinstance(dtype, _TIME_TYPES):
-        w = width or 60_000_000  # one minute of micros
-        return F.floor(F.unix_micros(F.col(first).cast("timestamp")) / F.lit(w))
-    w = width or 100_000
-    return F.floor(F.col(first) / F.lit(w))
+def _order_value(df: DataFrame, column: str) -> Column:
+    """The first order column as a number (micros for timestamps)."""
+    if isinstance(df.schema[column].dataType, _TIME_TYPES):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.col(column).cast("bigint")
+
+
+def _default_width(df: DataFrame, column: str) -> int:
+    return 60_000_000 if isinstance(df.schema[column].dataType, _TIME_TYPES) else 100_000
+
+
+def _with_chunk(
+    df: DataFrame,
+    part: list[str],
+    order: Sequence[str],
+    width: int | None,
+    rows_per_chunk: int,
+    hot_keys: int,
+) -> DataFrame:
+    """Add ``_chunk``: a monotone bucket of the first order column, per key.
+
+    A fixed ``width`` buckets every key alike. Otherwise one extra pass
+    (a partial aggregation, one row per key) measures each key's rows and
+    span; the ``hot_keys`` busiest keys get a width that holds about
+    ``rows_per_chunk`` of their rows, through a broadcast of at most
+    ``hot_keys`` rows, and every other key (no busier than those) keeps the
+    default width. Without a key the stream-wide width is a scalar subquery.
+    """
+    v = _order_value(df, order[0])
+    if width is not None:
+        return df.withColumn("_chunk", F.floor(v / F.lit(width)))
+    default = _default_width(df, order[0])
+    stats = df.where(v.isNotNull()).groupBy(*part).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi")
+    )
+    span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
+    fitted = F.least(span, F.ceil(span * F.lit(float(rows_per_chunk)) / F.col("_n")))
+    w_expr = F.greatest(F.lit(1.0), fitted).cast("bigint")
+    if not part:
+        w = stats.select(w_expr.alias("_w")).scalar()
+        return df.withColumn("_chunk", F.floor(v / w))
+    hot = stats.orderBy(F.col("_n").desc()).limit(hot_keys)
+    widths = hot.select(*[F.col(k).alias(f"_wk{i}") for i, k in enumerate(part)], w_expr.alias("_w"))
+    cond = None
+    for i, k in enumerate(part):
+        c = F.col(k).eqNullSafe(F.col(f"_wk{i}"))
+        cond = c if cond is None else (cond & c)
+    joined = df.join(F.broadcast(widths), on=cond, how="left")
+    return joined.withColumn(
+        "_chunk", F.floor(v / F.coalesce(F.col("_w"), F.lit(default)))
+    ).drop("_w", *[f"_wk{i}" for i in range(len(part))])
 
 
 def _last_key(df: DataFrame, order: Sequence[str]) -> Column:
@@ -63,6 +108,8 @@ def sequence_gaps(
     order: Sequence[str] = ("time",),
     session: str | None = None,
     chunk_width: int | None = None,
+    rows_per_chunk: int = 1_000_000,
+    hot_keys: int = 1000,
 ) -> DataFrame:
     """Report every record whose sequence jumps past ``previous + 1``.
 
@@ -80,7 +127,7 @@ def sequence_gaps(
     base = df.where(F.col(key).isNotNull() & F.col(seq).isNotNull()).select(
         *part, *[c for c in order if c not in part], seq
     )
-    base = base.withColumn("_chunk", _chunk(base, order, chunk_width))
+    base = _with_chunk(base, part, order, chunk_width, rows_per_chunk, hot_keys)
 
     # Last sequence of every (key, chunk), then the last one of the previous
     # non-empty chunk of the same key. One row per chunk: small.
@@ -113,22 +160,22 @@ def session_ids(
     key: str | None = None,
     name: str = "session_id",
     chunk_width: int | None = None,
+    rows_per_chunk: int = 1_000_000,
+    hot_keys: int = 1000,
 ) -> DataFrame:
     """Running count of ``marker`` rows (e.g. snapshots = reconnects) in ``order``.
 
     Every row gets the number of markers at or before it, per ``key`` when
     given (else over the whole stream). Computed per chunk of the order with
     the chunk offsets carried by sentinel rows, so no task holds a whole key.
-    Without a key a chunk holds every product, so the default chunk is one
-    second instead of one minute; the per-chunk summary (one row per second
-    of feed) is the only part ordered in a single task.
+    Without a key a chunk holds every product; its width is fitted to the
+    whole stream's rate, and the per-chunk summary is the only part ordered
+    in a single task.
     """
     order = list(order)
     part = [key] if key else []
-    if chunk_width is None and not part and isinstance(df.schema[order[0]].dataType, _TIME_TYPES):
-        chunk_width = 1_000_000
     base = df.withColumn("_flag", F.when(marker, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
-    base = base.withColumn("_chunk", _chunk(base, order, chunk_width))
+    base = _with_chunk(base, part, order, chunk_width, rows_per_chunk, hot_keys)
     counts = base.groupBy(*part, "_chunk").agg(F.sum("_flag").alias("_n"))
     before = counts.withColumn(
         "_off",

@@ -87,3 +87,24 @@ def test_session_ids_match_running_sum(spark):
         assert sorted((r["off"], r["session_id"]) for r in got.collect()) == expect
     glob = session_ids(df, F.col("type") == "snapshot", ["time", "off"])
     assert glob.agg(F.max("session_id")).first()[0] == df.where("type = 'snapshot'").count()
+
+
+def test_adaptive_chunks_small_target(spark):
+    rnd = random.Random(11)
+    data = []
+    for i in range(2000):
+        p = "HOT" if rnd.random() < 0.7 else rnd.choice(["B", "C"])
+        s = i + rnd.choice([0, 0, 1, 3, -2])
+        data.append((p, s, T0 + dt.timedelta(seconds=rnd.randint(0, 20000)), i))
+    df = spark.createDataFrame(data, SCHEMA)
+    expect = _brute_gaps(df, ["product_id"], ["time", "off"])
+    for target, hot in ((25, 1000), (25, 1), (10**6, 1000)):
+        out = sequence_gaps(df, order=["time", "off"], rows_per_chunk=target, hot_keys=hot)
+        got = sorted((r["product_id"], r["off"], r["sequence"], r["expected"]) for r in out.collect())
+        assert got == expect
+    sess = session_ids(df.withColumn("type", F.when(F.col("off") % 97 == 0, "snapshot")),
+                       F.col("type") == "snapshot", ["time", "off"], rows_per_chunk=30)
+    w = Window.orderBy("time", "off").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.withColumn("s", F.sum(F.when(F.col("off") % 97 == 0, 1).otherwise(0)).over(w))
+    assert sorted((r["off"], r["session_id"]) for r in sess.collect()) == sorted(
+        (r["off"], r["s"]) for r in ref.collect())
