@@ -122,3 +122,7 @@ def route_feed(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, Dat
     book = typed.where(F.col("_type").isin(*BOOK_TYPES)).drop("_type")
     trades = typed.where(F.col("_type").isin(*TRADE_TYPES)).drop("_type")
     return book, trades
+
+
+# The envelope parser under its layer-neutral name.
+parse_envelope = parse_orderbook
