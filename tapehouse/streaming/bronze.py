@@ -12,25 +12,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from pyspark.sql import functions as F
+
 from tapehouse.operators.bronze import parse_orderbook, parse_trades
+from tapehouse.operators.quality import observe_feed
 from tapehouse.sources.tables import with_day_partition
 
 DEFAULT_TRIGGER = "10 seconds"
 
 
-def bronze_orderbook(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Order-book bronze rows, partition column ``ingest_time_date`` added."""
-    return with_day_partition(parse_orderbook(raw, value_col), "ingest_time")
+def bronze_orderbook(raw: DataFrame, value_col: str = "value", observe: bool = True) -> DataFrame:
+    """Order-book bronze rows, partition column ``ingest_time_date`` added.
+
+    With ``observe`` every micro-batch reports ``bronze_orderbook_feed``
+    metrics (messages, order-book, trade and unparsed counts) in its
+    progress, the stream's message counter.
+    """
+    out = with_day_partition(parse_orderbook(raw, value_col), "ingest_time")
+    return observe_feed(out, "bronze_orderbook_feed") if observe else out
 
 
-def bronze_trades(raw: DataFrame, value_col: str = "value") -> DataFrame:
+def bronze_trades(raw: DataFrame, value_col: str = "value", observe: bool = True) -> DataFrame:
     """Trade bronze rows, partition column ``ingest_time_date`` added.
 
     Partitioned by ingest day rather than trade day: silver reads bronze
     incrementally by ingest time, so it then only opens the newest days
     (a late trade with an old ``time`` still lands in today's partition).
     """
-    return with_day_partition(parse_trades(raw, value_col), "ingest_time")
+    out = with_day_partition(parse_trades(raw, value_col), "ingest_time")
+    if not observe:
+        return out
+    return out.observe(
+        "bronze_trades_feed",
+        F.count(F.lit(1)).alias("messages"),
+        F.count(F.when(F.col("trade_id").isNull(), 1)).alias("unparsed"),
+    )
 
 
 def start_append(

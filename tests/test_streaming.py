@@ -27,6 +27,9 @@ def test_bronze_file_stream_equals_batch_and_resumes(spark, tmp_dir):
         available_now=True)
     book_q.awaitTermination(120)
     trade_q.awaitTermination(120)
+    seen = sum(p["observedMetrics"]["bronze_trades_feed"]["messages"]
+               for p in trade_q.recentProgress if "bronze_trades_feed" in p.get("observedMetrics", {}))
+    assert seen == ev.count()
     streamed = spark.read.parquet(f"{tmp_dir}/bronze/trades")
     batch = bronze.parse_trades(file_batch(spark, f"{tmp_dir}/feed/trades"))
     cols = ["trade_id", "sequence", "product_id", "price", "size", "side", "time", "raw_payload"]
