@@ -20,7 +20,9 @@ from tapehouse.sources.tables import (
     full_refresh,
     overwrite_partitions,
     path_exists,
+    read_state,
     upsert_parquet,
+    write_state,
 )
 
 
@@ -62,17 +64,58 @@ def _read(spark: SparkSession, path: str, columns: list[str]) -> DataFrame | Non
     return spark.read.parquet(path).select(*columns)
 
 
+HWM = "hwm"
+
+
+def _bounded(bronze: DataFrame, bound) -> DataFrame:
+    """Bronze rows ingested after ``bound`` (day partitions before it pruned)."""
+    if bound is None:
+        return bronze
+    lit = F.lit(bound).cast(bronze.schema["ingest_time"].dataType)
+    out = bronze.where(F.col("ingest_time") > lit)
+    if "ingest_time_date" in bronze.columns:
+        out = out.where(F.col("ingest_time_date") >= F.to_date(lit))
+    return out
+
+
+def _bound(spark: SparkSession, path: str, target: DataFrame | None, column: str):
+    """The committed high-water mark: the stored state, else the target's max."""
+    if target is None:
+        return None
+    stored = read_state(spark, path, HWM)
+    if stored is not None:
+        return stored
+    return target.agg(F.max(column)).first()[0]
+
+
+def _commit_bound(spark: SparkSession, path: str, column: str) -> None:
+    """After a successful commit, store the target's high-water mark.
+
+    A run that dies before this point leaves the previous mark, so the retry
+    reads the same bronze rows again and re-merges them (the upsert is keyed,
+    so that is idempotent) instead of skipping rows a partial commit covered.
+    """
+    value = spark.read.parquet(path).agg(F.max(column)).first()[0]
+    if value is not None:
+        write_state(spark, path, HWM, value, "timestamp")
+
+
 def silver_trades_step(spark: SparkSession, lake: Lake) -> UpsertResult:
     """Incremental silver trades; partitioned by trade day (``time_date``).
 
-    Returns the merged row count and the trade days touched (``None`` on the
-    first run, which writes everything).
+    Reads bronze rows ingested after the committed high-water mark
+    (``max(ingest_time)`` of silver), de-duplicates and upserts them. Returns
+    the merged row count and the trade days touched (``None`` on the first
+    run, which writes everything).
     """
     bronze = spark.read.parquet(lake.bronze_trades)
     target = _read(spark, lake.silver_trades, SILVER_TRADES_COLUMNS)
-    src = silver.clean_trades(bronze, target, inline_bound=True)
+    bound = _bound(spark, lake.silver_trades, target, "ingest_time")
+    src = silver.clean_trades(_bounded(bronze, bound))
     src = src.withColumn("time_date", F.to_date("time"))
-    return upsert_parquet(spark, lake.silver_trades, src, ["trade_id"], "time_date", "silver_trades")
+    res = upsert_parquet(spark, lake.silver_trades, src, ["trade_id"], "time_date", "silver_trades")
+    _commit_bound(spark, lake.silver_trades, "ingest_time")
+    return res
 
 
 def run_silver_trades(spark: SparkSession, lake: Lake) -> int:
@@ -95,7 +138,8 @@ def run_silver_levels(
     """
     bronze = spark.read.parquet(lake.bronze_orderbook)
     target = _read(spark, lake.silver_levels, SILVER_LEVELS_COLUMNS)
-    inc = silver.incremental_since(bronze, target, on="ingest_time", target_col="event_time", inline=True)
+    # Source system's rule: bronze ingest time against the levels' max(event_time).
+    inc = _bounded(bronze, _bound(spark, lake.silver_levels, target, "event_time"))
     src = silver.silver_levels(inc, None, snapshot_time=snapshot_time, reset_on_snapshot=reset_on_snapshot)
     post = None
     if reset_on_snapshot:
@@ -104,10 +148,12 @@ def run_silver_levels(
         def post(merged: DataFrame) -> DataFrame:
             return silver.drop_stale_levels(merged, snaps)
 
-    return upsert_parquet(
+    res = upsert_parquet(
         spark, lake.silver_levels, src, LEVEL_KEYS, "product_id", "silver_levels",
         newer_by=newer_by, post=post,
-    ).rows
+    )
+    _commit_bound(spark, lake.silver_levels, "event_time")
+    return res.rows
 
 
 def run_gold(spark: SparkSession, lake: Lake, touched_days: DataFrame | None = None) -> None:

@@ -242,3 +242,25 @@ def overwrite_partitions(
         .partitionBy(partition_col)
         .parquet(path)
     )
+
+
+STATE_DIR = "_tapehouse_state"
+
+
+def read_state(spark: SparkSession, path: str, name: str):
+    """A one-value state (e.g. a high-water mark) stored beside a table, or None.
+
+    Kept in a ``_``-prefixed folder inside the table path, which Parquet
+    readers and partition discovery ignore.
+    """
+    loc = f"{path.rstrip('/')}/{STATE_DIR}/{name}"
+    if not path_exists(spark, loc):
+        return None
+    row = spark.read.parquet(loc).first()
+    return None if row is None else row[0]
+
+
+def write_state(spark: SparkSession, path: str, name: str, value, ddl_type: str) -> None:
+    """Store a one-value state; written only after the table commit it describes."""
+    loc = f"{path.rstrip('/')}/{STATE_DIR}/{name}"
+    spark.createDataFrame([(value,)], f"v {ddl_type}").coalesce(1).write.mode("overwrite").parquet(loc)

@@ -59,3 +59,27 @@ def test_incremental_bound_prunes_bronze_days(spark, tmp_dir):
     part = plan.split("PartitionFilters: [")[1].split("]")[0]
     assert "ingest_time_date" in part and ">=" in part
     assert inc.count() == ev.where(F.col("ts") >= "2024-01-20").count()
+
+
+def test_retry_after_uncommitted_run_remerges(spark, tmp_dir):
+    from tapehouse.operators import silver as silver_ops
+    from tapehouse.plans.layers import HWM
+    from tapehouse.sources.tables import read_state, upsert_parquet
+
+    lake = Lake(tmp_dir)
+    ev = events(spark, "/root/testdata/sf0.001")
+    cut = "2024-01-15 00:00:00"
+    _write_bronze(spark, lake, ev.where(F.col("ts") < cut))
+    run_silver_trades(spark, lake)
+    first_mark = read_state(spark, lake.silver_trades, HWM)
+    _write_bronze(spark, lake, ev.where(F.col("ts") >= cut))
+    # a run that merged part of the new rows and died before storing its mark
+    part = silver_ops.clean_trades(spark.read.parquet(lake.bronze_trades).where(F.col("ingest_time") >= "2024-01-25"))
+    upsert_parquet(spark, lake.silver_trades, part.withColumn("time_date", F.to_date("time")),
+                   ["trade_id"], "time_date", "partial")
+    assert read_state(spark, lake.silver_trades, HWM) == first_mark
+    run_silver_trades(spark, lake)  # the retry reads from the committed mark
+    silver_t = spark.read.parquet(lake.silver_trades)
+    assert silver_t.count() == ev.count()
+    assert silver_t.groupBy("trade_id").count().where("count > 1").count() == 0
+    assert read_state(spark, lake.silver_trades, HWM) > first_mark
