@@ -198,15 +198,15 @@ SELECT product_id, side, price, size, event_time, sequence FROM (
 m AS ({_anti_union('tgt', 'src', LEVEL_KEYS)})
 SELECT * FROM m WHERE NOT coalesce(size = 0, FALSE)""",
     "levels_reset_on_snapshot": f"""WITH {BOOK}, {LEVELS}, {_latest('latest')},
-snap AS (SELECT product_id, max(ingest_time) AS snap_time FROM book WHERE type = 'snapshot' GROUP BY product_id)
-SELECT l.* FROM latest l LEFT JOIN snap s ON l.product_id = s.product_id
+last_snapshot AS (SELECT product_id, max(ingest_time) AS snap_time FROM book WHERE type = 'snapshot' GROUP BY product_id)
+SELECT l.* FROM latest l LEFT JOIN last_snapshot s ON l.product_id = s.product_id
 WHERE s.snap_time IS NULL OR l.event_time >= s.snap_time""",
     "top_of_book": f"""WITH {BOOK}, {LEVELS}, {_latest('latest')},
-best AS (
+per_product AS (
   SELECT product_id, max(CASE WHEN side = 'buy' THEN price END) AS best_bid,
          min(CASE WHEN side = 'sell' THEN price END) AS best_ask
   FROM latest WHERE size > 0 GROUP BY product_id)
-SELECT product_id, best_bid, best_ask, best_ask - best_bid AS spread FROM best""",
+SELECT product_id, best_bid, best_ask, best_ask - best_bid AS spread FROM per_product""",
     "ladder": f"WITH {BOOK}, {LEVELS}, {_latest('latest')}, {LADDER} SELECT * FROM ladder",
     "ladder_spread": f"""WITH {BOOK}, {LEVELS}, {_latest('latest')}, {LADDER}
 SELECT product_id,
