@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tapehouse.operators import gold, upsert
 
 T0 = dt.datetime(2024, 1, 1)
-SETTINGS = dict(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = dict(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 key = st.one_of(st.none(), st.integers(0, 6))
 row = st.tuples(key, st.integers(0, 3), st.integers(0, 50))
@@ -54,12 +54,18 @@ def test_upsert_matches_merge(spark, target, source):
     assert guarded == merge_reference(target, source, newer=True)
 
 
-trade = st.tuples(st.integers(0, 10**6), st.sampled_from(["A", "B"]), st.integers(1, 500),
+# ids: small (long fast path), huge / negative / null (exact decimal path)
+trade_id = st.one_of(st.integers(0, 10**6), st.integers(2**62, 2**63 - 1), st.integers(-(2**63), -1), st.none())
+trade = st.tuples(trade_id, st.sampled_from(["A", "B"]), st.integers(1, 500),
                   st.integers(0, 4), st.integers(0, 200))
 
 
+def _trade_key(t):
+    return "null" if t[0] is None else t[0]
+
+
 @settings(**SETTINGS)
-@given(st.lists(trade, min_size=1, max_size=25, unique_by=lambda t: t[0]))
+@given(st.lists(trade, min_size=1, max_size=25, unique_by=_trade_key))
 def test_ohlcv_matches_reference(spark, trades):
     rows = [(tid, p, float(price), float(size), T0 + dt.timedelta(seconds=sec))
             for tid, p, price, size, sec in trades]
@@ -71,7 +77,7 @@ def test_ohlcv_matches_reference(spark, trades):
         groups.setdefault((r[1], b), []).append(r)
     assert set(got) == set(groups)
     for k, g in groups.items():
-        g.sort(key=lambda r: (r[4], r[0]))
+        g.sort(key=lambda r: (r[4], -(2**63) if r[0] is None else r[0]))  # null id sorts first
         vol = sum(r[3] for r in g)
         bar = got[k]
         assert bar["open"] == g[0][2] and bar["close"] == g[-1][2]
