@@ -94,3 +94,25 @@ def test_empty_inputs(spark):
     assert serve.resample(bars, "1 hour").count() == 0
     assert serve.ticker_24h(bars, T0).count() == 0
     assert serve.ladder(spark.createDataFrame([], LVL)).count() == 0
+
+
+def test_latest_bucket_equals_max_bar(spark):
+    t = trades_view(events(spark, "/root/testdata/sf0.001"))
+    for secs, interval in ((60, "1 minute"), (3600, "1 hour")):
+        want = gold.ohlcv(t, interval).agg(F.max("bucket")).first()[0]
+        got = t.select(serve.latest_bucket(t, secs).alias("b")).first()["b"]
+        assert got == want
+    ltz = t.withColumn("time", F.col("time").cast("timestamp"))
+    assert ltz.select(serve.latest_bucket(ltz, 60).alias("b")).schema["b"].dataType.simpleString() == "timestamp"
+
+
+def test_chart_bars_product_and_lookback(spark):
+    t = trades_view(events(spark, "/root/testdata/sf0.001"))
+    bars = gold.ohlcv(t, "1 minute")
+    asof = bars.agg(F.max("bucket")).first()[0]
+    out = serve.chart_bars(bars, asof, rule="1 hour", minutes_per_bar=60, n=20, product_id="view")
+    got = out.collect()
+    assert 0 < len(got) <= 20 and {r["product_id"] for r in got} == {"view"}
+    assert {r["direction"] for r in got} <= {"up", "down"}
+    cutoff = asof - dt.timedelta(minutes=60 * 20 * 1.2)
+    assert min(r["bucket"] for r in got) >= cutoff.replace(minute=0, second=0, microsecond=0)
