@@ -57,3 +57,20 @@ def test_ingest_time_constant_within_batch(spark, tmp_dir):
     assert out.select("ingest_time").distinct().count() == 1
     assert out.where("ingest_time > current_timestamp()").count() == 0
     assert out.agg({"ingest_time": "max"}).first()[0] <= dt.datetime.now() + dt.timedelta(days=1)
+
+
+def test_stream_keeps_unparseable_messages(spark, tmp_dir):
+    lines = ['{"type":"l2update","product_id":"X","time":"2024-01-01T00:00:01Z","changes":[["buy","1","2"]]}',
+             "nope", '{"type":"snapshot","product_id":"X","bids":[]}', "{broken"]
+    spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(f"{tmp_dir}/feed")
+    from tapehouse.streaming.bronze import bronze_orderbook
+    q = start_append(bronze_orderbook(file_stream(spark, f"{tmp_dir}/feed")), checkpoint=f"{tmp_dir}/ck",
+                     path=f"{tmp_dir}/out", partition_by="ingest_time_date", available_now=True)
+    q.awaitTermination(120)
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert out.count() == 4
+    bad = sorted(r["payload"] for r in out.where("type IS NULL").collect())
+    assert bad == ["nope", "{broken"]
+    metrics = [p["observedMetrics"]["bronze_orderbook_feed"] for p in q.recentProgress
+               if "bronze_orderbook_feed" in p.get("observedMetrics", {})]
+    assert sum(m["unparsed"] for m in metrics) == 2 and sum(m["orderbook"] for m in metrics) == 2
