@@ -7,6 +7,7 @@ connectors are configured; nothing here needs them.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -18,6 +19,17 @@ from tapehouse.schemas import DAY_PARTITIONS, NAMESPACES, TABLE_DDL
 from tapehouse.session import scratch_path
 
 
+def _stage(spark: SparkSession, name: str, target: str) -> str:
+    """Staging folder for one target table under the shared checkpoint folder.
+
+    Named by the table (a hash of its path), so runs for different tables
+    never collide, and each run overwrites its own previous stage, which
+    keeps the space used bounded.
+    """
+    tag = hashlib.sha1(target.encode()).hexdigest()[:12]
+    return scratch_path(spark, f"stage/{name}-{tag}")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin a scan that has fewer partitions than the cluster has cores.
 
@@ -123,7 +135,7 @@ def full_refresh(df: DataFrame, path: str | None = None, table: str | None = Non
             if "UNSUPPORTED_OVERWRITE" not in str(e):
                 raise
             spark = df.sparkSession
-            stage = scratch_path(spark, f"stage/refresh-{table.replace('.', '_')}")
+            stage = _stage(spark, "refresh", table)
             df.write.mode("overwrite").parquet(stage)
             spark.read.parquet(stage).write.mode("overwrite").format(using).saveAsTable(table)
     elif path is not None:
@@ -140,7 +152,7 @@ def overwrite_from_self(spark: SparkSession, df: DataFrame, path: str, stage_nam
     directory (which also cuts the lineage), then copied over the target.
     Returns the re-read target.
     """
-    stage = scratch_path(spark, f"stage/{stage_name}")
+    stage = _stage(spark, stage_name, path)
     df.write.mode("overwrite").parquet(stage)
     spark.read.parquet(stage).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
@@ -202,7 +214,7 @@ def upsert_parquet(
         return UpsertResult(spark.read.parquet(path).count(), None)
     target = spark.read.parquet(path)
     src = source.select(*target.columns)
-    staged_src = scratch_path(spark, f"stage/{stage_name}-src")
+    staged_src = _stage(spark, f"{stage_name}-src", path)
     src.write.mode("overwrite").parquet(staged_src)
     src = spark.read.parquet(staged_src)
     n = src.count()
@@ -213,7 +225,7 @@ def upsert_parquet(
     merged = upsert(affected, src, keys, newer_by=newer_by)
     if post is not None:
         merged = post(merged)
-    stage = scratch_path(spark, f"stage/{stage_name}")
+    stage = _stage(spark, stage_name, path)
     merged.write.mode("overwrite").parquet(stage)
     (
         spark.read.parquet(stage)
@@ -233,7 +245,7 @@ def overwrite_partitions(
 
     Staged first under the checkpoint folder, so ``df`` may read ``path``.
     """
-    stage = scratch_path(spark, f"stage/{stage_name}")
+    stage = _stage(spark, stage_name, path)
     df.write.mode("overwrite").parquet(stage)
     (
         spark.read.parquet(stage)
