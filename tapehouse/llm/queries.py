@@ -2,11 +2,35 @@
 
 from __future__ import annotations
 
-from tapehouse.llm import attribution, packing
+from tapehouse.llm import attribution, jaccard, packing
 
 QUERIES = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op10_token_attribution": attribution.op10_token_attribution,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_ngram_jaccard_join": rf"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingled AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+            FROM w
+        ), sized AS (SELECT doc_id, s, len(s) AS n FROM shingled),
+        item AS (SELECT doc_id, n, unnest(s) AS g FROM sized),
+        link AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM item a JOIN item b ON a.g = b.g AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other
+        )
+        SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id
+        FROM sized s JOIN reach r USING (doc_id) GROUP BY s.doc_id, s.n
+    """,
+}
