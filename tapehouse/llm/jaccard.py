@@ -13,11 +13,13 @@ link's effect on the components and is exact:
    sizes form a tile, named after its smallest member, so the tiles of many
    shingles fall together. A list of more than ``TILE_ROWS`` members is split
    into blocks, with a tile for every pair of blocks.
-4. Documents with a tile send their whole sorted sets there. Inside a tile,
-   sizes and the bit counts of hashed bitmaps bound the overlap from above, and
-   only pairs that pass are intersected. Pairs already connected are skipped,
-   so a tile gives a spanning forest, not all pairs.
-5. Components of these links, with documents of equal sets in one component.
+4. Documents with a tile send a hashed parity bitmap there, of about a bit per
+   shingle. Sizes and bit counts bound the overlap of each pair in a tile from
+   above; documents that have no pair within the bound leave the tile.
+5. The others send their whole sorted sets, and pairs within the bound are
+   intersected exactly. Pairs already connected are skipped, so a tile gives a
+   spanning forest, not all pairs.
+6. Components of these links, with documents of equal sets in one component.
 
 Nulls and edges: null or empty text, or text without words, has an empty set
 and links with nothing (its component is its own doc_id); texts of fewer than
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.llm import textarrays as ta
-from tapehouse.llm.shuffling import buckets, components, documents, packed, packed_batch, unpacked, written
+from tapehouse.llm.shuffling import buckets, components, documents, packed_batch, unpacked, written
 
 U64 = np.uint64
 COMMON, COMMON_IN_TASK = 1 << 17, 8
@@ -216,8 +218,8 @@ def tile_members(percent: int, groups: int):
     return run
 
 
-def set_rows(k: int, n_buckets: int):
-    """Cogroup function: sends the whole set of every document to its tiles."""
+def tile_rows(k: int, n_buckets: int, form):
+    """Cogroup function: sends the set of every document, as bytes made by ``form``, to its tiles."""
 
     def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
         schema = pa.schema([("bucket", pa.int32()), ("tile", pa.binary()), ("doc", pa.binary()), ("size", pa.binary()), ("items", pa.binary())])
@@ -241,10 +243,11 @@ def set_rows(k: int, n_buckets: int):
             bucket, to, which = bucket[order], to[order], which[order]
             cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)])) if len(bucket) else [0]
             size = np.diff(at)
+            made = {d: form(values[at[d] : at[d + 1]]) for d in set(which.tolist())}
             rows = []
             for x, y in zip(cuts[:-1], cuts[1:], strict=True):
                 w = which[x:y]
-                rows.append((int(bucket[x]), to[x:y].tobytes(), doc[i:j][w].tobytes(), size[w].tobytes(), b"".join(values[at[d] : at[d + 1]].tobytes() for d in w.tolist())))
+                rows.append((int(bucket[x]), to[x:y].tobytes(), doc[i:j][w].tobytes(), size[w].tobytes(), b"".join(made[d] for d in w.tolist())))
             if rows:
                 batches.append(pa.table(dict(zip(schema.names, map(list, zip(*rows, strict=True)), strict=True)), schema=schema))
         return pa.concat_tables(batches) if batches else schema.empty_table()
@@ -252,13 +255,41 @@ def set_rows(k: int, n_buckets: int):
     return run
 
 
-def bitmaps(values: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    """Parity bitmaps of ``width`` bits (a power of two) of each set, as rows of 64-bit words."""
-    n = len(at) - 1
-    owner = np.repeat(np.arange(n), np.diff(at))
-    bit = (values >> U64(7)) % U64(width)
-    flips = np.bincount(owner * width + bit.astype(np.int64), minlength=n * width).reshape(n, width) & 1
-    return np.packbits(flips.astype(np.uint8), axis=1).view(U64)
+def bitmap_width(n: int) -> int:
+    """Bits of a set's bitmap: a power of two of at least its size, within 64 and 4096."""
+    return min(4096, max(64, 1 << (max(1, n) - 1).bit_length()))
+
+
+def bitmap(values: np.ndarray) -> bytes:
+    """Parity bitmap of a set: each shingle flips one bit."""
+    width = bitmap_width(len(values))
+    flips = np.bincount(((values >> U64(7)) % U64(width)).astype(np.int64), minlength=width) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
+def folded(maps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps of different widths brought to the smallest by folding, as rows of 64-bit words."""
+    words = min(map(len, maps))
+    for i, m in enumerate(maps):
+        while len(m) > words:
+            m = m[: len(m) // 2] ^ m[len(m) // 2 :]
+        maps[i] = m
+    return np.stack(maps)
+
+
+def bounded(size: np.ndarray, maps: np.ndarray, x: int, percent: int) -> np.ndarray:
+    """Documents before ``x`` (in order of size) whose sizes and bitmaps allow a link with it.
+
+    100 I >= percent * (a + b - I) bounds the overlap I from below; as each bit
+    that differs stands for an element of one set alone, half of what is left
+    bounds it from above.
+    """
+    low = int(np.searchsorted(size[:x], -(-percent * size[x] // 100)))
+    if low == x:
+        return np.zeros(0, np.int64)
+    total = size[low:x] + size[x]
+    apart = np.bitwise_count(maps[low:x] ^ maps[x]).sum(axis=1, dtype=np.int64)
+    return low + np.flatnonzero((total - apart) // 2 >= -(-percent * total // (100 + percent)))
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -269,55 +300,63 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(at, len(b) - 1)] == a).sum())
 
 
-def tile_links(doc: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the documents of a tile."""
-    size = np.array([len(s) for s in sets])
-    order = np.lexsort((doc, size))
-    doc, size, sets = doc[order], size[order], [sets[i] for i in order.tolist()]
-    root = np.arange(len(doc))
-    links = []
-    step = max(1, (8 << 20) // max(64, int(size[-1]) if len(size) else 1))  # bitmaps of a block are made at once
-    width = 1 << max(6, int(np.ceil(np.log2(max(1, size[-1])))))
-    width = min(width, 4096)
-    maps = np.concatenate(
-        [bitmaps(np.concatenate(sets[i : i + step]), np.concatenate(([0], np.cumsum(size[i : i + step]))), width) for i in range(0, len(doc), step)]
-    )
-    for x in range(1, len(doc)):
-        low = int(np.searchsorted(size[:x], -(-percent * size[x] // 100)))
-        if low == x:
-            continue
-        # 100 I >= percent * (a + b - I) bounds I from below; the bitmaps bound it from above
-        total = size[low:x] + size[x]
-        need = -(-percent * total // (100 + percent))
-        apart = np.bitwise_count(maps[low:x] ^ maps[x]).sum(axis=1, dtype=np.int64)
-        near = low + np.flatnonzero((total - apart) // 2 >= need)
-        while len(near):
-            y = int(near[-1])
-            both = overlap(sets[y], sets[x])
-            if 100 * both >= percent * (size[x] + size[y] - both):
-                links.append((int(doc[y]), int(doc[x])))
-                old, new = root[x], root[y]
-                root[root == old] = new
-            else:
-                near = near[:-1]
-            near = near[root[near] != root[x]]
-    return links
-
-
-def tile_group(percent: int):
-    """Group function of a bucket of tiles: links of all its tiles."""
+def by_tile(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(tile, rows, sizes) of each tile of a bucket with several documents; rows in order of size, then doc_id."""
+    tile, doc = unpacked(table, "tile", U64), unpacked(table, "doc", np.int64)
+    size = unpacked(table, "size", np.int64)
+    order = np.lexsort((doc, size, tile))
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(tile[order])) + 1, [len(order)])) if len(order) else [0]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b - a > 1:
+            yield int(tile[order[a]]), order[a:b], size[order[a:b]]
+
+
+def near_members(percent: int, groups: int):
+    """Group function of a bucket of tiles with bitmaps: members that may have a link there."""
 
     def run(table: pa.Table) -> pa.Table:
-        tile, doc = unpacked(table, "tile", U64), unpacked(table, "doc", np.int64)
-        size, items = unpacked(table, "size", np.int64), unpacked(table, "items", U64)
+        doc, size, items = unpacked(table, "doc", np.int64), unpacked(table, "size", np.int64), unpacked(table, "items", U64)
+        words = np.array([bitmap_width(n) // 64 for n in size.tolist()], np.int64)
+        at = np.concatenate(([0], np.cumsum(words)))
+        tiles, members = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        for tile, rows, sizes in by_tile(table):
+            maps = folded([items[at[r] : at[r + 1]] for r in rows.tolist()])
+            near = np.zeros(len(rows), bool)
+            for x in range(1, len(rows)):
+                found = bounded(sizes, maps, x, percent)
+                if len(found):
+                    near[x] = near[found] = True
+            members.append(doc[rows[near]])
+            tiles.append(np.full(near.sum(), tile, U64))
+        tile, member = np.concatenate(tiles), np.concatenate(members)
+        group = (ta.mix(member.view(U64)) % U64(groups)).astype(np.int32)
+        return pa.Table.from_batches([packed_batch(group, {"member": member, "tile": tile})])
+
+    return run
+
+
+def tile_links(percent: int):
+    """Group function of a bucket of tiles with whole sets: a spanning forest of each tile's links."""
+
+    def run(table: pa.Table) -> pa.Table:
+        doc, size, items = unpacked(table, "doc", np.int64), unpacked(table, "size", np.int64), unpacked(table, "items", U64)
         at = np.concatenate(([0], np.cumsum(size)))
-        order = np.lexsort((doc, tile))
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(tile[order])) + 1, [len(order)])) if len(order) else [0]
         links = set()
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if b - a > 1:
-                rows = order[a:b]
-                links.update(tile_links(doc[rows], [items[at[r] : at[r + 1]] for r in rows.tolist()], percent))
+        for _, rows, sizes in by_tile(table):
+            sets = [items[at[r] : at[r + 1]] for r in rows.tolist()]
+            maps = folded([np.frombuffer(bitmap(s), U64) for s in sets])
+            root = np.arange(len(rows))
+            for x in range(1, len(rows)):
+                near = bounded(sizes, maps, x, percent)
+                while len(near):
+                    y = int(near[-1])
+                    both = overlap(sets[y], sets[x])
+                    if 100 * both >= percent * (sizes[x] + sizes[y] - both):
+                        links.add((int(doc[rows[y]]), int(doc[rows[x]])))
+                        root[root == root[x]] = root[y]
+                    else:
+                        near = near[:-1]
+                    near = near[root[near] != root[x]]
         pairs = np.array(sorted(links), np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -343,10 +382,12 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(group), *batch.columns], names=["bucket", "doc_id", "text"])
 
     texts = docs.mapInArrow(grouped, "bucket int, doc_id long, text string")
-    sent = texts.groupBy("bucket").cogroup(wanted.groupBy("bucket")).applyInArrow(
-        set_rows(k, n_buckets), "bucket int, tile binary, doc binary, size binary, items binary"
-    )
-    links = written(sent.groupBy("bucket").applyInArrow(tile_group(percent), "a long, b long"), "links")
+    texts = texts.groupBy("bucket")
+    at_tiles = "bucket int, tile binary, doc binary, size binary, items binary"
+    maps = texts.cogroup(wanted.groupBy("bucket")).applyInArrow(tile_rows(k, n_buckets, bitmap), at_tiles)
+    near = maps.groupBy("bucket").applyInArrow(near_members(percent, n_buckets), "bucket int, member binary, tile binary")
+    sets = texts.cogroup(near.groupBy("bucket")).applyInArrow(tile_rows(k, n_buckets, np.ndarray.tobytes), at_tiles)
+    links = written(sets.groupBy("bucket").applyInArrow(tile_links(percent), "a long, b long"), "links")
     equal = sizes.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
     found = components(links, "components").withColumnRenamed("id", "first")
     labels = equal.join(found, "first", "left").select(

@@ -88,7 +88,7 @@ def test_bitmap_bound_never_below_overlap():
     for _ in range(50):
         pool = rng.integers(0, 2**63, 300, dtype=np.uint64)
         a, b = (np.unique(rng.choice(pool, rng.integers(1, 250))) for _ in range(2))
-        maps = jaccard.bitmaps(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]), 128)
+        maps = jaccard.folded([np.frombuffer(jaccard.bitmap(x), np.uint64) for x in (a, b)])
         apart = int(np.bitwise_count(maps[0] ^ maps[1]).sum())
         assert (len(a) + len(b) - apart) // 2 >= jaccard.overlap(a, b) == len(set(a.tolist()) & set(b.tolist()))
 
