@@ -10,7 +10,7 @@ link's effect on the components and is exact:
    of each document in that order (prefix filter). Tasks send these, packed, to
    hash buckets; documents with equal sets are one from here on.
 3. Documents that share such a shingle and lie in the same or the next band of
-   sizes form a tile, named after its smallest member, so the tiles of many
+   sizes form a tile, named after its smallest doc_id, so the tiles of many
    shingles fall together. A list of more than ``TILE_ROWS`` members is split
    into blocks, with a tile for every pair of blocks.
 4. Documents with a tile send a hashed parity bitmap there, of about a bit per
@@ -187,15 +187,17 @@ def tile_members(percent: int, groups: int):
         # each document is in the tile of its band and in that of the band below
         key = np.concatenate((token, token))
         level = np.concatenate((own, own - 1))
-        doc, size = np.concatenate((doc, doc)), np.concatenate((size, size))
+        doc = np.concatenate((doc, doc))
         upper = np.concatenate((np.zeros(len(own), bool), np.ones(len(own), bool)))
-        order = np.lexsort((doc, size, upper, level, key))
+        order = np.lexsort((doc, level, key))
         key, level, doc, upper = key[order], level[order], doc[order], upper[order]
         first = np.ones(len(key), bool)
         first[1:] = (key[1:] != key[:-1]) | (level[1:] != level[:-1])
         start = np.flatnonzero(first)
         number = np.diff(np.append(start, len(key)))
-        live = (number > 1) & ~upper[start] if len(start) else np.zeros(0, bool)  # without its own band a tile has no pair
+        live = number > 1
+        if len(start):  # without a document of its own band a tile has no pair
+            live &= ~np.logical_and.reduceat(upper, start)
         tiles, members = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
         take = np.repeat(live & (number <= TILE_ROWS), number)
         centre = np.repeat(doc[start], number)

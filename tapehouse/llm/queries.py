@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tapehouse.llm import attribution, jaccard, packing
+from tapehouse.llm import attribution, jaccard, packing, repeats
 
 QUERIES = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
+    "op9_suffix_array_dedup": repeats.op9_suffix_array_dedup,
     "op10_token_attribution": attribution.op10_token_attribution,
 }
 
