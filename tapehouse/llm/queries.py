@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tapehouse.llm import attribution, jaccard, packing, repeats
+from tapehouse.llm import attribution, jaccard, lm, packing, repeats
 
 QUERIES = {
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_lm_scoring": lm.op4_lm_scoring,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_suffix_array_dedup": repeats.op9_suffix_array_dedup,
     "op10_token_attribution": attribution.op10_token_attribution,
