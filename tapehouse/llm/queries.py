@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tapehouse.llm import attribution, jaccard, lm, packing, repeats
+from tapehouse.llm import attribution, decontaminate, jaccard, lm, packing, repeats
 
 QUERIES = {
+    "op1_decontamination": decontaminate.op1_decontamination,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_lm_scoring": lm.op4_lm_scoring,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
