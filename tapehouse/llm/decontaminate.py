@@ -258,13 +258,7 @@ def contaminated(
     doc_id, item_id, score, words of the document from first_word to last_word,
     n_matched equal words of the item's item_words."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    n_docs = docs.count()
-    found = []
-    for items in item_blocks(benchmark, seed_words):
-        if len(items.seed):
-            counts = seed_counts(docs.select("text"), items)
-            items.keep(counts <= max(RARE_LEAST, rare_share * n_docs))
-            found.append(docs.mapInArrow(search(items, threshold), FOUND))
+    found = [docs.mapInArrow(search(items, threshold), FOUND) for items in seeded_blocks(docs, benchmark, seed_words, rare_share)]
     if not found:
         return docs.sparkSession.createDataFrame([], FOUND)
     out = found[0]
@@ -273,6 +267,33 @@ def contaminated(
     return out
 
 
+def seeded_blocks(docs: DataFrame, benchmark: DataFrame, seed_words: int, rare_share: float) -> Iterator[Items]:
+    """Blocks of test items with their seeds, chosen by their frequency in all of ``docs``."""
+    n_docs = docs.count()
+    for items in item_blocks(benchmark, seed_words):
+        if len(items.seed):
+            counts = seed_counts(docs.select(F.col("text").cast("string")), items)
+            items.keep(counts <= max(RARE_LEAST, rare_share * n_docs))
+            yield items
+
+
+def clean_rows(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, seed_words: int = SEED_WORDS, rare_share: float = RARE_SHARE):
+    """A test of texts for ``keep_rows`` per block of items: whether they hold none of them."""
+
+    def test_of(items: Items):
+        def test(texts: pa.Array) -> np.ndarray:
+            clean = np.ones(len(texts), bool)
+            data, offs = ta.flat(texts)
+            for i, j in ta.slices(offs):
+                words, at = plain_words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+                clean[[i + row[0] for row in best_scores(items, words, at, threshold)]] = False
+            return clean
+
+        return test
+
+    return [test_of(items) for items in seeded_blocks(docs, benchmark, seed_words, rare_share)]
+
+
 def search(items: Items, threshold: float):
     """Arrow function: the contaminated pairs of a task's documents."""
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tapehouse.llm import attribution, decontaminate, jaccard, lm, packing, repeats
+from tapehouse.llm import attribution, decontaminate, fingerprints, jaccard, langid, lm, packing, repeats, secrets, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
+    "op2_warc_round_trip": warc.op2_warc_round_trip,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_lm_scoring": lm.op4_lm_scoring,
+    "op5_scaled_fingerprints": fingerprints.op5_scaled_fingerprints,
+    "op6_language_id": langid.op6_language_id,
+    "op7_secret_scans": secrets.op7_secret_scans,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_suffix_array_dedup": repeats.op9_suffix_array_dedup,
     "op10_token_attribution": attribution.op10_token_attribution,
@@ -16,6 +20,16 @@ QUERIES = {
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc_round_trip": """
+        WITH p AS (
+            SELECT page_id, url, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id > first THEN first END AS refers_to, nullif(url, '') AS url
+        FROM p LEFT JOIN f USING (payload_digest)
+    """,
     "op8_ngram_jaccard_join": rf"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w

@@ -1,0 +1,96 @@
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from tapehouse.llm import secrets as sc
+
+DOCS = "doc_id long, text string, base string, found string"
+PATTERNS = {
+    "assign": (re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 1, 12),
+    "access": (re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
+    "hex": (re.compile(r"[0-9a-f]+"), 0, 16),
+}
+
+
+def base(text):
+    spans = [
+        (m.start(), k, kind, m.end())
+        for k, (kind, (p, g, least)) in enumerate(PATTERNS.items())
+        for m in p.finditer(text or "")
+        if len(m[g]) >= least
+    ]
+    spans.sort()
+    counts = [sum(s[2] == kind for s in spans) for kind in PATTERNS]
+    listed = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in spans)
+    return (*counts, hashlib.sha256(listed.encode()).hexdigest()), listed
+
+
+def corpus(seed, n=200):
+    rng = random.Random(seed)
+    hexes = lambda k: "".join(rng.choice("0123456789abcdef") for _ in range(k))
+    parts = [
+        lambda: f'token = "{hexes(40)}"', lambda: f"PassWord:{hexes(11)}", lambda: "secret: token: abcdefghijklmnopqr", lambda: "api_key='" + hexes(12) + "'",
+        lambda: "AKIA" + "".join(rng.choice("ABCDEFGHJK0123456789") for _ in range(rng.choice((13, 14, 16)))), lambda: "xAKIAAKIA", lambda: hexes(rng.choice((15, 16, 32))),
+        lambda: "été 😀 中文", lambda: "deadbeef", lambda: "ordinary words of a plain text", lambda: "token=secret=abcdefghijklmnop",
+    ]
+    return [(i, " ".join(rng.choice(parts)() + rng.choice(("", "\n", ".")) for _ in range(rng.randrange(0, 12)))) for i in range(n)]
+
+
+def run(spark, rows, **kw):
+    return sc.secrets(spark.createDataFrame([(d, t, "b", "f") for d, t in rows], DOCS).repartition(3), **kw).collect()
+
+
+def test_base_spans_match_python(spark):
+    rows = corpus(1) + [(None, "token: 0123456789abcdef"), (500, None), (501, ""), (7, "AKIA" + "A" * 20), (7, "AKIA" + "A" * 20)]
+    rows.append((502, "x " * 60_000 + "password=hunter2hunter2 " * 700))
+    got = sorted(((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in run(spark, rows)), key=str)
+    assert got == sorted(((d, *base(t)[0]) for d, t in rows), key=str)
+    for r in run(spark, rows[:50]):
+        kept = [s for s in r.spans.split(",") if s and not s.startswith("markov")]
+        assert ",".join(kept) == base(dict(rows[:50])[r.doc_id])[1]
+
+
+def test_markov_models_find_random_strings_and_leave_identifiers(spark):
+    rng = random.Random(5)
+    mixed = lambda k: "".join(rng.choice(sc.ALPHABET[:62]) for _ in range(k))
+    syllables = ["con", "fig", "read", "er", "max", "size", "to", "list", "name", "path"]
+    names = ["_".join("".join(rng.choice(syllables) for _ in range(3)) for _ in range(3)) for _ in range(60)]
+    name = lambda: rng.choice(names)
+    rows = [(i, f"secret = {mixed(32)} and {name()} of {name()}") for i in range(300)]
+    rows += [(1000 + i, f"plain {name()} text") for i in range(100)] + [(2000 + i, f"bare ({mixed(40)}) key") for i in range(100)]
+    got = {r.doc_id: r for r in run(spark, rows)}
+    assert all(got[1000 + i].spans == "" for i in range(100))
+    hits = [i for i in range(100) if got[2000 + i].spans == "markov:6:46"]
+    assert len(hits) >= 95
+
+
+def test_model_is_uniform_without_samples_and_empty_tables_work(spark):
+    assert run(spark, []) == []
+    assert set(sc.ratio_table({}, {})) == {0.0}
+    assert all(r.spans == "" for r in run(spark, [(1, "Q7" * 30)]))
+
+
+def test_running_sums(spark):
+    df = spark.createDataFrame([([],), ([3],), (list(range(1000)),)], "x array<bigint>")
+    for r in df.select("x", sc.running(F.col("x")).alias("s")).collect():
+        assert r.s == [sum(r.x[:i]) for i in range(len(r.x))]
+
+
+def test_redaction_covers_all_spans(spark):
+    rows = corpus(9, 60)
+    df = spark.createDataFrame([(d, t) for d, t in rows], "doc_id long, text string")
+    found = sc.find(df, sc.train(df)).select("doc_id", sc.listed(F.col("found")).alias("l"), sc.redacted(F.col("text"), F.col("found")).alias("r"))
+    for r in found.collect():
+        text, out, done = dict(rows)[r.doc_id], "", 0
+        for a, b in sorted((int(a), int(b)) for _, a, b in (s.split(":") for s in r.l.split(",") if s)):
+            if a >= done:
+                out += text[done:a] + "[secret]"
+            done = max(done, b)
+        assert r.r == out + text[done:]
+
+
+def test_main_path_has_no_python(spark):
+    plan = sc.op7_secret_scans(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
