@@ -43,6 +43,7 @@ FILE_BYTES, MOST_BYTES, CHUNK, HEADER_BYTES = 64 << 20, 1 << 30, 1 << 18, 1 << 1
 #: Fixed values of the WARC format.
 VERSION, CRLF, MAGIC = b"WARC/1.1", b"\r\n", b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+SINGLE = ("warc-type", "warc-record-id", "content-length")
 DATE = "1970-01-01T00:00:00Z"
 HTTP_TYPE = "application/http;msgtype=response"
 RECORD_ID = "<urn:tapehouse:page:{}>"
@@ -112,7 +113,10 @@ def parse_record(read, at: int, most: int = MOST_BYTES) -> tuple[dict[str, str],
         name, colon, value = line.partition(b":")
         if not colon:
             raise Bad("header line")
-        headers[name.strip().decode("latin-1").lower()] = value.strip().decode("utf-8", "replace")
+        field = name.strip().decode("latin-1").lower()
+        if field in SINGLE and field in headers:  # two records run together
+            raise Bad("header line twice")
+        headers[field] = value.strip().decode("utf-8", "replace")
     if not headers.get("content-length", "").isdigit():
         raise Bad("content length")
     size = int(headers["content-length"])
