@@ -97,7 +97,7 @@ def attribute(docs: DataFrame, spans: str | None = None, rule: str = "first", vo
         for batch in batches:
             doc = ta.ids(batch.column(0))
             data, offs = ta.flat(batch.column(1))
-            for i, j in ta.slices(offs, 16 << 20):
+            for i, j in ta.slices(offs, 6 << 20):
                 d, at = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
                 tokens, cuts = bpe.encode(d, at)
                 token_end = np.cumsum(bpe.n_bytes[tokens], dtype=np.int64)

@@ -37,6 +37,8 @@ HASHED = 1 << 17
 PER_LANG, SAMPLE_CHARS, LEXICON = 400, 200_000, 20_000
 LENGTH, BATCH, STEPS, RATE = 24, 192, 160, 0.3
 UND = "und"
+#: Bytes of text that are labelled at once.
+SLICE = 4 << 20
 
 
 def letter_table() -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +131,10 @@ class Crf:
         self.start = np.zeros(n, np.float32)
 
     def emissions(self, word: np.ndarray, feature: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([np.bincount(word, weights=self.weight[feature, k], minlength=n) for k in range(len(self.langs))], axis=1)
+        out = np.empty((n, len(self.langs)), np.float32)
+        for k in range(len(self.langs)):
+            out[:, k] = np.bincount(word, weights=self.weight[feature, k], minlength=n)
+        return out
 
     def marginals(self, emit: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Probability of each language at every word; sequence i has ``size[i]`` words from ``begin[i]`` on.
@@ -271,7 +276,7 @@ def judged(model: Crf, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndar
     n = len(texts)
     pred, score, n_words = np.array([UND] * n, object), np.zeros(n), np.zeros(n, np.int64)
     data, offs = ta.flat(texts)
-    for i, j in ta.slices(offs, 12 << 20) if model.langs else ():
+    for i, j in ta.slices(offs, SLICE) if model.langs else ():
         marginal, starts, ends, at, _ = model.label(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
         n_words[i:j] = np.diff(at)
         some = np.flatnonzero(n_words[i:j] > 0)
@@ -317,7 +322,7 @@ def word_labels(docs: DataFrame, model: Crf) -> DataFrame:
         for batch in batches:
             doc = ta.ids(batch.column(0))
             data, offs = ta.flat(batch.column(1))
-            for i, j in ta.slices(offs, 12 << 20):
+            for i, j in ta.slices(offs, SLICE):
                 if not model.langs:
                     continue
                 d, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]

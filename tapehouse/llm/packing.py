@@ -115,7 +115,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
         for batch in batches:
             doc = ta.ids(batch.column(0))
             data, offs = ta.flat(batch.column(1))
-            for i, j in ta.slices(offs, 16 << 20):
+            for i, j in ta.slices(offs, 6 << 20):
                 at = offs[i : j + 1] - offs[i]
                 ids, cuts = bpe.encode(data[offs[i] : offs[j]], at)
                 n = np.diff(cuts) + 1
