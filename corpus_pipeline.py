@@ -40,10 +40,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     labels = jaccard.jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT).where("doc_id IS NOT NULL")
     by_id = labels.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
-    later = by_id.where("first < doc_id").select("doc_id")
-    repeated = by_id.where("first >= doc_id AND rows > 1").select("doc_id")
-    single = docs.join(later.unionByName(repeated), "doc_id", "left_anti")
-    several = docs.join(repeated, "doc_id", "left_semi")
+    # written first, so that Spark knows its size: a small list of ids is broadcast, a large one joined
+    marks = written(by_id.where("first < doc_id OR rows > 1").selectExpr("doc_id", "first < doc_id AS later"), "duplicates")
+    single = docs.join(marks.select("doc_id"), "doc_id", "left_anti")
+    several = docs.join(marks.where("NOT later").select("doc_id"), "doc_id", "left_semi")
     nth = F.row_number().over(W.partitionBy("doc_id").orderBy("text")).alias("nth")
     first = several.select(F.struct(*docs.columns).alias("row"), nth).where("nth = 1").select("row.*")
     return single.unionByName(first).select(*docs.columns)

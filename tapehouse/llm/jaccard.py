@@ -105,9 +105,32 @@ def ordered(values: np.ndarray, common: np.ndarray, lookup: np.ndarray) -> np.nd
     return key
 
 
-def shingle_rows(docs: DataFrame, k: int, percent: int, common: np.ndarray, n_buckets: int) -> DataFrame:
-    """Rows of two kinds: kind 0 per document (doc_id, n, two set hashes), kind 1
-    the packed prefix shingles of many documents by bucket."""
+def set_hashes(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set that do not depend on the order of its items."""
+    s1 = np.concatenate(([U64(0)], np.cumsum(ta.mix(values), dtype=U64)))
+    s2 = np.concatenate(([U64(0)], np.cumsum(ta.mix(values ^ U64(ta.GAMMA)), dtype=U64)))
+    return s1[at[1:]] - s1[at[:-1]], s2[at[1:]] - s2[at[:-1]]
+
+
+def set_sizes(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, n_shingles and two hashes of the set of every document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offs = ta.flat(batch.column(1))
+            for i, j in ta.slices(offs):
+                values, at = shingle_sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], k)
+                s1, s2 = set_hashes(values, at)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), pa.array(np.diff(at)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64))],
+                    names=["doc_id", "n_shingles", "s1", "s2"],
+                )
+
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long")
+
+
+def prefix_rows(docs: DataFrame, k: int, percent: int, common: np.ndarray, n_buckets: int) -> DataFrame:
+    """The packed prefix shingles of many documents by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = np.argsort(common)
@@ -118,16 +141,9 @@ def shingle_rows(docs: DataFrame, k: int, percent: int, common: np.ndarray, n_bu
             for i, j in ta.slices(offs):
                 values, at = shingle_sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], k)
                 n = np.diff(at)
-                s1 = np.concatenate(([U64(0)], np.cumsum(ta.mix(values), dtype=U64)))
-                s2 = np.concatenate(([U64(0)], np.cumsum(ta.mix(values ^ U64(ta.GAMMA)), dtype=U64)))
-                s1, s2 = s1[at[1:]] - s1[at[:-1]], s2[at[1:]] - s2[at[:-1]]
+                s1, s2 = set_hashes(values, at)
                 doc = doc_all[i:j]
                 m = j - i
-                nothing = pa.nulls(m, pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.zeros(m, np.int32)), ta.id_array(doc), pa.array(n), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.nulls(m, pa.int32()), nothing, nothing, nothing, nothing],
-                    names=ROW_NAMES,
-                )
                 # of documents with equal sets in this slice, the one with the smallest id
                 order = np.lexsort((doc, s2, s1))
                 fresh = np.ones(m, bool)
@@ -145,18 +161,9 @@ def shingle_rows(docs: DataFrame, k: int, percent: int, common: np.ndarray, n_bu
             if sent:
                 token, doc, s1, n = (np.concatenate(x) for x in zip(*sent, strict=True))
                 bucket = (ta.mix(token) % U64(n_buckets)).astype(np.int32)
-                out = packed_batch(bucket, {"token": token, "doc": doc, "set": s1, "size": n})
-                m = out.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.ones(m, np.int32)), *(pa.nulls(m, pa.int64()) for _ in range(4)), *out.columns],
-                    names=ROW_NAMES,
-                )
-
-    schema = "kind int, doc_id long, n long, s1 long, s2 long, bucket int, token binary, doc binary, set binary, size binary"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
-
+                yield packed_batch(bucket, {"token": token, "doc": doc, "set": s1, "size": n})
 
-ROW_NAMES = ["kind", "doc_id", "n", "s1", "s2", "bucket", "token", "doc", "set", "size"]
+    return docs.mapInArrow(run, "bucket int, token binary, doc binary, set binary, size binary")
 
 
 def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -370,9 +377,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     n_buckets = buckets(spark)
-    rows = written(shingle_rows(docs, k, percent, common_shingles(docs, k), n_buckets), "shingles", by="kind")
-    sizes = rows.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "s1", "s2")
-    prefixes = rows.where("kind = 1").select("bucket", "token", "doc", "set", "size")
+    sizes = written(set_sizes(docs, k), "sets")
+    prefixes = prefix_rows(docs, k, percent, common_shingles(docs, k), n_buckets)
     wanted = prefixes.groupBy("bucket").applyInArrow(
         tile_members(percent, n_buckets), "bucket int, member binary, tile binary"
     )
