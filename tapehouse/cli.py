@@ -51,10 +51,10 @@ def _layers(args: argparse.Namespace) -> None:
             reset_on_snapshot=args.reset_on_snapshot,
         )
         step = silver_trades_step(spark, lake)
-        run_gold(spark, lake, touched_days=step.touched)
+        run_gold(spark, lake, full=args.full_gold)
         counts = {"silver_levels": levels_rows, "silver_trades": step.rows}
     else:
-        counts = run_all(spark, lake)
+        counts = run_all(spark, lake, full_gold=args.full_gold)
     print(json.dumps(counts))
 
 
@@ -74,6 +74,7 @@ def main(argv: list[str] | None = None) -> None:
     la.add_argument("--lake", required=True)
     la.add_argument("--reset-on-snapshot", action="store_true")
     la.add_argument("--guard-late-levels", action="store_true")
+    la.add_argument("--full-gold", action="store_true", help="rebuild all bars, not only those of touched days")
     la.set_defaults(fn=_layers)
     args = p.parse_args(argv)
     if args.cmd == "bronze" and not args.kafka and not (args.book_files and args.trade_files):

@@ -24,15 +24,17 @@ def _ingest(ingest_time: Column | str | None) -> Column:
     return F.col(ingest_time) if isinstance(ingest_time, str) else ingest_time
 
 
-def _parse_once(raw: DataFrame, *cols: Column) -> DataFrame:
-    """Project ``cols`` through a one-element ``inline`` (a Generate node).
+def _parse_once(raw: DataFrame, parsed: Column, *cols: Column) -> DataFrame:
+    """Project ``cols`` and ``parsed`` (a ``from_json``), the latter through a one-element ``inline``.
 
     The optimizer pushes filters on parsed fields below a plain projection
     and inlines ``from_json`` into every predicate, re-parsing each message
-    once per referenced field. Filters cannot cross a Generate, so here the
-    JSON is parsed exactly once per row whatever follows.
+    once per referenced field. Such filters cannot cross the Generate node
+    that ``inline`` makes, so the JSON is parsed exactly once per row. The
+    other columns stay outside it: a filter on them reaches the scan, and
+    rows it drops are never parsed.
     """
-    return raw.select(F.inline(F.array(F.struct(*cols))))
+    return raw.select(*cols, F.inline(F.array(F.struct(parsed))))
 
 
 def parse_orderbook(

@@ -2,107 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapehouse.functions import order_key, safe_divide
 from tapehouse.schemas import GOLD_OHLCV_COLUMNS, GOLD_TOP_OF_BOOK_COLUMNS
 
 
-_UNITS = {
-    "microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
-    "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000,
-}
-_LONG_MAX = 2**63 - 1
-
-
-def interval_micros(interval: str) -> int:
-    """Length of a fixed window interval such as "1 minute" or "2 hours"."""
-    total = 0
-    parts = interval.lower().split()
-    for num, unit in zip(parts[0::2], parts[1::2]):
-        total += int(num) * _UNITS[unit.rstrip("s")]
-    if total <= 0:
-        raise ValueError(f"unsupported interval: {interval!r}")
-    return total
-
-
 def ohlcv(trades: DataFrame, interval: str = "1 minute", time_col: str = "time") -> DataFrame:
     """OHLCV + VWAP bars per (product_id, bucket).
 
     open/close are the prices of the first/last trade in the bucket by
-    (time, trade_id); ``min_by``/``max_by`` replace two opposite row_number
-    windows, so the bar is one hash aggregation with partial aggregation
-    before the shuffle. ``bucket`` is the start of the epoch-aligned
-    interval and keeps the timestamp type of ``time_col``. vwap is null when
-    the bucket's volume is 0.
-
-    The (time, trade_id) order is packed exactly into one LONG: the time
-    offset inside the bucket is below the interval length L, so
-    ``offset * R + trade_id`` with R = 2^63 // L is exact for
-    0 <= trade_id < R (about 1.5e11 for 1-minute bars). Long aggregation
-    buffers keep Spark's fast hash map; a DECIMAL(38,0) or struct ordering
-    makes the whole aggregation 3-4x slower. Trades whose id does not fit
-    (huge, negative or null; normally none) are ordered by the exact
-    DECIMAL key in a separate small aggregation over just those rows, and
-    the two candidates are reconciled per bar (a left join that AQE
-    broadcasts when, as usual, that side is empty or small).
+    (time, trade_id), a null id before all others: ``min_by``/``max_by`` over
+    one exact DECIMAL key of both, for every row alike. The bar is one scan
+    and one hash aggregation with partial aggregation before its only
+    shuffle. ``bucket`` is the start of the epoch-aligned interval and keeps
+    the timestamp type of ``time_col``. vwap is null when the bucket's volume
+    is 0. Rows without a time have no bar.
     """
     t = F.col(time_col)
-    room = _LONG_MAX // interval_micros(interval)
-    df = trades.withColumn("_bucket", F.window(t, interval).start)
-    tid = F.col("trade_id").cast("bigint")
-    fits = tid.isNotNull() & (tid >= 0) & (tid < F.lit(room))
-    offset = F.unix_micros(t.cast("timestamp")) - F.unix_micros(F.col("_bucket").cast("timestamp"))
-    fast = F.when(fits, offset * F.lit(room) + tid)
+    order = order_key(t, F.col("trade_id"))
     price, size = F.col("price"), F.col("size")
-    keys = ["product_id", "bucket"]
-    bars = df.groupBy("product_id", F.col("_bucket").alias("bucket")).agg(
-        F.min_by(price, fast).alias("_of"),
-        F.min(fast).alias("_okf"),
-        F.max_by(price, fast).alias("_cf"),
-        F.max(fast).alias("_ckf"),
-        F.max(price).alias("high"),
-        F.min(price).alias("low"),
-        F.sum(size).alias("volume"),
-        safe_divide(F.sum(price * size), F.sum(size)).alias("vwap"),
-        F.count(F.lit(1)).alias("trade_count"),
-    )
-    exact = order_key(t, F.col("trade_id"))
-    odd = (
-        df.where(~F.coalesce(fits, F.lit(False)) & t.isNotNull())
+    return (
+        trades.withColumn("_bucket", F.window(t, interval).start)
         .groupBy("product_id", F.col("_bucket").alias("bucket"))
         .agg(
-            F.min_by(price, exact).alias("_ox"),
-            F.min(exact).alias("_okx"),
-            F.max_by(price, exact).alias("_cx"),
-            F.max(exact).alias("_ckx"),
+            F.min_by(price, order).alias("open"),
+            F.max(price).alias("high"),
+            F.min(price).alias("low"),
+            F.max_by(price, order).alias("close"),
+            F.sum(size).alias("volume"),
+            safe_divide(F.sum(price * size), F.sum(size)).alias("vwap"),
+            F.count(F.lit(1)).alias("trade_count"),
         )
-    )
-    joined = bars.join(odd, on=[bars[k].eqNullSafe(odd[k]) for k in keys], how="left").select(
-        bars["*"], "_ox", "_okx", "_cx", "_ckx"
-    )
-
-    def absolute(k: str) -> Column:
-        # a fast key back on the exact scale of ``order_key``
-        start = F.unix_micros(F.col("bucket").cast("timestamp")) + F.floor(F.col(k) / F.lit(room))
-        return order_key(F.timestamp_micros(start), F.pmod(F.col(k), F.lit(room)))
-
-    open_ = (
-        F.when(F.col("_okx").isNull(), F.col("_of"))
-        .when(F.col("_okf").isNull(), F.col("_ox"))
-        .when(absolute("_okf") < F.col("_okx"), F.col("_of"))
-        .otherwise(F.col("_ox"))
-    )
-    close = (
-        F.when(F.col("_ckx").isNull(), F.col("_cf"))
-        .when(F.col("_ckf").isNull(), F.col("_cx"))
-        .when(absolute("_ckf") > F.col("_ckx"), F.col("_cf"))
-        .otherwise(F.col("_cx"))
-    )
-    return joined.select(
-        "product_id", "bucket", open_.alias("open"), "high", "low", close.alias("close"),
-        "volume", "vwap", "trade_count",
+        .select(*GOLD_OHLCV_COLUMNS)
     )
 
 

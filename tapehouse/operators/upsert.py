@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -47,18 +47,22 @@ def upsert(
 
 
 def _upsert_guarded(target: DataFrame, src: DataFrame, keys: list[str], newer_by: list[str]) -> DataFrame:
-    any_null = None
+    """One full outer join on the keys; a matched pair keeps its newer row, the source's at a tie.
+
+    Rows with a null key match nothing and stay, as in SQL MERGE.
+    """
+    t, s = F.col("_t"), F.col("_s")
+    take = F.lit(True)
+    for c in reversed(newer_by):
+        later = (t[c].isNull() & s[c].isNotNull()) | (s[c] > t[c])
+        take = F.coalesce(later, F.lit(False)) | (t[c].eqNullSafe(s[c]) & take)
+    left = target.select(F.struct(*target.columns).alias("_t"))
+    right = src.select(F.struct(*target.columns).alias("_s"))
+    same = None
     for k in keys:
-        cond = F.col(k).isNull()
-        any_null = cond if any_null is None else (any_null | cond)
-    tagged = target.withColumn("_src", F.lit(0)).unionByName(src.withColumn("_src", F.lit(1)))
-    # Rows with a null key never match anything: they pass through.
-    loose = tagged.where(any_null).drop("_src")
-    keyed = tagged.where(~any_null)
-    order = [F.col(c).desc_nulls_last() for c in newer_by] + [F.col("_src").desc()]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    best = keyed.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_src")
-    return best.unionByName(loose)
+        same = (t[k] == s[k]) if same is None else same & (t[k] == s[k])
+    row = F.when(s.isNull(), t).when(t.isNull(), s).when(take, s).otherwise(t)
+    return left.join(right, same, "full_outer").select(row.alias("_r")).select("_r.*")
 
 
 def merge_into_table(

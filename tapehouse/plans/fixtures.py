@@ -16,11 +16,7 @@ mapped row by row onto feed messages, so every view grows with the table:
 - mixed feed: every message kind (snapshot, l2update, match, last_match,
   heartbeat, subscriptions, error) for routing and counting.
 
-The same mapping rules are written as SQL in ``tapehouse.plans.oracle``.
-Feeds are spread over the cores before their per-row JSON work when the
-scan has fewer partitions than cores (``sources.tables.spread``; a no-op on
-a large table).
-"""
+The same mapping rules are written as SQL in ``tapehouse.plans.oracle``."""
 
 from __future__ import annotations
 
@@ -28,7 +24,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.functions import iso_utc
-from tapehouse.sources.tables import read_parquet, spread
 
 # Fixed values of the fixture mapping (shared with the oracle SQL text).
 SNAPSHOT_EVERY = 50
@@ -45,7 +40,7 @@ MIXED_TYPE_SQL = (
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread_small=False)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +79,7 @@ def _trade_json(t: DataFrame, price=None, time=None) -> DataFrame:
 
 def trade_feed(ev: DataFrame, redeliver: bool = False) -> DataFrame:
     """Raw trade messages (value, msg_offset, ingest_time)."""
-    t = trades_view(spread(ev))
+    t = trades_view(ev)
     feed = _trade_json(t)
     if redeliver:
         again = t.where(F.minute("time") < 6).withColumn(
@@ -97,7 +92,7 @@ def trade_feed(ev: DataFrame, redeliver: bool = False) -> DataFrame:
 def malformed_trade_feed(ev: DataFrame) -> DataFrame:
     """Trade messages with broken prices (event_id % 13 = 0), broken times
     (% 17 = 0) and wholly malformed JSON (% 19 = 0)."""
-    t = trades_view(spread(ev))
+    t = trades_view(ev)
     eid = F.col("trade_id")
     price = F.when(eid % 13 == 0, F.lit("abc")).otherwise(F.col("price").cast("string"))
     time = F.when(eid % 17 == 0, F.lit("nope")).otherwise(iso_utc("time"))
@@ -133,7 +128,7 @@ def book_feed(ev: DataFrame) -> DataFrame:
             F.array(F.array(side, price, size)).alias("changes"),
         )
     )
-    return spread(ev).select(
+    return ev.select(
         F.when(snap, snapshot_msg).otherwise(update_msg).alias("value"),
         eid.alias("msg_offset"),
         F.col("ts").alias("ingest_time"),
@@ -152,6 +147,6 @@ def mixed_feed(ev: DataFrame) -> DataFrame:
             iso_utc("ts").alias("time"),
         )
     )
-    return spread(ev).select(
+    return ev.select(
         msg.alias("value"), F.col("event_id").alias("msg_offset"), F.col("ts").alias("ingest_time")
     )

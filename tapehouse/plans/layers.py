@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.operators import gold, silver
-from tapehouse.schemas import LEVEL_KEYS, SILVER_LEVELS_COLUMNS, SILVER_TRADES_COLUMNS
+from tapehouse.schemas import LEVEL_KEYS, SILVER_LEVELS_COLUMNS, SILVER_TRADES_COLUMNS, TABLE_DDL
 from tapehouse.sources.tables import (
     UpsertResult,
     full_refresh,
-    overwrite_partitions,
     path_exists,
     read_state,
+    recover,
+    replace_partitions,
     upsert_parquet,
     write_state,
 )
@@ -53,15 +54,22 @@ class Lake:
     def gold_ohlcv(self) -> str:
         return self._p("gold", "gold_ohlcv_1min")
 
+    @property
+    def touched_days(self) -> str:
+        """Trade days that silver changed and gold has not yet taken up."""
+        return self._p("gold", "gold_ohlcv_1min__days")
+
     @property
     def gold_top_of_book(self) -> str:
         return self._p("gold", "gold_top_of_book")
 
 
-def _read(spark: SparkSession, path: str, columns: list[str]) -> DataFrame | None:
+def _read(spark: SparkSession, path: str, table: str, columns: list[str]) -> DataFrame | None:
+    """A silver table with its declared types (a product "007" is no number), or None on the first run."""
     if not path_exists(spark, path):
         return None
-    return spark.read.parquet(path).select(*columns)
+    recover(spark, path)
+    return spark.read.schema(TABLE_DDL[table]).parquet(path).select(*columns)
 
 
 HWM = "hwm"
@@ -88,14 +96,16 @@ def _bound(spark: SparkSession, path: str, target: DataFrame | None, column: str
     return target.agg(F.max(column)).first()[0]
 
 
-def _commit_bound(spark: SparkSession, path: str, column: str) -> None:
-    """After a successful commit, store the target's high-water mark.
+def _commit_bound(spark: SparkSession, path: str, column: str, old, res: UpsertResult) -> None:
+    """After a successful commit, store the high-water mark: the old one or the batch's, if larger.
 
     A run that dies before this point leaves the previous mark, so the retry
     reads the same bronze rows again and re-merges them (the upsert is keyed,
     so that is idempotent) instead of skipping rows a partial commit covered.
     """
-    value = spark.read.parquet(path).agg(F.max(column)).first()[0]
+    batch = res.source if res.source is not None else spark.read.parquet(path)
+    marks = [x for x in (old, batch.agg(F.max(column)).first()[0]) if x is not None]
+    value = max(marks, default=None)
     if value is not None:
         write_state(spark, path, HWM, value, "timestamp")
 
@@ -109,12 +119,15 @@ def silver_trades_step(spark: SparkSession, lake: Lake) -> UpsertResult:
     run, which writes everything).
     """
     bronze = spark.read.parquet(lake.bronze_trades)
-    target = _read(spark, lake.silver_trades, SILVER_TRADES_COLUMNS)
+    target = _read(spark, lake.silver_trades, "silver.stg_trades", SILVER_TRADES_COLUMNS)
     bound = _bound(spark, lake.silver_trades, target, "ingest_time")
     src = silver.clean_trades(_bounded(bronze, bound))
     src = src.withColumn("time_date", F.to_date("time"))
-    res = upsert_parquet(spark, lake.silver_trades, src, ["trade_id"], "time_date", "silver_trades")
-    _commit_bound(spark, lake.silver_trades, "ingest_time")
+    res = upsert_parquet(
+        spark, lake.silver_trades, src, ["trade_id"], "time_date", "silver_trades",
+        before_commit=lambda days: days.write.mode("append").parquet(lake.touched_days),
+    )
+    _commit_bound(spark, lake.silver_trades, "ingest_time", bound, res)
     return res
 
 
@@ -137,28 +150,32 @@ def run_silver_levels(
     snapshot of their product.
     """
     bronze = spark.read.parquet(lake.bronze_orderbook)
-    target = _read(spark, lake.silver_levels, SILVER_LEVELS_COLUMNS)
+    target = _read(spark, lake.silver_levels, "silver.stg_orderbook_levels", SILVER_LEVELS_COLUMNS)
     # Source system's rule: bronze ingest time against the levels' max(event_time).
-    inc = _bounded(bronze, _bound(spark, lake.silver_levels, target, "event_time"))
+    bound = _bound(spark, lake.silver_levels, target, "event_time")
+    inc = _bounded(bronze, bound)
     src = silver.silver_levels(inc, None, snapshot_time=snapshot_time, reset_on_snapshot=reset_on_snapshot)
-    post = None
+    post = snaps = None
     if reset_on_snapshot:
-        snaps = silver.snapshot_times(inc)
+        snaps = silver.snapshot_times(inc)  # also of snapshots without levels: their products' old levels go
 
         def post(merged: DataFrame) -> DataFrame:
             return silver.drop_stale_levels(merged, snaps)
 
     res = upsert_parquet(
         spark, lake.silver_levels, src, LEVEL_KEYS, "product_id", "silver_levels",
-        newer_by=newer_by, post=post,
+        newer_by=newer_by, post=post, also_touched=snaps,
     )
-    _commit_bound(spark, lake.silver_levels, "event_time")
+    _commit_bound(spark, lake.silver_levels, "event_time", bound, res)
     return res.rows
 
 
-def run_gold(spark: SparkSession, lake: Lake, touched_days: DataFrame | None = None) -> None:
+def run_gold(spark: SparkSession, lake: Lake, full: bool = False) -> None:
     """Gold from silver: top of book rebuilt (one row per product); bars rebuilt
-    in full, or, given the trade days a silver run touched, only those days.
+    in full (``full=True`` or the first run), or only for the trade days that
+    silver touched since gold last committed. Silver logs these days before
+    it changes them and gold clears the log after its own commit, so a run
+    that dies between the two loses no day.
 
     Bars are partitioned by ``bucket_date``. A 1-minute bar depends only on
     the trades of its own day, so recomputing the touched days (silver day
@@ -166,23 +183,30 @@ def run_gold(spark: SparkSession, lake: Lake, touched_days: DataFrame | None = N
     partitions gives the same table as a full rebuild, at the cost of the
     new days instead of the whole history.
     """
-    levels = spark.read.parquet(lake.silver_levels).select(*SILVER_LEVELS_COLUMNS)
+    levels = _read(spark, lake.silver_levels, "silver.stg_orderbook_levels", SILVER_LEVELS_COLUMNS)
     full_refresh(gold.top_of_book(levels), path=lake.gold_top_of_book)
+    recover(spark, lake.silver_trades)
     trades = spark.read.parquet(lake.silver_trades)
-    if touched_days is None or not path_exists(spark, lake.gold_ohlcv):
+    logged = path_exists(spark, lake.touched_days)
+    if full or not path_exists(spark, lake.gold_ohlcv):
         bars = gold.ohlcv(trades.select(*SILVER_TRADES_COLUMNS), "1 minute")
         bars.withColumn("bucket_date", F.to_date("bucket")).write.mode("overwrite").partitionBy(
             "bucket_date"
         ).parquet(lake.gold_ohlcv)
-        return
-    src = trades.join(touched_days, on="time_date", how="left_semi").select(*SILVER_TRADES_COLUMNS)
-    bars = gold.ohlcv(src, "1 minute").withColumn("bucket_date", F.to_date("bucket"))
-    overwrite_partitions(spark, bars, lake.gold_ohlcv, "bucket_date", "gold_ohlcv")
-
-
-def run_all(spark: SparkSession, lake: Lake) -> dict[str, int]:
-    """Silver (levels, trades) then gold, in dependency order."""
+    elif logged:
+        recover(spark, lake.gold_ohlcv)
+        days = spark.read.parquet(lake.touched_days).distinct()
+        src = trades.join(days, on="time_date", how="left_semi").select(*SILVER_TRADES_COLUMNS)
+        bars = gold.ohlcv(src, "1 minute").withColumn("bucket_date", F.to_date("bucket"))
+        touched = days.select(F.col("time_date").alias("bucket_date"))
+        replace_partitions(spark, bars, lake.gold_ohlcv, "bucket_date", "gold_ohlcv", touched)
+    if logged:
+        spark.createDataFrame([], "time_date date").write.mode("overwrite").parquet(lake.touched_days)
+
+
+def run_all(spark: SparkSession, lake: Lake, full_gold: bool = False) -> dict[str, int]:
+    """Silver (levels, trades) then gold, in dependency order; ``full_gold`` rebuilds all bars."""
     levels_rows = run_silver_levels(spark, lake)
     step = silver_trades_step(spark, lake)
-    run_gold(spark, lake, touched_days=step.touched)
+    run_gold(spark, lake, full=full_gold)
     return {"silver_levels": levels_rows, "silver_trades": step.rows}

@@ -104,6 +104,17 @@ ROUTE = (
 ORACLE_SQL: dict[str, str] = {
     "ohlcv_1min": f"WITH {TRADES}, {_bars('minute')} SELECT {BAR_COLS} FROM bars",
     "ohlcv_1h": f"WITH {TRADES}, {_bars('hour')} SELECT {BAR_COLS} FROM bars",
+    "ohlcv_1d": """WITH t AS (
+  SELECT CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 3 = 0 THEN -event_id
+              ELSE event_id + 4000000000000000000 END AS trade_id,
+         event_type AS product_id, value AS price, CAST(event_id % 10 + 1 AS DOUBLE) AS size,
+         CASE WHEN event_id % 97 = 0 THEN ts ELSE date_trunc('hour', ts) END AS time
+  FROM events),
+k AS (SELECT *, coalesce(trade_id, -9223372036854775807 - 1) AS id FROM t)
+SELECT product_id, CAST(date_trunc('day', time) AS TIMESTAMP) AS bucket, arg_min(price, (time, id)) AS open, max(price) AS high,
+       min(price) AS low, arg_max(price, (time, id)) AS close, sum(size) AS volume,
+       round(sum(price * size) / nullif(sum(size), 0), 10) AS vwap, count(*) AS trade_count
+FROM k GROUP BY product_id, date_trunc('day', time)""",
     "ohlcv_resample_1h": _resample("1 HOUR"),
     "ohlcv_resample_2h": _resample("2 HOUR"),
     "last_bars": f"""WITH {TRADES}, {_bars('minute')}
@@ -185,7 +196,7 @@ SELECT product_id, side, price, size, ingest_time AS event_time, sequence FROM b
 {_latest('src', "ingest_time >= TIMESTAMP '2024-01-12'")}
 {_anti_union('tgt', 'src', LEVEL_KEYS)}""",
     "levels_upsert_guarded": f"""WITH {BOOK}, {LEVELS},
-{_latest('tgt', "ingest_time < TIMESTAMP '2024-01-16'")},
+{_latest('tgt')},
 {_latest('late', "ingest_time >= TIMESTAMP '2024-01-05' AND ingest_time < TIMESTAMP '2024-01-12'")},
 u AS (SELECT *, 0 AS src FROM tgt UNION ALL SELECT *, 1 AS src FROM late)
 SELECT product_id, side, price, size, event_time, sequence FROM (

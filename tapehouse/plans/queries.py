@@ -24,7 +24,8 @@ from tapehouse.session import scratch_path
 from tapehouse.sources.feed import file_stream
 from tapehouse.sources.publish import JSON_OPTIONS, publish_records, write_feed_files
 from tapehouse.sources.tables import full_refresh, write_day_partitioned
-from tapehouse.streaming.bronze import start_bronze
+from tapehouse.streaming import bronze as streaming
+from tapehouse.streaming.bronze import start_append
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,6 +107,20 @@ def q_ohlcv_1h(spark, sf_dir):
     return _round_vwap(gold.ohlcv(trades(spark, sf_dir), "1 hour"))
 
 
+@query("ohlcv_1d")
+def q_ohlcv_1d(spark, sf_dir):
+    """Daily bars whose order needs the ids: times cut to the hour, ids far above 2^63 / 1 day
+    in microseconds, negative ids, and null ids (at their own times)."""
+    t = trades(spark, sf_dir)
+    eid = F.col("trade_id")
+    odd = t.select(
+        F.when(eid % 97 == 0, F.lit(None)).when(eid % 3 == 0, -eid).otherwise(eid + F.lit(4 * 10**18)).alias("trade_id"),
+        "product_id", "price", "size",
+        F.when(eid % 97 == 0, F.col("time")).otherwise(F.date_trunc("hour", "time").cast("timestamp_ntz")).alias("time"),
+    )
+    return _round_vwap(gold.ohlcv(odd, "1 day"))
+
+
 @query("ohlcv_resample_1h")
 def q_resample_1h(spark, sf_dir):
     return _round_vwap(serve.resample(minute_bars(spark, sf_dir), "1 hour"))
@@ -225,10 +240,10 @@ LATE_BATCH_END = "2024-01-12 00:00:00"
 
 @query("levels_upsert_guarded")
 def q_levels_upsert_guarded(spark, sf_dir):
-    """A late batch (older messages re-sent) merged with the newer-by guard:
-    stored levels that are newer than the late rows are kept."""
+    """A late batch (older messages re-sent) merged into the whole book with the newer-by
+    guard: stored levels that are newer than the late rows are kept."""
     b = bronze_book(spark, sf_dir)
-    target = silver.silver_levels(b.where(F.col("ingest_time") < _ts(FIRST_RUN_END)))
+    target = silver.silver_levels(b)
     late = b.where((F.col("ingest_time") >= _ts(LATE_BATCH_START)) & (F.col("ingest_time") < _ts(LATE_BATCH_END)))
     return upsert.upsert(target, silver.silver_levels(late), ["product_id", "side", "price"],
                          newer_by=["event_time", "sequence"])
@@ -338,28 +353,20 @@ def q_publish_records(spark, sf_dir):
 
 # ---- streaming ingest and table round trips (write under the checkpoint dir) ----
 
-def _stream_bronze(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    ev = fx.events(spark, sf_dir)
+def _streamed(spark: SparkSession, feed: DataFrame, parse) -> DataFrame:
+    """A feed written as files, then ingested by a stream into day-partitioned bronze."""
     root = _scratch(spark, "stream")
-    write_feed_files(fx.trade_feed(ev), f"{root}/feed/trades")
-    write_feed_files(fx.book_feed(ev), f"{root}/feed/book")
-    book_q, trade_q = start_bronze(
-        file_stream(spark, f"{root}/feed/book"),
-        file_stream(spark, f"{root}/feed/trades"),
-        f"{root}/bronze/orderbook_events",
-        f"{root}/bronze/trades",
-        f"{root}/checkpoints",
-        available_now=True,
-    )
-    book_q.awaitTermination()
-    trade_q.awaitTermination()
-    return f"{root}/bronze/orderbook_events", f"{root}/bronze/trades"
+    write_feed_files(feed, f"{root}/feed")
+    start_append(
+        parse(file_stream(spark, f"{root}/feed")), checkpoint=f"{root}/checkpoint", path=f"{root}/bronze",
+        partition_by="ingest_time_date", available_now=True,
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/bronze")
 
 
 @query("stream_bronze_trades")
 def q_stream_bronze_trades(spark, sf_dir):
-    _, trades_path = _stream_bronze(spark, sf_dir)
-    b = spark.read.parquet(trades_path)
+    b = _streamed(spark, fx.trade_feed(fx.events(spark, sf_dir)), streaming.bronze_trades)
     return b.select(
         "trade_id", "sequence", "product_id", "price", "size", "side",
         F.col("time").cast("timestamp_ntz").alias("time"),
@@ -368,8 +375,8 @@ def q_stream_bronze_trades(spark, sf_dir):
 
 @query("stream_bronze_orderbook")
 def q_stream_bronze_orderbook(spark, sf_dir):
-    book_path, _ = _stream_bronze(spark, sf_dir)
-    return spark.read.parquet(book_path).select("type", "product_id", "time", "sequence")
+    b = _streamed(spark, fx.book_feed(fx.events(spark, sf_dir)), streaming.bronze_orderbook)
+    return b.select("type", "product_id", "time", "sequence")
 
 
 @query("day_partition_roundtrip")

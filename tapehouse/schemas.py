@@ -7,14 +7,13 @@ dropped from the typed columns and kept in the raw payload column.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    DoubleType,
     LongType,
     StringType,
     StructField,
     StructType,
-    TimestampType,
 )
 
+# Field names and types of the feed's messages.
 # Envelope shared by order-book messages; ``sequence`` is often absent.
 ENVELOPE_SCHEMA = StructType(
     [
@@ -56,37 +55,11 @@ TRADES_TOPIC = "trades"
 UNKNOWN_KEY = "unknown"
 NAMESPACES = ("default", "bronze", "silver", "gold")
 
-BRONZE_ORDERBOOK = StructType(
-    [
-        StructField("type", StringType()),
-        StructField("product_id", StringType()),
-        StructField("time", StringType()),
-        StructField("sequence", LongType()),
-        StructField("payload", StringType()),
-        StructField("ingest_time", TimestampType()),
-    ]
-)
-
-BRONZE_TRADES = StructType(
-    [
-        StructField("trade_id", LongType()),
-        StructField("sequence", LongType()),
-        StructField("product_id", StringType()),
-        StructField("price", DoubleType()),
-        StructField("size", DoubleType()),
-        StructField("side", StringType()),
-        StructField("time", TimestampType()),
-        StructField("raw_payload", StringType()),
-        StructField("ingest_time", TimestampType()),
-    ]
-)
-
 SILVER_TRADES_COLUMNS = [
     "trade_id", "sequence", "product_id", "price", "size", "side", "time", "ingest_time",
 ]
 SILVER_LEVELS_COLUMNS = ["product_id", "side", "price", "size", "event_time", "sequence"]
 LEVEL_KEYS = ["product_id", "side", "price"]
-TRADE_KEYS = ["trade_id"]
 
 GOLD_OHLCV_COLUMNS = [
     "product_id", "bucket", "open", "high", "low", "close", "volume", "vwap", "trade_count",

@@ -61,8 +61,3 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 def file_batch(spark: SparkSession, path: str) -> DataFrame:
     """Batch scan of the same JSON-lines feed files."""
     return spark.read.format("text").load(path)
-
-
-def kafka_value_as_string(df: DataFrame) -> DataFrame:
-    """Kafka rows with ``value`` cast from binary to string, other columns kept."""
-    return df.withColumn("value", F.col("value").cast("string"))

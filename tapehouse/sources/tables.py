@@ -8,6 +8,7 @@ connectors are configured; nothing here needs them.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -20,38 +21,18 @@ from tapehouse.session import scratch_path
 
 
 def _stage(spark: SparkSession, name: str, target: str) -> str:
-    """Staging folder for one target table under the shared checkpoint folder.
+    """Staging folder of one target table: beside a path, on the same file system.
 
-    Named by the table (a hash of its path), so runs for different tables
-    never collide, and each run overwrites its own previous stage, which
-    keeps the space used bounded.
+    A catalog table has no path of its own here; its stage is under the shared
+    checkpoint folder, named by the table. Each run overwrites its own
+    previous stage, which keeps the space used bounded.
     """
+    if "/" in target:
+        return f"{target.rstrip('/')}__stage/{name}"
     tag = hashlib.sha1(target.encode()).hexdigest()[:12]
     return scratch_path(spark, f"stage/{name}-{tag}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer partitions than the cluster has cores.
-
-    A large table already scans as many splits and is returned unchanged (no
-    shuffle); a small or unsplittable input (one row group, one gzip file)
-    would otherwise run every pre-shuffle step in a single task.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): keep the scan as is
-        return df
-    if parts < cores:
-        return df.repartition(cores)
-    return df
-
-
-def read_parquet(spark: SparkSession, path: str, spread_small: bool = True) -> DataFrame:
-    df = spark.read.parquet(path)
-    return spread(df) if spread_small else df
-
-
 def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A layer table by catalog name (``silver.stg_trades``) or by Parquet path."""
     if "/" in name_or_path:
@@ -144,31 +125,19 @@ def full_refresh(df: DataFrame, path: str | None = None, table: str | None = Non
         raise ValueError("path or table is required")
 
 
-def overwrite_from_self(spark: SparkSession, df: DataFrame, path: str, stage_name: str) -> DataFrame:
-    """Overwrite ``path`` with ``df`` when ``df`` itself reads ``path``.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a Parquet dataset; False when it is absent or holds no files.
 
-    Spark refuses to overwrite a path that the same plan reads. The result
-    is first written to a staging folder under the shared checkpoint
-    directory (which also cuts the lineage), then copied over the target.
-    Returns the re-read target.
+    Any other failure (an unreadable file, a lost connection) is raised: it
+    must not be taken for a first run.
     """
-    stage = _stage(spark, stage_name, path)
-    df.write.mode("overwrite").parquet(stage)
-    spark.read.parquet(stage).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet dataset."""
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except Exception:  # noqa: BLE001 - AnalysisException for a missing path
-        return False
+    except AnalysisException as e:
+        if str(e.getCondition()).split(".")[0] in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def filtered_scan(spark: SparkSession, path: str, condition: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -179,10 +148,12 @@ def filtered_scan(spark: SparkSession, path: str, condition: str, columns: Seque
 
 @dataclass
 class UpsertResult:
-    """Rows merged, and the partition values they touched (a small DataFrame)."""
+    """Rows merged, the partition values touched (None on the first run, which
+    writes all), and the merged source rows (None on the first run)."""
 
     rows: int
     touched: DataFrame | None
+    source: DataFrame | None = None
 
 
 def upsert_parquet(
@@ -194,68 +165,95 @@ def upsert_parquet(
     stage_name: str,
     newer_by: Sequence[str] | None = None,
     post: Callable[[DataFrame], DataFrame] | None = None,
+    also_touched: DataFrame | None = None,
+    before_commit: Callable[[DataFrame], None] | None = None,
 ) -> UpsertResult:
     """MERGE ``source`` into the partitioned Parquet table at ``path``.
 
-    Only the partitions that ``source`` touches are read (a semi-join on the
-    partition column, pruned at runtime) and rewritten (dynamic partition
-    overwrite). A key must always fall in the same partition (the partition
-    column is derived from key-determined fields, e.g. a trade's day). The
-    merged partitions are staged under the shared checkpoint folder first,
-    because Spark cannot overwrite files the same plan is reading. Returns
-    the number of source rows (0 = nothing written) and the distinct
-    partition values touched. ``post`` transforms the merged partitions
-    before they are written (e.g. dropping stale levels).
+    The partitions rewritten are those of the source rows, those in which the
+    table already holds one of their keys (a corrected row may move to
+    another partition) and those of ``also_touched`` (a frame with the
+    partition column); a null partition value is one like any other. The
+    table is read with the schema of ``source``, so partition values keep
+    their type. The merged partitions are staged beside the table, a note of
+    the pending change is stored, and only then are the partitions replaced:
+    a run that dies meanwhile is completed by the next one (``recover``).
+    Partitions left without rows are removed. ``post`` transforms the merged
+    partitions; ``before_commit`` gets the touched partitions before any
+    change is visible.
     """
     from tapehouse.operators.upsert import upsert
 
     if not path_exists(spark, path):
         source.write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return UpsertResult(spark.read.parquet(path).count(), None)
-    target = spark.read.parquet(path)
-    src = source.select(*target.columns)
+    recover(spark, path)
+    target = spark.read.schema(source.schema).parquet(path)
     staged_src = _stage(spark, f"{stage_name}-src", path)
-    src.write.mode("overwrite").parquet(staged_src)
+    source.write.mode("overwrite").parquet(staged_src)
     src = spark.read.parquet(staged_src)
     n = src.count()
-    if n == 0:
-        return UpsertResult(0, src.select(partition_col).distinct())
-    touched = src.select(partition_col).distinct()
-    affected = target.join(touched, on=partition_col, how="left_semi")
+    touched = src.select(partition_col)
+    if partition_col not in keys:
+        stored = target.join(src.select(*keys).distinct(), on=list(keys), how="left_semi")
+        touched = touched.unionByName(stored.select(partition_col))
+    if also_touched is not None:
+        touched = touched.unionByName(also_touched.select(partition_col))
+    touched_path = _stage(spark, f"{stage_name}-touched", path)
+    touched.distinct().write.mode("overwrite").parquet(touched_path)
+    touched = spark.read.parquet(touched_path)
+    if n == 0 and also_touched is None:
+        return UpsertResult(0, touched, src)
+    if before_commit is not None:
+        before_commit(touched)
+    affected = target.join(touched, target[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
     merged = upsert(affected, src, keys, newer_by=newer_by)
     if post is not None:
         merged = post(merged)
-    stage = _stage(spark, stage_name, path)
-    merged.write.mode("overwrite").parquet(stage)
-    (
-        spark.read.parquet(stage)
-        .select(*target.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(path)
-    )
-    return UpsertResult(n, touched)
+    replace_partitions(spark, merged, path, partition_col, stage_name, touched)
+    return UpsertResult(n, touched, src)
 
 
-def overwrite_partitions(
-    spark: SparkSession, df: DataFrame, path: str, partition_col: str, stage_name: str
+def replace_partitions(
+    spark: SparkSession, df: DataFrame, path: str, partition_col: str, stage_name: str, touched: DataFrame
 ) -> None:
-    """Replace only the partitions present in ``df`` (dynamic partition overwrite).
+    """Replace the ``touched`` partitions of ``path`` by the rows of ``df``, which may read ``path``.
 
-    Staged first under the checkpoint folder, so ``df`` may read ``path``.
+    Touched partitions without rows are removed.
     """
     stage = _stage(spark, stage_name, path)
     df.write.mode("overwrite").parquet(stage)
+    staged = spark.read.parquet(stage).select(F.col(partition_col).alias("_p")).distinct()
+    empty = touched.join(staged, touched[partition_col].eqNullSafe(staged["_p"]), "left_anti")
+    names = [r[0] for r in empty.select(F.col(partition_col).cast("string")).collect()]  # partition values, not rows
+    pending = json.dumps({"stage": stage, "column": partition_col, "emptied": names})
+    write_state(spark, path, PENDING, pending, "string")
+    recover(spark, path)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Complete a change of ``path`` that was staged whole but perhaps not finished."""
+    pending = read_state(spark, path, PENDING)
+    if not pending:
+        return False
+    change = json.loads(pending)
     (
-        spark.read.parquet(stage)
+        spark.read.parquet(change["stage"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
+        .partitionBy(change["column"])
         .parquet(path)
     )
+    jvm = spark._jvm
+    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for value in change["emptied"]:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{names.getPartitionPathString(change['column'], value)}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    write_state(spark, path, PENDING, None, "string")
+    return True
 
 
+PENDING = "pending"
 STATE_DIR = "_tapehouse_state"
 
 
