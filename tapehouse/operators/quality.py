@@ -1,104 +1,179 @@
 """Feed quality: sequence-gap reports, connection sessions, message counts.
 
 A per-product ``lag`` window would put every message of a product in one
-task; one hot product can hold a third of the feed. Both ordered
-operators here therefore split each key's stream into chunks of its
-arrival order (e.g. one minute), window within (key, chunk), and carry
-the state across chunk borders through a small per-chunk summary that is
-unioned back as one sentinel row per chunk. The big input is shuffled
-once, by (key, chunk), and no task ever holds more than one chunk of one
-key. Chunk widths are fitted per key to about ``rows_per_chunk`` rows
-(from one cheap pass of per-key counts and spans), so a hot key gets
-narrow chunks and a sparse key one wide chunk, which also keeps the
-summary small; ``chunk_width`` (micros for a time order, units for a
-numeric one) fixes the width instead.
+task; one hot product can hold a third of the feed, and a backfill gives a
+whole key one ``ingest_time``. Both ordered operators here therefore deal
+the rows out by ranges of their full order, (key, then every order column),
+so that a key of any size, and a key whose first order column never
+changes, spreads over as many tasks as its rows need. Each task reads its
+sorted range once, batch by batch, and keeps only the state of the run of
+equal keys that it is in. What crosses a border is carried by at most two
+rows per task (its first and its last run), a summary that grows with the
+number of tasks and not with the keys or the rows.
+
+Spark samples the key and order columns to choose the ranges, then reads
+and shuffles the rows once. The result of that pass is checkpointed under
+``spark.checkpoint.dir`` when the operator is called: rows and borders are
+both taken from it, and must see the same ranges even when an executor is
+lost between the two.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ByteType,
-    DateType,
-    IntegerType,
-    LongType,
-    ShortType,
-    TimestampNTZType,
-    TimestampType,
-)
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from tapehouse.functions import order_key
+from tapehouse.session import ensure_checkpoint_dir
 
-_TIME_TYPES = (TimestampType, TimestampNTZType, DateType)
-_INT_TYPES = (ByteType, ShortType, IntegerType, LongType)
+Batches = Iterator[pa.RecordBatch]
 
+#: What a pass adds to its rows. Rows of the input (or gaps) have no ``_run``; a border row has
+#: 0 for the first run of its task and 1 for the last, when that is another one.
+BORDER_FIELDS = [
+    StructField("_task", LongType()),
+    StructField("_run", LongType()),
+    StructField("_session", LongType()),  # markers in this run so far (border rows: in all of it)
+    StructField("_first", BooleanType()),  # in the first run of the task, whose key may have begun before
+]
 
-def _order_value(df: DataFrame, column: str) -> Column:
-    """The first order column as a number (micros for timestamps)."""
-    if isinstance(df.schema[column].dataType, _TIME_TYPES):
-        return F.unix_micros(F.col(column).cast("timestamp"))
-    return F.col(column).cast("bigint")
 
+def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
-def _default_width(df: DataFrame, column: str) -> int:
-    return 60_000_000 if isinstance(df.schema[column].dataType, _TIME_TYPES) else 100_000
 
+def _pass(df: DataFrame, fn: Callable[[Batches], Batches], fields: list[StructField]) -> DataFrame:
+    """``fn`` over the sorted ranges, all columns nullable, cut from its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    schema = StructType([StructField(f.name, f.dataType, True) for f in fields])
+    return df.mapInArrow(fn, schema).checkpoint()
 
-def _with_chunk(
-    df: DataFrame,
-    part: list[str],
-    order: Sequence[str],
-    width: int | None,
-    rows_per_chunk: int,
-    hot_keys: int,
-) -> DataFrame:
-    """Add ``_chunk``: a monotone bucket of the first order column, per key.
-
-    A fixed ``width`` buckets every key alike. Otherwise one extra pass
-    (a partial aggregation, one row per key) measures each key's rows and
-    span; the ``hot_keys`` busiest keys get a width that holds about
-    ``rows_per_chunk`` of their rows, through a broadcast of at most
-    ``hot_keys`` rows, and every other key (no busier than those) keeps the
-    default width. Without a key the stream-wide width is a scalar subquery.
+
+def _run_starts(batch: pa.RecordBatch, n_keys: int, before: tuple | None) -> np.ndarray:
+    """True where a row's key (the first ``n_keys`` columns) differs from that of the row before it.
+
+    ``before`` is the key ahead of the batch, None at the start of a task. Nulls are equal.
+    """
+    starts = np.zeros(batch.num_rows, dtype=bool)
+    starts[0] = before != _key(batch, n_keys, 0)
+    for i in range(n_keys):
+        c = batch.column(i)
+        a, b = c.slice(1), c.slice(0, len(c) - 1)
+        both_null = pc.and_(pc.is_null(a), pc.is_null(b))
+        same = pc.coalesce(pc.equal(a, b), both_null)
+        starts[1:] |= ~np.asarray(same, dtype=bool)
+    return starts
+
+
+def _key(batch: pa.RecordBatch, n_keys: int, row: int) -> tuple:
+    return tuple(batch.column(i)[row].as_py() for i in range(n_keys))
+
+
+def _markers_in_run(starts: np.ndarray, marks: np.ndarray, before: int) -> np.ndarray:
+    """Per row: markers at or before it in its run, of which ``before`` came ahead of the batch."""
+    total = np.cumsum(marks)
+    at = np.flatnonzero(starts)
+    base = np.concatenate(([-before], total[at] - marks[at]))
+    return total - base[np.cumsum(starts)]
+
+
+class _Run:
+    """The run of equal keys that a task is in: its key, markers, first and last sequence."""
+
+    def __init__(self, key: tuple, first: bool):
+        self.key, self.first = key, first
+        self.markers = 0
+        self.head: pa.RecordBatch | None = None  # first row with a sequence, if no marker came before
+        self.tail: int | None = None  # last sequence since the last marker
+
+    def extend(self, batch: pa.RecordBatch, rows: np.ndarray, session: np.ndarray, seqs: np.ndarray, end: int):
+        """Takes in a stretch ending at row ``end``; ``rows`` are those of it that have a sequence."""
+        if self.head is None and rows.size and session[rows[0]] == 0:
+            self.head = batch.slice(rows[0], 1)
+        current = rows[session[rows] == session[end]]
+        if current.size:
+            self.tail = int(seqs[current[-1]])
+        elif session[end] != self.markers:
+            self.tail = None
+        self.markers = int(session[end])
+
+
+def _gap_pass(n_keys: int, n_columns: int) -> Callable[[Batches], Batches]:
+    """Over sorted (keys, order columns, sequence, marker): the gaps inside the task and its borders.
+
+    The first ``n_columns`` columns, the last of them the sequence, are those
+    of a gap, and of a border its run's first sequence (``_tail``: the last).
     """
-    v = _order_value(df, order[0])
-    if width is not None:
-        return df.withColumn("_chunk", F.floor(v / F.lit(width)))
-    default = _default_width(df, order[0])
-    stats = df.where(v.isNotNull()).groupBy(*part).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi")
-    )
-    span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
-    fitted = F.least(span, F.ceil(span * F.lit(float(rows_per_chunk)) / F.col("_n")))
-    w_expr = F.greatest(F.lit(1.0), fitted).cast("bigint")
-    if not part:
-        w = stats.select(w_expr.alias("_w")).scalar()
-        return df.withColumn("_chunk", F.floor(v / w))
-    hot = stats.orderBy(F.col("_n").desc()).limit(hot_keys)
-    widths = hot.select(*[F.col(k).alias(f"_wk{i}") for i, k in enumerate(part)], w_expr.alias("_w"))
-    cond = None
-    for i, k in enumerate(part):
-        c = F.col(k).eqNullSafe(F.col(f"_wk{i}"))
-        cond = c if cond is None else (cond & c)
-    joined = df.join(F.broadcast(widths), on=cond, how="left")
-    return joined.withColumn(
-        "_chunk", F.floor(v / F.coalesce(F.col("_w"), F.lit(default)))
-    ).drop("_w", *[f"_wk{i}" for i in range(len(part))])
-
-
-def _last_key(df: DataFrame, order: Sequence[str]) -> Column:
-    """Single ordering value equal to sorting by ``order`` ascending."""
-    types = [df.schema[c].dataType for c in order]
-    if len(order) == 1 and isinstance(types[0], _INT_TYPES):
-        return F.col(order[0])
-    if len(order) == 1 and isinstance(types[0], _TIME_TYPES):
-        return F.unix_micros(F.col(order[0]).cast("timestamp"))
-    if len(order) == 2 and isinstance(types[0], _TIME_TYPES) and isinstance(types[1], _INT_TYPES):
-        return order_key(order[0], order[1])
-    return F.struct(*order)
+
+    def gaps(batches: Batches) -> Batches:
+        task, run, out_schema = TaskContext.get().partitionId(), None, None
+
+        def border(r: _Run) -> pa.RecordBatch:
+            if r.head is not None:
+                columns = [r.head.column(i) for i in range(n_columns)]
+            else:  # no sequence before the first marker: only the key matters
+                columns = [pa.array([v], f.type) for v, f in zip(r.key, out_schema, strict=False)]
+                columns += [pa.nulls(1, out_schema.field(i).type) for i in range(n_keys, n_columns)]
+            more = [None, r.tail, task, 0 if r.first else 1, r.markers]
+            return pa.RecordBatch.from_arrays(
+                [*columns, *(pa.array([v], pa.int64()) for v in more), pa.array([r.first])], schema=out_schema)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if out_schema is None:
+                extra = [pa.field(n, pa.int64()) for n in ("_prev", "_tail", "_task", "_run", "_session")]
+                out_schema = pa.schema([*list(batch.schema)[:n_columns], *extra, pa.field("_first", pa.bool_())])
+            starts = _run_starts(batch, n_keys, run.key if run else None)
+            segment = np.cumsum(starts)
+            has = np.flatnonzero(np.asarray(pc.is_valid(batch.column(n_columns - 1))))
+            seqs = pc.fill_null(batch.column(n_columns - 1), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            marks = np.asarray(batch.column(n_columns), dtype=bool).astype(np.int64)
+            session = _markers_in_run(starts, marks, run.markers if run else 0)
+            prev, known = np.zeros(has.size, np.int64), np.zeros(has.size, bool)
+            prev[1:] = seqs[has[:-1]]
+            known[1:] = (segment[has[1:]] == segment[has[:-1]]) & (session[has[1:]] == session[has[:-1]])
+            if has.size and segment[has[0]] == 0 and session[has[0]] == run.markers and run.tail is not None:
+                prev[0], known[0] = run.tail, True
+            # the segment (of this batch) that is the task's first run, if any row of it is here
+            first_segment = 1 if run is None else (0 if run.first else -1)
+            hit = known & (seqs[has] > prev + 1)
+            at = has[hit]
+            if at.size:
+                taken = batch.take(pa.array(at))
+                nulls = pa.nulls(at.size, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*taken.columns[:n_columns], pa.array(prev[hit]), nulls, pa.array(np.full(at.size, task)), nulls,
+                     pa.array(session[at]), pa.array(segment[at] == first_segment)], schema=out_schema)
+            # the run carried in, then the first and the last run that start here; others lie inside the task
+            bounds = np.append(np.flatnonzero(starts), batch.num_rows)
+
+            def stretch(lo, hi, to, batch=batch, has=has, session=session, seqs=seqs):
+                to.extend(batch, has[(has >= lo) & (has < hi)], session, seqs, hi - 1)
+
+            if run is not None and bounds[0] > 0:
+                stretch(0, bounds[0], run)
+            if bounds.size > 1:
+                if run is not None and run.first:
+                    yield border(run)
+                opened = run is None
+                if opened and bounds.size > 2:
+                    run = _Run(_key(batch, n_keys, 0), True)
+                    stretch(0, bounds[1], run)
+                    yield border(run)
+                    opened = False
+                run = _Run(_key(batch, n_keys, int(bounds[-2])), opened)
+                stretch(bounds[-2], bounds[-1], run)
+        if run is not None:
+            yield border(run)
+
+    return gaps
 
 
 def sequence_gaps(
@@ -107,9 +182,8 @@ def sequence_gaps(
     seq: str = "sequence",
     order: Sequence[str] = ("time",),
     session: str | None = None,
-    chunk_width: int | None = None,
-    rows_per_chunk: int = 1_000_000,
-    hot_keys: int = 1000,
+    reset: Column | None = None,
+    name: str = "session_id",
 ) -> DataFrame:
     """Report every record whose sequence jumps past ``previous + 1``.
 
@@ -120,86 +194,122 @@ def sequence_gaps(
     moves it back too. Records lacking the key or the sequence are skipped.
     ``order`` must be a total order (add a unique tie-breaker column).
 
-    Output: key, [session], order columns, seq, expected, missing.
+    ``reset`` marks the rows of a key that start a new session of it; the
+    sessions are then numbered in the same pass (column ``name``: markers of
+    the key at or before the record, as by ``session_ids``), and a marker
+    without a sequence counts too.
+
+    Output: key, [session or name], order columns, seq, expected, missing.
     """
+    if session and reset is not None:
+        raise ValueError("give session or reset, not both")
     order = list(order)
     part = [key] + ([session] if session else [])
-    base = df.where(F.col(key).isNotNull() & F.col(seq).isNotNull()).select(
-        *part, *[c for c in order if c not in part], seq
+    columns = [*part, *[c for c in order if c not in part]]
+    columns += [seq] if seq not in columns else []
+    marker = F.lit(False) if reset is None else F.coalesce(reset, F.lit(False))
+    base = df.select(*[F.col(c) for c in columns if c != seq], F.col(seq).cast("bigint").alias(seq),
+                     marker.alias("_marker"))
+    base = base.where(F.col(key).isNotNull() & (F.col(seq).isNotNull() | F.col("_marker")))
+    columns = base.columns[:-1]
+    fields = [base.schema[c] for c in columns]
+    fields += [StructField("_prev", LongType()), StructField("_tail", LongType()), *BORDER_FIELDS]
+    found = _pass(_ranged(base, [*part, *order]), _gap_pass(len(part), len(columns)), fields)
+
+    # Borders of one key in order: the last sequence before each (a marker since then forgets it), and its markers.
+    w = Window.partitionBy(*part).orderBy("_task", "_run").rowsBetween(Window.unboundedPreceding, -1)
+    state = F.when((F.col("_session") > 0) | F.col("_tail").isNotNull(), F.struct("_tail"))
+    borders = found.where("_run IS NOT NULL").select(
+        *columns, "_task", "_first",
+        F.last(state, ignorenulls=True).over(w)["_tail"].alias("_prev"),
+        F.coalesce(F.sum("_session").over(w), F.lit(0)).alias("_session"),
     )
-    base = _with_chunk(base, part, order, chunk_width, rows_per_chunk, hot_keys)
-
-    # Last sequence of every (key, chunk), then the last one of the previous
-    # non-empty chunk of the same key. One row per chunk: small.
-    last = base.groupBy(*part, "_chunk").agg(F.max_by(seq, _last_key(base, order)).alias("_last"))
-    carry = last.withColumn(
-        "_carry", F.lag("_last").over(Window.partitionBy(*part).orderBy("_chunk"))
-    ).where(F.col("_carry").isNotNull())
-    sentinels = carry.select(*part, "_chunk", F.col("_carry").alias(seq), F.lit(0).alias("_real"))
-
-    rows = base.withColumn("_real", F.lit(1)).unionByName(sentinels, allowMissingColumns=True)
-    w = Window.partitionBy(*part, "_chunk").orderBy("_real", *order)
-    prev = F.lag(seq).over(w)
-    return (
-        rows.withColumn("_prev", prev)
-        .where((F.col("_real") == 1) & (F.col(seq) > F.col("_prev") + 1))
-        .select(
-            *part,
-            *[c for c in order if c not in part],
-            seq,
-            (F.col("_prev") + 1).alias("expected"),
-            (F.col(seq) - F.col("_prev") - 1).alias("missing"),
-        )
+    across = borders.where(F.col(seq) > F.col("_prev") + 1).select(*columns, "_prev", "_session")
+    inside = found.where("_run IS NULL")
+    if reset is not None:
+        # one row per task, for the sessions that its first run continues
+        offsets = borders.where("_first AND _session > 0").select("_task", F.col("_session").alias("_before"))
+        inside = inside.join(offsets.withColumn("_first", F.lit(True)), ["_task", "_first"], "left").withColumn(
+            "_session", F.col("_session") + F.coalesce("_before", F.lit(0)))
+    out = inside.select(*columns, "_prev", "_session").unionByName(across)
+    return out.select(
+        *part,
+        *([F.col("_session").alias(name)] if reset is not None else []),
+        *[c for c in columns if c not in part and c != seq],
+        seq,
+        (F.col("_prev") + 1).alias("expected"),
+        (F.col(seq) - F.col("_prev") - 1).alias("missing"),
     )
 
 
+def _session_pass(n_keys: int, n_columns: int) -> Callable[[Batches], Batches]:
+    """Over sorted (keys, columns, marker): every row with its run's markers so far, and the task's borders."""
+
+    def numbered(batches: Batches) -> Batches:
+        task, key, markers, in_first, out_schema = TaskContext.get().partitionId(), None, 0, True, None
+
+        def border() -> pa.RecordBatch:
+            columns = [pa.array([v], f.type) for v, f in zip(key, out_schema, strict=False)]
+            columns += [pa.nulls(1, out_schema.field(i).type) for i in range(n_keys, n_columns)]
+            more = [task, 0 if in_first else 1, markers]
+            return pa.RecordBatch.from_arrays(
+                [*columns, *(pa.array([v], pa.int64()) for v in more), pa.array([in_first])], schema=out_schema)
+
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            if out_schema is None:
+                extra = [pa.field(c, pa.int64()) for c in ("_task", "_run", "_session")]
+                out_schema = pa.schema([*list(batch.schema)[:n_columns], *extra, pa.field("_first", pa.bool_())])
+            starts = _run_starts(batch, n_keys, key)
+            segment = np.cumsum(starts)
+            marks = np.asarray(batch.column(n_columns), dtype=bool).astype(np.int64)
+            session = _markers_in_run(starts, marks, markers)
+            first_segment = 1 if key is None else (0 if in_first else -1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:n_columns], pa.array(np.full(n, task)), pa.nulls(n, pa.int64()), pa.array(session),
+                 pa.array(segment == first_segment)], schema=out_schema)
+            if in_first and segment[-1] > max(first_segment, 0):  # the first run ends in this batch
+                last = np.flatnonzero(segment == first_segment)
+                if last.size:
+                    markers = int(session[last[-1]])
+                key = key if key is not None else _key(batch, n_keys, 0)
+                yield border()
+                in_first = False
+            key, markers = _key(batch, n_keys, n - 1), int(session[-1])
+        if key is not None:
+            yield border()
+
+    return numbered
+
+
 def session_ids(
     df: DataFrame,
     marker: Column,
     order: Sequence[str],
     key: str | None = None,
     name: str = "session_id",
-    chunk_width: int | None = None,
-    rows_per_chunk: int = 1_000_000,
-    hot_keys: int = 1000,
 ) -> DataFrame:
     """Running count of ``marker`` rows (e.g. snapshots = reconnects) in ``order``.
 
     Every row gets the number of markers at or before it, per ``key`` when
-    given (else over the whole stream). Computed per chunk of the order with
-    the chunk offsets carried by sentinel rows, so no task holds a whole key.
-    Without a key a chunk holds every product; its width is fitted to the
-    whole stream's rate, and the per-chunk summary is the only part ordered
-    in a single task.
+    given (else over the whole stream; rows with a null key form a key of
+    their own). ``order`` must be a total order. No task holds a whole key:
+    see the module's text.
     """
-    order = list(order)
     part = [key] if key else []
-    base = df.withColumn("_flag", F.when(marker, F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
-    base = _with_chunk(base, part, order, chunk_width, rows_per_chunk, hot_keys)
-    counts = base.groupBy(*part, "_chunk").agg(F.sum("_flag").alias("_n"))
-    before = counts.withColumn(
-        "_off",
-        F.coalesce(
-            F.sum("_n").over(
-                Window.partitionBy(*part)
-                .orderBy("_chunk")
-                .rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0).cast("bigint"),
-        ),
-    ).where(F.col("_off") > 0)
-    sentinels = before.select(*part, "_chunk", F.col("_off").alias("_flag"), F.lit(0).alias("_real"))
-    rows = base.withColumn("_real", F.lit(1)).unionByName(sentinels, allowMissingColumns=True)
-    w = (
-        Window.partitionBy(*part, "_chunk")
-        .orderBy("_real", *order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        rows.withColumn(name, F.sum("_flag").over(w))
-        .where(F.col("_real") == 1)
-        .drop("_flag", "_chunk", "_real")
-    )
+    columns = [*part, *[c for c in df.columns if c not in part]]
+    base = df.select(*columns, F.coalesce(marker, F.lit(False)).alias("_marker"))
+    fields = [*(base.schema[c] for c in columns), *BORDER_FIELDS]
+    found = _pass(_ranged(base, [*part, *order]), _session_pass(len(part), len(columns)), fields)
+    # without a key all borders, two per task at most, are one ordered list
+    w = Window.partitionBy(*part).orderBy("_task", "_run").rowsBetween(Window.unboundedPreceding, -1)
+    borders = found.where("_run IS NOT NULL").withColumn("_before", F.sum("_session").over(w))
+    offsets = borders.where("_first AND _before > 0").select("_task", "_first", "_before")
+    rows = found.where("_run IS NULL").join(offsets, ["_task", "_first"], "left")
+    number = F.col("_session") + F.coalesce("_before", F.lit(0))
+    return rows.select(*df.columns, number.alias(name))
 
 
 def observe_feed(df: DataFrame, name: str = "feed", type_col: str = "type") -> DataFrame:

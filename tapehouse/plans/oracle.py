@@ -232,6 +232,15 @@ s AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_id
   FROM book)
 """ + _gaps("s", ["product_id", "session_id"], ["ingest_time", "msg_offset"]),
+    "session_numbers": f"""WITH {BOOK}
+SELECT type, product_id, ingest_time, msg_offset,
+       CAST(sum(CASE WHEN type = 'snapshot' THEN 1 ELSE 0 END) OVER (
+         PARTITION BY product_id ORDER BY ingest_time, msg_offset
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_id
+FROM book""",
+    "sequence_gaps_backfill": f"""WITH {TRADES},
+b AS (SELECT * REPLACE (CAST(date_trunc('year', ingest_time) AS TIMESTAMP) AS ingest_time) FROM trades)
+""" + _gaps("b", ["product_id"], ["ingest_time", "trade_id"]),
     "feed_sequence_gaps": f"""WITH m AS (
   SELECT event_id AS msg_offset, ts AS ingest_time, {MIXED_TYPE_SQL} AS type,
          event_type AS product_any, event_id AS sequence FROM events),

@@ -291,14 +291,27 @@ def q_sequence_gaps(spark, sf_dir):
 @query("sequence_gaps_by_session")
 def q_sequence_gaps_by_session(spark, sf_dir):
     env = bronze_book(spark, sf_dir).select("type", "product_id", "sequence", "ingest_time", "msg_offset")
-    sess = quality.session_ids(
-        env, F.col("type") == "snapshot", order=["ingest_time", "msg_offset"], key="product_id"
-    )
     return quality.sequence_gaps(
-        sess, key="product_id", seq="sequence", order=["ingest_time", "msg_offset"], session="session_id"
+        env, key="product_id", seq="sequence", order=["ingest_time", "msg_offset"], reset=F.col("type") == "snapshot"
+    )
+
+
+@query("session_numbers")
+def q_session_numbers(spark, sf_dir):
+    """Every order-book message with its connection's number, by product."""
+    env = bronze_book(spark, sf_dir).select("type", "product_id", "ingest_time", "msg_offset")
+    return quality.session_ids(
+        env, F.col("type") == "snapshot", order=["ingest_time", "msg_offset"], key="product_id"
     )
 
 
+@query("sequence_gaps_backfill")
+def q_sequence_gaps_backfill(spark, sf_dir):
+    """Gaps when a backfill gave all messages one ingest time: only the offset orders them."""
+    t = trades(spark, sf_dir).withColumn("ingest_time", F.date_trunc("year", F.col("ingest_time")).cast("timestamp_ntz"))
+    return quality.sequence_gaps(t, key="product_id", seq="sequence", order=["ingest_time", "trade_id"])
+
+
 @query("feed_sequence_gaps")
 def q_feed_sequence_gaps(spark, sf_dir):
     """The feed bridge's check: heartbeat and book messages, reset on every reconnect

@@ -1,15 +1,24 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tapehouse.operators.quality import sequence_gaps, session_ids
+from tapehouse.operators.quality import _ranged, sequence_gaps, session_ids
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "product_id string, sequence long, time timestamp, off long"
 
 
+@pytest.fixture(autouse=True)
+def several_tasks(spark):
+    """Small inputs stay spread over tasks, so that runs cross their borders."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def stream(spark, seqs, product="A", step_s=1):
     return spark.createDataFrame(
         [(product, s, T0 + dt.timedelta(seconds=i * step_s), i) for i, s in enumerate(seqs)], SCHEMA)
@@ -34,8 +43,7 @@ def test_simple_gap_and_null_rows_skipped(spark):
     assert gaps(df) == [(5, 3, 2)]
 
 
-def test_gap_across_chunk_borders(spark):
-    # one message every 50 s; chunks of one minute hold one or two messages
+def test_gap_across_task_borders(spark):
     assert gaps(stream(spark, [1, 2, 4, 5, 9, 10, 11, 20], step_s=50)) == [(4, 3, 1), (9, 6, 3), (20, 12, 8)]
 
 
@@ -53,7 +61,7 @@ def _brute_gaps(df, part, order):
                   for r in b.where(F.col("sequence") > F.col("prev") + 1).collect())
 
 
-def test_chunked_equals_single_window_with_hot_key(spark):
+def test_equals_single_window_with_hot_key(spark):
     rnd = random.Random(7)
     data = []
     for i in range(3000):
@@ -61,16 +69,81 @@ def test_chunked_equals_single_window_with_hot_key(spark):
         s = None if rnd.random() < 0.05 else i + rnd.choice([0, 0, 0, 1, 2, -3])
         data.append((p, s, T0 + dt.timedelta(seconds=rnd.randint(0, 7200)), i))
     df = spark.createDataFrame(data, SCHEMA)
-    expect = _brute_gaps(df, ["product_id"], ["time", "off"])
-    for width in (None, 10_000_000, 1_000_000_000):  # default minute, 10 s, ~17 min chunks
-        out = sequence_gaps(df, order=["time", "off"], chunk_width=width)
-        got = sorted((r["product_id"], r["off"], r["sequence"], r["expected"]) for r in out.collect())
-        assert got == expect
+    for order in (["time", "off"], ["off"]):
+        got = sequence_gaps(df, order=order)
+        got = sorted((r["off"], r["sequence"], r["expected"]) for r in got.select(
+            "off", "sequence", "expected").collect())
+        assert got == sorted(x[1:] for x in _brute_gaps(df, ["product_id"], order))
+
+
+def test_one_arrival_time_spreads_over_tasks(spark):
+    """A backfill: one key, one ingest time. No task gets more than its share of the rows."""
+    df = spark.range(40000).select(
+        F.lit("A").alias("product_id"), (F.col("id") + F.floor(F.col("id") / 1000)).alias("sequence"),
+        F.lit(T0).alias("time"), F.col("id").alias("off"))
+    out = sequence_gaps(df, order=["time", "off"])
+    assert sorted(r["off"] for r in out.collect()) == list(range(1000, 40000, 1000))
+    sizes = _ranged(df, ["product_id", "time", "off"]).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 20000
+
+
+def test_many_keys_over_few_batches(spark):
+    """5000 keys in small batches: runs end inside, at and across batches and tasks."""
+    df = spark.range(20000).select(
+        F.concat(F.lit("K"), (F.col("id") % 5000).cast("string")).alias("product_id"),
+        (F.col("id") + F.when(F.col("id") % 7 == 0, 3).otherwise(0)).alias("sequence"),
+        F.lit(T0).alias("time"), F.col("id").alias("off"), (F.col("id") % 11 == 0).alias("mark"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = sequence_gaps(df, order=["time", "off"], reset=F.col("mark")).select("off", "session_id", "expected")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(tuple(r) for r in got.collect()) == _brute_sessions(df, ["time", "off"])
+
+
+def _brute_sessions(df, order):
+    run = Window.partitionBy("product_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    s = df.withColumn("s", F.sum(F.col("mark").cast("long")).over(run)).where("sequence IS NOT NULL")
+    prev = F.lag("sequence").over(Window.partitionBy("product_id", "s").orderBy(*order))
+    b = s.withColumn("prev", prev).where("sequence > prev + 1 AND product_id IS NOT NULL")
+    return sorted((r["off"], r["s"], r["prev"] + 1) for r in b.collect())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_reset_numbers_sessions_in_the_same_pass(spark, seed):
+    rnd = random.Random(seed)
+    data = []
+    for i in range(600):
+        p = rnd.choice(["HOT"] * 6 + ["B", "C", "D", None])
+        s = None if rnd.random() < 0.4 else i * 2 + rnd.choice([0, -1, -2])
+        data.append((p, s, T0 + dt.timedelta(seconds=rnd.randint(0, 20)), i, rnd.random() < (0.02, 0.3)[seed % 2]))
+    df = spark.createDataFrame(data, SCHEMA + ", mark boolean").repartition(3)
+    order = ["time", "off"]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str((2, 7, 50, 10000)[seed]))
+    try:
+        got = sequence_gaps(df, order=order, reset=F.col("mark"))
+        numbers = {k: session_ids(df, F.col("mark"), order, key=k) for k in ("product_id", None)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r["off"], r["session_id"], r["expected"]) for r in got.collect()) == _brute_sessions(df, order)
+    for key, out in numbers.items():
+        w = Window.partitionBy(*([key] if key else [])).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        expect = df.withColumn("session_id", F.sum(F.col("mark").cast("long")).over(w))
+        assert out.columns == expect.columns
+        assert sorted(out.collect(), key=lambda r: r["off"]) == sorted(expect.collect(), key=lambda r: r["off"])
+
+
+def test_empty_feed(spark):
+    df = stream(spark, [1]).where("off > 5")
+    assert sequence_gaps(df, order=["time"]).count() == 0
+    assert sequence_gaps(df, order=["time"], reset=F.col("off") == 0).columns == [
+        "product_id", "session_id", "time", "sequence", "expected", "missing"]
+    assert session_ids(df, F.col("off") == 0, ["time"]).count() == 0
 
 
 def test_numeric_order_column(spark):
     df = stream(spark, [1, 2, 4, 5, 9]).drop("time")
-    out = sequence_gaps(df, order=["off"], chunk_width=2)
+    out = sequence_gaps(df, order=["off"])
     assert sorted((r["sequence"], r["missing"]) for r in out.collect()) == [(4, 1), (9, 3)]
 
 
@@ -82,29 +155,7 @@ def test_session_ids_match_running_sum(spark):
     w = Window.partitionBy("product_id").orderBy("time", "off").rowsBetween(Window.unboundedPreceding, 0)
     expect = sorted((r["off"], r["s"]) for r in df.withColumn(
         "s", F.sum(F.when(F.col("type") == "snapshot", 1).otherwise(0)).over(w)).collect())
-    for width in (None, 30_000_000):
-        got = session_ids(df, F.col("type") == "snapshot", ["time", "off"], key="product_id", chunk_width=width)
-        assert sorted((r["off"], r["session_id"]) for r in got.collect()) == expect
+    got = session_ids(df, F.col("type") == "snapshot", ["time", "off"], key="product_id")
+    assert sorted((r["off"], r["session_id"]) for r in got.collect()) == expect
     glob = session_ids(df, F.col("type") == "snapshot", ["time", "off"])
     assert glob.agg(F.max("session_id")).first()[0] == df.where("type = 'snapshot'").count()
-
-
-def test_adaptive_chunks_small_target(spark):
-    rnd = random.Random(11)
-    data = []
-    for i in range(2000):
-        p = "HOT" if rnd.random() < 0.7 else rnd.choice(["B", "C"])
-        s = i + rnd.choice([0, 0, 1, 3, -2])
-        data.append((p, s, T0 + dt.timedelta(seconds=rnd.randint(0, 20000)), i))
-    df = spark.createDataFrame(data, SCHEMA)
-    expect = _brute_gaps(df, ["product_id"], ["time", "off"])
-    for target, hot in ((25, 1000), (25, 1), (10**6, 1000)):
-        out = sequence_gaps(df, order=["time", "off"], rows_per_chunk=target, hot_keys=hot)
-        got = sorted((r["product_id"], r["off"], r["sequence"], r["expected"]) for r in out.collect())
-        assert got == expect
-    sess = session_ids(df.withColumn("type", F.when(F.col("off") % 97 == 0, "snapshot")),
-                       F.col("type") == "snapshot", ["time", "off"], rows_per_chunk=30)
-    w = Window.orderBy("time", "off").rowsBetween(Window.unboundedPreceding, 0)
-    ref = df.withColumn("s", F.sum(F.when(F.col("off") % 97 == 0, 1).otherwise(0)).over(w))
-    assert sorted((r["off"], r["session_id"]) for r in sess.collect()) == sorted(
-        (r["off"], r["s"]) for r in ref.collect())
