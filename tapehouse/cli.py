@@ -3,6 +3,7 @@
   python -m tapehouse bronze --lake ROOT --checkpoints DIR (--kafka HOST:PORT | --book-files DIR --trade-files DIR)
                              [--available-now] [--trigger "10 seconds"]
   python -m tapehouse layers --lake ROOT [--reset-on-snapshot] [--guard-late-levels]
+                             [--ingest-watermark] [--full-gold]
 
 ``bronze`` starts both ingest streams and blocks until either stops (a
 failure of one stops the job). ``layers`` runs silver then gold once; run it
@@ -44,11 +45,12 @@ def _bronze(args: argparse.Namespace) -> None:
 def _layers(args: argparse.Namespace) -> None:
     spark = build_session("tapehouse-layers")
     lake = Lake(args.lake)
-    if args.reset_on_snapshot or args.guard_late_levels:
+    if args.reset_on_snapshot or args.guard_late_levels or args.ingest_watermark:
         levels_rows = run_silver_levels(
             spark, lake,
             newer_by=["event_time", "sequence"] if args.guard_late_levels else None,
             reset_on_snapshot=args.reset_on_snapshot,
+            watermark="ingest_time" if args.ingest_watermark else "event_time",
         )
         step = silver_trades_step(spark, lake)
         run_gold(spark, lake, full=args.full_gold)
@@ -74,6 +76,7 @@ def main(argv: list[str] | None = None) -> None:
     la.add_argument("--lake", required=True)
     la.add_argument("--reset-on-snapshot", action="store_true")
     la.add_argument("--guard-late-levels", action="store_true")
+    la.add_argument("--ingest-watermark", action="store_true", help="bound the levels' increments by ingest time alone")
     la.add_argument("--full-gold", action="store_true", help="rebuild all bars, not only those of touched days")
     la.set_defaults(fn=_layers)
     args = p.parse_args(argv)

@@ -60,13 +60,15 @@ def with_direction(bars: DataFrame) -> DataFrame:
     return bars.withColumn("direction", bar_direction("open", "close"))
 
 
-def ladder(levels: DataFrame, depth: int = 10) -> DataFrame:
-    """Top ``depth`` active levels per (product_id, side).
+def ladder(levels: DataFrame, depth: int = 10, product_id: str | None = None) -> DataFrame:
+    """Top ``depth`` active levels per (product_id, side), of one product when given.
 
     Bids by price descending, asks ascending; ``level`` is 1-based. One
     window serves both sides by ranking on a signed price, and Spark cuts
     each side to ``depth`` rows per map partition before the shuffle.
     """
+    if product_id is not None:
+        levels = levels.where(F.col("product_id") == product_id)
     rank_price = F.when(F.col("side") == "buy", -F.col("price")).otherwise(F.col("price"))
     w = Window.partitionBy("product_id", "side").orderBy(
         rank_price.asc_nulls_last(), F.col("size").desc_nulls_last()
@@ -90,13 +92,20 @@ def ladder_spread(ladder_df: DataFrame) -> DataFrame:
     )
 
 
-def ticker(bars: DataFrame, asof: Column | str | datetime, window: timedelta = timedelta(hours=24)) -> DataFrame:
-    """Rolling ticker per product over bars with ``bucket >= asof - window``.
+def ticker(
+    bars: DataFrame,
+    asof: Column | str | datetime,
+    window: timedelta = timedelta(hours=24),
+    product_id: str | None = None,
+) -> DataFrame:
+    """Rolling ticker per product (or of one) over bars with ``bucket >= asof - window``.
 
     last_price is the close of the newest bar, first_close the close of the
     oldest (the change is close-to-close), change_pct guards a zero first
     close with 0.0; high/low/volume are max/min/sum.
     """
+    if product_id is not None:
+        bars = bars.where(F.col("product_id") == product_id)
     cutoff = lookback(_ts(asof), window)
     b = F.unix_micros(F.col("bucket").cast("timestamp"))
     return (
@@ -113,8 +122,8 @@ def ticker(bars: DataFrame, asof: Column | str | datetime, window: timedelta = t
     )
 
 
-def ticker_24h(bars: DataFrame, asof: Column | str | datetime) -> DataFrame:
-    return ticker(bars, asof, timedelta(hours=24))
+def ticker_24h(bars: DataFrame, asof: Column | str | datetime, product_id: str | None = None) -> DataFrame:
+    return ticker(bars, asof, timedelta(hours=24), product_id)
 
 
 def latest_bucket(trades: DataFrame, interval_seconds: int = 60, time_col: str = "time") -> Column:

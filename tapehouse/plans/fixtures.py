@@ -16,11 +16,16 @@ mapped row by row onto feed messages, so every view grows with the table:
 - mixed feed: every message kind (snapshot, l2update, match, last_match,
   heartbeat, subscriptions, error) for routing and counting.
 
+- rough book and rough trade feeds: the same events as a live feed sends them,
+  as binary text: several levels a message, empty, missing and short arrays,
+  broken prices and times, missing products and ids, an exchange clock that
+  differs from the ingest clock, tied ingest times, re-deliveries, zero sizes.
+
 The same mapping rules are written as SQL in ``tapehouse.plans.oracle``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.functions import iso_utc
@@ -150,3 +155,74 @@ def mixed_feed(ev: DataFrame) -> DataFrame:
     return ev.select(
         msg.alias("value"), F.col("event_id").alias("msg_offset"), F.col("ts").alias("ingest_time")
     )
+
+
+def _text(*parts) -> Column:
+    """Concatenated JSON text; plain strings are literals."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def _rough_clocks() -> tuple[Column, Column]:
+    """(ingest time: cut to the minute, message time as text: up to two minutes ahead, broken for every 17th)."""
+    eid = F.col("event_id")
+    ingest = (F.date_trunc("minute", "ts") + F.expr("INTERVAL 1 MINUTE")).cast("timestamp_ntz")
+    moved = F.col("ts") + F.expr("make_dt_interval(0, 0, CAST(event_id % 3 AS INT))")
+    return ingest, F.when(eid % 17 == 0, F.lit("nope")).otherwise(iso_utc(moved))
+
+
+def rough_book_feed(ev: DataFrame) -> DataFrame:
+    """Raw order-book messages as binary (value, msg_offset, ingest_time), see the module's text."""
+    eid, user = F.col("event_id"), F.col("user_id")
+    ingest, time = _rough_clocks()
+    product = F.when(eid % 43 == 0, F.lit("null")).otherwise(_text('"P', user % 5, '"'))
+    base = F.round("value", 0).cast("bigint")
+
+    def entries(n, side):
+        def one(i):
+            price = F.when((eid + i) % 37 == 0, F.lit("abc")).otherwise((base + i).cast("string"))
+            size = F.when((eid + i) % 31 == 0, F.lit("")).otherwise(_text(',"', (eid + i) % 4, '"'))
+            return _text("[", side(i), '"', price, '"', size, "]")
+
+        some = F.filter(F.array(*[F.lit(i).cast("bigint") for i in range(1, 5)]), lambda i: i <= n)
+        return F.concat_ws(",", F.transform(some, one))
+
+    def no_side(i):
+        return F.lit("")
+
+    def either(i):
+        return F.when((eid + i) % 2 == 0, F.lit('"buy",')).otherwise(F.lit('"sell",'))
+
+    snapshot = _text('{"type":"snapshot","product_id":', product, ',"time":"', time, '","bids":[',
+                     entries(user % 4, no_side), '],"asks":[', entries(user % 3, no_side), "]}")
+    changes = F.when(eid % 29 == 0, F.lit("")).otherwise(_text(',"changes":[', entries(eid % 5, either), "]"))
+    update = _text('{"type":"l2update","product_id":', product, ',"time":"', time, '","sequence":', eid, changes, "}")
+    value = F.when(eid % SNAPSHOT_EVERY == 0, snapshot).otherwise(update)
+    return ev.select(value.cast("binary").alias("value"), eid.alias("msg_offset"), ingest.alias("ingest_time"))
+
+
+def rough_trade_feed(ev: DataFrame, corrected: bool = False) -> DataFrame:
+    """Raw trade messages as binary (value, msg_offset, ingest_time), see the module's text.
+
+    Every fifth trade comes twice within one ingest time, the second with the
+    next sequence and a price one higher. ``corrected`` adds, 40 days later,
+    every eleventh trade with a time one day on.
+    """
+    eid = F.col("event_id")
+    ingest, _ = _rough_clocks()
+
+    def message(add: int, days: int):
+        time = F.when(eid % 31 == 0, F.lit("nope")).otherwise(iso_utc(F.col("ts") + F.expr(f"INTERVAL {days} DAY")))
+        return _text(
+            '{"type":"match","trade_id":', F.when(eid % 23 == 0, F.lit("null")).otherwise(eid.cast("string")),
+            ',"sequence":', eid + add, ',"product_id":', F.when(eid % 29 == 0, F.lit("null")).otherwise(
+                _text('"', F.col("event_type"), '"')),
+            ',"price":"', F.round("value", 0).cast("bigint") + add, '","size":"', eid % 2,
+            '","side":"buy","time":"', time, '"}').cast("binary").alias("value")
+
+    one = ev.select(message(0, 0), eid.alias("msg_offset"), ingest.alias("ingest_time"))
+    two = ev.where(eid % 5 == 0).select(message(1, 0), eid.alias("msg_offset"), ingest.alias("ingest_time"))
+    feed = one.unionByName(two)
+    if corrected:
+        late = (ingest + F.expr("INTERVAL 40 DAY")).alias("ingest_time")
+        feed = feed.unionByName(ev.where(eid % 11 == 0).select(message(2, 1), eid.alias("msg_offset"), late))
+    return feed

@@ -72,7 +72,7 @@ def _read(spark: SparkSession, path: str, table: str, columns: list[str]) -> Dat
     return spark.read.schema(TABLE_DDL[table]).parquet(path).select(*columns)
 
 
-HWM = "hwm"
+HWM, INGEST_HWM = "hwm", "hwm_ingest"
 
 
 def _bounded(bronze: DataFrame, bound) -> DataFrame:
@@ -141,9 +141,15 @@ def run_silver_levels(
     snapshot_time: str = "ingest",
     newer_by: list[str] | None = None,
     reset_on_snapshot: bool = False,
+    watermark: str = "event_time",
 ) -> int:
     """Incremental silver order-book levels; partitioned by product.
 
+    The default bound is the source system's: ingest times against the
+    levels' largest event time, so an exchange clock that runs ahead skips
+    messages. ``watermark="ingest_time"`` compares ingest times alone: the
+    largest one of a run's messages is stored once the run has committed.
+
     ``newer_by=["event_time", "sequence"]`` keeps a stored level when an
     arriving one is older (the default replaces unconditionally);
     ``reset_on_snapshot=True`` also drops stored levels older than a newer
@@ -151,9 +157,16 @@ def run_silver_levels(
     """
     bronze = spark.read.parquet(lake.bronze_orderbook)
     target = _read(spark, lake.silver_levels, "silver.stg_orderbook_levels", SILVER_LEVELS_COLUMNS)
-    # Source system's rule: bronze ingest time against the levels' max(event_time).
-    bound = _bound(spark, lake.silver_levels, target, "event_time")
-    inc = _bounded(bronze, bound)
+    by_ingest = watermark == "ingest_time"
+    if by_ingest:
+        bound = None if target is None else read_state(spark, lake.silver_levels, INGEST_HWM)
+        inc = _bounded(bronze, bound)
+        newest = inc.agg(F.max("ingest_time")).first()[0]
+        if newest is not None:  # messages that arrive meanwhile are the next run's
+            inc = inc.where(F.col("ingest_time") <= F.lit(newest).cast(bronze.schema["ingest_time"].dataType))
+    else:
+        bound = _bound(spark, lake.silver_levels, target, "event_time")
+        inc = _bounded(bronze, bound)
     src = silver.silver_levels(inc, None, snapshot_time=snapshot_time, reset_on_snapshot=reset_on_snapshot)
     post = snaps = None
     if reset_on_snapshot:
@@ -166,7 +179,10 @@ def run_silver_levels(
         spark, lake.silver_levels, src, LEVEL_KEYS, "product_id", "silver_levels",
         newer_by=newer_by, post=post, also_touched=snaps,
     )
-    _commit_bound(spark, lake.silver_levels, "event_time", bound, res)
+    if not by_ingest:
+        _commit_bound(spark, lake.silver_levels, "event_time", bound, res)
+    elif newest is not None:
+        write_state(spark, lake.silver_levels, INGEST_HWM, newest, "timestamp")
     return res.rows
 
 

@@ -96,6 +96,54 @@ WHERE {seq} > prev + 1"""
 MIXED = f"""mixed AS (
   SELECT event_id AS msg_offset, {MIXED_TYPE_SQL} AS type FROM events)"""
 
+RB = """rb AS (
+  SELECT event_id AS e, user_id AS u, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS ingest_time,
+         CASE WHEN event_id % 17 = 0 THEN NULL ELSE ts + INTERVAL (event_id % 3) MINUTE END AS sent,
+         CASE WHEN event_id % 43 = 0 THEN NULL ELSE 'P' || CAST(user_id % 5 AS VARCHAR) END AS product_id,
+         CAST(round(value, 0) AS BIGINT) AS base, event_id % 50 = 0 AS snap
+  FROM events),
+rc AS (SELECT *, CASE WHEN sent IS NULL THEN 'nope' ELSE strftime(sent, '%Y-%m-%dT%H:%M:%S.%fZ') END AS time FROM rb)"""
+RL = RB + """,
+entries AS (
+  SELECT *, 'buy' AS side FROM rc, range(1, 5) r(i) WHERE snap AND i <= u % 4
+  UNION ALL SELECT *, 'sell' AS side FROM rc, range(1, 5) r(i) WHERE snap AND i <= u % 3
+  UNION ALL SELECT *, CASE WHEN (e + i) % 2 = 0 THEN 'buy' ELSE 'sell' END AS side
+  FROM rc, range(1, 5) r(i) WHERE NOT snap AND e % 29 <> 0 AND i <= e % 5),
+levels AS (
+  SELECT product_id, side, CASE WHEN (e + i) % 37 = 0 THEN NULL ELSE CAST(base + i AS DOUBLE) END AS price,
+         CASE WHEN (e + i) % 31 = 0 THEN NULL ELSE CAST((e + i) % 4 AS DOUBLE) END AS size,
+         CASE WHEN snap THEN ingest_time ELSE coalesce(sent, ingest_time) END AS event_time,
+         CASE WHEN snap THEN NULL ELSE e END AS sequence, ingest_time
+  FROM entries)"""
+
+
+def _entry(side: str) -> str:
+    return f"""'[' || {side} || '"' || CASE WHEN (e + i) % 37 = 0 THEN 'abc' ELSE CAST(base + i AS VARCHAR) END || '"'
+      || CASE WHEN (e + i) % 31 = 0 THEN '' ELSE ',"' || CAST((e + i) % 4 AS VARCHAR) || '"' END || ']'"""
+
+
+def _entries(n: str, side: str) -> str:
+    return f"array_to_string(list_transform(range(1, least({n}, 4) + 1), lambda i: {_entry(side)}), ',')"
+
+
+def _rt(corrected: bool = False) -> str:
+    sends = "VALUES (0, 0), (1, 0), (2, 1)" if corrected else "VALUES (0, 0), (1, 0)"
+    return f"""rt AS (
+  SELECT CASE WHEN event_id % 23 = 0 THEN NULL ELSE event_id END AS trade_id, event_id + added AS sequence,
+         CASE WHEN event_id % 29 = 0 THEN NULL ELSE event_type END AS product_id,
+         CAST(CAST(round(value, 0) AS BIGINT) + added AS DOUBLE) AS price, CAST(event_id % 2 AS DOUBLE) AS size,
+         'buy' AS side, CASE WHEN event_id % 31 = 0 THEN NULL ELSE ts + INTERVAL (days) DAY END AS time,
+         date_trunc('minute', ts) + INTERVAL 1 MINUTE + INTERVAL (days * 40) DAY AS ingest_time,
+         event_id AS msg_offset, event_type, value, added
+  FROM events, ({sends}) sends(added, days)
+  WHERE added = 0 OR (added = 1 AND event_id % 5 = 0) OR (added = 2 AND event_id % 11 = 0)),
+clean AS (
+  SELECT trade_id, sequence, product_id, price, size, side, time, ingest_time FROM (
+    SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY ingest_time DESC, sequence DESC) AS rn
+    FROM rt WHERE trade_id IS NOT NULL AND product_id IS NOT NULL AND time IS NOT NULL)
+  WHERE rn = 1)"""
+
+
 ROUTE = (
     "CASE WHEN type IN ('snapshot', 'l2update') THEN 'orderbook' "
     "WHEN type IN ('match', 'last_match') THEN 'trades' END"
@@ -265,4 +313,61 @@ SELECT *, CAST(time AS DATE) AS time_date FROM trades""",
     "full_refresh_roundtrip": f"WITH {TRADES}, {_bars('minute')} SELECT {BAR_COLS} FROM bars",
     "publish_records": f"""WITH {TRADES}
 SELECT coalesce(product_id, 'unknown') AS key, trade_id, price, size, side, time FROM trades""",
+    "rough_envelope_parse": f"""WITH {RB}
+SELECT CASE WHEN snap THEN 'snapshot' ELSE 'l2update' END AS type, product_id, time,
+       CASE WHEN snap THEN NULL ELSE e END AS sequence,
+       '{{"type":"' || CASE WHEN snap THEN 'snapshot' ELSE 'l2update' END || '","product_id":'
+         || coalesce('"' || product_id || '"', 'null') || ',"time":"' || time || '",'
+         || CASE WHEN snap
+              THEN '"bids":[' || {_entries('u % 4', "''")} || '],"asks":[' || {_entries('u % 3', "''")} || ']'
+              ELSE '"sequence":' || CAST(e AS VARCHAR) || CASE WHEN e % 29 = 0 THEN '' ELSE ',"changes":['
+                || {_entries('e % 5', "CASE WHEN (e + i) % 2 = 0 THEN '\"buy\",' ELSE '\"sell\",' END")} || ']' END
+            END || '}}' AS payload,
+       ingest_time, e AS msg_offset
+FROM rc""",
+    "rough_trade_parse": f"""WITH {_rt()}
+SELECT trade_id, sequence, product_id, price, size, side, time, ingest_time, msg_offset,
+       '{{"type":"match","trade_id":' || coalesce(CAST(trade_id AS VARCHAR), 'null') || ',"sequence":'
+         || CAST(sequence AS VARCHAR) || ',"product_id":' || coalesce('"' || product_id || '"', 'null')
+         || ',"price":"' || CAST(CAST(price AS BIGINT) AS VARCHAR) || '","size":"' || CAST(CAST(size AS BIGINT) AS VARCHAR)
+         || '","side":"buy","time":"' || coalesce(strftime(time, '%Y-%m-%dT%H:%M:%S.%fZ'), 'nope') || '"}}' AS raw_payload
+FROM rt""",
+    "rough_trades_clean": f"WITH {_rt()} SELECT * FROM clean",
+    "rough_bars": f"WITH {_rt()}, trades AS (SELECT * FROM clean), {_bars('minute')} SELECT {BAR_COLS} FROM bars",
+    "rough_levels_flatten": f"WITH {RL} SELECT product_id, side, price, size, event_time, sequence FROM levels",
+    "rough_levels_latest": f"WITH {RL}, {_latest('latest')} SELECT * FROM latest",
+    "rough_levels_incremental": f"""WITH {RL}, {_latest('first_run', "ingest_time < TIMESTAMP '2024-01-16'")},
+{_latest('second_run', "ingest_time > (SELECT max(event_time) FROM first_run)")} SELECT * FROM second_run""",
+    "rough_levels_ingest_bound": f"""WITH {RL}
+SELECT product_id, side, price, size, event_time, sequence, ingest_time FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY product_id, side, price
+    ORDER BY event_time DESC NULLS LAST, sequence DESC NULLS LAST, size DESC NULLS LAST) AS rn
+  FROM levels WHERE ingest_time > (SELECT max(ingest_time) FROM levels WHERE ingest_time < TIMESTAMP '2024-01-16'))
+WHERE rn = 1""",
+    "rough_top_of_book": f"""WITH {RL}, {_latest('latest')},
+per_product AS (
+  SELECT product_id, max(CASE WHEN side = 'buy' THEN price END) AS best_bid,
+         min(CASE WHEN side = 'sell' THEN price END) AS best_ask
+  FROM latest WHERE size > 0 GROUP BY product_id)
+SELECT product_id, best_bid, best_ask, best_ask - best_bid AS spread FROM per_product""",
+    "pipeline_silver_trades": f"WITH {_rt(True)} SELECT trade_id, sequence, product_id, price, size, time FROM clean",
+    "pipeline_silver_levels": f"""WITH {RL}, {_latest('first_run', "ingest_time < TIMESTAMP '2024-01-16'")},
+{_latest('second_run', "ingest_time > (SELECT max(event_time) FROM first_run)")}
+{_anti_union('first_run', 'second_run', LEVEL_KEYS)}""",
+    "pipeline_gold": f"WITH {_rt(True)}, trades AS (SELECT * FROM clean), {_bars('minute')} SELECT {BAR_COLS} FROM bars",
+    "recent_trades_product": f"""WITH {TRADES},
+c AS (SELECT max(time) - INTERVAL '7200' MINUTE AS since FROM trades)
+SELECT product_id, time, side, price, size, trade_id FROM trades, c
+WHERE time >= since AND product_id = 'purchase' ORDER BY time DESC, trade_id DESC LIMIT 30""",
+    "ticker_24h_product": f"""WITH {TRADES}, {_bars('minute')},
+a AS (SELECT max(bucket) AS asof_ts FROM bars),
+t AS (
+  SELECT product_id, arg_max(close, bucket) AS last_price, arg_min(close, bucket) AS first_close,
+         max(high) AS high_24h, min(low) AS low_24h, sum(volume) AS volume_24h
+  FROM bars, a WHERE bucket >= asof_ts - INTERVAL '24' HOUR AND product_id = 'purchase' GROUP BY product_id)
+SELECT *, CASE WHEN first_close = 0 THEN 0.0
+               ELSE (last_price - first_close) / first_close * 100.0 END AS change_pct FROM t""",
+    "ladder_product": f"WITH {BOOK}, {LEVELS}, {_latest('latest')}, {LADDER} SELECT * FROM ladder WHERE product_id = 'P2'",
+    "stream_bronze_resumed": f"WITH {TRADES} SELECT trade_id, product_id, price FROM trades",
 }

@@ -20,6 +20,7 @@ from pyspark.sql.types import TimestampNTZType
 from tapehouse.operators import bronze, gold, quality, serve, silver, upsert
 from tapehouse.plans import fixtures as fx
 from tapehouse.functions import lookback
+from tapehouse.plans.layers import Lake, run_all
 from tapehouse.session import scratch_path
 from tapehouse.sources.feed import file_stream
 from tapehouse.sources.publish import JSON_OPTIONS, publish_records, write_feed_files
@@ -279,6 +280,128 @@ def q_ladder_spread(spark, sf_dir):
     return serve.ladder_spread(serve.ladder(book_levels(spark, sf_dir), depth=10))
 
 
+# ---- the rough feeds: what a live feed sends ------------------------------
+
+def rough_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = fx.rough_book_feed(fx.events(spark, sf_dir))
+    return bronze.parse_orderbook(feed, ingest_time="ingest_time", keep=["msg_offset"])
+
+
+def rough_trades(spark: SparkSession, sf_dir: str, corrected: bool = False) -> DataFrame:
+    feed = fx.rough_trade_feed(fx.events(spark, sf_dir), corrected)
+    return bronze.parse_trades(feed, ingest_time="ingest_time", keep=["msg_offset"], time_type=NTZ)
+
+
+@query("rough_envelope_parse")
+def q_rough_envelope_parse(spark, sf_dir):
+    """Binary messages with their raw text kept."""
+    return rough_book(spark, sf_dir)
+
+
+@query("rough_trade_parse")
+def q_rough_trade_parse(spark, sf_dir):
+    return rough_trades(spark, sf_dir)
+
+
+@query("rough_trades_clean")
+def q_rough_trades_clean(spark, sf_dir):
+    """Required fields, and re-deliveries within one ingest time decided by their sequence."""
+    return silver.clean_trades(rough_trades(spark, sf_dir))
+
+
+@query("rough_bars")
+def q_rough_bars(spark, sf_dir):
+    """Bars with zero volume: no vwap."""
+    return _round_vwap(gold.ohlcv(silver.clean_trades(rough_trades(spark, sf_dir)), "1 minute"))
+
+
+@query("rough_levels_flatten")
+def q_rough_levels_flatten(spark, sf_dir):
+    return silver.flatten_levels(rough_book(spark, sf_dir))
+
+
+@query("rough_levels_latest")
+def q_rough_levels_latest(spark, sf_dir):
+    return silver.silver_levels(rough_book(spark, sf_dir))
+
+
+@query("rough_levels_incremental")
+def q_rough_levels_incremental(spark, sf_dir):
+    """The second run's bound: ingest times against the first run's exchange times."""
+    b = rough_book(spark, sf_dir)
+    first = silver.silver_levels(b.where(F.col("ingest_time") < _ts(FIRST_RUN_END)))
+    return silver.silver_levels(b, target=first)
+
+
+@query("rough_levels_ingest_bound")
+def q_rough_levels_ingest_bound(spark, sf_dir):
+    """The same with ingest times on both sides."""
+    b = rough_book(spark, sf_dir)
+    before = b.where(F.col("ingest_time") < _ts(FIRST_RUN_END))
+    first = silver.silver_levels(before, watermark_col="ingest_time")
+    return silver.silver_levels(b, target=first, watermark_col="ingest_time")
+
+
+@query("rough_top_of_book")
+def q_rough_top_of_book(spark, sf_dir):
+    return gold.top_of_book(silver.silver_levels(rough_book(spark, sf_dir)))
+
+
+def _lake_runs(spark: SparkSession, sf_dir: str) -> Lake:
+    """Two layer runs over a lake: the messages before ``FIRST_RUN_END``, then the others with
+    corrections that move earlier trades to another day."""
+    lake = Lake(_scratch(spark, "lake"))
+    feeds = [
+        (rough_book(spark, sf_dir), lake.bronze_orderbook),
+        (rough_trades(spark, sf_dir, corrected=True), lake.bronze_trades),
+    ]
+    for first in (True, False):
+        for feed, path in feeds:
+            part = feed.where((F.col("ingest_time") < _ts(FIRST_RUN_END)) == F.lit(first))
+            for c in {"time", "ingest_time"} & {f.name for f in part.schema if f.dataType == NTZ}:
+                part = part.withColumn(c, F.col(c).cast("timestamp"))
+            write_day_partitioned(part, path, "ingest_time", mode="append")
+        run_all(spark, lake)
+    return lake
+
+
+@query("pipeline_silver_trades")
+def q_pipeline_silver_trades(spark, sf_dir):
+    t = spark.read.parquet(_lake_runs(spark, sf_dir).silver_trades)
+    return t.select("trade_id", "sequence", "product_id", "price", "size", F.col("time").cast(NTZ).alias("time"))
+
+
+@query("pipeline_silver_levels")
+def q_pipeline_silver_levels(spark, sf_dir):
+    levels = spark.read.parquet(_lake_runs(spark, sf_dir).silver_levels)
+    return levels.select("product_id", "side", "price", "size", F.col("event_time").cast(NTZ).alias("event_time"), "sequence")
+
+
+@query("pipeline_gold")
+def q_pipeline_gold(spark, sf_dir):
+    """Bars of the touched days after the second run: equal to those of all of silver."""
+    bars = spark.read.parquet(_lake_runs(spark, sf_dir).gold_ohlcv).drop("bucket_date")
+    return _round_vwap(bars.withColumn("bucket", F.col("bucket").cast(NTZ)))
+
+
+@query("recent_trades_product")
+def q_recent_trades_product(spark, sf_dir):
+    t = trades(spark, sf_dir)
+    since = lookback(t.select(F.max("time")).scalar(), serve.bars_lookback(60, 100))
+    return serve.recent_trades(t, since, n=30, product_id="purchase")
+
+
+@query("ticker_24h_product")
+def q_ticker_24h_product(spark, sf_dir):
+    t = trades(spark, sf_dir)
+    return serve.ticker_24h(gold.ohlcv(t, "1 minute"), serve.latest_bucket(t, 60), product_id="purchase")
+
+
+@query("ladder_product")
+def q_ladder_product(spark, sf_dir):
+    return serve.ladder(book_levels(spark, sf_dir), depth=10, product_id="P2")
+
+
 # ---- feed quality and routing ------------------------------------------
 
 @query("sequence_gaps")
@@ -392,6 +515,21 @@ def q_stream_bronze_orderbook(spark, sf_dir):
     return b.select("type", "product_id", "time", "sequence")
 
 
+@query("stream_bronze_resumed")
+def q_stream_bronze_resumed(spark, sf_dir):
+    """A stream that stops and starts again on its checkpoint takes every message once."""
+    root = _scratch(spark, "resumed")
+    feed = fx.trade_feed(fx.events(spark, sf_dir))
+    for first in (True, False):
+        part = feed.where((F.col("ingest_time") < _ts(FIRST_RUN_END)) == F.lit(first))
+        write_feed_files(part, f"{root}/feed", mode="append")
+        start_append(
+            streaming.bronze_trades(file_stream(spark, f"{root}/feed")), checkpoint=f"{root}/checkpoint",
+            path=f"{root}/bronze", partition_by="ingest_time_date", available_now=True,
+        ).awaitTermination()
+    return spark.read.parquet(f"{root}/bronze").select("trade_id", "product_id", "price")
+
+
 @query("day_partition_roundtrip")
 def q_day_partition_roundtrip(spark, sf_dir):
     path = _scratch(spark, "day_partition") + "/trades"
