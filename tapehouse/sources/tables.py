@@ -185,7 +185,7 @@ def upsert_parquet(
     from tapehouse.operators.upsert import upsert
 
     if not path_exists(spark, path):
-        source.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        _clustered(source, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return UpsertResult(spark.read.parquet(path).count(), None)
     recover(spark, path)
     target = spark.read.schema(source.schema).parquet(path)
@@ -214,6 +214,12 @@ def upsert_parquet(
     return UpsertResult(n, touched, src)
 
 
+def _clustered(df: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of a partition together, so that a task writes few files; Spark splits large partitions
+    over several tasks and merges small ones."""
+    return df.hint("rebalance", partition_col)
+
+
 def replace_partitions(
     spark: SparkSession, df: DataFrame, path: str, partition_col: str, stage_name: str, touched: DataFrame
 ) -> None:
@@ -238,7 +244,7 @@ def recover(spark: SparkSession, path: str) -> bool:
         return False
     change = json.loads(pending)
     (
-        spark.read.parquet(change["stage"])
+        _clustered(spark.read.parquet(change["stage"]), change["column"])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(change["column"])

@@ -83,3 +83,34 @@ def test_retry_after_uncommitted_run_remerges(spark, tmp_dir):
     assert silver_t.count() == ev.count()
     assert silver_t.groupBy("trade_id").count().where("count > 1").count() == 0
     assert read_state(spark, lake.silver_trades, HWM) > first_mark
+
+
+def test_silver_writes_few_files(spark, tmp_dir):
+    lake = Lake(tmp_dir)
+    _write_bronze(spark, lake, events(spark, "/root/testdata/sf0.001"))
+    run_silver_trades(spark, lake)
+    files = spark.read.parquet(lake.silver_trades).select("time_date", F.input_file_name().alias("f"))
+    assert files.groupBy("time_date").agg(F.countDistinct("f").alias("n")).agg(F.max("n")).first()[0] == 1
+
+
+def test_ingest_watermark_takes_messages_that_the_event_clock_skips(spark, tmp_dir):
+    """The exchange clock runs ahead: the default bound skips later messages, the ingest bound does not."""
+    from tapehouse.plans.layers import run_silver_levels
+
+    def message(product, seq, sent, ingest):
+        text = (f'{{"type":"l2update","product_id":"{product}","time":"{sent}","sequence":{seq},'
+                f'"changes":[["buy","10","1"]]}}')
+        raw = spark.createDataFrame([(text, ingest)], "value string, t string")
+        return bronze.parse_orderbook(raw, ingest_time=F.col("t").cast("timestamp"))
+
+    first = message("A", 1, "2024-01-01T12:00:00.000000Z", "2024-01-01 10:00:00")
+    second = message("B", 2, "2024-01-01T10:30:00.000000Z", "2024-01-01 11:00:00")
+    for watermark, products in (("event_time", ["A"]), ("ingest_time", ["A", "B"])):
+        lake = Lake(f"{tmp_dir}/{watermark}")
+        for batch in (first, second):
+            with_day_partition(batch, "ingest_time").write.mode("append").partitionBy("ingest_time_date").parquet(
+                lake.bronze_orderbook)
+            run_silver_levels(spark, lake, watermark=watermark)
+        got = spark.read.parquet(lake.silver_levels).select("product_id").collect()
+        assert sorted(r[0] for r in got) == products
+        assert run_silver_levels(spark, lake, watermark="ingest_time") == (0 if watermark == "ingest_time" else 2)
