@@ -32,6 +32,8 @@ from tapehouse.llm.shuffling import documents, written
 
 CAPACITY, END_ID = 2048, 0
 PIECES_PER_SALT = 500_000
+#: Bytes of text that a task encodes together; only memory depends on it.
+ENCODED_AT_ONCE = 2 << 20
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -115,7 +117,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
         for batch in batches:
             doc = ta.ids(batch.column(0))
             data, offs = ta.flat(batch.column(1))
-            for i, j in ta.slices(offs, 6 << 20):
+            for i, j in ta.slices(offs, ENCODED_AT_ONCE):
                 at = offs[i : j + 1] - offs[i]
                 ids, cuts = bpe.encode(data[offs[i] : offs[j]], at)
                 n = np.diff(cuts) + 1
@@ -139,6 +141,8 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
                     columns.append(pa.ListArray.from_arrays(ends, with_end.astype(np.int32)))
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+            del batch, data  # the batch's memory goes back before the next one arrives
+            pa.default_memory_pool().release_unused()
 
     schema = PIECE + (", ids array<int>" if with_ids else "")
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
