@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.llm import textarrays as ta
-from tapehouse.llm.bpe import Bpe
+from tapehouse.llm.bpe import ENCODED_AT_ONCE, Bpe
 from tapehouse.llm.shuffling import documents
 
 SECTION = "doc_id long, section int, start_char long, end_char long, n_tokens double, n_crossing long"
@@ -97,7 +97,8 @@ def attribute(docs: DataFrame, spans: str | None = None, rule: str = "first", vo
         for batch in batches:
             doc = ta.ids(batch.column(0))
             data, offs = ta.flat(batch.column(1))
-            for i, j in ta.slices(offs, 6 << 20):
+            d = data
+            for i, j in ta.slices(offs, ENCODED_AT_ONCE):
                 d, at = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
                 tokens, cuts = bpe.encode(d, at)
                 token_end = np.cumsum(bpe.n_bytes[tokens], dtype=np.int64)
@@ -144,6 +145,8 @@ def attribute(docs: DataFrame, spans: str | None = None, rule: str = "first", vo
                     ],
                     names=["doc_id", "section", "start_char", "end_char", "n_tokens", "n_crossing"],
                 )
+            del batch, data, d  # the batch's memory goes back before the next one arrives
+            pa.default_memory_pool().release_unused()
 
     given = [F.col(spans).cast("array<struct<start:bigint,end:bigint>>").alias("spans")] if spans else []
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *given).mapInArrow(run, SECTION)

@@ -27,13 +27,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tapehouse.llm import textarrays as ta
-from tapehouse.llm.bpe import Bpe
+from tapehouse.llm.bpe import ENCODED_AT_ONCE, Bpe
 from tapehouse.llm.shuffling import documents, written
 
 CAPACITY, END_ID = 2048, 0
 PIECES_PER_SALT = 500_000
-#: Bytes of text that a task encodes together; only memory depends on it.
-ENCODED_AT_ONCE = 2 << 20
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
