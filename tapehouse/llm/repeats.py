@@ -6,6 +6,9 @@ meet, without sending every suffix:
 
 1. Every window belongs to its anchor, the ``GRAM``-byte string in it with the
    smallest hash (leftmost at a tie), so equal windows have equal anchors.
+   A string that is frequent in the whole table comes after all others, so that
+   what a third of the documents share with different surroundings is split by
+   these surroundings instead of meeting in one bucket (``frequent_grams``).
    Neighbouring windows with one anchor form a unit of at most
    ``WINDOW - GRAM + 1`` windows. A task sends its units (anchor hash, content
    hash, place) to hash buckets; of equal units of many documents of a batch only
@@ -42,6 +45,8 @@ from tapehouse.llm.shuffling import buckets, documents, packed_batch, unpacked,
 U64 = np.uint64
 WINDOW, GRAM = 50, 20
 SEGMENT = 2 << 20
+#: Places in a text for each unit, about: an anchor is the least of WINDOW - GRAM + 1 places.
+GRAMS_PER_UNIT = (WINDOW - GRAM + 1) // 2 + 1
 
 
 def previous_smaller(values: np.ndarray) -> np.ndarray:
@@ -91,7 +96,51 @@ def segments(offs: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
             yield int(offs[i]) + a, np.array([0, b - a]), np.array([i]), np.array([a])
 
 
-def units(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+def frequent_grams(docs: DataFrame, n_buckets: int) -> np.ndarray:
+    """Hashes, in order, of all ``GRAM``-byte strings at one in ``GRAMS_PER_UNIT * n_buckets`` places or more.
+
+    About one place in ``GRAMS_PER_UNIT`` begins a unit, so the units of any other
+    string are no more than an average bucket holds. Each stretch of text reports
+    the strings at half that share of its places, which a string of the full share
+    cannot miss everywhere; at most ``2 * GRAMS_PER_UNIT * n_buckets`` can reach
+    half the share of all places, and no more come to the driver. The list decides
+    where windows meet, never which of them are equal.
+    """
+    share = 1 / (GRAMS_PER_UNIT * n_buckets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offs = ta.flat(batch.column(0))
+            for lo, at, _, _ in segments(offs):
+                place = np.arange(at[-1] - GRAM + 1)
+                h = np.sort(ta.span_hash(data[lo : lo + at[-1]], place, place + GRAM)) if len(place) else np.zeros(0, U64)
+                first = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
+                count = np.diff(np.append(first, len(h)))
+                often = count >= max(2, share / 2 * len(h))
+                grams = pa.array(h[first[often]].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([pa.nulls(1, pa.int64()), grams]), pa.array(np.append(len(h), count[often]))],
+                    names=["gram", "places"],
+                )
+
+    counts = docs.select("text").mapInArrow(run, "gram long, places long").groupBy("gram").agg(F.sum("places").alias("places"))
+    # the row without a gram counts all places, so it comes first
+    top = counts.orderBy(F.desc("places"), F.asc_nulls_first("gram")).limit(1 + 2 * GRAMS_PER_UNIT * n_buckets).collect()
+    least = share / 2 * top[0].places if top else 0
+    return np.sort(np.array([r.gram for r in top[1:] if r.places >= least], np.int64).view(U64))
+
+
+def among(h: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Which of ``h`` are in the sorted list ``few``."""
+    seen = np.zeros(1 << 16, bool)
+    seen[few >> U64(48)] = True
+    out = seen[h >> U64(48)]
+    at = np.flatnonzero(out)
+    out[at] = few[np.minimum(np.searchsorted(few, h[at]), len(few) - 1)] == h[at]
+    return out
+
+
+def units(data: np.ndarray, offs: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, ...]:
     """Anchor hash, content hash, part, first window and number of windows of all units."""
     size = np.diff(offs)
     n = len(data)
@@ -101,6 +150,8 @@ def units(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     place = np.arange(n - GRAM + 1)
     h = ta.span_hash(data, place, place + GRAM)
     least = (h & U64(0xFFFFFFFF00000000)) | place.astype(U64)
+    if len(frequent):
+        least[among(h, frequent)] |= U64(0xFFFFFFFF00000000)
     width = 1
     while 2 * width <= WINDOW - GRAM + 1:
         least = np.minimum(least[:-width], least[width:])
@@ -121,7 +172,7 @@ def units(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     return h[anchor[first]], content, np.searchsorted(offs, a, "right") - 1, a, number
 
 
-def unit_rows(docs: DataFrame, n_buckets: int) -> DataFrame:
+def unit_rows(docs: DataFrame, n_buckets: int, frequent: np.ndarray) -> DataFrame:
     """Packed units by bucket (kind 0) and packed ranges that are already settled (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +181,7 @@ def unit_rows(docs: DataFrame, n_buckets: int) -> DataFrame:
             data, offs = ta.flat(batch.column(1))
             found = []
             for lo, at, which, shift in segments(offs):
-                anchor, content, part, start, number = units(data[lo : lo + at[-1]], at)
+                anchor, content, part, start, number = units(data[lo : lo + at[-1]], at, frequent)
                 found.append((anchor, content, doc_id[which[part]], start - at[part] + shift[part], number.astype(np.uint8)))
             if not found:
                 continue
@@ -327,7 +378,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     n = buckets(spark)
-    sent = unit_rows(docs, n)
+    sent = unit_rows(docs, n, frequent_grams(docs, n))
     settled = written(sent.groupBy("bucket").applyInArrow(settle_units(n), ROWS), "repeats", by="kind")
     packed_ranges = "bucket int, doc binary, start binary, extra binary"
 

@@ -6,6 +6,7 @@ import pytest
 
 from tapehouse.llm import repeats
 
+NONE = np.zeros(0, np.uint64)
 DOCS = "doc_id long, text string, start long, kept string"
 
 
@@ -62,8 +63,36 @@ def test_nulls_runs_and_long_texts(spark, monkeypatch):
     rows = [(5, None), (4, ""), (3, "a" * 500), (2, "a" * 60), (9, "x" + "a" * 49), (None, long[100:400]), (7, long), (8, long[:3000] + "|" + long[3000:]), (6, " " * 200)]
     want = brute(rows)
     assert run(spark, rows) == want
-    monkeypatch.setattr(repeats, "SEGMENT", 700)
-    assert run(spark, rows) == want
+    monkeypatch.setattr(repeats, "SEGMENT", 700)  # seen by what runs in this process
+    data, offs = np.frombuffer(long.encode(), np.uint8), np.array([0, len(long)])
+    parts = [(lo + repeats.units(data[lo : lo + at[-1]], at, NONE)[3], repeats.units(data[lo : lo + at[-1]], at, NONE)[4]) for lo, at, _, _ in repeats.segments(offs)]
+    assert len(parts) > 5
+    starts = sorted(int(s) + i for start, number in parts for s, n in zip(start, number, strict=True) for i in range(n))
+    assert starts == list(range(len(long) - 49))
+
+
+def test_a_phrase_of_all_documents_with_different_surroundings(spark):
+    """The phrase anchors nothing; its windows meet by what surrounds it, and copies of 50 bytes still go."""
+    rng = random.Random(4)
+    phrase = "all rights are reserved by them"
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    rows = [(i, letters(35) + phrase + letters(35)) for i in range(90)]
+    rows += [(100 + i, letters(9) + t[10:70] + letters(9) + " " * 90) for i, (_, t) in enumerate(rows[:20])]
+    df = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], DOCS).repartition(3)
+    frequent = repeats.frequent_grams(df, 8)
+    raw = np.frombuffer("".join(t for _, t in rows).encode(), np.uint8)
+    offs = np.concatenate(([0], np.cumsum([len(t) for _, t in rows])))
+    grams = np.frombuffer(phrase.encode(), np.uint8)
+    hashes = repeats.ta.span_hash(grams, np.arange(12), np.arange(12) + 20)
+    assert repeats.among(hashes, frequent).all()
+    assert not repeats.among(hashes + np.uint64(1), frequent).any()
+    most = lambda few: np.unique(repeats.units(raw, offs, few)[0], return_counts=True)[1]
+    spaces = repeats.ta.span_hash(np.full(20, 32, np.uint8), np.zeros(1, int), np.full(1, 20))
+    assert most(np.setdiff1d(frequent, hashes)).max() > 100  # each document has a unit of the phrase
+    anchors = repeats.units(raw, offs, frequent)[0]
+    rest = anchors[~np.isin(anchors, spaces)]
+    assert np.unique(rest, return_counts=True)[1].max() <= 30
+    assert run(spark, rows) == brute(rows)
 
 
 def test_repeated_rows_and_empty_table(spark):
