@@ -44,7 +44,7 @@ from tapehouse.llm.shuffling import buckets, documents, packed_batch, unpacked,
 
 U64 = np.uint64
 WINDOW, GRAM = 50, 20
-SEGMENT = 2 << 20
+SEGMENT = 1 << 20
 #: Places in a text for each unit, about: an anchor is the least of WINDOW - GRAM + 1 places.
 GRAMS_PER_UNIT = (WINDOW - GRAM + 1) // 2 + 1
 
@@ -149,9 +149,10 @@ def units(data: np.ndarray, offs: np.ndarray, frequent: np.ndarray) -> tuple[np.
         return none.view(U64), none.view(U64), none, none, none
     place = np.arange(n - GRAM + 1)
     h = ta.span_hash(data, place, place + GRAM)
-    least = (h & U64(0xFFFFFFFF00000000)) | place.astype(U64)
+    rank = h >> U64(33)
     if len(frequent):
-        least[among(h, frequent)] |= U64(0xFFFFFFFF00000000)
+        rank[among(h, frequent)] |= U64(1 << 31)
+    least = (rank << U64(32)) | place.astype(U64)
     width = 1
     while 2 * width <= WINDOW - GRAM + 1:
         least = np.minimum(least[:-width], least[width:])
@@ -187,14 +188,15 @@ def unit_rows(docs: DataFrame, n_buckets: int, frequent: np.ndarray) -> DataFram
                 continue
             anchor, content, doc, start, number = (np.concatenate(x) for x in zip(*found, strict=True))
             order = np.lexsort((start, doc, content))
-            anchor, content, doc, start, number = (x[order] for x in (anchor, content, doc, start, number))
-            fresh = np.append(True, content[1:] != content[:-1])[: len(content)]
-            least = doc[np.maximum.accumulate(np.where(fresh, np.arange(len(doc)), 0))]
-            later = doc > least
+            of = content[order]
+            fresh = np.append(True, of[1:] != of[:-1])[: len(of)]
+            least = doc[order][np.maximum.accumulate(np.where(fresh, np.arange(len(of)), 0))]
+            later = np.zeros(len(of), bool)
+            later[order] = doc[order] > least
             runs = merge_runs(doc[later], start[later], start[later] + number[later] + WINDOW - 1)
             yield kind_batch(1, (ta.mix(runs[0].view(U64)) % U64(n_buckets)).astype(np.int32), {"doc": runs[0], "start": runs[1], "extra": runs[2]})
-            keep = ~later
-            columns = {"doc": doc[keep], "start": start[keep], "extra": number[keep], "anchor": anchor[keep], "content": content[keep]}
+            keep = ~later  # in the order of the text, so that ids and places compress
+            columns = {"doc": doc[keep], "start": start[keep].astype(np.int32), "extra": number[keep], "anchor": anchor[keep], "content": content[keep]}
             yield kind_batch(0, (ta.mix(anchor[keep]) % U64(n_buckets)).astype(np.int32), columns)
 
     return docs.mapInArrow(run, ROWS)
@@ -222,7 +224,7 @@ def settle_units(groups: int):
 
     def run(table: pa.Table) -> pa.Table:
         done, open_ = of_kind(table, 1), of_kind(table, 0)
-        doc, start = unpacked(open_, "doc", np.int64), unpacked(open_, "start", np.int64)
+        doc, start = unpacked(open_, "doc", np.int64), unpacked(open_, "start", np.int32).astype(np.int64)
         number, anchor = unpacked(open_, "extra", np.uint8).astype(np.int64), unpacked(open_, "anchor", U64)
         content = unpacked(open_, "content", U64)
         order = np.lexsort((doc, content, anchor))
