@@ -1,10 +1,12 @@
 """Command line: the two jobs of the stack.
 
   python -m tapehouse bronze --lake ROOT --checkpoints DIR (--kafka HOST:PORT | --book-files DIR --trade-files DIR)
-                             [--available-now] [--trigger "10 seconds"]
+                             [--available-now] [--trigger "10 seconds"] [--tables]
   python -m tapehouse layers --lake ROOT [--reset-on-snapshot] [--guard-late-levels]
-                             [--ingest-watermark] [--full-gold]
+                             [--ingest-watermark] [--full-gold] [--tables]
 
+With ``--tables`` the namespaces and tables of all layers are created first where
+they are missing, and are catalog tables over the lake's folders.
 ``bronze`` starts both ingest streams and blocks until either stops (a
 failure of one stops the job). ``layers`` runs silver then gold once; run it
 on a schedule (the source system refreshes every 10 minutes).
@@ -15,6 +17,7 @@ from __future__ import annotations
 import argparse
 import json
 
+from tapehouse.plans.catalog import bootstrap, sync
 from tapehouse.plans.layers import Lake, run_all, run_gold, run_silver_levels, silver_trades_step
 from tapehouse.schemas import ORDERBOOK_TOPIC, TRADES_TOPIC
 from tapehouse.session import build_session
@@ -31,8 +34,12 @@ def _bronze(args: argparse.Namespace) -> None:
         book = file_stream(spark, args.book_files)
         trades = file_stream(spark, args.trade_files)
     lake = Lake(args.lake)
+    out = (lake.bronze_orderbook, lake.bronze_trades)
+    if args.tables:
+        bootstrap(spark, lake)
+        out = ("bronze.orderbook_events", "bronze.trades")
     queries = start_bronze(
-        book, trades, lake.bronze_orderbook, lake.bronze_trades, args.checkpoints,
+        book, trades, *out, args.checkpoints,
         available_now=args.available_now, trigger=args.trigger,
     )
     if args.available_now:
@@ -45,6 +52,8 @@ def _bronze(args: argparse.Namespace) -> None:
 def _layers(args: argparse.Namespace) -> None:
     spark = build_session("tapehouse-layers")
     lake = Lake(args.lake)
+    if args.tables:
+        bootstrap(spark, lake)
     if args.reset_on_snapshot or args.guard_late_levels or args.ingest_watermark:
         levels_rows = run_silver_levels(
             spark, lake,
@@ -57,6 +66,8 @@ def _layers(args: argparse.Namespace) -> None:
         counts = {"silver_levels": levels_rows, "silver_trades": step.rows}
     else:
         counts = run_all(spark, lake, full_gold=args.full_gold)
+    if args.tables:
+        sync(spark, lake)
     print(json.dumps(counts))
 
 
@@ -71,6 +82,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--trade-files")
     b.add_argument("--available-now", action="store_true")
     b.add_argument("--trigger", default="10 seconds")
+    b.add_argument("--tables", action="store_true", help="create the tables and append to them")
     b.set_defaults(fn=_bronze)
     la = sub.add_parser("layers", help="refresh silver (incremental) and gold (rebuild) once")
     la.add_argument("--lake", required=True)
@@ -78,6 +90,7 @@ def main(argv: list[str] | None = None) -> None:
     la.add_argument("--guard-late-levels", action="store_true")
     la.add_argument("--ingest-watermark", action="store_true", help="bound the levels' increments by ingest time alone")
     la.add_argument("--full-gold", action="store_true", help="rebuild all bars, not only those of touched days")
+    la.add_argument("--tables", action="store_true", help="create the tables and keep their partitions up to date")
     la.set_defaults(fn=_layers)
     args = p.parse_args(argv)
     if args.cmd == "bronze" and not args.kafka and not (args.book_files and args.trade_files):

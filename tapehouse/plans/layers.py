@@ -34,6 +34,10 @@ class Lake:
     def _p(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
+    def table_path(self, table: str) -> str:
+        """Folder of a layer table by its name, such as ``silver.stg_trades``."""
+        return self._p(*table.split("."))
+
     @property
     def bronze_orderbook(self) -> str:
         return self._p("bronze", "orderbook_events")

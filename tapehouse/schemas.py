@@ -94,6 +94,13 @@ TABLE_DDL = {
     ),
 }
 
+# Partition columns of the layer tables as Parquet folders (a type where the column is derived).
+FILE_PARTITIONS = {
+    "silver.stg_trades": "time_date DATE",
+    "silver.stg_orderbook_levels": "product_id",
+    "gold.gold_ohlcv_1min": "bucket_date DATE",
+}
+
 # Day-partitioned bronze tables: table -> timestamp column of the day. Both
 # use the ingest day, which the incremental silver reads filter on.
 DAY_PARTITIONS = {

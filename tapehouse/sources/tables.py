@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from tapehouse.schemas import DAY_PARTITIONS, NAMESPACES, TABLE_DDL
+from tapehouse.schemas import DAY_PARTITIONS, FILE_PARTITIONS, NAMESPACES, TABLE_DDL
 from tapehouse.session import scratch_path
 
 
@@ -57,7 +57,8 @@ def create_table(
     """CREATE TABLE IF NOT EXISTS with the declared schema of a layer table.
 
     Bronze tables are partitioned by day: ``days(col)`` on v2 formats
-    (iceberg), a derived ``<col>_date`` column for parquet.
+    (iceberg), a derived ``<col>_date`` column for parquet. A Parquet table
+    at a ``location`` has the partitions that the layer runs write there.
     """
     full = f"{catalog}.{name}" if catalog else name
     cols = TABLE_DDL[name]
@@ -69,10 +70,23 @@ def create_table(
             part = f" PARTITIONED BY ({c}_date)"
         else:
             part = f" PARTITIONED BY (days({c}))"
+    elif name in FILE_PARTITIONS and location and using.lower() == "parquet":
+        column, *derived = FILE_PARTITIONS[name].split()
+        cols += f", {FILE_PARTITIONS[name]}" if derived else ""
+        part = f" PARTITIONED BY ({column})"
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING {using}{part}{loc}")
 
 
+def sync_partitions(spark: SparkSession, name: str, location: str) -> None:
+    """Make a Parquet table's partitions in the catalog those of its folder (added and removed ones)."""
+    if not path_exists(spark, location):
+        return
+    if name in DAY_PARTITIONS or name in FILE_PARTITIONS:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def with_day_partition(df: DataFrame, column: str) -> DataFrame:
     """Add ``<column>_date`` = to_date(column), the Parquet twin of days(column)."""
     return df.withColumn(f"{column}_date", F.to_date(F.col(column)))

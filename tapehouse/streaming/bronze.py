@@ -89,23 +89,35 @@ def start_bronze(
     checkpoint_root: str,
     available_now: bool = False,
     trigger: str = DEFAULT_TRIGGER,
+    fmt: str = "parquet",
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start both bronze queries (order book, trades), each with its own checkpoint."""
+    """Start both bronze queries (order book, trades), each with its own checkpoint.
+
+    An output is a folder, or the name of a catalog table (``bronze.trades``),
+    which must exist (``plans.catalog.bootstrap``). ``fmt`` is the tables'
+    format; only Parquet has the derived day column, others partition themselves.
+    """
     root = checkpoint_root.rstrip("/")
+
+    def out(frame: DataFrame, target: str) -> dict:
+        by_day = fmt == "parquet"
+        place = {"path": target} if "/" in target else {"table": target}
+        return place | {
+            "df": frame if by_day else frame.drop("ingest_time_date"),
+            "partition_by": "ingest_time_date" if by_day else None,
+            "fmt": fmt,
+        }
+
     book_q = start_append(
-        bronze_orderbook(orderbook_raw),
+        **out(bronze_orderbook(orderbook_raw), orderbook_out),
         checkpoint=f"{root}/bronze_orderbook_events",
-        path=orderbook_out,
-        partition_by="ingest_time_date",
         trigger=trigger,
         available_now=available_now,
         name="bronze_orderbook_events",
     )
     trades_q = start_append(
-        bronze_trades(trades_raw),
+        **out(bronze_trades(trades_raw), trades_out),
         checkpoint=f"{root}/bronze_trades",
-        path=trades_out,
-        partition_by="ingest_time_date",
         trigger=trigger,
         available_now=available_now,
         name="bronze_trades",
