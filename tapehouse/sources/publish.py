@@ -20,6 +20,7 @@ def publish_records(
     df: DataFrame,
     key: str = "product_id",
     order: Sequence[str] | None = None,
+    whole_keys: bool = True,
 ) -> DataFrame:
     """Rows to (key, value): key = the key column or 'unknown', value = the row as JSON.
 
@@ -27,6 +28,10 @@ def publish_records(
     each task, so a sink that keeps per-writer order (Kafka partitions by
     key) receives every key in order. That ordering is inherently serial
     per key; without ``order`` the publish is fully parallel.
+
+    ``whole_keys=False`` is for sinks that keep the order of the tasks, such
+    as files named by them: rows are dealt by ranges of (key, order), so a
+    key with a third of all rows spreads over consecutive tasks, each sorted.
     """
     out = df.select(
         F.coalesce(F.col(key).cast("string"), F.lit(UNKNOWN_KEY)).alias("key"),
@@ -35,7 +40,8 @@ def publish_records(
     )
     if order:
         okeys = [f"_o{i}" for i in range(len(order))]
-        out = out.repartition("key").sortWithinPartitions("key", *okeys).drop(*okeys)
+        dealt = out.repartition("key") if whole_keys else out.repartitionByRange("key", *okeys)
+        out = dealt.sortWithinPartitions("key", *okeys).drop(*okeys)
     return out
 
 

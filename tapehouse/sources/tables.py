@@ -79,10 +79,14 @@ def create_table(
 
 
 def sync_partitions(spark: SparkSession, name: str, location: str) -> None:
-    """Make a Parquet table's partitions in the catalog those of its folder (added and removed ones)."""
+    """Make a Parquet table's partitions in the catalog those of its folder (added and removed ones).
+
+    A table created over a folder that a stream has written has none in the
+    catalog: it is read through the stream's own log of files.
+    """
     if not path_exists(spark, location):
         return
-    if name in DAY_PARTITIONS or name in FILE_PARTITIONS:
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
         spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
 

@@ -14,9 +14,9 @@ def test_cli_bronze_then_layers(spark, tmp_dir):
                   capture_output=True, text=True)
     r = subprocess.run(env_py + ["bronze", "--lake", f"{tmp_dir}/lake", "--checkpoints", f"{tmp_dir}/ck",
                                  "--book-files", f"{tmp_dir}/feed/book", "--trade-files", f"{tmp_dir}/feed/trades",
-                                 "--available-now"], **common)
+                                 "--available-now", "--tables"], **common)
     assert r.returncode == 0, r.stderr[-2000:]
-    r = subprocess.run(env_py + ["layers", "--lake", f"{tmp_dir}/lake"], **common)
+    r = subprocess.run(env_py + ["layers", "--lake", f"{tmp_dir}/lake", "--tables"], **common)
     assert r.returncode == 0, r.stderr[-2000:]
     assert '"silver_trades": %d' % ev.count() in r.stdout
     assert spark.read.parquet(f"{tmp_dir}/lake/gold/gold_ohlcv_1min").count() > 0

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import pathlib
 
 from tapehouse.operators import bronze
 from tapehouse.sources.feed import file_batch, file_stream
@@ -17,6 +18,22 @@ def test_publish_records_unknown_key_and_order(spark):
     assert a == [1, 2]
 
 
+def test_ordered_publish_spreads_a_hot_key(spark, tmp_dir):
+    df = spark.range(2000).selectExpr("IF(id % 10 = 0, NULL, 'A') AS product_id", "(id * 7919) % 2000 AS seq")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        recs = publish_records(df.repartition(4), order=["seq"], whole_keys=False)
+        sizes = [n for n in recs.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+        write_feed_files(recs, f"{tmp_dir}/feed")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 4 and max(sizes) < 1000
+    lines = [json.loads(x) for f in sorted(pathlib.Path(f"{tmp_dir}/feed").glob("part-*")) for x in f.read_text().splitlines()]
+    for product in ("A", None):
+        seqs = [r["seq"] for r in lines if r.get("product_id") == product]
+        assert seqs == sorted(seqs) and len(seqs) == (1800 if product else 200)
+
+
 def test_bronze_file_stream_equals_batch_and_resumes(spark, tmp_dir):
     ev = events(spark, "/root/testdata/sf0.001")
     write_feed_files(trade_feed(ev), f"{tmp_dir}/feed/trades")
