@@ -20,14 +20,18 @@ from tapehouse.llm import decontaminate, jaccard, langid, packing, secrets
 from tapehouse.llm.filtering import keep_rows
 from tapehouse.llm.shuffling import documents, written
 
-#: A document whose words speak for its language less than this on average is no text of one language.
+#: A document whose words, each by itself, speak for a language less than this on average is no text.
 LEAST_LANG_SCORE = 0.5
 #: Near duplicates: shingles of five words, similarity of 0.8 or more.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a language; those without letters or of no clear language go."""
+    """Keeps documents with languages; those without letters or of words of no clear language go.
+
+    Each word counts with its own best language, so a text of several languages
+    stays. With no row that has a lang, nothing is known and all documents stay.
+    """
     model = langid.fit(docs)
     return keep_rows(docs, langid.has_language(model, LEAST_LANG_SCORE), "text")
 

@@ -271,10 +271,14 @@ def fit(training: DataFrame, per_lang: int = PER_LANG) -> Crf:
     return model
 
 
-def judged(model: Crf, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Language, score and number of words of every text."""
+def judged(model: Crf, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, number of words and mean certainty of the words of every text.
+
+    A word's certainty is the probability of its own best language, so a text
+    that switches between languages is as certain as its words are.
+    """
     n = len(texts)
-    pred, score, n_words = np.array([UND] * n, object), np.zeros(n), np.zeros(n, np.int64)
+    pred, score, n_words, certain = np.array([UND] * n, object), np.zeros(n), np.zeros(n, np.int64), np.zeros(n)
     data, offs = ta.flat(texts)
     for i, j in ta.slices(offs, SLICE) if model.langs else ():
         marginal, starts, ends, at, _ = model.label(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
@@ -287,15 +291,19 @@ def judged(model: Crf, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndar
             best = mean.argmax(axis=1)
             pred[i + some] = np.array(model.langs, object)[best]
             score[i + some] = np.clip(mean[np.arange(len(best)), best], 0, 1)
-    return pred, score, n_words
+            certain[i + some] = np.add.reduceat(marginal.max(axis=1).astype(float), at[some]) / n_words[i + some]
+    return pred, score, n_words, certain
 
 
-def has_language(model: Crf, least_score: float):
-    """Test of texts for ``keep_rows``: whether they have a language with at least that score."""
+def has_language(model: Crf, least_certain: float):
+    """Test of texts for ``keep_rows``: whether they have words, each certain of some language
+    to at least that degree on average. A model without languages can reject no text."""
 
     def test(texts: pa.Array) -> np.ndarray:
-        pred, score, _ = judged(model, texts)
-        return (pred != UND) & (score >= least_score)
+        if not model.langs:
+            return np.ones(len(texts), bool)
+        pred, _, _, certain = judged(model, texts)
+        return (pred != UND) & (certain >= least_certain)
 
     return test
 
@@ -305,7 +313,7 @@ def predict(docs: DataFrame, model: Crf) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pred, score, n_words = judged(model, batch.column(1))
+            pred, score, n_words, _ = judged(model, batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(n_words)],
                 names=["doc_id", "lang_pred", "score", "n_words"],

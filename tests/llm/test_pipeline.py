@@ -1,3 +1,4 @@
+import random
 import re
 
 import corpus_pipeline as cp
@@ -51,3 +52,17 @@ def test_extra_columns_nulls_and_empty_tables(spark):
         if df.count():
             assert sorted((r.doc_id, r.text) for r in left if r.doc_id) == [(1, rows[0][1])]
             assert [r.text for r in left if r.doc_id is None] == ["[secret]"]
+
+
+def test_language_keeps_switched_texts_and_all_without_labels(spark):
+    rng = random.Random(3)
+    letters = {"aa": "abcde", "mm": "ijklm", "zz": "vwxyz"}
+    text = lambda k, n: " ".join("".join(rng.choice(letters[k]) for _ in range(5)) for _ in range(n))
+    rows = [(i, text(k, 40), k) for i, k in enumerate(sorted(letters) * 40)]
+    rows += [(900, f"{text('aa', 40)} {text('zz', 40)}", None), (901, f"{text('aa', 30)} {text('mm', 30)} {text('zz', 30)}", None)]
+    rows += [(902, " ".join(text(k, 6) for k in ("aa", "mm", "zz") * 8), None), (903, " 12 !? ", None), (904, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in cp.language(spark, docs, SF).collect()}
+    assert kept == {r[0] for r in rows} - {903, 904}
+    blind = docs.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
+    assert cp.language(spark, blind, SF).count() == len(rows)
