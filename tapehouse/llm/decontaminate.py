@@ -2,14 +2,16 @@
 
 1. Every run of ``seed_words`` words of a test item is a seed candidate. One pass
    counts, for each, the training documents that hold it.
-2. Seeds of an item are its rare candidates, those in at most ``rare_share`` of the
-   documents (and at least ``RARE_LEAST`` of them). An item with fewer than half
-   of its candidates rare, as when it leaked into very many documents, keeps all
-   of them, so frequency never hides a leak.
-3. A second pass finds seeds in every whole document. Hits of one item that lie
-   on near diagonals mark a passage; its words and the item's words are aligned
-   by Smith-Waterman (match 2, mismatch and gap -1). The score of the best
-   passage, divided by that of a perfect copy, is the document's for that item.
+2. Rare seeds of an item are the candidates in at most ``rare_share`` of the
+   documents (and at least ``RARE_LEAST`` of them).
+3. A second pass finds all candidates in every whole document. Hits of one item
+   that lie on near diagonals mark a passage. One with a rare seed is aligned; one
+   of frequent candidates alone is aligned if enough of the item's words are in
+   it at all, as no alignment without them reaches the threshold: frequency
+   saves alignments, it never hides a leak.
+4. A passage's words and the item's words are aligned by Smith-Waterman (match 2,
+   mismatch and gap -1). The score of the best passage, divided by that of a
+   perfect copy, is the document's for that item.
 
 Test items are the stated query set: they are taken in blocks of at most
 ``BLOCK_ITEMS`` items and ``BLOCK_WORDS`` words, each block sent to all tasks, so
@@ -94,13 +96,11 @@ class Items:
         seed, self.item, self.place, self.length = (np.concatenate(x) for x in (seeds, items, places, lengths))
         order = np.argsort(seed, kind="stable")
         self.seed, self.item, self.place, self.length = (x[order] for x in (seed, self.item, self.place, self.length))
+        self.rare = np.ones(len(seed), bool)
 
-    def keep(self, rare: np.ndarray) -> None:
-        """Keep rare candidates, and all of items of which fewer than half are rare."""
-        total = np.bincount(self.item, minlength=len(self.ids))
-        few = 2 * np.bincount(self.item, weights=rare, minlength=len(self.ids)) < total
-        use = rare | few[self.item]
-        self.seed, self.item, self.place, self.length = (x[use] for x in (self.seed, self.item, self.place, self.length))
+    def mark(self, rare: np.ndarray) -> None:
+        """Note which candidates are rare seeds."""
+        self.rare = rare
 
     def hits(self, words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(word place, candidate) of all candidates found, by place."""
@@ -164,15 +164,16 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
     return best >> 40, np.where(best > 0, start, 0), best_at, best & ((1 << 20) - 1)
 
 
-def passages_of(items: Items, words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(document, item, first word, word after the last) of all passages with seeds."""
+def passages_of(items: Items, words: np.ndarray, at: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
+    """(document, item, first word, word after the last) of all passages with seeds that may
+    reach the threshold."""
     place, candidate = items.hits(words, at)
     doc = np.searchsorted(at, place, "right") - 1
     item = items.item[candidate]
     size = np.diff(items.at)[item]
     begin = place - items.place[candidate]  # where the item would start
     order = np.lexsort((begin, item, doc))
-    doc, item, begin, size = doc[order], item[order], begin[order], size[order]
+    doc, item, begin, size, rare = doc[order], item[order], begin[order], size[order], items.rare[candidate[order]]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > size[1:] // 2 + 2)
     first = np.flatnonzero(new)
@@ -180,12 +181,17 @@ def passages_of(items: Items, words: np.ndarray, at: np.ndarray) -> tuple[np.nda
     slack = size[first] // 4 + 4  # room for words put in
     low = np.maximum(at[doc[first]], begin[first] - slack)
     high = np.minimum(at[doc[first] + 1], begin[last] + size[first] + slack)
-    return doc[first], item[first], low, high
+    keep = np.logical_or.reduceat(rare, first) if len(first) else rare
+    for x in np.flatnonzero(~keep).tolist():
+        own = items.words[items.at[item[first[x]]] : items.at[item[first[x]] + 1]]
+        # matches are at most the item's words that the passage has
+        keep[x] = np.isin(own, words[low[x] : high[x]]).sum() >= threshold * len(own)
+    return doc[first][keep], item[first][keep], low[keep], high[keep]
 
 
 def best_scores(items: Items, words: np.ndarray, at: np.ndarray, threshold: float) -> list[tuple]:
     """(document, item, score, first and last word, matches) of the best passage of each pair."""
-    doc, item, low, high = passages_of(items, words, at)
+    doc, item, low, high = passages_of(items, words, at, threshold)
     size = np.diff(items.at)
     order = np.lexsort((high - low, size[item]))
     out: dict[tuple[int, int], tuple] = {}
@@ -268,12 +274,12 @@ def contaminated(
 
 
 def seeded_blocks(docs: DataFrame, benchmark: DataFrame, seed_words: int, rare_share: float) -> Iterator[Items]:
-    """Blocks of test items with their seeds, chosen by their frequency in all of ``docs``."""
+    """Blocks of test items with their seeds, marked by their frequency in all of ``docs``."""
     n_docs = docs.count()
     for items in item_blocks(benchmark, seed_words):
         if len(items.seed):
             counts = seed_counts(docs.select(F.col("text").cast("string")), items)
-            items.keep(counts <= max(RARE_LEAST, rare_share * n_docs))
+            items.mark(counts <= max(RARE_LEAST, rare_share * n_docs))
             yield items
 
 

@@ -95,3 +95,17 @@ def test_nulls_short_items_ties_and_empty_tables(spark):
     assert got == sorted(want, key=str)
     assert dc.contaminated(d.limit(0), b).count() == 0
     assert dc.contaminated(d, b.limit(0)).count() == 0
+
+
+def test_item_of_which_half_is_a_shared_passage(spark, monkeypatch):
+    monkeypatch.setattr(dc, "RARE_LEAST", 5)
+    item = [f"i{k}" for k in range(40)]
+    broken = [f"r{k}" if k in (21, 25, 29, 33, 37) else w for k, w in enumerate(item)]
+    docs = {d: [f"f{d}", *item[:21], f"g{d}"] for d in range(30)}  # 18 of 37 seeds are frequent
+    docs |= {30: ["start", *broken, "end"], 31: ["start", *item, "end"], 32: ["start", *item[5:9], "end"], 33: [*item[3:8], "x", *item[22:26]]}
+    docs |= {40 + d: [*item[:10], *(f"h{d}x{k}" for k in range(30))] for d in range(20)}
+    d = spark.createDataFrame([(i, " ".join(t), 0, 0.0) for i, t in docs.items()], DOCS)
+    b = spark.createDataFrame([(1, " ".join(item), 0)], ITEMS)
+    want = {i: s / 80 for i, t in docs.items() if (s := smith_waterman(item, t)) >= 40}
+    assert set(want) == set(range(32))
+    assert {r.doc_id: r.score for r in dc.contaminated(d, b).collect()} == want
