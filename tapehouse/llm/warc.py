@@ -17,7 +17,9 @@ Nulls and edges: a null html counts as empty; small payloads are all responses;
 a null page_id is never referred to, and revisits if a page with an id has the
 same payload; rows that tie at the smallest page_id are all responses; a null
 url writes no target; an empty table gives empty results; other columns are not
-used. Records of more than ``MOST_BYTES`` are quarantined.
+used. Records of more than ``MOST_BYTES``, more than any Spark string holds, are
+quarantined; a header may be of any length. A gap in an archive that the query
+wrote itself fails the query.
 """
 
 from __future__ import annotations
@@ -39,7 +41,8 @@ from tapehouse.llm.shuffling import written
 from tapehouse.session import scratch_path
 
 REVISIT_LEAST = 100
-FILE_BYTES, MOST_BYTES, CHUNK, HEADER_BYTES = 64 << 20, 1 << 30, 1 << 18, 1 << 16
+#: A page is at most 2 GiB, and its HTTP header some bytes more.
+FILE_BYTES, MOST_BYTES, CHUNK, HEADER_BYTES = 64 << 20, (1 << 31) + (1 << 12), 1 << 18, 1 << 16
 #: Fixed values of the WARC format.
 VERSION, CRLF, MAGIC = b"WARC/1.1", b"\r\n", b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -106,8 +109,12 @@ def parse_record(read, at: int, most: int = MOST_BYTES) -> tuple[dict[str, str],
     if not re.match(rb"WARC/1\.\d\r\n", head):
         raise Bad("version line")
     stop = head.find(b"\r\n\r\n")
-    if stop < 0:
-        raise Bad("header end")
+    while stop < 0:  # a long header: search on, as far as there are bytes
+        known = len(head)
+        head = read(at, 2 * known)
+        if len(head) == known:
+            raise Bad("header end")
+        stop = head.find(b"\r\n\r\n", known - 3)
     headers = {}
     for line in head[:stop].split(CRLF)[1:]:
         name, colon, value = line.partition(b":")
@@ -149,7 +156,7 @@ def member(read, at: int, most: int = MOST_BYTES) -> tuple[bytes, int]:
             raise Bad("compression") from e
         place += len(raw)
         total += len(out)
-        if total > most + HEADER_BYTES:
+        if total > 2 * most + HEADER_BYTES:  # a header holds an url, which may be as long as a page
             raise Bad("record too long")
         parts.append(out)
     return b"".join(parts), place - len(machine.unused_data)
@@ -204,16 +211,17 @@ def file_reader(path: str):
 
     system, name = fs.FileSystem.from_uri(path)
     source = system.open_input_file(name)
-    buffered = [0, b""]
+    buffered, size = [0, b""], source.size()
 
     def read(at: int, n: int) -> bytes:
+        n = max(0, min(n, size - at))
         start, raw = buffered
         if not (start <= at and at + n <= start + len(raw)):
             buffered[:] = [at, source.read_at(max(n, CHUNK * 4), at)]
             start, raw = buffered
         return raw[at - start : at - start + n]
 
-    return read, source.size()
+    return read, size
 
 
 def typed(pages: DataFrame) -> DataFrame:
@@ -329,4 +337,11 @@ def op2_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC archives in the shared folder, then read back."""
     folder = scratch_path(spark, f"llm/warc-{uuid.uuid4().hex[:12]}")
     manifest = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
-    return resolved(written(read_archives(manifest), "warc-records"))
+    records = written(read_archives(manifest), "warc-records")
+    gap = records.where("reason IS NOT NULL").first()
+    if gap:
+        raise RuntimeError(f"{gap.path} cannot be read from byte {gap.start} to {gap.end}: {gap.reason}")
+    wrote, found = manifest.agg(F.sum("n_records")).first()[0] or 0, records.count()
+    if wrote != found:
+        raise RuntimeError(f"{wrote} records were written to {folder}, {found} read")
+    return resolved(records)

@@ -115,3 +115,32 @@ def test_empty_table(spark, tmp_dir):
     manifest = warc.write_archives(spark.createDataFrame([], PAGES), f"{tmp_dir}/c")
     assert manifest.count() == 0
     assert warc.resolved(warc.read_archives(manifest)).count() == 0
+
+
+@pytest.mark.parametrize("compress", [True, False])
+def test_very_long_urls_are_read_again(spark, tmp_dir, compress):
+    rows = [(i, f"http://h/{i}/" + "u" * n, "same page " * 30, "d") for i, n in enumerate((5, 65_300, 65_400, 65_536, 70_000, 131_072, 900_000))]
+    manifest = warc.write_archives(spark.createDataFrame(rows, PAGES).coalesce(1), f"{tmp_dir}/u", compress)
+    records = warc.read_archives(manifest)
+    assert records.where("reason IS NOT NULL").count() == 0
+    got = sorted((r.page_id, r.url, r.payload_bytes) for r in warc.resolved(records).collect())
+    assert got == [(i, u, 300) for i, u, _, _ in rows]
+    assert warc.MOST_BYTES > 2**31
+
+
+def test_gap_in_an_own_archive_fails_the_query(spark, tmp_dir, monkeypatch):
+    spark.createDataFrame(rows_of(3), PAGES).coalesce(1).write.parquet(f"{tmp_dir}/pages.parquet")
+    assert warc.op2_warc_round_trip(spark, tmp_dir).count() == len(rows_of(3))
+    write = warc.write_archives
+
+    def damaged(pages, folder):
+        manifest = write(pages, folder)
+        path = manifest.first().path.removeprefix("file:")
+        raw = bytearray(open(path, "rb").read())
+        raw[len(raw) // 2] ^= 0xFF
+        open(path, "wb").write(raw)
+        return manifest
+
+    monkeypatch.setattr(warc, "write_archives", damaged)
+    with pytest.raises(RuntimeError, match="cannot be read"):
+        warc.op2_warc_round_trip(spark, tmp_dir)
