@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from tapehouse.llm import attribution, decontaminate, fingerprints, jaccard, langid, lm, packing, repeats, secrets, warc
+from tapehouse.llm import (
+    attribution,
+    decontaminate,
+    differencing,
+    fingerprints,
+    jaccard,
+    langid,
+    lm,
+    packing,
+    repeats,
+    secrets,
+    warc,
+)
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -15,6 +27,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_suffix_array_dedup": repeats.op9_suffix_array_dedup,
     "op10_token_attribution": attribution.op10_token_attribution,
+    "op13_differencing_packing": differencing.op13_differencing_packing,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
