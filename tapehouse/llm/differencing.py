@@ -31,7 +31,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +42,7 @@ from tapehouse.llm.shuffling import documents
 CAPACITY, END_ID = 2048, 1
 WORD_BPE = "word_bpe_49k.json"
 #: Windows of a pool; bounds a task's memory and the width of a partial partition.
-POOL_WINDOWS = 512
+POOL_WINDOWS = 128
 #: Bytes of text that a task encodes together; only memory depends on it.
 ENCODED_AT_ONCE = 4 << 20
 PIECE = (
@@ -55,12 +54,17 @@ def differencing(sizes: Sequence[int], k: int) -> list[list[int]]:
     """Karmarkar-Karp differencing of ``sizes`` into ``k`` windows: the indices in each."""
     if not len(sizes):
         return [[] for _ in range(k)]
-    low, high = [], []  # what each merged node holds; nodes below len(sizes) are the pieces
-    heap = []
-    for i, size in enumerate(sizes):
-        heap.append((-int(size), i, None, None))
-    heapq.heapify(heap)
+    sizes = np.asarray(sizes, np.int64)
     n, turn = len(sizes), len(sizes)
+    low, high = [], []  # what each merged node holds; nodes below n are the pieces
+    order = np.argsort(-sizes, kind="stable")
+    # The first k merges only put the next largest piece into an empty window.
+    sums, nodes = np.zeros(k, np.int64), np.full(k, -1, np.int64)
+    m = min(k, n)
+    sums[:m], nodes[:m] = sizes[order[:m]], order[:m]
+    heap = [(-int(sums[0] - sums[-1]), turn, sums - sums[-1], nodes)]
+    heap += [(-int(sizes[i]), i, None, None) for i in order[m:].tolist()]
+    heapq.heapify(heap)
 
     def opened(entry):
         spread, i, sums, nodes = entry
@@ -73,14 +77,15 @@ def differencing(sizes: Sequence[int], k: int) -> list[list[int]]:
         (a, at_a), (b, at_b) = opened(heapq.heappop(heap)), opened(heapq.heappop(heap))
         sums, at_b = a + b[::-1], at_b[::-1]
         nodes = np.where(at_a >= 0, at_a, at_b)
-        for w in np.flatnonzero((at_a >= 0) & (at_b >= 0)).tolist():
-            low.append(int(at_a[w]))
-            high.append(int(at_b[w]))
-            nodes[w] = n + len(low) - 1
+        both = np.flatnonzero((at_a >= 0) & (at_b >= 0))
+        if len(both):
+            nodes[both] = n + len(low) + np.arange(len(both))
+            low += at_a[both].tolist()
+            high += at_b[both].tolist()
         order = np.argsort(-sums, kind="stable")
         sums, nodes = sums[order] - sums[order[-1]], nodes[order]  # only differences matter
-        heapq.heappush(heap, (-int(sums[0]), turn, sums, nodes))
         turn += 1
+        heapq.heappush(heap, (-int(sums[0]), turn, sums, nodes))
     _, nodes = opened(heap[0])
     windows = []
     for root in nodes.tolist():
@@ -156,30 +161,78 @@ def powers_of_two(spans: Sequence[Span]) -> list[list[Span]]:
 class WordIds:
     """Ids of texts by a public tokenizer whose tokens never hold white space.
 
-    Texts are cut at ASCII white space and each distinct stretch of a batch is
-    encoded once, which gives the ids of encoding every whole text: the
-    normaliser and the split drop white space, and no token of the file holds any.
+    Texts are cut at ASCII white space and between an ASCII letter and one of
+    ``ENDINGS``, where a token always ends: the normaliser and the split drop
+    white space, and a run of letters is a token group by itself. Each distinct
+    stretch is encoded once and remembered, so the ids are those of encoding
+    every whole text.
     """
 
+    #: Marks that part runs of letters; not the apostrophe ("'s" is one token group) nor marks of added tokens.
+    ENDINGS = b'.,;:!?)"'
+    #: Stretches remembered; beyond that the memory is emptied, results stay.
+    REMEMBERED = 1 << 20
+    #: Stretches encoded in one call, which costs more than a stretch does.
+    TOGETHER = 100
+
     def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(WORD_BPE))
+        kind = np.zeros(256, np.uint8)
+        kind[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = 1
+        kind[list(self.ENDINGS)] = 2
+        self.kind = kind
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.base, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _learn(self, hashes: np.ndarray, stretches: list[str]) -> None:
+        """Encode stretches that are not remembered; some at once, told apart by their places."""
+        sizes, found = [], []
+        for i in range(0, len(stretches), self.TOGETHER):
+            some = stretches[i : i + self.TOGETHER]
+            ends = np.cumsum([len(x) + 1 for x in some])
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            at = np.searchsorted(ends, np.array([a for a, _ in e.offsets], np.int64), "right")
+            sizes.append(np.bincount(at, minlength=len(some)))
+            found.append(np.array(e.ids, np.uint32))
+        size = np.concatenate(sizes)
+        self.base = np.concatenate((self.base, len(self.ids) + np.cumsum(size) - size))
+        self.size, self.ids = np.concatenate((self.size, size)), np.concatenate((self.ids, *found))
+        known = np.concatenate((self.hashes, hashes))
+        slot = np.concatenate((self.slot, len(self.slot) + np.arange(len(hashes))))
+        order = np.argsort(known)
+        self.hashes, self.slot = known[order], slot[order]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and each text's range in them."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        ends = split.offsets.to_numpy()
-        coded = split.flatten().dictionary_encode()
-        ids = [e.ids for e in self.tokenizer.encode_batch(coded.dictionary.to_pylist(), add_special_tokens=False)]
-        size = np.array([len(x) for x in ids], np.int64)
-        base = np.concatenate(([0], np.cumsum(size)))
-        pool = np.fromiter((x for one in ids for x in one), np.uint32, int(base[-1]))
-        code = coded.indices.to_numpy(zero_copy_only=False)
-        count = size[code]
+        data, offs = ta.flat(texts)
+        starts, ends, _ = ta.words(data, offs)
+        kind = self.kind[data]
+        inner = np.flatnonzero(kind[:-1] + kind[1:] == 3) + 1
+        inner = inner[~np.isin(inner, offs)]  # neighbours in other texts do not count
+        starts, ends = np.sort(np.concatenate((starts, inner))), np.sort(np.concatenate((ends, inner)))
+        hashes, first, code = np.unique(ta.span_hash(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.hashes) > self.REMEMBERED:
+            self._forget()
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        if not known.all():
+            raw, here = data.tobytes(), first[~known]
+            spans = zip(starts[here].tolist(), ends[here].tolist(), strict=True)
+            self._learn(hashes[~known], [raw[a:b].decode() for a, b in spans])
+        slot = self.slot[np.searchsorted(self.hashes, hashes)][code]
+        count = self.size[slot]
         total = np.concatenate(([0], np.cumsum(count)))
-        return pool[np.repeat(base[code] - total[:-1], count) + np.arange(total[-1])], total[ends - ends[0]]
+        ids = self.ids[np.repeat(self.base[slot] - total[:-1], count) + np.arange(total[-1])]
+        return ids, total[np.searchsorted(starts, offs)]
 
 
 class Pool:
