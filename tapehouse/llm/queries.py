@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tapehouse.llm import (
     attribution,
+    codebooks,
     decontaminate,
     differencing,
     fingerprints,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_suffix_array_dedup": repeats.op9_suffix_array_dedup,
     "op10_token_attribution": attribution.op10_token_attribution,
+    "op11_vector_codes": codebooks.op11_vector_codes,
     "op13_differencing_packing": differencing.op13_differencing_packing,
 }
 

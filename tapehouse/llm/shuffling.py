@@ -43,6 +43,16 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing will read again."""
+    for df in tables:
+        folders = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for folder in folders:
+            place = jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(conf).delete(place, True)
+
+
 def packed(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[tuple[int, dict[str, bytes]]]:
     """For each bucket that occurs, the bytes of its values of each column."""
     order = np.argsort(bucket, kind="stable")
