@@ -14,6 +14,7 @@ from tapehouse.llm import (
     packing,
     repeats,
     secrets,
+    turns,
     warc,
 )
 
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_suffix_array_dedup": repeats.op9_suffix_array_dedup,
     "op10_token_attribution": attribution.op10_token_attribution,
     "op11_vector_codes": codebooks.op11_vector_codes,
+    "op12_conversation_repair": turns.op12_conversation_repair,
     "op13_differencing_packing": differencing.op13_differencing_packing,
 }
 
