@@ -32,7 +32,7 @@ from tapehouse.operators.serve import (  # noqa: F401
 )
 from tapehouse.operators.silver import (  # noqa: F401
     clean_trades,
-    drop_stale_levels,
+    since_snapshot,
     flatten_levels,
     incremental_since,
     latest_levels,

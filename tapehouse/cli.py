@@ -4,12 +4,14 @@
                              [--available-now] [--trigger "10 seconds"] [--tables]
   python -m tapehouse layers --lake ROOT [--reset-on-snapshot] [--guard-late-levels]
                              [--ingest-watermark] [--full-gold] [--tables]
+                             [--lease-seconds 600] [--keep-versions 10]
 
 With ``--tables`` the namespaces and tables of all layers are created first where
 they are missing, and are catalog tables over the lake's folders.
 ``bronze`` starts both ingest streams and blocks until either stops (a
 failure of one stops the job). ``layers`` runs silver then gold once; run it
-on a schedule (the source system refreshes every 10 minutes).
+on a schedule (the source system refreshes every 10 minutes). While a run holds
+the lake's lease another one is refused.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import argparse
 import json
 
 from tapehouse.plans.catalog import bootstrap, sync
-from tapehouse.plans.layers import Lake, run_all, run_gold, run_silver_levels, silver_trades_step
+from tapehouse.plans.layers import Lake, run_all
 from tapehouse.schemas import ORDERBOOK_TOPIC, TRADES_TOPIC
 from tapehouse.session import build_session
 from tapehouse.sources.feed import file_stream, kafka_stream
@@ -54,18 +56,12 @@ def _layers(args: argparse.Namespace) -> None:
     lake = Lake(args.lake)
     if args.tables:
         bootstrap(spark, lake)
-    if args.reset_on_snapshot or args.guard_late_levels or args.ingest_watermark:
-        levels_rows = run_silver_levels(
-            spark, lake,
-            newer_by=["event_time", "sequence"] if args.guard_late_levels else None,
-            reset_on_snapshot=args.reset_on_snapshot,
-            watermark="ingest_time" if args.ingest_watermark else "event_time",
-        )
-        step = silver_trades_step(spark, lake)
-        run_gold(spark, lake, full=args.full_gold)
-        counts = {"silver_levels": levels_rows, "silver_trades": step.rows}
-    else:
-        counts = run_all(spark, lake, full_gold=args.full_gold)
+    counts = run_all(
+        spark, lake, full_gold=args.full_gold, lease_seconds=args.lease_seconds, keep_versions=args.keep_versions,
+        newer_by=["event_time", "sequence"] if args.guard_late_levels else None,
+        reset_on_snapshot=args.reset_on_snapshot,
+        watermark="ingest_time" if args.ingest_watermark else "event_time",
+    )
     if args.tables:
         sync(spark, lake)
     print(json.dumps(counts))
@@ -91,6 +87,8 @@ def main(argv: list[str] | None = None) -> None:
     la.add_argument("--ingest-watermark", action="store_true", help="bound the levels' increments by ingest time alone")
     la.add_argument("--full-gold", action="store_true", help="rebuild all bars, not only those of touched days")
     la.add_argument("--tables", action="store_true", help="create the tables and keep their partitions up to date")
+    la.add_argument("--lease-seconds", type=float, default=600.0, help="after this time a dead run's lease can be taken")
+    la.add_argument("--keep-versions", type=int, default=10, help="versions of each table to keep for readers")
     la.set_defaults(fn=_layers)
     args = p.parse_args(argv)
     if args.cmd == "bronze" and not args.kafka and not (args.book_files and args.trade_files):

@@ -170,9 +170,9 @@ def silver_levels(
 ) -> DataFrame:
     """Silver order-book levels from bronze: incremental, flattened, latest per level.
 
-    ``reset_on_snapshot=True`` drops levels older than the newest snapshot of
-    their product in this batch (see ``drop_stale_levels``); apply the same
-    to the stored table after an upsert to clear stale stored levels.
+    ``reset_on_snapshot=True`` leaves out messages that arrived before the
+    newest snapshot of their product in this batch (see ``since_snapshot``);
+    stored levels of a product with a snapshot are older than it.
 
     The incremental bound compares bronze ``ingest_time`` with the target's
     ``max(event_time)`` (the source system's rule, which mixes the exchange
@@ -184,32 +184,32 @@ def silver_levels(
         bronze, target, on="ingest_time", target_col=watermark_col, inline=inline_bound
     )
     keep = watermark_col == "ingest_time"
-    out = latest_levels(flatten_levels(src, snapshot_time=snapshot_time, keep_ingest=keep))
     if reset_on_snapshot:
-        out = drop_stale_levels(out, snapshot_times(src))
-    return out
+        src = since_snapshot(src)
+    return latest_levels(flatten_levels(src, snapshot_time=snapshot_time, keep_ingest=keep))
 
 
-def snapshot_times(bronze: DataFrame) -> DataFrame:
-    """Time of the newest snapshot message per product (one row per product)."""
-    return (
-        bronze.where(F.col("type") == "snapshot")
-        .groupBy("product_id")
-        .agg(F.max("ingest_time").alias("_snapshot_time"))
-    )
+#: Columns that tell the order of messages of one ingest time, where bronze carries one.
+ARRIVAL = ("offset", "msg_offset")
 
 
-def drop_stale_levels(levels: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Remove levels older than their product's newest snapshot.
+def since_snapshot(bronze: DataFrame) -> DataFrame:
+    """Messages that did not arrive before the newest snapshot of their product.
 
     A reconnect sends a full snapshot; levels it no longer lists are stale.
     The source system keeps them (so its book can cross after a reconnect);
-    this is the opt-in correction. ``snapshots`` is ``snapshot_times(...)``:
-    one row per product, so the join never multiplies level rows.
+    this is the opt-in correction. Messages arrive by ingest time, which a
+    micro-batch shares, then by the offset where there is one; without it a
+    message of the snapshot's ingest time counts as later. Exchange times play
+    no part: they are another clock.
     """
-    return (
-        levels.join(snapshots, on="product_id", how="left")
-        .where(F.col("_snapshot_time").isNull() | (F.col("event_time") >= F.col("_snapshot_time")))
-        .drop("_snapshot_time")
+    order = ["ingest_time", *(c for c in ARRIVAL if c in bronze.columns)]
+    arrival = F.struct(*order)
+    newest = (
+        bronze.where(F.col("type") == "snapshot")
+        .groupBy(F.col("product_id").alias("_product"))
+        .agg(F.max(arrival).alias("_snapshot"))  # one row a product: the join multiplies no message
     )
-
+    same = F.col("product_id").eqNullSafe(F.col("_product"))
+    fresh = F.col("_snapshot").isNull() | (arrival >= F.col("_snapshot"))
+    return bronze.join(newest, same, "left").where(fresh).select(*bronze.columns)

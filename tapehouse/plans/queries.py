@@ -24,7 +24,7 @@ from tapehouse.plans.layers import Lake, run_all
 from tapehouse.session import scratch_path
 from tapehouse.sources.feed import file_stream
 from tapehouse.sources.publish import JSON_OPTIONS, publish_records, write_feed_files
-from tapehouse.sources.tables import full_refresh, write_day_partitioned
+from tapehouse.sources.tables import full_refresh, scan, write_day_partitioned
 from tapehouse.streaming import bronze as streaming
 from tapehouse.streaming.bronze import start_append
 
@@ -367,20 +367,20 @@ def _lake_runs(spark: SparkSession, sf_dir: str) -> Lake:
 
 @query("pipeline_silver_trades")
 def q_pipeline_silver_trades(spark, sf_dir):
-    t = spark.read.parquet(_lake_runs(spark, sf_dir).silver_trades)
+    t = scan(spark, _lake_runs(spark, sf_dir).silver_trades)
     return t.select("trade_id", "sequence", "product_id", "price", "size", F.col("time").cast(NTZ).alias("time"))
 
 
 @query("pipeline_silver_levels")
 def q_pipeline_silver_levels(spark, sf_dir):
-    levels = spark.read.parquet(_lake_runs(spark, sf_dir).silver_levels)
+    levels = scan(spark, _lake_runs(spark, sf_dir).silver_levels)
     return levels.select("product_id", "side", "price", "size", F.col("event_time").cast(NTZ).alias("event_time"), "sequence")
 
 
 @query("pipeline_gold")
 def q_pipeline_gold(spark, sf_dir):
     """Bars of the touched days after the second run: equal to those of all of silver."""
-    bars = spark.read.parquet(_lake_runs(spark, sf_dir).gold_ohlcv).drop("bucket_date")
+    bars = scan(spark, _lake_runs(spark, sf_dir).gold_ohlcv).drop("bucket_date")
     return _round_vwap(bars.withColumn("bucket", F.col("bucket").cast(NTZ)))
 
 

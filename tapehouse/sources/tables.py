@@ -8,8 +8,8 @@ connectors are configured; nothing here needs them.
 from __future__ import annotations
 
 import hashlib
-import json
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,26 +18,22 @@ from pyspark.errors import AnalysisException
 
 from tapehouse.schemas import DAY_PARTITIONS, FILE_PARTITIONS, NAMESPACES, TABLE_DDL
 from tapehouse.session import scratch_path
+from tapehouse.sources.versions import STAGE, Table, Version
 
 
-def _stage(spark: SparkSession, name: str, target: str) -> str:
-    """Staging folder of one target table: beside a path, on the same file system.
-
-    A catalog table has no path of its own here; its stage is under the shared
-    checkpoint folder, named by the table. Each run overwrites its own
-    previous stage, which keeps the space used bounded.
-    """
-    if "/" in target:
-        return f"{target.rstrip('/')}__stage/{name}"
-    tag = hashlib.sha1(target.encode()).hexdigest()[:12]
+def _stage(spark: SparkSession, name: str, table: str) -> str:
+    """Staging folder of a catalog table, under the shared checkpoint folder; each run overwrites its own."""
+    tag = hashlib.sha1(table.encode()).hexdigest()[:12]
     return scratch_path(spark, f"stage/{name}-{tag}")
 
 
 def scan(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """A layer table by catalog name (``silver.stg_trades``) or by Parquet path."""
-    if "/" in name_or_path:
-        return spark.read.parquet(name_or_path)
-    return spark.table(name_or_path)
+    """A layer table by catalog name (``silver.stg_trades``) or by path: the last version of a
+    versioned table, else the Parquet files there."""
+    if "/" not in name_or_path:
+        return spark.table(name_or_path)
+    version = Table(spark, name_or_path).current()
+    return spark.read.parquet(name_or_path) if version is None else Table(spark, name_or_path).read(version)
 
 
 def create_namespaces(spark: SparkSession, catalog: str | None = None) -> None:
@@ -78,19 +74,55 @@ def create_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {full} ({cols}) USING {using}{part}{loc}")
 
 
+SYNCED = "tapehouse.version"
+
+
 def sync_partitions(spark: SparkSession, name: str, location: str) -> None:
-    """Make a Parquet table's partitions in the catalog those of its folder (added and removed ones).
+    """Make a Parquet table in the catalog that of its folder (added, changed and removed partitions).
 
-    A table created over a folder that a stream has written has none in the
-    catalog: it is read through the stream's own log of files.
+    Of a versioned folder the table gets the last version's partition folders,
+    those that differ from the version it had before. A table created over a
+    folder that a stream has written has no partitions in the catalog: it is
+    read through the stream's own log of files.
     """
-    if not path_exists(spark, location):
+    table = Table(spark, location)
+    version = table.current()
+    if version is not None:
+        _sync_version(spark, name, table, version)
+    elif path_exists(spark, location):
+        if any(c.isPartition for c in spark.catalog.listColumns(name)):
+            spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    else:
         return
-    if any(c.isPartition for c in spark.catalog.listColumns(name)):
-        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
 
 
+def _sync_version(spark: SparkSession, name: str, table: Table, version: Version) -> None:
+    if version.column is None:
+        for folder in version.folders.values():
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{table.path}/{folder}'")
+        return
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    had = int(properties.get(SYNCED, 0))
+    before = table.version(had).folders if had in table.numbers() else {}
+    present = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    unescaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+
+    def spec(partition: str) -> str:
+        value = unescaped(partition.split("=", 1)[1])
+        quoted = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"PARTITION (`{version.column}` = " + ("null)" if value == "__HIVE_DEFAULT_PARTITION__" else f"'{quoted}')")
+
+    for partition, folder in version.folders.items():
+        if partition not in present:
+            spark.sql(f"ALTER TABLE {name} ADD {spec(partition)} LOCATION '{table.path}/{folder}'")
+        elif before.get(partition) != folder:
+            spark.sql(f"ALTER TABLE {name} {spec(partition)} SET LOCATION '{table.path}/{folder}'")
+    for partition in present - set(version.folders):
+        spark.sql(f"ALTER TABLE {name} DROP {spec(partition)}")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{SYNCED}' = '{version.number}')")
+
+
 def with_day_partition(df: DataFrame, column: str) -> DataFrame:
     """Add ``<column>_date`` = to_date(column), the Parquet twin of days(column)."""
     return df.withColumn(f"{column}_date", F.to_date(F.col(column)))
@@ -166,12 +198,12 @@ def filtered_scan(spark: SparkSession, path: str, condition: str, columns: Seque
 
 @dataclass
 class UpsertResult:
-    """Rows merged, the partition values touched (None on the first run, which
-    writes all), and the merged source rows (None on the first run)."""
+    """Rows merged, names of the partitions touched (None on the first run, which
+    writes all) and the version that holds them."""
 
     rows: int
-    touched: DataFrame | None
-    source: DataFrame | None = None
+    touched: list[str] | None
+    version: Version
 
 
 def upsert_parquet(
@@ -180,121 +212,68 @@ def upsert_parquet(
     source: DataFrame,
     keys: Sequence[str],
     partition_col: str,
-    stage_name: str,
     newer_by: Sequence[str] | None = None,
-    post: Callable[[DataFrame], DataFrame] | None = None,
+    prior: Callable[[DataFrame], DataFrame] | None = None,
     also_touched: DataFrame | None = None,
-    before_commit: Callable[[DataFrame], None] | None = None,
+    marks: Callable[[DataFrame], Mapping] | None = None,
+    cluster_by: Sequence[str] = (),
+    before: Callable[[], None] | None = None,
 ) -> UpsertResult:
-    """MERGE ``source`` into the partitioned Parquet table at ``path``.
+    """MERGE ``source`` into the versioned, partitioned table at ``path``, as one new version.
 
     The partitions rewritten are those of the source rows, those in which the
     table already holds one of their keys (a corrected row may move to
     another partition) and those of ``also_touched`` (a frame with the
-    partition column); a null partition value is one like any other. The
-    table is read with the schema of ``source``, so partition values keep
-    their type. The merged partitions are staged beside the table, a note of
-    the pending change is stored, and only then are the partitions replaced:
-    a run that dies meanwhile is completed by the next one (``recover``).
-    Partitions left without rows are removed. ``post`` transforms the merged
-    partitions; ``before_commit`` gets the touched partitions before any
-    change is visible.
+    partition column); a null partition value is one like any other. Stored
+    keys are found by the table's key index first; only partitions it names
+    are read. Partitions left without rows are gone. The table is read with
+    the schema of ``source``, so partition values keep their type.
+
+    ``prior`` transforms the stored rows of the touched partitions before the
+    merge. ``marks`` gives values of the merged source rows that are published
+    with them; ``before`` is called just before that. A run that dies leaves
+    the table as it was.
     """
     from tapehouse.operators.upsert import upsert
 
-    if not path_exists(spark, path):
-        _clustered(source, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return UpsertResult(spark.read.parquet(path).count(), None)
-    recover(spark, path)
-    target = spark.read.schema(source.schema).parquet(path)
-    staged_src = _stage(spark, f"{stage_name}-src", path)
-    source.write.mode("overwrite").parquet(staged_src)
-    src = spark.read.parquet(staged_src)
-    n = src.count()
-    touched = src.select(partition_col)
-    if partition_col not in keys:
-        stored = target.join(src.select(*keys).distinct(), on=list(keys), how="left_semi")
-        touched = touched.unionByName(stored.select(partition_col))
-    if also_touched is not None:
-        touched = touched.unionByName(also_touched.select(partition_col))
-    touched_path = _stage(spark, f"{stage_name}-touched", path)
-    touched.distinct().write.mode("overwrite").parquet(touched_path)
-    touched = spark.read.parquet(touched_path)
-    if n == 0 and also_touched is None:
-        return UpsertResult(0, touched, src)
-    if before_commit is not None:
-        before_commit(touched)
-    affected = target.join(touched, target[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
-    merged = upsert(affected, src, keys, newer_by=newer_by)
-    if post is not None:
-        merged = post(merged)
-    replace_partitions(spark, merged, path, partition_col, stage_name, touched)
-    return UpsertResult(n, touched, src)
-
-
-def _clustered(df: DataFrame, partition_col: str) -> DataFrame:
-    """Rows of a partition together, so that a task writes few files; Spark splits large partitions
-    over several tasks and merges small ones."""
-    return df.hint("rebalance", partition_col)
-
-
-def replace_partitions(
-    spark: SparkSession, df: DataFrame, path: str, partition_col: str, stage_name: str, touched: DataFrame
-) -> None:
-    """Replace the ``touched`` partitions of ``path`` by the rows of ``df``, which may read ``path``.
-
-    Touched partitions without rows are removed.
-    """
-    stage = _stage(spark, stage_name, path)
-    df.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage).select(F.col(partition_col).alias("_p")).distinct()
-    empty = touched.join(staged, touched[partition_col].eqNullSafe(staged["_p"]), "left_anti")
-    names = [r[0] for r in empty.select(F.col(partition_col).cast("string")).collect()]  # partition values, not rows
-    pending = json.dumps({"stage": stage, "column": partition_col, "emptied": names})
-    write_state(spark, path, PENDING, pending, "string")
-    recover(spark, path)
-
-
-def recover(spark: SparkSession, path: str) -> bool:
-    """Complete a change of ``path`` that was staged whole but perhaps not finished."""
-    pending = read_state(spark, path, PENDING)
-    if not pending:
-        return False
-    change = json.loads(pending)
-    (
-        _clustered(spark.read.parquet(change["stage"]), change["column"])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(change["column"])
-        .parquet(path)
-    )
-    jvm = spark._jvm
-    names = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for value in change["emptied"]:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{names.getPartitionPathString(change['column'], value)}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    write_state(spark, path, PENDING, None, "string")
-    return True
-
-
-PENDING = "pending"
-STATE_DIR = "_tapehouse_state"
-
-
-def read_state(spark: SparkSession, path: str, name: str):
-    """A one-value state (e.g. a high-water mark) stored beside a table, or None.
-
-    Kept in a ``_``-prefixed folder inside the table path, which Parquet
-    readers and partition discovery ignore.
-    """
-    loc = f"{path.rstrip('/')}/{STATE_DIR}/{name}"
-    if not path_exists(spark, loc):
-        return None
-    row = spark.read.parquet(loc).first()
-    return None if row is None else row[0]
-
-
-def write_state(spark: SparkSession, path: str, name: str, value, ddl_type: str) -> None:
-    """Store a one-value state; written only after the table commit it describes."""
-    loc = f"{path.rstrip('/')}/{STATE_DIR}/{name}"
-    spark.createDataFrame([(value,)], f"v {ddl_type}").coalesce(1).write.mode("overwrite").parquet(loc)
+    table = Table(spark, path)
+    base = table.current()
+    indexed = [] if partition_col in keys else list(keys)
+
+    def marked(rows: DataFrame) -> Mapping:
+        found = marks(rows) if marks else {}
+        if before:
+            before()
+        return found
+
+    if base is None:
+        version = table.write(
+            source, partition_col, marks=marked, cluster_by=cluster_by, keys=indexed
+        )
+        return UpsertResult(table.read(version).count(), None, version)
+    stage = f"{table.path}/{STAGE}/{uuid.uuid4().hex}"
+    try:
+        source.write.parquet(stage)
+        src = spark.read.schema(source.schema).parquet(stage)
+        n = src.count()
+        if n == 0 and also_touched is None:
+            return UpsertResult(0, [], base)
+        values = src.select(partition_col)
+        if also_touched is not None:
+            values = values.unionByName(also_touched.select(partition_col))
+        if indexed:
+            maybe = table.partitions_of_keys(base, src, indexed)
+            stored = table.read(base, maybe).select(*keys, partition_col)
+            values = values.unionByName(stored.join(src.select(*keys).distinct(), indexed, "left_semi").select(partition_col))
+        found = values.select(F.col(partition_col).cast("string")).distinct().collect()  # partitions, not rows
+        touched = table.partition_names(partition_col, [r[0] for r in found])
+        affected = table.read(base, touched)
+        if prior is not None:
+            affected = prior(affected)
+        version = table.write(
+            upsert(affected, src, keys, newer_by=newer_by).select(*source.columns), partition_col, base, touched,
+            lambda _: marked(src), cluster_by, src, indexed,
+        )
+        return UpsertResult(n, touched, version)
+    finally:
+        table.io.delete(stage)

@@ -8,7 +8,8 @@ from tapehouse.plans.layers import Lake, run_all
 from tapehouse.schemas import TABLE_DDL
 from tapehouse.sources.feed import file_stream
 from tapehouse.sources.publish import write_feed_files
-from tapehouse.sources.tables import full_refresh
+from tapehouse.sources.tables import full_refresh, scan
+from tapehouse.sources.versions import Table
 from tapehouse.streaming.bronze import start_bronze
 
 CUT = "2024-01-15"
@@ -58,7 +59,7 @@ def test_stream_to_tables_and_two_runs(spark, tmp_dir, no_tables):
     assert spark.table("silver.stg_trades").count() == ev.count()
     assert spark.table("gold.gold_ohlcv_1min").count() > first
     for name in TABLE_DDL:
-        stored = spark.read.parquet(lake.table_path(name))
+        stored = scan(spark, lake.table_path(name))
         assert _rows(spark.table(name)) == _rows(stored), name
         assert spark.table(name).schema.simpleString().count("void") == 0
     # another session, whose catalog is empty, creates the tables over what is there
@@ -66,7 +67,7 @@ def test_stream_to_tables_and_two_runs(spark, tmp_dir, no_tables):
         spark.sql(f"DROP TABLE {name}")
     catalog.bootstrap(spark, lake)
     for name in TABLE_DDL:
-        assert _rows(spark.table(name)) == _rows(spark.read.parquet(lake.table_path(name))), name
+        assert _rows(spark.table(name)) == _rows(scan(spark, lake.table_path(name))), name
     # bars rebuilt in full from the same silver are the same
     catalog.run_lake_tables(spark, lake, full_gold=True)
     assert spark.table("gold.gold_ohlcv_1min").agg(F.sum("trade_count")).first()[0] == ev.count()
@@ -79,8 +80,8 @@ def test_removed_partitions_leave_the_catalog(spark, tmp_dir, no_tables):
                        "ingest_time, d AS time_date FROM VALUES (DATE '2024-01-01'), (DATE '2024-01-02') AS t(d)")
     catalog.bootstrap(spark, lake)
     for days in (2, 1):
-        trades.where(F.dayofmonth("time_date") <= days).write.mode("overwrite").partitionBy("time_date").parquet(
-            lake.silver_trades)
+        table = Table(spark, lake.silver_trades)
+        table.write(trades.where(F.dayofmonth("time_date") <= days), "time_date", table.current())
         catalog.sync(spark, lake)
         assert spark.sql("SHOW PARTITIONS silver.stg_trades").count() == days
         assert spark.table("silver.stg_trades").count() == days
@@ -99,9 +100,9 @@ def test_merging_tables_equal_the_lake(spark, tmp_dir, no_tables):
         _append(spark, tmp_dir, ev.where(part), (lake.bronze_orderbook, lake.bronze_trades))
         for name in ("bronze.orderbook_events", "bronze.trades"):
             columns = spark.table(name).columns
-            spark.read.parquet(lake.table_path(name)).select(*columns).write.mode("overwrite").insertInto(name)
+            scan(spark, lake.table_path(name)).select(*columns).write.mode("overwrite").insertInto(name)
         catalog.run_tables(spark, using="parquet", merge=rewrite)
         run_all(spark, lake)
         for name in ("silver.stg_trades", "silver.stg_orderbook_levels", "gold.gold_ohlcv_1min", "gold.gold_top_of_book"):
             table = spark.table(name)
-            assert _rows(table) == _rows(spark.read.parquet(lake.table_path(name)).select(*table.columns)), (i, name)
+            assert _rows(table) == _rows(scan(spark, lake.table_path(name)).select(*table.columns)), (i, name)

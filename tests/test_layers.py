@@ -3,7 +3,8 @@ from pyspark.sql import functions as F
 from tapehouse.operators import bronze
 from tapehouse.plans.fixtures import book_feed, events, trade_feed
 from tapehouse.plans.layers import Lake, run_all, run_silver_trades
-from tapehouse.sources.tables import with_day_partition
+from tapehouse.sources.tables import scan, with_day_partition
+from tapehouse.sources.versions import Table
 
 
 def _write_bronze(spark, lake, ev, mode="append"):
@@ -26,21 +27,21 @@ def test_two_runs_and_idempotence(spark, tmp_dir):
     assert first["silver_trades"] > 0
     _write_bronze(spark, lake, ev.where(F.col("ts") >= cut))
     run_all(spark, lake)
-    silver = spark.read.parquet(lake.silver_trades)
+    silver = scan(spark, lake.silver_trades)
     assert silver.count() == ev.count()
     assert silver.groupBy("trade_id").count().where("count > 1").count() == 0
     # a third run on unchanged bronze adds nothing
     assert run_silver_trades(spark, lake) == 0
-    bars = spark.read.parquet(lake.gold_ohlcv)
+    bars = scan(spark, lake.gold_ohlcv)
     assert bars.agg(F.sum("trade_count")).first()[0] == ev.count()
     # the incremental gold equals a full rebuild from silver
     from tapehouse.operators import gold as gold_ops
     full = gold_ops.ohlcv(silver.select("trade_id", "product_id", "price", "size", "time"), "1 minute")
     cols = ["product_id", "bucket", "open", "high", "low", "close", "volume", "trade_count"]
     assert sorted(map(tuple, bars.select(cols).collect())) == sorted(map(tuple, full.select(cols).collect()))
-    levels = spark.read.parquet(lake.silver_levels)
+    levels = scan(spark, lake.silver_levels)
     assert levels.groupBy("product_id", "side", "price").count().where("count > 1").count() == 0
-    tob = spark.read.parquet(lake.gold_top_of_book)
+    tob = scan(spark, lake.gold_top_of_book)
     assert tob.count() == levels.select("product_id").distinct().count()
 
 
@@ -61,35 +62,35 @@ def test_incremental_bound_prunes_bronze_days(spark, tmp_dir):
     assert inc.count() == ev.where(F.col("ts") >= "2024-01-20").count()
 
 
-def test_retry_after_uncommitted_run_remerges(spark, tmp_dir):
+def test_a_merge_without_a_mark_is_read_again(spark, tmp_dir):
     from tapehouse.operators import silver as silver_ops
     from tapehouse.plans.layers import HWM
-    from tapehouse.sources.tables import read_state, upsert_parquet
+    from tapehouse.sources.tables import upsert_parquet
 
     lake = Lake(tmp_dir)
     ev = events(spark, "/root/testdata/sf0.001")
     cut = "2024-01-15 00:00:00"
     _write_bronze(spark, lake, ev.where(F.col("ts") < cut))
     run_silver_trades(spark, lake)
-    first_mark = read_state(spark, lake.silver_trades, HWM)
+    first_mark = Table(spark, lake.silver_trades).mark(HWM)
     _write_bronze(spark, lake, ev.where(F.col("ts") >= cut))
-    # a run that merged part of the new rows and died before storing its mark
+    # a merge of part of the new rows that leaves the mark
     part = silver_ops.clean_trades(spark.read.parquet(lake.bronze_trades).where(F.col("ingest_time") >= "2024-01-25"))
     upsert_parquet(spark, lake.silver_trades, part.withColumn("time_date", F.to_date("time")),
-                   ["trade_id"], "time_date", "partial")
-    assert read_state(spark, lake.silver_trades, HWM) == first_mark
+                   ["trade_id"], "time_date")
+    assert Table(spark, lake.silver_trades).mark(HWM) == first_mark
     run_silver_trades(spark, lake)  # the retry reads from the committed mark
-    silver_t = spark.read.parquet(lake.silver_trades)
+    silver_t = scan(spark, lake.silver_trades)
     assert silver_t.count() == ev.count()
     assert silver_t.groupBy("trade_id").count().where("count > 1").count() == 0
-    assert read_state(spark, lake.silver_trades, HWM) > first_mark
+    assert Table(spark, lake.silver_trades).mark(HWM) > first_mark
 
 
 def test_silver_writes_few_files(spark, tmp_dir):
     lake = Lake(tmp_dir)
     _write_bronze(spark, lake, events(spark, "/root/testdata/sf0.001"))
     run_silver_trades(spark, lake)
-    files = spark.read.parquet(lake.silver_trades).select("time_date", F.input_file_name().alias("f"))
+    files = scan(spark, lake.silver_trades).select("time_date", F.input_file_name().alias("f"))
     assert files.groupBy("time_date").agg(F.countDistinct("f").alias("n")).agg(F.max("n")).first()[0] == 1
 
 
@@ -111,6 +112,6 @@ def test_ingest_watermark_takes_messages_that_the_event_clock_skips(spark, tmp_d
             with_day_partition(batch, "ingest_time").write.mode("append").partitionBy("ingest_time_date").parquet(
                 lake.bronze_orderbook)
             run_silver_levels(spark, lake, watermark=watermark)
-        got = spark.read.parquet(lake.silver_levels).select("product_id").collect()
+        got = scan(spark, lake.silver_levels).select("product_id").collect()
         assert sorted(r[0] for r in got) == products
         assert run_silver_levels(spark, lake, watermark="ingest_time") == (0 if watermark == "ingest_time" else 2)

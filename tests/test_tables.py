@@ -12,6 +12,7 @@ from tapehouse.sources.tables import (
     create_table,
     filtered_scan,
     full_refresh,
+    scan,
     upsert_parquet,
     write_day_partitioned,
 )
@@ -49,14 +50,14 @@ def test_full_refresh_roundtrip(spark, tmp_dir):
 def test_upsert_parquet_rewrites_only_touched_partitions(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     tgt = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k long, v string, part int")
-    upsert_parquet(spark, path, tgt, ["k"], "part", "t1")
+    upsert_parquet(spark, path, tgt, ["k"], "part")
     src = spark.createDataFrame([(2, "B", 2), (3, "C", 2)], "k long, v string, part int")
-    res = upsert_parquet(spark, path, src, ["k"], "part", "t2")
-    assert res.rows == 2 and [r["part"] for r in res.touched.collect()] == [2]
-    got = sorted((r["k"], r["v"], r["part"]) for r in spark.read.parquet(path).collect())
+    res = upsert_parquet(spark, path, src, ["k"], "part")
+    assert res.rows == 2 and res.touched == ["part=2"]
+    got = sorted((r["k"], r["v"], r["part"]) for r in scan(spark, path).collect())
     assert got == [(1, "a", 1), (2, "B", 2), (3, "C", 2)]
     empty = src.where("false")
-    assert upsert_parquet(spark, path, empty, ["k"], "part", "t3").rows == 0
+    assert upsert_parquet(spark, path, empty, ["k"], "part").rows == 0
 
 
 def _book(spark, path, items):
@@ -74,7 +75,7 @@ def test_reconnect_snapshot_reset(spark, tmp_dir):
         run_silver_levels(spark, lake, reset_on_snapshot=reset)
         _book(spark, lake.bronze_orderbook, second)
         run_silver_levels(spark, lake, reset_on_snapshot=reset)
-        got = {r["price"]: r["size"] for r in spark.read.parquet(lake.silver_levels).collect()}
+        got = {r["price"]: r["size"] for r in scan(spark, lake.silver_levels).collect()}
         assert got == expect
 
 
