@@ -115,6 +115,19 @@ levels AS (
          CASE WHEN snap THEN ingest_time ELSE coalesce(sent, ingest_time) END AS event_time,
          CASE WHEN snap THEN NULL ELSE e END AS sequence, ingest_time
   FROM entries)"""
+# The same without messages that arrived before their product's newest snapshot.
+FRESH = """,
+newest AS (SELECT product_id, max(struct_pack(t := ingest_time, o := e)) AS at FROM rc WHERE snap GROUP BY product_id)"""
+SINCE = """FROM entries n WHERE NOT EXISTS (
+    SELECT 1 FROM newest s WHERE s.product_id IS NOT DISTINCT FROM n.product_id
+    AND struct_pack(t := n.ingest_time, o := n.e) < s.at))"""
+
+
+def _reset(snapshot_time: str) -> str:
+    levels = RL[RL.index("levels AS ("):].replace("FROM entries)", SINCE)
+    levels = levels.replace("CASE WHEN snap THEN ingest_time", f"CASE WHEN snap THEN {snapshot_time}")
+    return f"WITH {RL[:RL.index('levels AS (')].rstrip().rstrip(',')}{FRESH},\n{levels}, {_latest('latest')} SELECT * FROM latest"
+
 
 
 def _entry(side: str) -> str:
@@ -345,6 +358,8 @@ SELECT product_id, side, price, size, event_time, sequence, ingest_time FROM (
     ORDER BY event_time DESC NULLS LAST, sequence DESC NULLS LAST, size DESC NULLS LAST) AS rn
   FROM levels WHERE ingest_time > (SELECT max(ingest_time) FROM levels WHERE ingest_time < TIMESTAMP '2024-01-16'))
 WHERE rn = 1""",
+    "rough_levels_reset": _reset("ingest_time"),
+    "rough_levels_reset_envelope": _reset("coalesce(sent, ingest_time)"),
     "rough_top_of_book": f"""WITH {RL}, {_latest('latest')},
 per_product AS (
   SELECT product_id, max(CASE WHEN side = 'buy' THEN price END) AS best_bid,

@@ -342,6 +342,19 @@ def q_rough_levels_ingest_bound(spark, sf_dir):
     return silver.silver_levels(b, target=first, watermark_col="ingest_time")
 
 
+@query("rough_levels_reset")
+def q_rough_levels_reset(spark, sf_dir):
+    """Levels of messages that arrived since their product's newest snapshot; exchange times run apart
+    from ingest times, and messages of one minute share an ingest time."""
+    return silver.silver_levels(rough_book(spark, sf_dir), reset_on_snapshot=True)
+
+
+@query("rough_levels_reset_envelope")
+def q_rough_levels_reset_envelope(spark, sf_dir):
+    """The same where a snapshot's levels carry its own time."""
+    return silver.silver_levels(rough_book(spark, sf_dir), snapshot_time="envelope", reset_on_snapshot=True)
+
+
 @query("rough_top_of_book")
 def q_rough_top_of_book(spark, sf_dir):
     return gold.top_of_book(silver.silver_levels(rough_book(spark, sf_dir)))

@@ -134,3 +134,32 @@ def test_level_watermark_clock_options(spark):
     assert "ingest_time" in tgt2.columns
     got = silver.silver_levels(book(spark, *later), target=tgt2, watermark_col="ingest_time")
     assert [r["price"] for r in got.collect()] == [2.0]
+
+
+def _message(kind, product, time, **body):
+    return {"type": kind, "product_id": product, "time": time, **body}
+
+
+def test_reset_goes_by_arrival_not_by_exchange_time(spark):
+    """Exchange times before the ingest stamp: nothing of the new book may be lost."""
+    snapshot = _message("snapshot", "X", "2023-12-31T23:00:00Z", bids=[["1", "1"], ["2", "1"]])
+    update = _message("l2update", "X", "2023-12-31T22:59:00Z", changes=[["buy", "3", "1"]], sequence=1)
+    old = _message("l2update", "X", "2024-01-01T05:00:00Z", changes=[["buy", "9", "1"]], sequence=0)
+    null = _message("l2update", None, "2024-01-01T05:00:00Z", changes=[["buy", "7", "1"]], sequence=0)
+    later = T0 + dt.timedelta(minutes=1)
+    for at in (T0, later):  # with the snapshot's ingest stamp and after it
+        b = book(spark, (old, T0 - dt.timedelta(minutes=1)), (null, T0), (snapshot, T0), (update, at))
+        for snapshot_time in ("ingest", "envelope"):
+            got = silver.silver_levels(b, snapshot_time=snapshot_time, reset_on_snapshot=True)
+            assert sorted(r["price"] for r in got.collect()) == [1.0, 2.0, 3.0, 7.0]
+
+
+def test_reset_uses_offsets_within_one_ingest_time(spark):
+    items = [
+        (0, _message("l2update", "X", "2024-01-01T05:00:00Z", changes=[["buy", "9", "1"]])),
+        (1, _message("snapshot", "X", "2024-01-01T00:00:00Z", bids=[["1", "1"]])),
+        (2, _message("l2update", "X", "2023-12-31T00:00:00Z", changes=[["buy", "2", "1"]])),
+    ]
+    raw = spark.createDataFrame([(json.dumps(m), i, T0) for i, m in items], "value string, offset long, ingest_time timestamp")
+    b = bronze.parse_orderbook(raw, ingest_time="ingest_time", keep=["offset"])
+    assert sorted(r["price"] for r in silver.silver_levels(b, reset_on_snapshot=True).collect()) == [1.0, 2.0]
