@@ -2,14 +2,15 @@
 
   python -m tapehouse bronze --lake ROOT --checkpoints DIR (--kafka HOST:PORT | --book-files DIR --trade-files DIR)
                              [--available-now] [--trigger "10 seconds"] [--tables]
+                             [--restarts 5] [--progress DIR]
   python -m tapehouse layers --lake ROOT [--reset-on-snapshot] [--guard-late-levels]
                              [--ingest-watermark] [--full-gold] [--tables]
                              [--lease-seconds 600] [--keep-versions 10]
 
 With ``--tables`` the namespaces and tables of all layers are created first where
 they are missing, and are catalog tables over the lake's folders.
-``bronze`` starts both ingest streams and blocks until either stops (a
-failure of one stops the job). ``layers`` runs silver then gold once; run it
+``bronze`` runs both ingest streams: when one fails the other is stopped and
+both start again from their checkpoints, ``--restarts`` times at most. ``layers`` runs silver then gold once; run it
 on a schedule (the source system refreshes every 10 minutes). While a run holds
 the lake's lease another one is refused.
 """
@@ -24,7 +25,8 @@ from tapehouse.plans.layers import Lake, run_all
 from tapehouse.schemas import ORDERBOOK_TOPIC, TRADES_TOPIC
 from tapehouse.session import build_session
 from tapehouse.sources.feed import file_stream, kafka_stream
-from tapehouse.streaming.bronze import await_any, start_bronze
+from tapehouse.streaming.bronze import bronze_starts
+from tapehouse.streaming.supervise import ProgressLog, Restarts, run_group
 
 
 def _bronze(args: argparse.Namespace) -> None:
@@ -40,15 +42,9 @@ def _bronze(args: argparse.Namespace) -> None:
     if args.tables:
         bootstrap(spark, lake)
         out = ("bronze.orderbook_events", "bronze.trades")
-    queries = start_bronze(
-        book, trades, *out, args.checkpoints,
-        available_now=args.available_now, trigger=args.trigger,
-    )
-    if args.available_now:
-        for q in queries:
-            q.awaitTermination()
-    else:
-        await_any(spark)
+    starts = bronze_starts(book, trades, *out, args.checkpoints, available_now=args.available_now, trigger=args.trigger)
+    log = ProgressLog(spark, args.progress) if args.progress else None
+    run_group(spark, starts, Restarts(most=args.restarts), log)
 
 
 def _layers(args: argparse.Namespace) -> None:
@@ -79,6 +75,8 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--available-now", action="store_true")
     b.add_argument("--trigger", default="10 seconds")
     b.add_argument("--tables", action="store_true", help="create the tables and append to them")
+    b.add_argument("--restarts", type=int, default=5, help="how often the streams may start again after a failure")
+    b.add_argument("--progress", help="folder of a Parquet table that gets the counts of every micro-batch")
     b.set_defaults(fn=_bronze)
     la = sub.add_parser("layers", help="refresh silver (incremental) and gold (rebuild) once")
     la.add_argument("--lake", required=True)

@@ -86,7 +86,7 @@ def _mark(version: Version | None, name: str):
     return None if version is None else version.marks.get(name)
 
 
-def _newest(column: str, old: int | None) -> Callable[[DataFrame], dict]:
+def newest_mark(column: str, old: int | None) -> Callable[[DataFrame], dict]:
     """The mark of a commit: the old one or the batch's, if larger."""
 
     def marks(rows: DataFrame) -> dict:
@@ -110,7 +110,7 @@ def silver_trades_step(spark: SparkSession, lake: Lake, before: Before = None) -
     src = silver.clean_trades(_bounded(bronze, bound)).withColumn("time_date", F.to_date("time"))
     return upsert_parquet(
         spark, lake.silver_trades, src, ["trade_id"], "time_date",
-        marks=_newest("ingest_time", bound), cluster_by=TRADE_CLUSTER, before=before,
+        marks=newest_mark("ingest_time", bound), cluster_by=TRADE_CLUSTER, before=before,
     )
 
 
@@ -145,7 +145,7 @@ def run_silver_levels(
     by_ingest = watermark == "ingest_time"
     bound = _mark(base, INGEST_HWM if by_ingest else HWM)
     inc = _bounded(bronze, bound)
-    marks = _newest("event_time", bound)
+    marks = newest_mark("event_time", bound)
     if by_ingest:
         newest = inc.agg(F.max(_micros("ingest_time"))).first()[0]
         if newest is not None:  # messages that arrive meanwhile are the next run's

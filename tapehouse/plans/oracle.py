@@ -285,14 +285,15 @@ SELECT product_id,
        max(CASE WHEN side = 'sell' THEN price END) - max(CASE WHEN side = 'buy' THEN price END) AS spread
 FROM ladder WHERE level = 1 GROUP BY product_id""",
     "sequence_gaps": f"WITH {TRADES} " + _gaps("trades", ["product_id"], ["time", "trade_id"]),
-    "sequence_gaps_by_session": f"""WITH {BOOK},
+    "sequence_gaps_by_session": (BY_SESSION := f"""WITH {BOOK},
 s AS (
   SELECT product_id, sequence, ingest_time, msg_offset,
          CAST(sum(CASE WHEN type = 'snapshot' THEN 1 ELSE 0 END) OVER (
            PARTITION BY product_id ORDER BY ingest_time, msg_offset
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS session_id
   FROM book)
-""" + _gaps("s", ["product_id", "session_id"], ["ingest_time", "msg_offset"]),
+""" + _gaps("s", ["product_id", "session_id"], ["ingest_time", "msg_offset"])),
+    "stream_sequence_gaps": BY_SESSION,
     "session_numbers": f"""WITH {BOOK}
 SELECT type, product_id, ingest_time, msg_offset,
        CAST(sum(CASE WHEN type = 'snapshot' THEN 1 ELSE 0 END) OVER (

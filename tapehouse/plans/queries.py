@@ -27,6 +27,7 @@ from tapehouse.sources.publish import JSON_OPTIONS, publish_records, write_feed_
 from tapehouse.sources.tables import full_refresh, scan, write_day_partitioned
 from tapehouse.streaming import bronze as streaming
 from tapehouse.streaming.bronze import start_append
+from tapehouse.streaming.gaps import stream_sequence_gaps
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -432,6 +433,23 @@ def q_sequence_gaps_by_session(spark, sf_dir):
     )
 
 
+@query("stream_sequence_gaps")
+def q_stream_sequence_gaps(spark, sf_dir):
+    """Gaps by session found while the messages pass; the stream is stopped and resumed from its
+    checkpoint, so sequences before and after the stop meet in the state."""
+    root = _scratch(spark, "stream_gaps")
+    env = bronze_book(spark, sf_dir).select("type", "product_id", "sequence", "ingest_time", "msg_offset")
+    for first in (True, False):
+        part = env.where((F.col("ingest_time") < _ts(FIRST_RUN_END)) == F.lit(first))
+        part.write.mode("append").parquet(f"{root}/feed")
+        found = stream_sequence_gaps(
+            spark.readStream.schema(env.schema).parquet(f"{root}/feed"),
+            order=["ingest_time", "msg_offset"], reset=F.col("type") == "snapshot",
+        )
+        start_append(found, f"{root}/checkpoint", path=f"{root}/gaps", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{root}/gaps")
+
+
 @query("session_numbers")
 def q_session_numbers(spark, sf_dir):
     """Every order-book message with its connection's number, by product."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,17 +45,25 @@ def publish_records(
     return out
 
 
+#: The producer's settings, under which a key's order outlives a resend.
+DURABLE = {"kafka.acks": "all", "kafka.retries": "5", "kafka.max.in.flight.requests.per.connection": "1"}
+
+
+def producer_options(bootstrap_servers: str, topic: str, options: Mapping[str, str]) -> dict[str, str]:
+    """Options of a Kafka sink: the durable settings unless ``options`` say otherwise."""
+    return {"kafka.bootstrap.servers": bootstrap_servers, "topic": topic, **DURABLE, **options}
+
+
 def write_kafka(records: DataFrame, topic: str, bootstrap_servers: str, **options: str) -> None:
     """Batch publish (key, value) rows to a Kafka topic (needs the Kafka connector)."""
-    writer = (
-        records.select("key", "value")
-        .write.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("topic", topic)
-    )
-    for k, v in options.items():
-        writer = writer.option(k, v)
-    writer.save()
+    writer = records.select("key", "value").write.format("kafka")
+    writer.options(**producer_options(bootstrap_servers, topic, options)).save()
+
+
+def write_ordered_feed_files(df: DataFrame, path: str, order: Sequence[str], key: str = "product_id", mode: str = "append") -> None:
+    """One JSON message per line, ordered by (key, order) over the files of this write in the order of
+    their names. A key with most rows spreads over several files."""
+    write_feed_files(publish_records(df, key, order, whole_keys=False), path, mode)
 
 
 def write_feed_files(records: DataFrame, path: str, mode: str = "append") -> None:
@@ -65,13 +73,5 @@ def write_feed_files(records: DataFrame, path: str, mode: str = "append") -> Non
 
 def start_kafka_stream(records: DataFrame, topic: str, bootstrap_servers: str, checkpoint: str, **options: str):
     """Streaming publish of (key, value) rows to a Kafka topic (needs the Kafka connector)."""
-    w = (
-        records.select("key", "value")
-        .writeStream.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("topic", topic)
-        .option("checkpointLocation", checkpoint)
-    )
-    for k, v in options.items():
-        w = w.option(k, v)
-    return w.start()
+    w = records.select("key", "value").writeStream.format("kafka")
+    return w.options(**producer_options(bootstrap_servers, topic, options)).option("checkpointLocation", checkpoint).start()

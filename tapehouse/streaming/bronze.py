@@ -9,6 +9,8 @@ and the file sink's commit log ignores a re-run batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -81,7 +83,7 @@ def start_append(
     return w.start(path)
 
 
-def start_bronze(
+def bronze_starts(
     orderbook_raw: DataFrame,
     trades_raw: DataFrame,
     orderbook_out: str,
@@ -90,8 +92,8 @@ def start_bronze(
     available_now: bool = False,
     trigger: str = DEFAULT_TRIGGER,
     fmt: str = "parquet",
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start both bronze queries (order book, trades), each with its own checkpoint.
+) -> tuple[Callable[[], StreamingQuery], Callable[[], StreamingQuery]]:
+    """Start functions of both bronze queries (order book, trades), each with its own checkpoint.
 
     An output is a folder, or the name of a catalog table (``bronze.trades``),
     which must exist (``plans.catalog.bootstrap``). ``fmt`` is the tables'
@@ -99,30 +101,30 @@ def start_bronze(
     """
     root = checkpoint_root.rstrip("/")
 
-    def out(frame: DataFrame, target: str) -> dict:
+    def of(frame: DataFrame, target: str, name: str) -> Callable[[], StreamingQuery]:
         by_day = fmt == "parquet"
         place = {"path": target} if "/" in target else {"table": target}
-        return place | {
-            "df": frame if by_day else frame.drop("ingest_time_date"),
-            "partition_by": "ingest_time_date" if by_day else None,
-            "fmt": fmt,
-        }
-
-    book_q = start_append(
-        **out(bronze_orderbook(orderbook_raw), orderbook_out),
-        checkpoint=f"{root}/bronze_orderbook_events",
-        trigger=trigger,
-        available_now=available_now,
-        name="bronze_orderbook_events",
-    )
-    trades_q = start_append(
-        **out(bronze_trades(trades_raw), trades_out),
-        checkpoint=f"{root}/bronze_trades",
-        trigger=trigger,
-        available_now=available_now,
-        name="bronze_trades",
+        return lambda: start_append(
+            frame if by_day else frame.drop("ingest_time_date"),
+            f"{root}/{name}",
+            partition_by="ingest_time_date" if by_day else None,
+            trigger=trigger,
+            available_now=available_now,
+            fmt=fmt,
+            name=name,
+            **place,
+        )
+
+    return (
+        of(bronze_orderbook(orderbook_raw), orderbook_out, "bronze_orderbook_events"),
+        of(bronze_trades(trades_raw), trades_out, "bronze_trades"),
     )
-    return book_q, trades_q
+
+
+def start_bronze(*args, **options) -> tuple[StreamingQuery, StreamingQuery]:
+    """Start both bronze queries; the arguments are those of ``bronze_starts``."""
+    book, trades = bronze_starts(*args, **options)
+    return book(), trades()
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> bool:
