@@ -2,178 +2,75 @@
 
 A per-product ``lag`` window would put every message of a product in one
 task; one hot product can hold a third of the feed, and a backfill gives a
-whole key one ``ingest_time``. Both ordered operators here therefore deal
-the rows out by ranges of their full order, (key, then every order column),
-so that a key of any size, and a key whose first order column never
-changes, spreads over as many tasks as its rows need. Each task reads its
-sorted range once, batch by batch, and keeps only the state of the run of
-equal keys that it is in. What crosses a border is carried by at most two
-rows per task (its first and its last run), a summary that grows with the
-number of tasks and not with the keys or the rows.
-
-Spark samples the key and order columns to choose the ranges, then reads
-and shuffles the rows once. The result of that pass is checkpointed under
-``spark.checkpoint.dir`` when the operator is called: rows and borders are
-both taken from it, and must see the same ranges even when an executor is
-lost between the two.
+whole key one ``ingest_time``. Both ordered operators here therefore number
+the rows by ranges of their full order, (key, then every order column), and
+partition their windows by range and key, so that a key of any size, and a key
+whose first order column never changes, spreads over as many tasks as its rows
+need. What crosses a border is carried by one row per range and key: windows
+over these rows, a summary of the ranges and keys and not of the messages.
+
+The borders of the ranges are a sample's quantiles, taken when the operator is
+called, and constants of the plan from then on: the plan itself is lazy, is
+built of window functions and joins only, and gives the same ranges however
+often a part of it runs again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
-
-from tapehouse.session import ensure_checkpoint_dir
-
-Batches = Iterator[pa.RecordBatch]
-
-#: What a pass adds to its rows. Rows of the input (or gaps) have no ``_run``; a border row has
-#: 0 for the first run of its task and 1 for the last, when that is another one.
-BORDER_FIELDS = [
-    StructField("_task", LongType()),
-    StructField("_run", LongType()),
-    StructField("_session", LongType()),  # markers in this run so far (border rows: in all of it)
-    StructField("_first", BooleanType()),  # in the first run of the task, whose key may have begun before
-]
-
-
-def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
-    return df.repartitionByRange(*order).sortWithinPartitions(*order)
-
+from pyspark.sql.types import TimestampType
 
-def _pass(df: DataFrame, fn: Callable[[Batches], Batches], fields: list[StructField]) -> DataFrame:
-    """``fn`` over the sorted ranges, all columns nullable, cut from its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    schema = StructType([StructField(f.name, f.dataType, True) for f in fields])
-    return df.mapInArrow(fn, schema).checkpoint()
+#: Rows sampled for each range.
+SAMPLED = 60
 
 
-def _run_starts(batch: pa.RecordBatch, n_keys: int, before: tuple | None) -> np.ndarray:
-    """True where a row's key (the first ``n_keys`` columns) differs from that of the row before it.
+def _range_number(df: DataFrame, order: Sequence[str]) -> Column:
+    """The range, from 0, that a row falls into by ``order``: as many as there are shuffle partitions.
 
-    ``before`` is the key ahead of the batch, None at the start of a task. Nulls are equal.
+    ``SAMPLED`` rows a range go to the driver, their quantiles into the plan.
     """
-    starts = np.zeros(batch.num_rows, dtype=bool)
-    starts[0] = before != _key(batch, n_keys, 0)
-    for i in range(n_keys):
-        c = batch.column(i)
-        a, b = c.slice(1), c.slice(0, len(c) - 1)
-        both_null = pc.and_(pc.is_null(a), pc.is_null(b))
-        same = pc.coalesce(pc.equal(a, b), both_null)
-        starts[1:] |= ~np.asarray(same, dtype=bool)
-    return starts
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    moments = {c for c in order if isinstance(df.schema[c].dataType, TimestampType)}  # exact in any time zone
+    plain = [F.unix_micros(c) if c in moments else F.col(c).cast("string") for c in order]
+    chosen = df.select(*order).orderBy(F.rand(seed=n)).limit(SAMPLED * n)
+    rows = [tuple(r) for r in chosen.orderBy(*order).select(*plain).collect()]
+    bounds = list(dict.fromkeys(rows[len(rows) * i // n] for i in range(1, n))) if rows else []
+    if not bounds:
+        return F.lit(0)
 
+    def literal(value, c: str) -> Column:
+        kind = df.schema[c].dataType
+        return F.timestamp_micros(F.lit(value).cast("bigint")) if c in moments else F.lit(value).cast("string").cast(kind)
 
-def _key(batch: pa.RecordBatch, n_keys: int, row: int) -> tuple:
-    return tuple(batch.column(i)[row].as_py() for i in range(n_keys))
+    columns = [F.array(*(literal(b[j], c) for b in bounds)) for j, c in enumerate(order)]
+    here = F.struct(*(F.col(c).alias(f"c{j}") for j, c in enumerate(order)))
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
 
+    def further(at: Column, step: Column) -> Column:
+        """Binary search: bounds 1 to ``at`` are not behind the row."""
+        bound = F.struct(*(F.get(b, at + step - 1).alias(f"c{j}") for j, b in enumerate(columns)))
+        return F.when((at + step <= len(bounds)) & (bound <= here), at + step).otherwise(at)
 
-def _markers_in_run(starts: np.ndarray, marks: np.ndarray, before: int) -> np.ndarray:
-    """Per row: markers at or before it in its run, of which ``before`` came ahead of the batch."""
-    total = np.cumsum(marks)
-    at = np.flatnonzero(starts)
-    base = np.concatenate(([-before], total[at] - marks[at]))
-    return total - base[np.cumsum(starts)]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), further)
 
 
-class _Run:
-    """The run of equal keys that a task is in: its key, markers, first and last sequence."""
-
-    def __init__(self, key: tuple, first: bool):
-        self.key, self.first = key, first
-        self.markers = 0
-        self.head: pa.RecordBatch | None = None  # first row with a sequence, if no marker came before
-        self.tail: int | None = None  # last sequence since the last marker
-
-    def extend(self, batch: pa.RecordBatch, rows: np.ndarray, session: np.ndarray, seqs: np.ndarray, end: int):
-        """Takes in a stretch ending at row ``end``; ``rows`` are those of it that have a sequence."""
-        if self.head is None and rows.size and session[rows[0]] == 0:
-            self.head = batch.slice(rows[0], 1)
-        current = rows[session[rows] == session[end]]
-        if current.size:
-            self.tail = int(seqs[current[-1]])
-        elif session[end] != self.markers:
-            self.tail = None
-        self.markers = int(session[end])
-
-
-def _gap_pass(n_keys: int, n_columns: int) -> Callable[[Batches], Batches]:
-    """Over sorted (keys, order columns, sequence, marker): the gaps inside the task and its borders.
-
-    The first ``n_columns`` columns, the last of them the sequence, are those
-    of a gap, and of a border its run's first sequence (``_tail``: the last).
-    """
+def _so_far(columns: Sequence[str], order: Sequence[str], end: int):
+    """Window of all rows of ``columns`` up to the one ``end`` places from the current row."""
+    return Window.partitionBy(*columns).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
 
-    def gaps(batches: Batches) -> Batches:
-        task, run, out_schema = TaskContext.get().partitionId(), None, None
 
-        def border(r: _Run) -> pa.RecordBatch:
-            if r.head is not None:
-                columns = [r.head.column(i) for i in range(n_columns)]
-            else:  # no sequence before the first marker: only the key matters
-                columns = [pa.array([v], f.type) for v, f in zip(r.key, out_schema, strict=False)]
-                columns += [pa.nulls(1, out_schema.field(i).type) for i in range(n_keys, n_columns)]
-            more = [None, r.tail, task, 0 if r.first else 1, r.markers]
-            return pa.RecordBatch.from_arrays(
-                [*columns, *(pa.array([v], pa.int64()) for v in more), pa.array([r.first])], schema=out_schema)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if out_schema is None:
-                extra = [pa.field(n, pa.int64()) for n in ("_prev", "_tail", "_task", "_run", "_session")]
-                out_schema = pa.schema([*list(batch.schema)[:n_columns], *extra, pa.field("_first", pa.bool_())])
-            starts = _run_starts(batch, n_keys, run.key if run else None)
-            segment = np.cumsum(starts)
-            has = np.flatnonzero(np.asarray(pc.is_valid(batch.column(n_columns - 1))))
-            seqs = pc.fill_null(batch.column(n_columns - 1), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            marks = np.asarray(batch.column(n_columns), dtype=bool).astype(np.int64)
-            session = _markers_in_run(starts, marks, run.markers if run else 0)
-            prev, known = np.zeros(has.size, np.int64), np.zeros(has.size, bool)
-            prev[1:] = seqs[has[:-1]]
-            known[1:] = (segment[has[1:]] == segment[has[:-1]]) & (session[has[1:]] == session[has[:-1]])
-            if has.size and segment[has[0]] == 0 and session[has[0]] == run.markers and run.tail is not None:
-                prev[0], known[0] = run.tail, True
-            # the segment (of this batch) that is the task's first run, if any row of it is here
-            first_segment = 1 if run is None else (0 if run.first else -1)
-            hit = known & (seqs[has] > prev + 1)
-            at = has[hit]
-            if at.size:
-                taken = batch.take(pa.array(at))
-                nulls = pa.nulls(at.size, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [*taken.columns[:n_columns], pa.array(prev[hit]), nulls, pa.array(np.full(at.size, task)), nulls,
-                     pa.array(session[at]), pa.array(segment[at] == first_segment)], schema=out_schema)
-            # the run carried in, then the first and the last run that start here; others lie inside the task
-            bounds = np.append(np.flatnonzero(starts), batch.num_rows)
-
-            def stretch(lo, hi, to, batch=batch, has=has, session=session, seqs=seqs):
-                to.extend(batch, has[(has >= lo) & (has < hi)], session, seqs, hi - 1)
-
-            if run is not None and bounds[0] > 0:
-                stretch(0, bounds[0], run)
-            if bounds.size > 1:
-                if run is not None and run.first:
-                    yield border(run)
-                opened = run is None
-                if opened and bounds.size > 2:
-                    run = _Run(_key(batch, n_keys, 0), True)
-                    stretch(0, bounds[1], run)
-                    yield border(run)
-                    opened = False
-                run = _Run(_key(batch, n_keys, int(bounds[-2])), opened)
-                stretch(bounds[-2], bounds[-1], run)
-        if run is not None:
-            yield border(run)
-
-    return gaps
+def _with_carried(rows: DataFrame, carried: DataFrame, part: Sequence[str]) -> DataFrame:
+    """``rows`` with what earlier ranges of their key carry over; nulls are equal."""
+    names = {c: f"_k{i}" for i, c in enumerate(["_range", *part])}
+    other = carried.select(*(F.col(c).alias(k) for c, k in names.items()), *(c for c in carried.columns if c not in names))
+    same = None
+    for c, k in names.items():
+        eq = F.col(c).eqNullSafe(F.col(k))
+        same = eq if same is None else same & eq
+    return rows.join(other, same, "left").drop(*names.values())
 
 
 def sequence_gaps(
@@ -209,32 +106,34 @@ def sequence_gaps(
     columns += [seq] if seq not in columns else []
     marker = F.lit(False) if reset is None else F.coalesce(reset, F.lit(False))
     base = df.select(*[F.col(c) for c in columns if c != seq], F.col(seq).cast("bigint").alias(seq),
-                     marker.alias("_marker"))
-    base = base.where(F.col(key).isNotNull() & (F.col(seq).isNotNull() | F.col("_marker")))
-    columns = base.columns[:-1]
-    fields = [base.schema[c] for c in columns]
-    fields += [StructField("_prev", LongType()), StructField("_tail", LongType()), *BORDER_FIELDS]
-    found = _pass(_ranged(base, [*part, *order]), _gap_pass(len(part), len(columns)), fields)
-
-    # Borders of one key in order: the last sequence before each (a marker since then forgets it), and its markers.
-    w = Window.partitionBy(*part).orderBy("_task", "_run").rowsBetween(Window.unboundedPreceding, -1)
-    state = F.when((F.col("_session") > 0) | F.col("_tail").isNotNull(), F.struct("_tail"))
-    borders = found.where("_run IS NOT NULL").select(
-        *columns, "_task", "_first",
-        F.last(state, ignorenulls=True).over(w)["_tail"].alias("_prev"),
-        F.coalesce(F.sum("_session").over(w), F.lit(0)).alias("_session"),
+                     marker.cast("bigint").alias("_marker"))
+    base = base.where(F.col(key).isNotNull() & (F.col(seq).isNotNull() | (F.col("_marker") > 0)))
+    base = base.withColumn("_range", _range_number(base, [*part, *[c for c in order if c not in part]]))
+    here = ["_range", *part]
+    seen = F.when(F.col(seq).isNotNull(), F.struct(F.col(seq).alias("seq"), F.col("_session").alias("session")))
+    rows = base.withColumn("_session", F.sum("_marker").over(_so_far(here, order, 0))).withColumn(
+        "_prev", F.last(seen, ignorenulls=True).over(_so_far(here, order, -1)))
+
+    # One row per range and key: its markers, and its last sequence if no marker came after it.
+    ends = rows.groupBy(*here).agg(
+        F.sum("_marker").alias("_markers"),
+        F.max_by(seen, F.when(F.col(seq).isNotNull(), F.struct(*order))).alias("_end"),
     )
-    across = borders.where(F.col(seq) > F.col("_prev") + 1).select(*columns, "_prev", "_session")
-    inside = found.where("_run IS NULL")
-    if reset is not None:
-        # one row per task, for the sessions that its first run continues
-        offsets = borders.where("_first AND _session > 0").select("_task", F.col("_session").alias("_before"))
-        inside = inside.join(offsets.withColumn("_first", F.lit(True)), ["_task", "_first"], "left").withColumn(
-            "_session", F.col("_session") + F.coalesce("_before", F.lit(0)))
-    out = inside.select(*columns, "_prev", "_session").unionByName(across)
-    return out.select(
+    tail = F.when(F.col("_end")["session"] == F.col("_markers"), F.col("_end")["seq"])
+    told = F.when((F.col("_markers") > 0) | F.col("_end").isNotNull(), F.struct(tail.alias("seq")))
+    earlier = _so_far(part, ["_range"], -1)
+    carried = ends.select(
+        *here, F.last(told, ignorenulls=True).over(earlier)["seq"].alias("_carried"),
+        F.coalesce(F.sum("_markers").over(earlier), F.lit(0)).alias("_before"),
+    ).where("_carried IS NOT NULL OR _before > 0")
+    before = F.when(
+        F.col("_prev").isNotNull(), F.when(F.col("_prev")["session"] == F.col("_session"), F.col("_prev")["seq"])
+    ).when(F.col("_session") == 0, F.col("_carried"))
+    found = _with_carried(rows, carried, part).withColumn("_prev", before).where(F.col(seq) > F.col("_prev") + 1)
+    number = F.col("_session") + F.coalesce("_before", F.lit(0))
+    return found.select(
         *part,
-        *([F.col("_session").alias(name)] if reset is not None else []),
+        *([number.alias(name)] if reset is not None else []),
         *[c for c in columns if c not in part and c != seq],
         seq,
         (F.col("_prev") + 1).alias("expected"),
@@ -242,48 +141,6 @@ def sequence_gaps(
     )
 
 
-def _session_pass(n_keys: int, n_columns: int) -> Callable[[Batches], Batches]:
-    """Over sorted (keys, columns, marker): every row with its run's markers so far, and the task's borders."""
-
-    def numbered(batches: Batches) -> Batches:
-        task, key, markers, in_first, out_schema = TaskContext.get().partitionId(), None, 0, True, None
-
-        def border() -> pa.RecordBatch:
-            columns = [pa.array([v], f.type) for v, f in zip(key, out_schema, strict=False)]
-            columns += [pa.nulls(1, out_schema.field(i).type) for i in range(n_keys, n_columns)]
-            more = [task, 0 if in_first else 1, markers]
-            return pa.RecordBatch.from_arrays(
-                [*columns, *(pa.array([v], pa.int64()) for v in more), pa.array([in_first])], schema=out_schema)
-
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            if out_schema is None:
-                extra = [pa.field(c, pa.int64()) for c in ("_task", "_run", "_session")]
-                out_schema = pa.schema([*list(batch.schema)[:n_columns], *extra, pa.field("_first", pa.bool_())])
-            starts = _run_starts(batch, n_keys, key)
-            segment = np.cumsum(starts)
-            marks = np.asarray(batch.column(n_columns), dtype=bool).astype(np.int64)
-            session = _markers_in_run(starts, marks, markers)
-            first_segment = 1 if key is None else (0 if in_first else -1)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:n_columns], pa.array(np.full(n, task)), pa.nulls(n, pa.int64()), pa.array(session),
-                 pa.array(segment == first_segment)], schema=out_schema)
-            if in_first and segment[-1] > max(first_segment, 0):  # the first run ends in this batch
-                last = np.flatnonzero(segment == first_segment)
-                if last.size:
-                    markers = int(session[last[-1]])
-                key = key if key is not None else _key(batch, n_keys, 0)
-                yield border()
-                in_first = False
-            key, markers = _key(batch, n_keys, n - 1), int(session[-1])
-        if key is not None:
-            yield border()
-
-    return numbered
-
-
 def session_ids(
     df: DataFrame,
     marker: Column,
@@ -299,17 +156,14 @@ def session_ids(
     see the module's text.
     """
     part = [key] if key else []
-    columns = [*part, *[c for c in df.columns if c not in part]]
-    base = df.select(*columns, F.coalesce(marker, F.lit(False)).alias("_marker"))
-    fields = [*(base.schema[c] for c in columns), *BORDER_FIELDS]
-    found = _pass(_ranged(base, [*part, *order]), _session_pass(len(part), len(columns)), fields)
-    # without a key all borders, two per task at most, are one ordered list
-    w = Window.partitionBy(*part).orderBy("_task", "_run").rowsBetween(Window.unboundedPreceding, -1)
-    borders = found.where("_run IS NOT NULL").withColumn("_before", F.sum("_session").over(w))
-    offsets = borders.where("_first AND _before > 0").select("_task", "_first", "_before")
-    rows = found.where("_run IS NULL").join(offsets, ["_task", "_first"], "left")
+    base = df.withColumn("_marker", F.coalesce(marker, F.lit(False)).cast("bigint"))
+    base = base.withColumn("_range", _range_number(base, [*part, *order]))
+    rows = base.withColumn("_session", F.sum("_marker").over(_so_far(["_range", *part], order, 0)))
+    # without a key this is one row a range, in one ordered list
+    markers = base.groupBy("_range", *part).agg(F.sum("_marker").alias("_markers"))
+    carried = markers.withColumn("_before", F.sum("_markers").over(_so_far(part, ["_range"], -1))).drop("_markers")
     number = F.col("_session") + F.coalesce("_before", F.lit(0))
-    return rows.select(*df.columns, number.alias(name))
+    return _with_carried(rows, carried.where("_before > 0"), part).select(*df.columns, number.alias(name))
 
 
 def observe_feed(df: DataFrame, name: str = "feed", type_col: str = "type") -> DataFrame:
