@@ -25,6 +25,8 @@ from pyspark.sql.types import TimestampType
 
 #: Rows sampled for each range.
 SAMPLED = 60
+#: Bounds up to which a row's range is found by compiled comparisons; beyond, by a search in arrays, with the same result.
+COMPILED = 255
 
 
 def _range_number(df: DataFrame, order: Sequence[str]) -> Column:
@@ -45,8 +47,17 @@ def _range_number(df: DataFrame, order: Sequence[str]) -> Column:
         kind = df.schema[c].dataType
         return F.timestamp_micros(F.lit(value).cast("bigint")) if c in moments else F.lit(value).cast("string").cast(kind)
 
-    columns = [F.array(*(literal(b[j], c) for b in bounds)) for j, c in enumerate(order)]
     here = F.struct(*(F.col(c).alias(f"c{j}") for j, c in enumerate(order)))
+    if len(bounds) <= COMPILED:  # a tree of comparisons, which Spark compiles
+        def below(low: int, high: int) -> Column:
+            if low == high:
+                return F.lit(low)
+            middle = (low + high) // 2
+            bound = F.struct(*(literal(v, c).alias(f"c{j}") for j, (v, c) in enumerate(zip(bounds[middle], order, strict=True))))
+            return F.when(bound <= here, below(middle + 1, high)).otherwise(below(low, middle))
+
+        return below(0, len(bounds))
+    columns = [F.array(*(literal(b[j], c) for b in bounds)) for j, c in enumerate(order)]
     steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
 
     def further(at: Column, step: Column) -> Column:

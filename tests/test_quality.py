@@ -159,3 +159,17 @@ def test_session_ids_match_running_sum(spark):
     assert sorted((r["off"], r["session_id"]) for r in got.collect()) == expect
     glob = session_ids(df, F.col("type") == "snapshot", ["time", "off"])
     assert glob.agg(F.max("session_id")).first()[0] == df.where("type = 'snapshot'").count()
+
+
+@pytest.mark.parametrize("compiled", [0, 255])
+def test_range_numbers_follow_the_order(spark, monkeypatch, compiled):
+    from tapehouse.operators import quality
+
+    monkeypatch.setattr(quality, "COMPILED", compiled)
+    rnd = random.Random(1)
+    data = [(rnd.choice(["A", "B", None, "\u00e9"]), i, T0 + dt.timedelta(microseconds=rnd.randint(0, 50)), i) for i in range(500)]
+    df = spark.createDataFrame(data, SCHEMA).withColumn("ntz", F.col("time").cast("timestamp_ntz"))
+    order = ["product_id", "ntz", "time", "off"]
+    numbered = df.withColumn("r", _range_number(df, order)).orderBy(*order).select("r").collect()
+    got = [r[0] for r in numbered]
+    assert got == sorted(got) and set(got) == {0, 1, 2, 3}
