@@ -92,6 +92,7 @@ def sequence_gaps(
     session: str | None = None,
     reset: Column | None = None,
     name: str = "session_id",
+    reset_all: Column | None = None,
 ) -> DataFrame:
     """Report every record whose sequence jumps past ``previous + 1``.
 
@@ -105,13 +106,17 @@ def sequence_gaps(
     ``reset`` marks the rows of a key that start a new session of it; the
     sessions are then numbered in the same pass (column ``name``: markers of
     the key at or before the record, as by ``session_ids``), and a marker
-    without a sequence counts too.
+    without a sequence counts too. ``reset_all`` marks the rows, of any key or
+    none, that start a new session of all keys (a reconnect of the feed); the
+    sessions are those of the whole stream.
 
     Output: key, [session or name], order columns, seq, expected, missing.
     """
-    if session and reset is not None:
-        raise ValueError("give session or reset, not both")
+    if (session is not None) + (reset is not None) + (reset_all is not None) > 1:
+        raise ValueError("give one of session, reset and reset_all")
     order = list(order)
+    if reset_all is not None:
+        return _gaps_of_stream_sessions(df, key, seq, order, reset_all, name)
     part = [key] + ([session] if session else [])
     columns = [*part, *[c for c in order if c not in part]]
     columns += [seq] if seq not in columns else []
@@ -152,6 +157,29 @@ def sequence_gaps(
     )
 
 
+def _gaps_of_stream_sessions(df: DataFrame, key: str, seq: str, order: list[str], reset: Column, name: str) -> DataFrame:
+    """Sessions of the whole stream and gaps inside them, over the same ranges of ``order`` and one shuffle."""
+    others = [c for c in order if c != key]
+    base = df.select(key, *others, F.col(seq).cast("bigint").alias(seq), F.coalesce(reset, F.lit(False)).cast("bigint").alias("_marker"))
+    base = base.where((F.col(key).isNotNull() & F.col(seq).isNotNull()) | (F.col("_marker") > 0))
+    base = base.withColumn("_range", _range_number(base, order))
+    markers = base.groupBy("_range").agg(F.sum("_marker").alias("_markers"))  # one row a range
+    before = markers.select("_range", F.coalesce(F.sum("_markers").over(_so_far([], ["_range"], -1)), F.lit(0)).alias("_before"))
+    rows = base.withColumn("_local", F.sum("_marker").over(_so_far(["_range"], order, 0)))
+    rows = _with_carried(rows, before, []).withColumn("_session", F.col("_local") + F.coalesce("_before", F.lit(0)))
+    rows = rows.where(F.col(key).isNotNull() & F.col(seq).isNotNull()).select(key, *others, seq, "_range", "_session")
+    here, row = ["_range", key], F.struct(F.col(seq).alias("seq"), F.col("_session").alias("session"))
+    ends = rows.groupBy(*here).agg(F.max_by(row, F.struct(*order)).alias("_end"))
+    carried = ends.select(*here, F.last("_end").over(_so_far([key], ["_range"], -1)).alias("_carried"))
+    found = _with_carried(rows.withColumn("_prev", F.last(row).over(_so_far(here, order, -1))), carried, [key])
+    last = F.coalesce("_prev", "_carried")
+    found = found.where((last["session"] == F.col("_session")) & (F.col(seq) > last["seq"] + 1))
+    return found.select(
+        key, F.col("_session").alias(name), *others, seq,
+        (last["seq"] + 1).alias("expected"), (F.col(seq) - last["seq"] - 1).alias("missing"),
+    )
+
+
 def session_ids(
     df: DataFrame,
     marker: Column,

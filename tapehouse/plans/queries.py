@@ -474,10 +474,11 @@ def q_feed_sequence_gaps(spark, sf_dir):
     env = bronze.parse_orderbook(feed, ingest_time="ingest_time", keep=["msg_offset"]).select(
         "type", "product_id", "sequence", "ingest_time", "msg_offset"
     )
-    order = ["ingest_time", "msg_offset"]
-    sess = quality.session_ids(env, F.col("type") == "subscriptions", order=order, key=None)
-    checked = sess.where(F.col("type").isin("heartbeat", "snapshot", "l2update"))
-    return quality.sequence_gaps(checked, key="product_id", seq="sequence", order=order, session="session_id")
+    checked = F.col("type").isin("heartbeat", "snapshot", "l2update")
+    return quality.sequence_gaps(
+        env.withColumn("sequence", F.when(checked, F.col("sequence"))), key="product_id", seq="sequence",
+        order=["ingest_time", "msg_offset"], reset_all=F.col("type") == "subscriptions",
+    )
 
 
 @query("feed_routing")

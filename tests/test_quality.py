@@ -173,3 +173,24 @@ def test_range_numbers_follow_the_order(spark, monkeypatch, compiled):
     numbered = df.withColumn("r", _range_number(df, order)).orderBy(*order).select("r").collect()
     got = [r[0] for r in numbered]
     assert got == sorted(got) and set(got) == {0, 1, 2, 3}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_reset_of_all_keys_equals_sessions_of_the_stream(spark, seed):
+    rnd = random.Random(seed)
+    data = []
+    for i in range(500):
+        p = rnd.choice(["HOT"] * 6 + ["B", "C", None])
+        s = None if rnd.random() < 0.2 else i + rnd.choice([0, 0, 1, 3, -2])
+        data.append((p, s, T0 + dt.timedelta(seconds=rnd.randint(0, (0, 20, 2000)[seed])), i, rnd.random() < (0.0, 0.02, 0.2)[seed]))
+    df = spark.createDataFrame(data, SCHEMA + ", mark boolean").repartition(3)
+    order = ["time", "off"]
+    got = sequence_gaps(df, order=order, reset_all=F.col("mark"))
+    numbered = session_ids(df, F.col("mark"), order)
+    expected = sequence_gaps(numbered, order=order, session="session_id")
+    assert got.columns == expected.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    run = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    alone = df.withColumn("s", F.sum(F.col("mark").cast("long")).over(run))
+    assert sorted((r["off"], r["expected"]) for r in got.collect()) == sorted(
+        (x[1], x[3]) for x in _brute_gaps(alone, ["product_id", "s"], order))
