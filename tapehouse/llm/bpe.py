@@ -18,12 +18,14 @@ import public_tokenizers
 from tapehouse.llm import textarrays as ta
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
+#: The added tokens of the vocabulary's tokenizer file; none holds white space.
+ADDED = {"<|endoftext|>": 50256}
 #: Bytes of text that a task encodes together; only memory depends on it.
 ENCODED_AT_ONCE = 2 << 20
 
 
 class Bpe:
-    """Encoder over a public rank file; special strings in a text are ordinary text."""
+    """Encoder over a public rank file; ``ADDED`` strings in a text become their own ids."""
 
     def __init__(self, path: str | None = None):
         import tiktoken
@@ -31,14 +33,19 @@ class Bpe:
         raw = Path(path or public_tokenizers.path(BYTE_BPE)).read_bytes()
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in raw.splitlines() if line)}
         self.encoding = tiktoken.Encoding(
-            "bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+            "bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED
         )
-        self.n_bytes = np.zeros(max(ranks.values()) + 1, np.int32)
-        for token, rank in ranks.items():
+        self.n_bytes = np.zeros(max(*ranks.values(), *ADDED.values()) + 1, np.int32)
+        self.added = [x.encode() for x in ADDED]
+        for token, rank in [*ranks.items(), *((x.encode(), i) for x, i in ADDED.items())]:
             self.n_bytes[rank] = len(token)
 
     def _one(self, raw: np.ndarray) -> np.ndarray:
-        return np.array(self.encoding.encode_ordinary(raw.tobytes().decode("utf-8")), np.uint32)
+        raw = raw.tobytes()
+        text = raw.decode("utf-8")
+        if any(x in raw for x in self.added):
+            return np.array(self.encoding.encode(text, allowed_special="all"), np.uint32)
+        return np.array(self.encoding.encode_ordinary(text), np.uint32)
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents and each document's range in them."""

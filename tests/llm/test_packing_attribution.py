@@ -11,14 +11,13 @@ DOCS = "doc_id long, text string, source string"
 TEXTS = [
     "The cat's hat, and  the dog.\nNew line\n\n there \t x", "", None, "éa èb ñ c d　e 中文 字 a 🙂 b", " lead and trail ",
     "x" * 9000, "word " * 3000, "it's we'll 12 345 !! ??", "a", "tail \n", "\n\n", "the cat the cat the cat",
+    "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y  <|endoftext|>\n z <|endoftext| > q", "a <|endoftext|> b a <|endoftext|> b",
 ]
 
 
 @pytest.fixture(scope="module")
 def tok():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def table(spark, texts=TEXTS):
