@@ -5,10 +5,12 @@ documents link when ``100 * |A & B| >= percent * |A | B|``. The join keeps every
 link's effect on the components and is exact:
 
 1. One pass counts shingles that many documents share (bounded summaries of
-   every task). They only order the shingles, rare ones first.
+   every task). They only order the shingles, rare ones first. Documents with
+   equal sets are one from here on, the one with the smallest doc_id.
 2. A linked pair shares a shingle among the first ``n - ceil(percent * n / 100) + 1``
    of each document in that order (prefix filter). Tasks send these, packed, to
-   hash buckets; documents with equal sets are one from here on.
+   hash buckets: five bytes of the shingle's hash (two shingles that agree there
+   cost a comparison, no more), the document and its band of sizes.
 3. Documents that share such a shingle and lie in the same or the next band of
    sizes form a tile, named after its smallest doc_id, so the tiles of many
    shingles fall together. A list of more than ``TILE_ROWS`` members is split
@@ -38,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.llm import textarrays as ta
-from tapehouse.llm.shuffling import buckets, components, documents, packed_batch, unpacked, written
+from tapehouse.llm.shuffling import buckets, chunked, components, documents, routed, unpacked, written
 
 U64 = np.uint64
 COMMON, COMMON_IN_TASK = 1 << 17, 8
@@ -129,41 +131,68 @@ def set_sizes(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long")
 
 
-def prefix_rows(docs: DataFrame, k: int, percent: int, common: np.ndarray, n_buckets: int) -> DataFrame:
-    """The packed prefix shingles of many documents by bucket."""
+#: Bytes of a prefix shingle's hash that are sent, beyond those that its bucket tells.
+TOKEN_BYTES = 5
+PREFIX = {"token": U64, "doc": np.int64, "level": np.int16}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def prefixes(k: int, percent: int, common: np.ndarray):
+    """Cogroup function: the prefix shingles of those documents of a group that are the
+    first with their set, in few rows."""
+
+    def run(texts: pa.Table, firsts: pa.Table) -> pa.Table:
+        out = [chunked({c: np.zeros(0, t) for c, t in PREFIX.items()})]
+        if not texts.num_rows or not firsts.num_rows:
+            return out[0]
         lookup = np.argsort(common)
-        for batch in batches:
-            doc_all = ta.ids(batch.column(0))
-            data, offs = ta.flat(batch.column(1))
-            sent = []
-            for i, j in ta.slices(offs):
-                values, at = shingle_sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], k)
-                n = np.diff(at)
-                s1, s2 = set_hashes(values, at)
-                doc = doc_all[i:j]
-                m = j - i
-                # of documents with equal sets in this slice, the one with the smallest id
-                order = np.lexsort((doc, s2, s1))
-                fresh = np.ones(m, bool)
-                fresh[1:] = (s1[order][1:] != s1[order][:-1]) | (s2[order][1:] != s2[order][:-1])
-                use = np.zeros(m, bool)
-                use[order[fresh]] = True
-                use &= (n > 0) & (doc != ta.NULL_ID)
-                keys = ordered(values, common, lookup)
-                p = np.where(use, prefix_size(n, percent), 0)
-                for a, b, q in zip(at[:-1].tolist(), at[1:].tolist(), p.tolist(), strict=True):
-                    if q and q < b - a:
-                        keys[a:b].partition(q - 1)
-                flat = np.repeat(at[:-1] - np.cumsum(p) + p, p) + np.arange(p.sum())
-                sent.append((keys[flat], np.repeat(doc, p), np.repeat(s1, p), np.repeat(n, p).astype(np.int32)))
-            if sent:
-                token, doc, s1, n = (np.concatenate(x) for x in zip(*sent, strict=True))
-                bucket = (ta.mix(token) % U64(n_buckets)).astype(np.int32)
-                yield packed_batch(bucket, {"token": token, "doc": doc, "set": s1, "size": n})
-
-    return docs.mapInArrow(run, "bucket int, token binary, doc binary, set binary, size binary")
+        doc = ta.ids(texts.column("doc_id"))
+        asked = np.flatnonzero(np.isin(doc, ta.ids(firsts.column("doc_id"))))
+        data, offs = ta.flat(texts.column("text").take(pa.array(asked)))
+        doc = doc[asked]
+        for i, j in ta.slices(offs):
+            values, at = shingle_sets(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], k)
+            n = np.diff(at)
+            keys = ordered(values, common, lookup)
+            p = np.where(n > 0, prefix_size(n, percent), 0)
+            for a, b, q in zip(at[:-1].tolist(), at[1:].tolist(), p.tolist(), strict=True):
+                if q and q < b - a:
+                    keys[a:b].partition(q - 1)
+            flat = np.repeat(at[:-1] - np.cumsum(p) + p, p) + np.arange(p.sum())
+            level = band(n, percent).astype(np.int16)
+            out.append(chunked({"token": keys[flat], "doc": np.repeat(doc[i:j], p), "level": np.repeat(level, p)}))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Bytes of ``values``, all first bytes first, so that high bytes compress to nothing."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def from_planes(raw: bytes, dtype, width: int) -> np.ndarray:
+    """Back from ``planes``, of which the first ``width`` were kept."""
+    kept = np.frombuffer(raw, np.uint8).reshape(width, -1)
+    out = np.zeros((kept.shape[1], np.dtype(dtype).itemsize), np.uint8)
+    out[:, :width] = kept.T
+    return out.view(dtype).ravel()
+
+
+def prefix_cell(n_buckets: int):
+    """Encoder of a bucket's prefix shingles: documents as differences of neighbours in order."""
+
+    def encode(values: dict[str, np.ndarray]) -> dict[str, bytes]:
+        order = np.argsort(values["doc"], kind="stable")
+        token = ta.mix(values["token"][order]) // U64(n_buckets)
+        doc = values["doc"][order]
+        steps = np.concatenate((doc[:1], np.diff(doc)))
+        return {
+            "token": planes(token)[: TOKEN_BYTES * len(token)],
+            "doc": planes(steps),
+            "level": planes(values["level"][order]),
+        }
+
+    return encode
 
 
 def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,22 +204,20 @@ def distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return a[fresh], b[fresh]
 
 
-def tile_members(percent: int, groups: int):
+def tile_members(percent: int):
     """Group function of a bucket of prefix shingles: which documents go to which tiles."""
 
     def run(table: pa.Table) -> pa.Table:
-        token, doc = unpacked(table, "token", U64), unpacked(table, "doc", np.int64)
-        sets, size = unpacked(table, "set", U64), unpacked(table, "size", np.int32).astype(np.int64)
-        order = np.lexsort((doc, sets, token))
-        token, doc, sets, size = token[order], doc[order], sets[order], size[order]
-        fresh = np.ones(len(token), bool)  # of equal sets under a shingle the smallest doc_id
-        fresh[1:] = (token[1:] != token[:-1]) | (sets[1:] != sets[:-1])
-        token, doc, size = token[fresh], doc[fresh], size[fresh]
+        cells = [table.column(c).to_pylist() for c in PREFIX]
+        token = np.concatenate([from_planes(x, U64, TOKEN_BYTES) for x in cells[0]])
+        doc = np.concatenate([np.cumsum(from_planes(x, np.int64, 8)) for x in cells[1]])
+        own = np.concatenate([from_planes(x, np.int16, 2) for x in cells[2]]).astype(np.int64)
+        order = np.lexsort((doc, token))
+        token, doc, own = token[order], doc[order], own[order]
         several = np.zeros(len(token), bool)
         several[1:] = token[1:] == token[:-1]
         several[:-1] |= several[1:]
-        token, doc, size = token[several], doc[several], size[several]
-        own = band(size, percent)
+        token, doc, own = token[several], doc[several], own[several]
         # each document is in the tile of its band and in that of the band below
         key = np.concatenate((token, token))
         level = np.concatenate((own, own - 1))
@@ -221,24 +248,27 @@ def tile_members(percent: int, groups: int):
                 members.append(doc[a : a + n])
         tile, member = np.concatenate(tiles), np.concatenate(members)
         member, tile = distinct_pairs(member, tile)
-        group = (ta.mix(member.view(U64)) % U64(groups)).astype(np.int32)
-        return pa.Table.from_batches([packed_batch(group, {"member": member, "tile": tile})])
+        return chunked({"member": member, "tile": tile})
 
     return run
 
 
-def tile_rows(k: int, n_buckets: int, form):
-    """Cogroup function: sends the set of every document, as bytes made by ``form``, to its tiles."""
+MEMBER = {"member": np.int64, "tile": U64}
+TILE = {"tile": U64, "doc": np.int64, "size": np.int64}
+
+
+def tile_rows(k: int, form):
+    """Cogroup function: the set of every document, as bytes made by ``form``, for each of its tiles."""
 
     def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
-        schema = pa.schema([("bucket", pa.int32()), ("tile", pa.binary()), ("doc", pa.binary()), ("size", pa.binary()), ("items", pa.binary())])
+        none = np.zeros(0, np.int64)
+        out = [chunked({c: np.zeros(0, t) for c, t in TILE.items()}, ("items", none.view(np.uint8), none))]
         member, tile = unpacked(wanted, "member", np.int64), unpacked(wanted, "tile", U64)
         if not len(member) or not texts.num_rows:
-            return schema.empty_table()
+            return out[0]
         member, tile = distinct_pairs(member, tile)
         doc = ta.ids(texts.column("doc_id"))
         asked = np.flatnonzero(np.isin(doc, member))
-        batches = []
         data, offs = ta.flat(texts.column("text").take(pa.array(asked)))
         doc = doc[asked]
         for i, j in ta.slices(offs):
@@ -247,19 +277,12 @@ def tile_rows(k: int, n_buckets: int, form):
             count = b - a
             which = np.repeat(np.arange(j - i), count)
             to = tile[np.repeat(a - np.cumsum(count) + count, count) + np.arange(count.sum())]
-            bucket = (to % U64(n_buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            bucket, to, which = bucket[order], to[order], which[order]
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)])) if len(bucket) else [0]
             size = np.diff(at)
             made = {d: form(values[at[d] : at[d + 1]]) for d in set(which.tolist())}
-            rows = []
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                w = which[x:y]
-                rows.append((int(bucket[x]), to[x:y].tobytes(), doc[i:j][w].tobytes(), size[w].tobytes(), b"".join(made[d] for d in w.tolist())))
-            if rows:
-                batches.append(pa.table(dict(zip(schema.names, map(list, zip(*rows, strict=True)), strict=True)), schema=schema))
-        return pa.concat_tables(batches) if batches else schema.empty_table()
+            items = [made[d] for d in which.tolist()]
+            parts = ("items", np.frombuffer(b"".join(items), np.uint8), np.array([len(x) for x in items], np.int64))
+            out.append(chunked({"tile": to, "doc": doc[i:j][which], "size": size[which]}, parts))
+        return pa.concat_tables(out)
 
     return run
 
@@ -320,7 +343,7 @@ def by_tile(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
             yield int(tile[order[a]]), order[a:b], size[order[a:b]]
 
 
-def near_members(percent: int, groups: int):
+def near_members(percent: int):
     """Group function of a bucket of tiles with bitmaps: members that may have a link there."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -337,9 +360,7 @@ def near_members(percent: int, groups: int):
                     near[x] = near[found] = True
             members.append(doc[rows[near]])
             tiles.append(np.full(near.sum(), tile, U64))
-        tile, member = np.concatenate(tiles), np.concatenate(members)
-        group = (ta.mix(member.view(U64)) % U64(groups)).astype(np.int32)
-        return pa.Table.from_batches([packed_batch(group, {"member": member, "tile": tile})])
+        return chunked({"member": np.concatenate(members), "tile": np.concatenate(tiles)})
 
     return run
 
@@ -378,25 +399,30 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     n_buckets = buckets(spark)
     sizes = written(set_sizes(docs, k), "sets")
-    prefixes = prefix_rows(docs, k, percent, common_shingles(docs, k), n_buckets)
-    wanted = prefixes.groupBy("bucket").applyInArrow(
-        tile_members(percent, n_buckets), "bucket int, member binary, tile binary"
-    )
+    equal = written(sizes.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("first")), "equal")
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc = ta.ids(batch.column(0))
             group = (ta.mix(doc.view(U64)) % U64(n_buckets)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(group), *batch.columns], names=["bucket", "doc_id", "text"])
-
-    texts = docs.mapInArrow(grouped, "bucket int, doc_id long, text string")
-    texts = texts.groupBy("bucket")
-    at_tiles = "bucket int, tile binary, doc binary, size binary, items binary"
-    maps = texts.cogroup(wanted.groupBy("bucket")).applyInArrow(tile_rows(k, n_buckets, bitmap), at_tiles)
-    near = maps.groupBy("bucket").applyInArrow(near_members(percent, n_buckets), "bucket int, member binary, tile binary")
-    sets = texts.cogroup(near.groupBy("bucket")).applyInArrow(tile_rows(k, n_buckets, np.ndarray.tobytes), at_tiles)
+            yield pa.RecordBatch.from_arrays([pa.array(group), *batch.columns], names=["bucket", *batch.schema.names])
+
+    texts = docs.mapInArrow(grouped, "bucket int, doc_id long, text string").groupBy("bucket")
+    firsts = equal.where("first IS NOT NULL").select(F.col("first").alias("doc_id")).mapInArrow(grouped, "bucket int, doc_id long")
+    packed = lambda names: ", ".join(f"{c} binary" for c in names)
+    sent = texts.cogroup(firsts.groupBy("bucket")).applyInArrow(prefixes(k, percent, common_shingles(docs, k)), packed(PREFIX))
+    shared = routed(sent, n_buckets, "token", PREFIX, encode=prefix_cell(n_buckets)).groupBy("bucket")
+
+    def at_tiles(members: DataFrame, form, width) -> DataFrame:
+        wanted = routed(members, n_buckets, "member", MEMBER).groupBy("bucket")
+        sets = texts.cogroup(wanted).applyInArrow(tile_rows(k, form), packed([*TILE, "items"]))
+        return routed(sets, n_buckets, "tile", TILE, ("items", lambda c: width(c["size"])))
+
+    members = shared.applyInArrow(tile_members(percent), packed(MEMBER))
+    maps = at_tiles(members, bitmap, lambda size: np.array([bitmap_width(n) // 8 for n in size.tolist()], np.int64))
+    near = maps.groupBy("bucket").applyInArrow(near_members(percent), packed(MEMBER))
+    sets = at_tiles(near, np.ndarray.tobytes, lambda size: 8 * size)
     links = written(sets.groupBy("bucket").applyInArrow(tile_links(percent), "a long, b long"), "links")
-    equal = sizes.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("first"), F.count("*").alias("rows"))
     found = components(links, "components").withColumnRenamed("id", "first")
     labels = equal.join(found, "first", "left").select(
         "s1", "s2", F.coalesce("component", "first").alias("label")

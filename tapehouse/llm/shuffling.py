@@ -1,7 +1,9 @@
 """Shuffling numpy columns: packed rows by bucket, written steps, components.
 
 A task packs its values for one bucket into one row of binary columns, so
-Spark shuffles few rows of many values. Buckets come from a hash and their
+Spark shuffles few rows of many values. What a group sends on is packed by the
+task, not by the group (``routed``): the rows follow the data, not the square
+of the number of buckets. Buckets come from a hash and their
 number follows ``spark.sql.shuffle.partitions``, the setting by which a
 cluster fits its partitions to the data.
 """
@@ -9,15 +11,19 @@ cluster fits its partitions to the data.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tapehouse.llm import textarrays as ta
 from tapehouse.session import scratch_path
 
+#: Most values and bytes in a row of ``chunked``, and bytes that a task of ``routed`` gathers before it deals them.
+CHUNK, CHUNK_BYTES, ROUTED_BYTES = 1 << 18, 16 << 20, 64 << 20
+
 
 def buckets(spark: SparkSession, each: int = 2) -> int:
     """Number of hash buckets: ``each`` for every shuffle partition."""
@@ -77,6 +83,78 @@ def unpacked(table: pa.Table, name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in table.column(name).to_pylist() if x), dtype)
 
 
+def chunked(columns: dict[str, np.ndarray], parts: tuple[str, np.ndarray, np.ndarray] | None = None) -> pa.Table:
+    """Values as few packed rows, in their order. ``parts``: the name of a column of bytes
+    of which each value has a stretch, the bytes and the stretches' sizes."""
+    n = len(next(iter(columns.values())))
+    edge = np.concatenate(([0], np.cumsum(parts[2]))) if parts else np.zeros(n + 1, np.int64)
+    cuts = [0]
+    while cuts[-1] < n:
+        a = cuts[-1]
+        fits = int(np.searchsorted(edge, edge[a] + CHUNK_BYTES, "right")) - 1
+        cuts.append(max(a + 1, min(a + CHUNK, fits, n)))
+    ranges = list(zip(cuts[:-1], cuts[1:], strict=True))
+    made = {k: pa.array([v[a:b].tobytes() for a, b in ranges], pa.binary()) for k, v in columns.items()}
+    if parts:
+        made[parts[0]] = pa.array([parts[1][edge[a] : edge[b]].tobytes() for a, b in ranges], pa.binary())
+    return pa.table(made)
+
+
+def routed(
+    rows: DataFrame,
+    n_buckets: int,
+    key: str,
+    dtypes: dict[str, type],
+    parts: tuple[str, Callable] | None = None,
+    encode: Callable | None = None,
+) -> DataFrame:
+    """The values of ``chunked`` rows dealt to hash buckets of their ``key``: packed rows with a column bucket.
+
+    Groups leave their values in a few rows each; a task gathers those of all its groups,
+    ``ROUTED_BYTES`` at a time, and packs them by bucket only then. So there are at most as
+    many rows as values, and no more than ``n_buckets`` for a task's share of the bytes,
+    however many groups it had. ``parts``: the name of a column of bytes and the function
+    that gives each value's size there from the other columns. ``encode`` makes a packed
+    row from a bucket's values (default: their bytes).
+    """
+    names = [*dtypes, *([parts[0]] if parts else [])]
+
+    def deal(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        columns = {k: unpacked(table, k, t) for k, t in dtypes.items()}
+        bucket = (ta.mix(columns[key].view(np.uint64)) % np.uint64(n_buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        if parts:
+            raw, size = unpacked(table, parts[0], np.uint8), parts[1](columns)
+            place = np.cumsum(size) - size
+        edges = np.flatnonzero(np.diff(bucket[order])) + 1
+        out: dict[str, list] = {"bucket": [], **{k: [] for k in names}}
+        for cell in np.split(order, edges) if len(order) else []:
+            values = {k: v[cell] for k, v in columns.items()}
+            made = encode(values) if encode else {k: v.tobytes() for k, v in values.items()}
+            if parts:
+                s = size[cell]
+                made[parts[0]] = raw[np.repeat(place[cell] - np.cumsum(s) + s, s) + np.arange(s.sum())].tobytes()
+            out["bucket"].append(int(bucket[cell[0]]))
+            for k in names:
+                out[k].append(made[k])
+        arrays = [pa.array(v, pa.int32() if k == "bucket" else pa.binary()) for k, v in out.items()]
+        return pa.RecordBatch.from_arrays(arrays, names=[*out])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= ROUTED_BYTES:
+                yield deal(held)
+                held, size = [], 0
+        if held:
+            yield deal(held)
+
+    return rows.select(*names).mapInArrow(run, "bucket int, " + ", ".join(f"{k} binary" for k in names))
+
+
 def doc_group(column: str, groups: int):
     """Spark column: the group (0 to groups - 1) of a document id."""
     return F.pmod(F.xxhash64(F.col(column)), F.lit(groups)).cast("int")
