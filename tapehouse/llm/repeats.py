@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.llm import textarrays as ta
-from tapehouse.llm.shuffling import buckets, documents, packed_batch, unpacked, written
+from tapehouse.llm.shuffling import buckets, chunked, documents, packed_batch, routed, unpacked, written
 
 U64 = np.uint64
 WINDOW, GRAM = 50, 20
@@ -218,76 +218,69 @@ def of_kind(table: pa.Table, kind: int) -> pa.Table:
     return table.filter(pa.array(np.asarray(table.column("kind")) == kind))
 
 
-def settle_units(groups: int):
+SETTLED = "kind int, doc binary, start binary, extra binary, anchor binary"
+RANGE = {"doc": np.int64, "start": np.int64, "extra": np.int64}
+
+
+def ranges_of(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Table:
+    """Ranges to remove (kind 1) as rows of ``SETTLED``."""
+    out = chunked({"doc": doc, "start": start, "extra": end})
+    out = out.add_column(0, "kind", pa.array(np.full(out.num_rows, 1, np.int32)))
+    return out.append_column("anchor", pa.nulls(out.num_rows, pa.binary()))
+
+
+def settle_units(table: pa.Table) -> pa.Table:
     """Group function of a bucket of units: ranges to remove (kind 1) and the units
-    whose bytes are wanted (kind 2), packed by document group."""
-
-    def run(table: pa.Table) -> pa.Table:
-        done, open_ = of_kind(table, 1), of_kind(table, 0)
-        doc, start = unpacked(open_, "doc", np.int64), unpacked(open_, "start", np.int32).astype(np.int64)
-        number, anchor = unpacked(open_, "extra", np.uint8).astype(np.int64), unpacked(open_, "anchor", U64)
-        content = unpacked(open_, "content", U64)
-        order = np.lexsort((doc, content, anchor))
-        doc, start, number, anchor, content = (x[order] for x in (doc, start, number, anchor, content))
-        n = len(doc)
-        new_anchor = np.append(True, anchor[1:] != anchor[:-1])[:n]
-        fresh = np.append(True, content[1:] != content[:-1])[:n] | new_anchor
-        least = doc[np.maximum.accumulate(np.where(fresh, np.arange(n), 0))] if n else doc
-        later = doc > least
-        of = np.cumsum(new_anchor) - 1
-        kinds = np.bincount(of, weights=fresh, minlength=1)  # units of different content by anchor
-        ask = ~later & (kinds[of] > 1) if n else later
-        old = [unpacked(done, k, np.int64) for k in ("doc", "start", "extra")]
-        new = [doc[later], start[later], start[later] + number[later] + WINDOW - 1]
-        runs = merge_runs(*(np.concatenate(x) for x in zip(old, new, strict=True)))
-        group = lambda d: (ta.mix(d.view(U64)) % U64(groups)).astype(np.int32)
-        return pa.Table.from_batches(
-            [
-                kind_batch(1, group(runs[0]), {"doc": runs[0], "start": runs[1], "extra": runs[2]}),
-                kind_batch(2, group(doc[ask]), {"doc": doc[ask], "start": start[ask], "extra": number[ask], "anchor": anchor[ask]}),
-            ]
-        )
-
-    return run
-
-
-def unit_bytes(n_buckets: int):
-    """Cogroup function: the bytes of the units asked for, by anchor bucket."""
-    schema = pa.schema([("bucket", pa.int32()), *((k, pa.binary()) for k in ("doc", "start", "number", "bytes"))])
-
-    def run(texts: pa.Table, wanted: pa.Table) -> pa.Table:
-        if not wanted.num_rows or not texts.num_rows:
-            return schema.empty_table()
-        doc, start = unpacked(wanted, "doc", np.int64), unpacked(wanted, "start", np.int64)
-        number, anchor = unpacked(wanted, "extra", np.int64), unpacked(wanted, "anchor", U64)
-        order = np.lexsort((start, doc))
-        doc, start, number, anchor = doc[order], start[order], number[order], anchor[order]
-        ids = ta.ids(texts.column("doc_id"))
-        data, offs = ta.flat(texts.column("text"))
-        out = []
-        a, b = np.searchsorted(doc, ids), np.searchsorted(doc, ids, "right")
-        for i in np.flatnonzero(b > a).tolist():
-            r = slice(a[i], b[i])
-            r_number = np.where(start[r] + number[r] + WINDOW - 1 <= offs[i + 1] - offs[i], number[r], 0)
-            ok = r_number > 0  # another row with this doc_id may be longer
-            out.append((doc[r][ok], start[r][ok], r_number[ok], anchor[r][ok], offs[i] + start[r][ok]))
-        if not out:
-            return schema.empty_table()
-        doc, start, number, anchor, place = (np.concatenate(x) for x in zip(*out, strict=True))
-        bucket = (ta.mix(anchor) % U64(n_buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        doc, start, number, place, bucket = doc[order], start[order], number[order], place[order], bucket[order]
-        size = number + WINDOW - 1
-        raw = data[np.repeat(place - np.cumsum(size) + size, size) + np.arange(size.sum())]
-        edge = np.concatenate(([0], np.cumsum(size)))
-        cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)])) if len(bucket) else [0]
-        rows = [
-            (int(bucket[x]), doc[x:y].tobytes(), start[x:y].tobytes(), number[x:y].tobytes(), raw[edge[x] : edge[y]].tobytes())
-            for x, y in zip(cuts[:-1], cuts[1:], strict=True)
-        ]
-        return pa.table(dict(zip(schema.names, map(list, zip(*rows, strict=True)), strict=True)), schema=schema) if rows else schema.empty_table()
-
-    return run
+    whose bytes are wanted (kind 2), in few rows."""
+    done, open_ = of_kind(table, 1), of_kind(table, 0)
+    doc, start = unpacked(open_, "doc", np.int64), unpacked(open_, "start", np.int32).astype(np.int64)
+    number, anchor = unpacked(open_, "extra", np.uint8).astype(np.int64), unpacked(open_, "anchor", U64)
+    content = unpacked(open_, "content", U64)
+    order = np.lexsort((doc, content, anchor))
+    doc, start, number, anchor, content = (x[order] for x in (doc, start, number, anchor, content))
+    n = len(doc)
+    new_anchor = np.append(True, anchor[1:] != anchor[:-1])[:n]
+    fresh = np.append(True, content[1:] != content[:-1])[:n] | new_anchor
+    least = doc[np.maximum.accumulate(np.where(fresh, np.arange(n), 0))] if n else doc
+    later = doc > least
+    of = np.cumsum(new_anchor) - 1
+    kinds = np.bincount(of, weights=fresh, minlength=1)  # units of different content by anchor
+    ask = ~later & (kinds[of] > 1) if n else later
+    old = [unpacked(done, k, np.int64) for k in ("doc", "start", "extra")]
+    new = [doc[later], start[later], start[later] + number[later] + WINDOW - 1]
+    runs = merge_runs(*(np.concatenate(x) for x in zip(old, new, strict=True)))
+    wanted = chunked({"doc": doc[ask], "start": start[ask], "extra": number[ask], "anchor": anchor[ask]})
+    wanted = wanted.add_column(0, "kind", pa.array(np.full(wanted.num_rows, 2, np.int32)))
+    return pa.concat_tables([ranges_of(*runs), wanted])
+
+
+UNIT = {"doc": np.int64, "start": np.int64, "number": np.int64, "anchor": U64}
+
+
+def unit_bytes(texts: pa.Table, wanted: pa.Table) -> pa.Table:
+    """Cogroup function: the units asked for with their bytes, in few rows."""
+    empty = chunked({k: np.zeros(0, t) for k, t in UNIT.items()}, ("bytes", np.zeros(0, np.uint8), np.zeros(0, np.int64)))
+    if not wanted.num_rows or not texts.num_rows:
+        return empty
+    doc, start = unpacked(wanted, "doc", np.int64), unpacked(wanted, "start", np.int64)
+    number, anchor = unpacked(wanted, "extra", np.int64), unpacked(wanted, "anchor", U64)
+    order = np.lexsort((start, doc))
+    doc, start, number, anchor = doc[order], start[order], number[order], anchor[order]
+    ids = ta.ids(texts.column("doc_id"))
+    data, offs = ta.flat(texts.column("text"))
+    out = []
+    a, b = np.searchsorted(doc, ids), np.searchsorted(doc, ids, "right")
+    for i in np.flatnonzero(b > a).tolist():
+        r = slice(a[i], b[i])
+        r_number = np.where(start[r] + number[r] + WINDOW - 1 <= offs[i + 1] - offs[i], number[r], 0)
+        ok = r_number > 0  # another row with this doc_id may be longer
+        out.append((doc[r][ok], start[r][ok], r_number[ok], anchor[r][ok], offs[i] + start[r][ok]))
+    if not out:
+        return empty
+    doc, start, number, anchor, place = (np.concatenate(x) for x in zip(*out, strict=True))
+    size = number + WINDOW - 1
+    raw = data[np.repeat(place - np.cumsum(size) + size, size) + np.arange(size.sum())]
+    return chunked({"doc": doc, "start": start, "number": number, "anchor": anchor}, ("bytes", raw, size))
 
 
 def earlier_windows(raw: np.ndarray, place: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -320,24 +313,18 @@ def earlier_windows(raw: np.ndarray, place: np.ndarray, doc: np.ndarray) -> np.n
     return out
 
 
-def settle_windows(groups: int):
-    """Group function of a bucket of unit bytes: ranges to remove, by document group."""
-
-    def run(table: pa.Table) -> pa.Table:
-        doc, start = unpacked(table, "doc", np.int64), unpacked(table, "start", np.int64)
-        number, raw = unpacked(table, "number", np.int64), unpacked(table, "bytes", np.uint8)
-        size = number + WINDOW - 1
-        offset = np.cumsum(size) - size
-        unit = np.repeat(np.arange(len(doc)), number)
-        within = np.arange(len(unit)) - np.repeat(np.cumsum(number) - number, number)
-        gone = earlier_windows(raw, offset[unit] + within, doc[unit])
-        unit, within = unit[gone], within[gone]
-        first = start[unit] + within
-        runs = merge_runs(doc[unit], first, first + WINDOW)
-        group = (ta.mix(runs[0].view(U64)) % U64(groups)).astype(np.int32)
-        return pa.Table.from_batches([kind_batch(1, group, {"doc": runs[0], "start": runs[1], "extra": runs[2]})])
-
-    return run
+def settle_windows(table: pa.Table) -> pa.Table:
+    """Group function of a bucket of unit bytes: ranges to remove."""
+    doc, start = unpacked(table, "doc", np.int64), unpacked(table, "start", np.int64)
+    number, raw = unpacked(table, "number", np.int64), unpacked(table, "bytes", np.uint8)
+    size = number + WINDOW - 1
+    offset = np.cumsum(size) - size
+    unit = np.repeat(np.arange(len(doc)), number)
+    within = np.arange(len(unit)) - np.repeat(np.cumsum(number) - number, number)
+    gone = earlier_windows(raw, offset[unit] + within, doc[unit])
+    unit, within = unit[gone], within[gone]
+    first = start[unit] + within
+    return ranges_of(*merge_runs(doc[unit], first, first + WINDOW))
 
 
 def remove_runs(texts: pa.Table, ranges: pa.Table) -> pa.Table:
@@ -381,8 +368,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     n = buckets(spark)
     sent = unit_rows(docs, n, frequent_grams(docs, n))
-    settled = written(sent.groupBy("bucket").applyInArrow(settle_units(n), ROWS), "repeats", by="kind")
-    packed_ranges = "bucket int, doc binary, start binary, extra binary"
+    settled = written(sent.groupBy("bucket").applyInArrow(settle_units, SETTLED), "repeats", by="kind")
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -390,14 +376,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(group), *batch.columns], names=["bucket", "doc_id", "text"])
 
     texts = docs.mapInArrow(grouped, "bucket int, doc_id long, text string").groupBy("bucket")
-    asked = settled.where("kind = 2").select("bucket", "doc", "start", "extra", "anchor")
+    asked = routed(settled.where("kind = 2"), n, "doc", {**RANGE, "anchor": U64})
     contents = texts.cogroup(asked.groupBy("bucket")).applyInArrow(
-        unit_bytes(n), "bucket int, doc binary, start binary, number binary, bytes binary"
-    )
-    found = contents.groupBy("bucket").applyInArrow(settle_windows(n), ROWS)
-    ranges = settled.where("kind = 1").select(*[c.split()[0] for c in packed_ranges.split(", ")]).unionByName(
-        found.select("bucket", "doc", "start", "extra")
+        unit_bytes, "doc binary, start binary, number binary, anchor binary, bytes binary"
     )
+    met = routed(contents, n, "anchor", UNIT, ("bytes", lambda c: c["number"] + WINDOW - 1)).drop("anchor")
+    found = met.groupBy("bucket").applyInArrow(settle_windows, SETTLED)
+    ranges = routed(settled.where("kind = 1"), n, "doc", RANGE).unionByName(routed(found, n, "doc", RANGE))
     return texts.cogroup(ranges.groupBy("bucket")).applyInArrow(
         remove_runs, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
