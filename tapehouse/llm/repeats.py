@@ -173,6 +173,17 @@ def units(data: np.ndarray, offs: np.ndarray, frequent: np.ndarray) -> tuple[np.
     return h[anchor[first]], content, np.searchsorted(offs, a, "right") - 1, a, number
 
 
+def later_copies(content: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Which units a smaller document among them has too."""
+    order = np.lexsort((doc, content))
+    of = content[order]
+    fresh = np.append(True, of[1:] != of[:-1])[: len(of)]
+    least = doc[order][np.maximum.accumulate(np.where(fresh, np.arange(len(of)), 0))]
+    out = np.zeros(len(of), bool)
+    out[order] = doc[order] > least
+    return out
+
+
 def unit_rows(docs: DataFrame, n_buckets: int, frequent: np.ndarray) -> DataFrame:
     """Packed units by bucket (kind 0) and packed ranges that are already settled (kind 1)."""
 
@@ -183,21 +194,21 @@ def unit_rows(docs: DataFrame, n_buckets: int, frequent: np.ndarray) -> DataFram
             found = []
             for lo, at, which, shift in segments(offs):
                 anchor, content, part, start, number = units(data[lo : lo + at[-1]], at, frequent)
-                found.append((anchor, content, doc_id[which[part]], start - at[part] + shift[part], number.astype(np.uint8)))
+                place = (start - at[part] + shift[part]).astype(np.int32)
+                found.append((anchor, content, doc_id[which[part]], place, number.astype(np.uint8)))
             if not found:
                 continue
             anchor, content, doc, start, number = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.lexsort((start, doc, content))
-            of = content[order]
-            fresh = np.append(True, of[1:] != of[:-1])[: len(of)]
-            least = doc[order][np.maximum.accumulate(np.where(fresh, np.arange(len(of)), 0))]
-            later = np.zeros(len(of), bool)
-            later[order] = doc[order] > least
-            runs = merge_runs(doc[later], start[later], start[later] + number[later] + WINDOW - 1)
+            found.clear()
+            later = later_copies(content, doc)
+            begin = start[later].astype(np.int64)
+            runs = merge_runs(doc[later], begin, begin + number[later] + WINDOW - 1)
             yield kind_batch(1, (ta.mix(runs[0].view(U64)) % U64(n_buckets)).astype(np.int32), {"doc": runs[0], "start": runs[1], "extra": runs[2]})
             keep = ~later  # in the order of the text, so that ids and places compress
-            columns = {"doc": doc[keep], "start": start[keep].astype(np.int32), "extra": number[keep], "anchor": anchor[keep], "content": content[keep]}
-            yield kind_batch(0, (ta.mix(anchor[keep]) % U64(n_buckets)).astype(np.int32), columns)
+            anchor, content, doc, start, number = (x[keep] for x in (anchor, content, doc, start, number))
+            columns = {"doc": doc, "start": start, "extra": number, "anchor": anchor, "content": content}
+            yield kind_batch(0, (ta.mix(anchor) % U64(n_buckets)).astype(np.int32), columns)
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, ROWS)
 

@@ -70,12 +70,16 @@ def packed(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[tuple
 
 
 def packed_batch(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """The rows of ``packed`` as a record batch (bucket int, binary columns)."""
-    rows = list(packed(bucket, columns))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([b for b, _ in rows], pa.int32())] + [pa.array([x[k] for _, x in rows], pa.binary()) for k in columns],
-        names=["bucket", *columns],
-    )
+    """The rows of ``packed`` as a record batch (bucket int, binary columns), each column copied once."""
+    order = np.argsort(bucket, kind="stable")
+    ordered = bucket[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+    cuts = np.append(first, len(ordered))
+    arrays = [pa.array(ordered[first], pa.int32())]
+    for values in columns.values():
+        edges = pa.py_buffer((cuts * values.itemsize).astype(np.int32))
+        arrays.append(pa.Array.from_buffers(pa.binary(), len(first), [None, edges, pa.py_buffer(values[order])]))
+    return pa.RecordBatch.from_arrays(arrays, names=["bucket", *columns])
 
 
 def unpacked(table: pa.Table, name: str, dtype) -> np.ndarray:
