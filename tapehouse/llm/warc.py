@@ -10,8 +10,9 @@ committed are read, so a lost or repeated task leaves no double records.
 Reading: members (or plain records) are read one after another in bounded
 memory. Where a check fails (compression, version line, header, length, block
 digest, payload digest) the reader searches on for the next member or version line from
-which a whole record can be read; the bytes between are one row of the
-quarantine log, with the reason. Later records are recovered.
+which a whole record can be read, also inside a member; the bytes between are one row of
+the quarantine log, with the reason. Later records are recovered, and so are those that
+stand before a fault in a member's compression.
 
 Nulls and edges: a null html counts as empty; small payloads are all responses;
 a null page_id is never referred to, and revisits if a page with an id has the
@@ -51,6 +52,7 @@ DATE = "1970-01-01T00:00:00Z"
 HTTP_TYPE = "application/http;msgtype=response"
 RECORD_ID = "<urn:tapehouse:page:{}>"
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
+VERSION_LINE = re.compile(rb"WARC/1\.\d\r\n")
 
 
 def http_block(payload: bytes | None, length: int) -> bytes:
@@ -94,9 +96,14 @@ class Record:
 
 @dataclass
 class Gap:
+    """Bytes of an archive that could not be read; in a member that could be, its range
+    there and that of the bytes in its content."""
+
     start: int
     end: int
     reason: str
+    inner_start: int | None = None
+    inner_end: int | None = None
 
 
 class Bad(ValueError):
@@ -143,23 +150,60 @@ def parse_record(read, at: int, most: int = MOST_BYTES) -> tuple[dict[str, str],
     return headers, block, at + stop + 4 + size + 4
 
 
-def member(read, at: int, most: int = MOST_BYTES) -> tuple[bytes, int]:
-    """Content and end of the gzip member that starts at ``at``."""
+def member(read, at: int, most: int = MOST_BYTES) -> tuple[bytes, int, str | None]:
+    """Content and end of the gzip member that starts at ``at``; with a reason, the content before a fault."""
     machine, parts, total, place = zlib.decompressobj(31), [], 0, at
     while not machine.eof:
         raw = read(place, CHUNK)
         if not raw:
-            raise Bad("member cut off")
+            return b"".join(parts), place, "member cut off"
         try:
             out = machine.decompress(raw)
-        except zlib.error as e:
-            raise Bad("compression") from e
+        except zlib.error:
+            return b"".join(parts) + before_fault(read, at, place), place, "compression"
         place += len(raw)
         total += len(out)
         if total > 2 * most + HEADER_BYTES:  # a header holds an url, which may be as long as a page
             raise Bad("record too long")
         parts.append(out)
-    return b"".join(parts), place - len(machine.unused_data)
+    return b"".join(parts), place - len(machine.unused_data), None
+
+
+def before_fault(read, at: int, place: int) -> bytes:
+    """What the chunk at ``place`` of the member at ``at`` gives before its fault: byte by
+    byte, as a chunk with a fault gives nothing."""
+    machine, out = zlib.decompressobj(31), []
+    for start in range(at, place, CHUNK):
+        machine.decompress(read(start, CHUNK))
+    try:
+        for byte in read(place, CHUNK):
+            out.append(machine.decompress(bytes([byte])))
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
+def inside(content: bytes, at: int, end: int, whole: bool, most: int) -> Iterator[Record | Gap]:
+    """Records of a member's content, and gaps in it. Of a member with a fault (not
+    ``whole``) a record that nothing follows is not trusted, as no digest covers its header."""
+    inner, gap = 0, None
+    while inner < len(content):
+        try:
+            headers, block, after = parse_record(lambda a, n: content[a : a + n], inner, most)
+        except Bad as e:
+            gap = gap or Gap(at, end, str(e), inner, inner)
+            found = VERSION_LINE.search(content, inner + 1)
+            inner = gap.inner_end = found.start() if found else len(content)
+            continue
+        if not whole and after == len(content):
+            break
+        if gap:
+            yield gap
+            gap = None
+        yield Record(at, headers, block)
+        inner = after
+    if gap:
+        yield gap
 
 
 def salvage(read, size: int, most: int = MOST_BYTES) -> Iterator[Record | Gap]:
@@ -177,29 +221,39 @@ def salvage(read, size: int, most: int = MOST_BYTES) -> Iterator[Record | Gap]:
             at += max(1, len(raw) - 7)
         return size
 
-    at, gap = 0, None
+    at, gap, before = 0, None, []  # before: records of a member with a fault, which may be stored as they are
     while at < size:
-        start = read(at, 8)
-        records: list[Record] = []
+        start, fault = read(at, 8), None
+        found: list[Record | Gap] = []
         try:
             if start.startswith(MAGIC):
-                content, end = member(read, at, most)
-                inner = 0
-                while inner < len(content):  # a member is trusted only as a whole
-                    headers, block, inner = parse_record(lambda a, n, c=content: c[a : a + n], inner, most)
-                    records.append(Record(at, headers, block))
+                content, end, fault = member(read, at, most)
+                found = list(inside(content, at, end, fault is None, most))
             else:
                 headers, block, end = parse_record(read, at, most)
-                records.append(Record(at, headers, block))
+                found.append(Record(at, headers, block))
         except Bad as e:
             gap = gap or Gap(at, at, str(e))
             at = search(at + 1)
             gap.end = at
             continue
+        if start.startswith(MAGIC):
+            before = [(x.headers, x.block) for x in found if fault and isinstance(x, Record)]
+        elif (headers, block) in before:
+            gap = gap or Gap(at, at, "record read before")
+            at = gap.end = end
+            continue
+        if fault and not any(isinstance(x, Record) for x in found):
+            gap = gap or Gap(at, at, fault)
+            at = gap.end = search(at + 1)
+            continue
         if gap:
             yield gap
             gap = None
-        yield from records
+        yield from found
+        if fault:  # its first records were read; its other bytes are a gap
+            gap = Gap(at, at, fault)
+            end = gap.end = search(at + 1)
         at = end
     if gap:
         yield gap
@@ -302,7 +356,8 @@ def read_archives(files: DataFrame, payloads: bool = False) -> DataFrame:
                 rows, held = [], 0
                 for x in salvage(read, size):
                     if isinstance(x, Gap):
-                        row = (None, None, None, None, None, None, path, x.start, x.end, x.reason)
+                        part = "" if x.inner_start is None else f", bytes {x.inner_start} to {x.inner_end} of the member's content"
+                        row = (None, None, None, None, None, None, path, x.start, x.end, x.reason + part)
                         payload = None
                     else:
                         h, payload = x.headers, x.payload

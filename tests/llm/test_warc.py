@@ -91,6 +91,25 @@ def test_salvage_recovers_all_but_the_damaged(monkeypatch, compress):
     assert run(b"") == ([], []) and run(b"no archive")[0] == []
 
 
+def test_records_beside_a_damaged_one_in_the_same_member():
+    parts = archive(False, 5)
+    content = b"".join(parts)
+    start = len(parts[0]) + len(parts[1])
+    where = start + len(parts[2]) - 6  # in the block of the third
+    bad = content[:where] + bytes([content[where] ^ 1]) + content[where + 1 :]
+    after = archive(True, 1)[0]
+    records, gaps = run(gzip.compress(bad) + after)
+    assert records == [0, 1, 3, 4, 0]
+    assert [(g.start, g.end, g.inner_start, g.inner_end) for g in gaps] == [(0, len(gzip.compress(bad)), start, start + len(parts[2]))]
+    whole = gzip.compress(content)
+    broken = whole[:-8] + bytes(4) + whole[-4:]  # its check sum: the last record is not trusted
+    records, gaps = run(broken + after)
+    assert records == [0, 1, 2, 3, 0] and [(g.start, g.end) for g in gaps] == [(0, len(broken))]
+    half = gzip.compress(content, 0)[: len(content) // 2]  # stored as it is, and cut off
+    records, gaps = run(half)
+    assert records == list(range(len(records))) and 1 <= len(records) < 5 and gaps[-1].reason == "member cut off"
+
+
 def test_too_long_records_are_quarantined():
     parts = archive(True, 5)
     big = b"w" * 10_000
