@@ -127,7 +127,8 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
     passage's part, and the number of equal words in it.
 
     All pairs advance together, one item word at a time. Each cell carries where
-    its alignment began and its matches, packed below the score.
+    its alignment began and its matches, packed below the score in as many bits as the
+    longest item and passage need (``windows`` bounds the passages, so 63 always do).
     """
     n = len(items)
     rows, columns = max(map(len, items)), max(map(len, passages))
@@ -137,10 +138,14 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
         left[i, : len(a)], right[i, : len(b)] = a, b
     real = np.arange(columns) < np.array([len(b) for b in passages])[:, None]
     count = np.array([len(a) for a in items])
-    # a cell is score << 40 | (start word + 1 counted from the far end) << 20 | matches: larger is better
-    unit, low = np.int64(1) << 40, (np.int64(1) << 40) - 1
+    # a cell is score, start word + 1 counted from the far end, matches: larger is better
+    small = rows.bit_length()
+    wide = small + columns.bit_length()
+    if wide + (MATCH * rows - GAP * columns).bit_length() > 63:
+        raise ValueError(f"an item of {rows} words with a passage of {columns}")
+    unit, low = np.int64(1) << wide, (np.int64(1) << wide) - 1
     column = np.arange(columns, dtype=np.int64)
-    fresh = (columns - column) << 20  # an alignment that starts here
+    fresh = (columns - column) << small  # an alignment that starts here
     cell = np.zeros((n, columns), np.int64)
     best, best_at = np.zeros(n, np.int64), np.zeros(n, np.int64)
     for r in range(rows):
@@ -160,8 +165,22 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> tuple[np.ndarr
         value = cell[np.arange(n), top]
         better = value > best
         best[better], best_at[better] = value[better], top[better]
-    start = columns - ((best & low) >> 20)
-    return best >> 40, np.where(best > 0, start, 0), best_at, best & ((1 << 20) - 1)
+    start = columns - ((best & low) >> small)
+    return best >> wide, np.where(best > 0, start, 0), best_at, best & ((1 << small) - 1)
+
+
+def windows(low: np.ndarray, high: np.ndarray, size: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, first word, word after the last) of the passages, wide ones cut with an overlap.
+
+    Each word of the passage beyond the item's costs a gap, so an alignment that reaches
+    the threshold has no more than ``reach`` words and lies in one of the windows whole.
+    """
+    reach = size + np.ceil(MATCH * (1 - threshold) * size / -GAP).astype(np.int64) + 1
+    step = np.maximum(4096, size // 64)
+    number = np.maximum(1, -(-(high - low - reach) // step))
+    which = np.repeat(np.arange(len(low)), number)
+    begin = low[which] + (np.arange(len(which)) - np.repeat(np.cumsum(number) - number, number)) * step[which]
+    return which, begin, np.minimum(high[which], begin + reach[which] + step[which])
 
 
 def passages_of(items: Items, words: np.ndarray, at: np.ndarray, threshold: float) -> tuple[np.ndarray, ...]:
@@ -193,6 +212,8 @@ def best_scores(items: Items, words: np.ndarray, at: np.ndarray, threshold: floa
     """(document, item, score, first and last word, matches) of the best passage of each pair."""
     doc, item, low, high = passages_of(items, words, at, threshold)
     size = np.diff(items.at)
+    which, low, high = windows(low, high, size[item], threshold)
+    doc, item = doc[which], item[which]
     order = np.lexsort((high - low, size[item]))
     out: dict[tuple[int, int], tuple] = {}
     i = 0

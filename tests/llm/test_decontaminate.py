@@ -40,6 +40,28 @@ def test_alignment_matches_plain_dynamic_programming():
             assert 2 * m >= s
 
 
+def test_wide_passages(monkeypatch):
+    rng = np.random.default_rng(5)
+    passage = rng.integers(10, 2**60, 1_100_000).astype(np.uint64)
+    passage[:3] = passage[700_000:700_003] = item = np.array([1, 2, 3], np.uint64)
+    score, first, last, same = dc.align([item], [passage])
+    assert (score[0], first[0], last[0], same[0]) == (6, 0, 2, 3)
+    for seed in range(6):  # cut with an overlap: as the whole passage
+        rng = np.random.default_rng(seed)
+        item = rng.integers(0, 2**60, 40).astype(np.uint64)
+        passage = rng.integers(0, 2**60, 13_000).astype(np.uint64)
+        for at in (4096 * (1 + seed % 3) - rng.integers(0, 90), 9000):
+            passage[at : at + 60] = np.insert(item, np.sort(rng.integers(0, 40, 20)), np.uint64(7))
+        items = dc.Items(np.array([0]), ["x"], 4)
+        items.words, items.at = item, np.array([0, 40])
+        zero = np.zeros(1, np.int64)
+        monkeypatch.setattr(dc, "passages_of", lambda *x, n=len(passage): (zero, zero, zero, zero + n))
+        (got,) = dc.best_scores(items, passage, np.array([0, len(passage)]), 0.5)
+        score, first, last, same = dc.align([item], [passage])
+        assert got == (0, 0, score[0] / 80, first[0], last[0], same[0])
+        assert len(dc.windows(zero, zero + len(passage), zero + 40, 0.5)[0]) == 4
+
+
 def make(seed):
     rng = random.Random(seed)
     vocab = [f"{c}{i}" for c in "abcdefgh" for i in range(60)]
