@@ -4,7 +4,8 @@ Three base patterns give spans (assignments of long values to secret-like names,
 access key ids, long hexadecimal runs). Beside them, long strings of the key
 alphabet are scored by two character Markov models, one of random strings and
 one of ordinary identifiers: a string whose mean log-likelihood ratio per
-transition reaches ``MIN_RATIO`` is a span too, unless it overlaps a base span.
+transition reaches ``MIN_RATIO`` is a span too. A string that touches base spans is
+cut at them, and what is left of it, where long enough, is scored by itself.
 
 The models are transition tables of the key alphabet's characters, trained from
 labelled samples of the table itself: what the base patterns caught is random,
@@ -32,7 +33,8 @@ from tapehouse.llm.shuffling import documents
 ASSIGN = "(?i:password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
-KEY = "[A-Za-z0-9+/_-]{20,}"
+KEY_LEAST = 20
+KEY = f"[A-Za-z0-9+/_-]{{{KEY_LEAST},}}"
 KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 ASSIGN_LEAST, IDENTIFIER_LEAST = 12, 6
@@ -157,11 +159,30 @@ def mean_ratio(string: Column, table: list[float]) -> Column:
     return bound(codes, score)
 
 
+def beside(run: Column, base: Column) -> Column:
+    """What base spans leave of a run of the key alphabet: parts of ``KEY_LEAST`` characters or more."""
+    met = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+
+    def parts(met: Column) -> Column:
+        begins = F.array_distinct(F.concat(F.array(run["start"]), F.transform(met, lambda b: b["end"])))
+        free = F.filter(begins, lambda p: (p < run["end"]) & ~F.exists(met, lambda b: (b["start"] <= p) & (p < b["end"])))
+
+        def part(p: Column) -> Column:
+            end = F.coalesce(F.array_min(F.filter(F.transform(met, lambda b: b["start"]), lambda x: x > p)), run["end"])
+            value = F.substr(run["value"], (p - run["start"] + 1).cast("int"), (end - p).cast("int"))
+            return F.struct(p.alias("start"), run["kind"].alias("kind"), end.alias("end"), value.alias("value"))
+
+        return F.filter(F.transform(free, part), lambda s: F.length(s["value"]) >= KEY_LEAST)
+
+    return bound(met, lambda m: F.when(F.size(m) == 0, F.array(run)).otherwise(parts(m)).cast(SPAN))
+
+
 def find(docs: DataFrame, table: list[float], min_ratio: float = MIN_RATIO) -> DataFrame:
     """Add ``base`` and ``found`` (all spans, by start, then kind) to documents (column text)."""
     based = base_spans(docs)
-    apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    likely = F.filter(spans_of(F.col("text"), KEY, 3), lambda s: apart(s) & (mean_ratio(s["value"], table) >= min_ratio))
+    runs = spans_of(F.col("text"), KEY, 3)
+    left = F.flatten(F.transform(runs, lambda s: beside(s, F.col("base"))))
+    likely = F.filter(left, lambda s: mean_ratio(s["value"], table) >= min_ratio)
     return based.withColumn("found", F.array_sort(F.concat("base", likely)))
 
 
