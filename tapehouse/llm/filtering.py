@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tapehouse.llm.shuffling import give_back
+
 
 def keep_rows(df: DataFrame, test: Callable[[pa.Array], np.ndarray], column: str) -> DataFrame:
     """The rows of ``df`` for which ``test`` of the column's Arrow array is true.
@@ -21,5 +23,6 @@ def keep_rows(df: DataFrame, test: Callable[[pa.Array], np.ndarray], column: str
         for batch in batches:
             keep = test(batch.column(at))
             yield batch if keep.all() else batch.filter(pa.array(keep))
+            give_back()
 
     return df.mapInArrow(run, df.schema)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.llm import textarrays as ta
-from tapehouse.llm.shuffling import buckets, chunked, components, documents, routed, unpacked, written
+from tapehouse.llm.shuffling import buckets, chunked, components, documents, give_back, routed, unpacked, written
 
 U64 = np.uint64
 COMMON, COMMON_IN_TASK = 1 << 17, 8
@@ -86,6 +86,7 @@ def common_shingles(docs: DataFrame, k: int, most: int = COMMON) -> np.ndarray:
                     top = np.argpartition(counts, len(kept) - most)[len(kept) - most :]
                     top.sort()
                     kept, counts = kept[top], counts[top]
+            give_back()
         often = counts >= COMMON_IN_TASK
         yield pa.RecordBatch.from_arrays(
             [pa.array(kept[often].view(np.int64)), pa.array(counts[often])], names=["shingle", "n"]
@@ -127,6 +128,7 @@ def set_sizes(docs: DataFrame, k: int) -> DataFrame:
                     [batch.column(0).slice(i, j - i), pa.array(np.diff(at)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64))],
                     names=["doc_id", "n_shingles", "s1", "s2"],
                 )
+            give_back()
 
     return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long")
 
@@ -160,6 +162,7 @@ def prefixes(k: int, percent: int, common: np.ndarray):
             flat = np.repeat(at[:-1] - np.cumsum(p) + p, p) + np.arange(p.sum())
             level = band(n, percent).astype(np.int16)
             out.append(chunked({"token": keys[flat], "doc": np.repeat(doc[i:j], p), "level": np.repeat(level, p)}))
+        give_back()
         return pa.concat_tables(out)
 
     return run
@@ -282,6 +285,7 @@ def tile_rows(k: int, form):
             items = [made[d] for d in which.tolist()]
             parts = ("items", np.frombuffer(b"".join(items), np.uint8), np.array([len(x) for x in items], np.int64))
             out.append(chunked({"tile": to, "doc": doc[i:j][which], "size": size[which]}, parts))
+        give_back()
         return pa.concat_tables(out)
 
     return run

@@ -38,7 +38,7 @@ PER_LANG, SAMPLE_CHARS, LEXICON = 400, 200_000, 20_000
 LENGTH, BATCH, STEPS, RATE = 24, 192, 160, 0.3
 UND = "und"
 #: Bytes of text that are labelled at once.
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 
 def letter_table() -> tuple[np.ndarray, np.ndarray]:

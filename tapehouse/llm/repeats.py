@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.llm import textarrays as ta
-from tapehouse.llm.shuffling import buckets, chunked, documents, packed_batch, routed, unpacked, written
+from tapehouse.llm.shuffling import buckets, chunked, documents, give_back, packed_batch, routed, unpacked, written
 
 U64 = np.uint64
 WINDOW, GRAM = 50, 20
@@ -208,7 +208,7 @@ def unit_rows(docs: DataFrame, n_buckets: int, frequent: np.ndarray) -> DataFram
             anchor, content, doc, start, number = (x[keep] for x in (anchor, content, doc, start, number))
             columns = {"doc": doc, "start": start, "extra": number, "anchor": anchor, "content": content}
             yield kind_batch(0, (ta.mix(anchor) % U64(n_buckets)).astype(np.int32), columns)
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return docs.mapInArrow(run, ROWS)
 

@@ -10,6 +10,7 @@ cluster fits its partitions to the data.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -59,6 +60,14 @@ def discard(*tables: DataFrame) -> None:
             place.getFileSystem(conf).delete(place, True)
 
 
+def give_back() -> None:
+    """Return memory that a worker has freed to the system, as it may wait beside others for its next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def packed(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> Iterator[tuple[int, dict[str, bytes]]]:
     """For each bucket that occurs, the bytes of its values of each column."""
     order = np.argsort(bucket, kind="stable")
@@ -153,8 +162,11 @@ def routed(
             if size >= ROUTED_BYTES:
                 yield deal(held)
                 held, size = [], 0
+                give_back()
         if held:
             yield deal(held)
+        held.clear()
+        give_back()
 
     return rows.select(*names).mapInArrow(run, "bucket int, " + ", ".join(f"{k} binary" for k in names))
 
