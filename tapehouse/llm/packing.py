@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tapehouse.llm import textarrays as ta
 from tapehouse.llm.bpe import ENCODED_AT_ONCE, Bpe
-from tapehouse.llm.shuffling import documents, written
+from tapehouse.llm.shuffling import documents, give_back, written
 
 CAPACITY, END_ID = 2048, 0
 PIECES_PER_SALT = 500_000
@@ -140,7 +140,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPAC
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
             del batch, data  # the batch's memory goes back before the next one arrives
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     schema = PIECE + (", ids array<int>" if with_ids else "")
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
