@@ -35,13 +35,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.llm import textarrays as ta
-from tapehouse.llm.shuffling import documents
+from tapehouse.llm.shuffling import documents, give_back
 
 U64 = np.uint64
 SEED_WORDS, THRESHOLD = 4, 0.5
 RARE_SHARE, RARE_LEAST = 0.001, 20
 BLOCK_ITEMS, BLOCK_WORDS = 20_000, 1_000_000
 MATCH, MISS, GAP = 2, -1, -1
+#: Bytes of text that a task looks at together, and cells that it aligns together.
+SLICE, CELLS = 1 << 20, 100_000
 FOUND = "doc_id long, item_id long, score double, first_word long, last_word long, n_matched long, item_words long"
 
 
@@ -219,7 +221,7 @@ def best_scores(items: Items, words: np.ndarray, at: np.ndarray, threshold: floa
     i = 0
     while i < len(order):
         j, cells = i, 0
-        while j < len(order) and (j == i or cells < 400_000):  # pairs of about one size together
+        while j < len(order) and (j == i or cells < CELLS):  # pairs of about one size together
             cells = (j - i + 1) * int(high[order[j]] - low[order[j]])
             j += 1
         at_once = order[i:j].tolist()
@@ -262,13 +264,15 @@ def seed_counts(texts: DataFrame, items: Items) -> np.ndarray:
         total = np.zeros(len(seeds), np.int64)
         for batch in batches:
             data, offs = ta.flat(batch.column(0))
-            for i, j in ta.slices(offs):
+            for i, j in ta.slices(offs, SLICE):
                 words, at = plain_words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 place, candidate = items.hits(words, at)
                 doc = np.searchsorted(at, place, "right") - 1
                 which = np.searchsorted(seeds, items.seed[candidate])
                 pairs = np.unique(doc * len(seeds) + which)
                 total += np.bincount(pairs % max(1, len(seeds)), minlength=len(seeds))
+            del batch, data  # the batch's memory goes back before the next one arrives
+            give_back()
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(total[hit])], names=["seed", "n"])
 
@@ -311,7 +315,7 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
         def test(texts: pa.Array) -> np.ndarray:
             clean = np.ones(len(texts), bool)
             data, offs = ta.flat(texts)
-            for i, j in ta.slices(offs):
+            for i, j in ta.slices(offs, SLICE):
                 words, at = plain_words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 clean[[i + row[0] for row in best_scores(items, words, at, threshold)]] = False
             return clean
@@ -329,7 +333,7 @@ def search(items: Items, threshold: float):
         for batch in batches:
             ids = ta.ids(batch.column(0))
             data, offs = ta.flat(batch.column(1))
-            for i, j in ta.slices(offs):
+            for i, j in ta.slices(offs, SLICE):
                 words, at = plain_words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
                 rows = best_scores(items, words, at, threshold)
                 if not rows:
@@ -339,6 +343,8 @@ def search(items: Items, threshold: float):
                     [ta.id_array(ids[i:j][doc]), ta.id_array(items.ids[item]), pa.array(score.astype(float)), *(pa.array(x.astype(np.int64)) for x in (first, last, same, size[item]))],
                     names=["doc_id", "item_id", "score", "first_word", "last_word", "n_matched", "item_words"],
                 )
+            del batch, data
+            give_back()
 
     return run
 
