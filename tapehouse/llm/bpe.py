@@ -21,7 +21,7 @@ BYTE_BPE = "byte_bpe_50k.tiktoken"
 #: The added tokens of the vocabulary's tokenizer file; none holds white space.
 ADDED = {"<|endoftext|>": 50256}
 #: Bytes of text that a task encodes together; only memory depends on it.
-ENCODED_AT_ONCE = 2 << 20
+ENCODED_AT_ONCE = 1 << 20
 
 
 class Bpe:
