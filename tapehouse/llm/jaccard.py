@@ -94,8 +94,8 @@ def common_shingles(docs: DataFrame, k: int, most: int = COMMON) -> np.ndarray:
 
     found = docs.select(F.col("text").cast("string")).mapInArrow(run, "shingle long, n long")
     top = found.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(most)
-    rows = top.toPandas()
-    return rows["shingle"].to_numpy(np.int64).view(U64)[::-1].copy()
+    rows = top.toArrow()
+    return rows.column("shingle").to_numpy().view(U64)[::-1].copy()
 
 
 def ordered(values: np.ndarray, common: np.ndarray, lookup: np.ndarray) -> np.ndarray:

@@ -30,15 +30,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapehouse.llm import textarrays as ta
-from tapehouse.llm.shuffling import documents
+from tapehouse.llm.shuffling import documents, give_back
 
 U64 = np.uint64
 HASHED = 1 << 17
 PER_LANG, SAMPLE_CHARS, LEXICON = 400, 200_000, 20_000
 LENGTH, BATCH, STEPS, RATE = 24, 192, 160, 0.3
 UND = "und"
-#: Bytes of text that are labelled at once.
-SLICE = 1 << 20
+#: Bytes of text that are labelled, and distinct words whose features are made, at once.
+SLICE, WORDS_AT_ONCE = 1 << 20, 1 << 13
 
 
 def letter_table() -> tuple[np.ndarray, np.ndarray]:
@@ -120,6 +120,49 @@ def features(points: np.ndarray, starts: np.ndarray, ends: np.ndarray, lexicon:
     return np.concatenate(words), np.concatenate(feats)
 
 
+class Words:
+    """The distinct words of a sample of texts, in order of their hash.
+
+    Texts and words are taken a slice at a time, so that beside a number for each word
+    of a text and the code points and features of the distinct ones nothing is held.
+    """
+
+    def __init__(self, texts: pa.Array):
+        data, offs = ta.flat(texts)
+        found, points, size = np.zeros(0, U64), [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        order, said, at = np.zeros(0, np.int64), [np.zeros(0, U64)], [np.zeros(1, np.int64)]
+        for i, j in ta.slices(offs, SLICE):
+            chars, starts, ends, ranges = letter_words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+            said.append(word_ids(chars, starts, ends))
+            at.append(at[-1][-1] + ranges[1:])
+            distinct, first = np.unique(said[-1], return_index=True)
+            new = ~np.isin(distinct, found)
+            a, n = starts[first[new]], (ends - starts)[first[new]]
+            points.append(chars[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())])
+            size.append(n)
+            both = np.concatenate((found, distinct[new]))
+            place = np.concatenate((order, np.arange(len(order), len(both))))
+            by_hash = np.argsort(both)
+            found, order = both[by_hash], place[by_hash]
+        ends = np.cumsum(np.concatenate(size))
+        self.points, self.hash = np.concatenate(points), found
+        self.starts, self.ends = (ends - np.concatenate(size))[order], ends[order]
+        number = [np.searchsorted(found, x).astype(np.int32) for x in said]
+        self.count = sum((np.bincount(x, minlength=len(found)) for x in number), np.zeros(len(found), np.int64))
+        number, at = np.concatenate(number), np.concatenate(at)
+        self.docs = [number[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def features(self, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``features`` of all words, word by word, and each word's range in them."""
+        feats, number = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for i in range(0, len(self.hash), WORDS_AT_ONCE):
+            starts, ends = self.starts[i : i + WORDS_AT_ONCE], self.ends[i : i + WORDS_AT_ONCE]
+            word, feature = features(self.points, starts, ends, lexicon)
+            feats.append(feature[np.argsort(word, kind="stable")].astype(np.int32))
+            number.append(np.bincount(word, minlength=len(starts)))
+        return np.concatenate(feats), np.cumsum(np.concatenate(number))
+
+
 class Crf:
     """Weights of the features, transitions and starts of each of ``langs``."""
 
@@ -195,15 +238,12 @@ class Crf:
         value = value + self.move[label[:, :-1], label[:, 1:]].sum(1) - total
         return d_emit, move, d_emit[:, 0].sum(0), float(value.sum())
 
-    def train(self, docs: list[np.ndarray], labels: list[int], pairs: tuple[np.ndarray, np.ndarray], n_words: int, steps: int = STEPS, seed: int = 0) -> list[float]:
+    def train(self, docs: list[np.ndarray], labels: list[int], feature: np.ndarray, at: np.ndarray, steps: int = STEPS, seed: int = 0) -> list[float]:
         """AdaGrad on batches of sequences, half of them spliced from two documents.
 
-        ``docs`` hold numbers of distinct words, ``pairs`` those words' features.
+        ``docs`` hold numbers of distinct words; word w has the features ``feature[at[w] : at[w + 1]]``.
         """
         rng = np.random.default_rng(seed)
-        order = np.argsort(pairs[0], kind="stable")
-        feature = pairs[1][order]
-        at = np.searchsorted(pairs[0][order], np.arange(n_words + 1))
         squares = [np.full(x.shape, 1e-6) for x in (self.weight, self.move, self.start)]
         size = np.array([len(d) for d in docs])
         by_lang = [np.flatnonzero((np.array(labels) == k) & (size > 0)) for k in range(len(self.langs))]
@@ -260,14 +300,22 @@ def fit(training: DataFrame, per_lang: int = PER_LANG) -> Crf:
         return Crf([], np.zeros(0, U64))
     share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, per_lang / counts[k]))])
     chosen = rows.where(F.length("text") <= SAMPLE_CHARS).where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) <= share[F.col("lang")] * 1_000_003)
-    sample = chosen.limit(2 * per_lang * len(langs)).toPandas().sort_values(["lang", "doc_id", "text"], kind="stable")
-    points, starts, ends, at = letter_words(*ta.flat(pa.array(sample["text"].tolist(), pa.large_string())))
-    h, where, inverse, number = np.unique(word_ids(points, starts, ends), return_index=True, return_inverse=True, return_counts=True)
-    often = np.flatnonzero(number > 1)
-    lexicon = np.sort(h[often[np.argsort(-number[often], kind="stable")][:LEXICON]])
+    table = chosen.limit(2 * per_lang * len(langs)).toArrow()
+    sample = table.to_pandas(integer_object_nulls=True).sort_values(["lang", "doc_id", "text"], kind="stable")
+    del table
+    model = trained(langs, sample["text"].tolist(), [langs.index(x) for x in sample["lang"]])
+    del sample
+    give_back()
+    return model
+
+
+def trained(langs: list[str], texts: list[str], labels: list[int]) -> Crf:
+    """A model of ``langs`` that learns from ``texts``; their ``labels`` are places in ``langs``."""
+    words = Words(pa.array(texts, pa.large_string()))
+    often = np.flatnonzero(words.count > 1)
+    lexicon = np.sort(words.hash[often[np.argsort(-words.count[often], kind="stable")][:LEXICON]])
     model = Crf(langs, lexicon)
-    docs = [inverse[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-    model.train(docs, [langs.index(x) for x in sample["lang"]], features(points, starts[where], ends[where], lexicon), len(h))
+    model.train(words.docs, labels, *words.features(lexicon))
     return model
 
 

@@ -1,10 +1,13 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tapehouse.llm import langid
+from tapehouse.llm import textarrays as ta
 
 DOCS = "doc_id long, text string, lang string, score double"
 
@@ -84,3 +87,43 @@ def test_nulls_empty_and_untrained(spark):
     assert {r.lang_pred for r in langid.predict(df, blind).collect()} == {"und"}
     assert langid.predict(df.limit(0), langid.fit(df.limit(0))).count() == 0
     assert langid.word_labels(df, blind).count() == 0
+
+
+def test_words_in_slices_are_those_of_all_texts_at_once(monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeéßΩя𐐀") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    texts = ["", " 1 ", *(" ".join(rng.choice(words) for _ in range(rng.randint(1, 50))) for _ in range(40)), "x" * 999]
+    points, starts, ends, at = langid.letter_words(*ta.flat(pa.array(texts, pa.large_string())))
+    h, where, inverse, number = np.unique(langid.word_ids(points, starts, ends), return_index=True, return_inverse=True, return_counts=True)
+    lexicon = h[::2]
+    word, feature = langid.features(points, starts[where], ends[where], lexicon)
+    for size, each in ((1 << 20, 1 << 13), (300, 7), (1, 1)):
+        monkeypatch.setattr(langid, "SLICE", size)
+        monkeypatch.setattr(langid, "WORDS_AT_ONCE", each)
+        got = langid.Words(pa.array(texts, pa.large_string()))
+        assert got.hash.tolist() == h.tolist() and got.count.tolist() == number.tolist()
+        assert [d.tolist() for d in got.docs] == [inverse[a:b].tolist() for a, b in itertools.pairwise(at)]
+        feats, ranges = got.features(lexicon)
+        for w in range(len(h)):
+            assert feats[ranges[w] : ranges[w + 1]].tolist() == feature[word == w].tolist()
+    none = langid.Words(pa.array([], pa.large_string()))
+    assert len(none.hash) == len(none.docs) == len(none.features(lexicon)[0]) == 0
+
+
+def test_fit_holds_little_beside_its_texts(spark):
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(3000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(4500)), "ab"[i % 2]) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").cache()
+    size = sum(len(r[1]) for r in rows)
+    assert df.count() == 200
+    del rows
+    langid.letter_table()
+    tracemalloc.start()
+    try:
+        assert langid.fit(df).langs == ["a", "b"]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        df.unpersist()
+    assert peak < 12 * size  # 6.7 measured; 23.1 when all texts and words were taken at once
